@@ -54,9 +54,13 @@ def silver_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = supplier.join(F.broadcast(places), F.col("s_nationkey") == F.col("n_nationkey")).select(
         "s_suppkey", "n_nationkey", "state_slug", "region"
     )
-    year, quarter = F.year("l_shipdate"), F.quarter("l_shipdate")
+    # now and then a state skips a publication and reports with the next one
+    skipped = (F.col("n_nationkey") + 4 * F.year("l_shipdate") + F.quarter("l_shipdate")) % 29 == 0
+    published = F.when(skipped, F.add_months("l_shipdate", 3)).otherwise(F.to_date("l_shipdate"))
+    year, quarter = F.year("published"), F.quarter("published")
     cells = (
         line.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .withColumn("published", published)
         .select(
             F.expr("l_partkey div 10").alias("item"),
             "n_nationkey", "state_slug", "region",
@@ -138,3 +142,117 @@ def columns_of(tipo: str) -> list[str]:
 
 def silver_by_type(panel: DataFrame) -> dict[str, DataFrame]:
     return {t: panel.where(F.col("report_type") == t).select(columns_of(t)) for t in V.REPORT_TYPES}
+
+
+# ---- sheets as the publisher would send them ------------------------------------------
+
+
+def sheet_rows(panel: DataFrame) -> DataFrame:
+    """The panel turned back into sheets: banners, header, untidy cells, a footer.
+
+    Sheets of one state in 1996 have a header nobody knows; some of 1997 hold a cell
+    that is no number.
+    """
+    item = F.col("codigo").substr(F.lit(2), F.length("codigo")).cast("long")
+    old_layout = F.col("year") < "2000"
+    broken = (F.col("year") == "1997") & (item % 97 == 5)
+    pad = F.array(F.lit(None).cast("string"), F.lit(None).cast("string"))
+
+    def number(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("decimal(18,2)").cast("string"), F.lit(" - "))
+
+    first = {V.MATERIAL: "preco_unitario", V.EQUIPMENT: "valor_aquisicao", V.LABOUR: "custo"}
+
+    def body_cells(columns: list[str], broken_column: str) -> Column:
+        text = {
+            "codigo": F.concat(F.lit("  "), F.col("codigo"), F.lit("\t")),
+            "descricao": F.upper(F.replace(F.col("descricao"), F.lit(" "), F.lit(" \u00a0\n"))),
+            "unidade": F.col("unidade"),
+        }
+        return F.concat(F.array(*[
+            text[c] if c in text else F.when(broken, F.lit("n/d")).otherwise(number(c)) if c == broken_column else number(c)
+            for c in columns
+        ]), pad)
+
+    def by_layout(of: dict[tuple[str, int], Column]) -> Column:
+        return F.coalesce(*[
+            F.when((F.col("report_type") == tipo) & ((F.lit(n) == 1) == ~old_layout if tipo == V.LABOUR else F.lit(True)), value)
+            for (tipo, n), value in of.items()
+        ])
+
+    layouts = {(t, n): layout for t, options in V.SHEET_LAYOUTS.items() for n, layout in enumerate(options)}
+    body = panel.select(
+        F.col("blob_name").alias("file"), "report_type", (item * 4 + 10).alias("row_idx"),
+        by_layout({k: body_cells(columns, first[k[0]]) for k, (_, columns) in layouts.items()}).alias("cells"),
+    )
+    files = panel.select(F.col("blob_name").alias("file"), "report_type", "state_slug", "year", "month").distinct()
+    unknown = (F.col("state_slug") == "nation_20") & (F.col("year") == "1996")
+    header = by_layout({
+        k: F.concat(F.array(
+            F.when(unknown, "Cod.").otherwise(names[0]), *[F.lit(h.replace(" (R$", "\n (R$")) for h in names[1:]]
+        ), pad)
+        for k, (names, _) in layouts.items()
+    })
+    empty = F.lit(None).cast("string")
+    banner = F.array(F.lit("Tabela"), F.lit("Preços de referência"), empty, empty)
+    place = F.array(empty, F.concat("state_slug", F.lit(" - "), "month", F.lit("/"), "year"), empty, empty)
+    footer = F.array(empty, F.lit("fim"), empty, empty)
+    frame = files.select(
+        "file", "report_type",
+        F.inline(F.array(*[
+            F.struct(F.lit(position).cast("long").alias("row_idx"), cells.alias("cells"))
+            for position, cells in [(0, banner), (1, place), (2, header), (1 << 40, footer)]
+        ])),
+    )
+    return body.unionByName(frame)
+
+
+# ---- ledgers ----------------------------------------------------------------------------
+
+
+def download_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in the shape of the download ledger; three orders share a url."""
+    key = F.col("o_orderkey")
+    day = F.col("o_orderdate").cast("timestamp_ntz")
+    status = _status()
+    return read_table(spark, sf_dir, "orders").select(
+        key.alias("id"),
+        F.concat(F.lit("r"), (F.col("o_custkey") % 5).cast("string")).alias("region"),
+        F.concat(F.lit("s"), (F.col("o_custkey") % 27).cast("string")).alias("state_code"),
+        F.year(day).cast("string").alias("year"),
+        F.month(day).cast("string").alias("month"),
+        (key % 5 == 0).alias("revisado"),
+        F.concat(F.lit("https://prices.example/file/"), (key - key % 3).cast("string")).alias("url"),
+        F.concat(F.lit("f"), key.cast("string"), F.lit(".zip")).alias("filename"),
+        F.lit("zip").alias("extension"),
+        F.when(F.col("o_custkey") % 3 != 0, day).alias("scraped_at"),
+        F.when((status != "pending") & (key % 5 >= 2), day + F.expr("interval 1 day")).alias("downloaded_at"),
+        status.alias("status"),
+        F.when((status == "downloaded") & (key % 4 != 0), F.md5(key.cast("string"))).alias("file_hash"),
+    )
+
+
+def _status() -> Column:
+    s = F.col("o_orderstatus")
+    return F.when(s == "P", "pending").when(s == "F", "failed").otherwise("downloaded")
+
+
+def parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in the shape of the parse ledger; three orders share a path."""
+    key, s = F.col("o_orderkey"), F.col("o_orderstatus")
+    parsed = s != "F"
+    return read_table(spark, sf_dir, "orders").select(
+        key.alias("seq"),
+        F.concat(F.lit("raw/"), (key - key % 3).cast("string"), F.lit(".xlsx")).alias("blob_name"),
+        F.element_at(F.array(*[F.lit(t) for t in V.REPORT_TYPES]), (F.col("o_custkey") % 3 + 1).cast("int")).alias("report_type"),
+        F.when(parsed, F.col("o_custkey") % 100).alias("row_count"),
+        F.when(parsed, "parsed").otherwise("failed").alias("status"),
+        F.when(~parsed, F.concat(F.lit("no known header in "), key.cast("string"))).alias("error"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("parsed_at"),
+    )
+
+
+def link_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A directed graph over customers: each order points from its customer to another."""
+    orders = read_table(spark, sf_dir, "orders")
+    return orders.select(F.col("o_custkey").alias("src"), ((F.col("o_custkey") * 7 + F.col("o_orderkey") % 11) % 100_003).alias("dst"))

@@ -18,6 +18,7 @@ from pricelattice.plans import build, seeds, views
 from pricelattice.plans.marts import FACT_NAME
 from pricelattice.plans.staging import STAGES
 from pricelattice.session import scratch_path, tune
+from pricelattice.sources.silver import write_silver
 
 
 @dataclass
@@ -34,6 +35,13 @@ class Lake:
         standin.silver_panel(self.spark, self.sf_dir).write.partitionBy("report_type").parquet(path)
         return path
 
+    @cached_property
+    def silver_folders(self) -> str:
+        """The same rows in the publisher's folder layout."""
+        path = scratch_path(self.spark, "silver-folders")
+        write_silver(self.panel, path)
+        return path
+
     @property
     def panel(self) -> DataFrame:
         return self.spark.read.parquet(self.silver_path)
