@@ -10,7 +10,7 @@ from pricelattice import vocabulary as V
 
 def collapse_whitespace(c: Column) -> Column:
     """Every run of white space (line breaks and NBSP too) becomes one blank; ends trimmed."""
-    return F.trim(F.regexp_replace(c, V.WHITESPACE + "+", " "))
+    return F.trim(F.regexp_replace(c, V.WHITESPACE_RUN, " "))
 
 
 def clean_text(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelattice import vocabulary as V
@@ -13,8 +13,21 @@ from pricelattice import vocabulary as V
 ERROR, WARN = "error", "warn"
 
 
+def _is_null(column: str) -> Column:
+    return F.col(column).isNull()
+
+
+def _is_unaccepted(column: str, accepted: list[str]) -> Column:
+    return ~F.col(column).isin(accepted)
+
+
+def _is_implausible() -> Column:
+    zero_total = (F.col("valor") == 0) & F.col("medida").isin(V.TOTAL_MEASURES)
+    return (F.col("valor") < 0) | zero_total
+
+
 def null_values(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
+    return df.where(_is_null(column))
 
 
 def repeated_values(df: DataFrame, column: str) -> DataFrame:
@@ -25,13 +38,12 @@ def repeated_values(df: DataFrame, column: str) -> DataFrame:
 
 def unaccepted_values(df: DataFrame, column: str, accepted: list[str]) -> DataFrame:
     """Rows with a value outside the list; null passes."""
-    return df.where(~F.col(column).isin(accepted))
+    return df.where(_is_unaccepted(column, accepted))
 
 
 def implausible_values(long_fact: DataFrame) -> DataFrame:
     """Negative values, and totals that are zero."""
-    zero_total = (F.col("valor") == 0) & F.col("medida").isin(V.TOTAL_MEASURES)
-    return long_fact.where((F.col("valor") < 0) | zero_total)
+    return long_fact.where(_is_implausible())
 
 
 def coverage_gaps(coverage: DataFrame) -> DataFrame:
@@ -44,9 +56,13 @@ def suspicious_changes(evolution: DataFrame, limit: float = 0.3) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
+    """A rule of one table: rows for which ``broken`` holds, or any row of ``offending``."""
+
     name: str
     severity: str
-    offending: DataFrame
+    table: str
+    broken: Column | None = None
+    offending: DataFrame | None = None
 
 
 def standard_checks(tables: dict[str, DataFrame]) -> list[Check]:
@@ -64,46 +80,57 @@ def standard_checks(tables: dict[str, DataFrame]) -> list[Check]:
     }
     layouts = [V.LAYOUT_OLD, V.LAYOUT_NEW]
     accepted = {
-        ("dim_insumo", "tipo"): V.REPORT_TYPES,
-        ("stg_mao_de_obra", "schema_version"): layouts,
-        ("fato_custo_mao_de_obra", "schema_version"): layouts,
+        "dim_insumo": ("tipo", V.REPORT_TYPES),
+        "stg_mao_de_obra": ("schema_version", layouts),
+        "fato_custo_mao_de_obra": ("schema_version", layouts),
     }
     checks = []
     for table, df in tables.items():
-        for column in ([keys[table]] if table in keys else []) + required.get(table, []):
-            checks.append(Check(f"not_null_{table}_{column}", ERROR, null_values(df, column)))
-        if table in keys:
-            checks.append(Check(f"unique_{table}_{keys[table]}", ERROR, repeated_values(df, keys[table])))
-        for (name, column), values in accepted.items():
-            if name == table:
-                checks.append(Check(f"accepted_values_{table}_{column}", ERROR, unaccepted_values(df, column, values)))
-    if "fato_medicao" in tables:
-        checks.append(Check("valor_positivo", ERROR, implausible_values(tables["fato_medicao"])))
-    if "vw_cobertura" in tables:
-        checks.append(Check("warn_cobertura_com_lacunas", WARN, coverage_gaps(tables["vw_cobertura"])))
-    if "vw_evolucao_preco" in tables:
-        checks.append(Check("warn_variacao_percentual_suspeita", WARN, suspicious_changes(tables["vw_evolucao_preco"])))
+        key = keys.get(table)
+        for column in ([key] if key else []) + required.get(table, []):
+            checks.append(Check(f"not_null_{table}_{column}", ERROR, table, broken=_is_null(column)))
+        if key:
+            checks.append(Check(f"unique_{table}_{key}", ERROR, table, offending=repeated_values(df, key)))
+        if table in accepted:
+            column, values = accepted[table]
+            checks.append(Check(f"accepted_values_{table}_{column}", ERROR, table, broken=_is_unaccepted(column, values)))
+        if table == "fato_medicao":
+            checks.append(Check("valor_positivo", ERROR, table, broken=_is_implausible()))
+        if table == "vw_cobertura":
+            checks.append(Check("warn_cobertura_com_lacunas", WARN, table, offending=coverage_gaps(df)))
+        if table == "vw_evolucao_preco":
+            checks.append(Check("warn_variacao_percentual_suspeita", WARN, table, offending=suspicious_changes(df)))
     return checks
 
 
-def report(checks: list[Check]) -> DataFrame:
-    """One row per check: name, severity, number of offending rows."""
-    counts = [
+def report(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """One row per check: name, severity, number of offending rows.
+
+    All row rules of a table are counted in one scan of it.
+    """
+    parts = [
         c.offending.agg(F.count(F.lit(1)).alias("violations")).select(
             F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "violations"
         )
-        for c in checks
+        for c in checks if c.offending is not None
     ]
-    return reduce(DataFrame.unionByName, counts)
+    for table, df in tables.items():
+        rules = [c for c in checks if c.table == table and c.broken is not None]
+        if rules:
+            counts = df.agg(*[F.count_if(c.broken).alias(c.name) for c in rules])
+            severity = F.coalesce(*[F.when(F.col("check_name") == c.name, c.severity) for c in rules])
+            long = counts.unpivot([], [c.name for c in rules], "check_name", "violations")
+            parts.append(long.select("check_name", severity.alias("severity"), "violations"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 class QualityError(Exception):
     """A check of error severity found offending rows."""
 
 
-def require(checks: list[Check]) -> list[tuple[str, int]]:
+def require(tables: dict[str, DataFrame]) -> list[tuple[str, int]]:
     """Run all checks; raise on errors, return the warnings with their counts."""
-    found = [r for r in report(checks).where("violations > 0").collect()]  # one row per check
+    found = [r for r in report(tables, standard_checks(tables)).where("violations > 0").collect()]  # one row per check
     errors = [f"{r.check_name}: {r.violations}" for r in found if r.severity == ERROR]
     if errors:
         raise QualityError("; ".join(errors))

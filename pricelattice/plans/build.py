@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pricelattice import vocabulary as V
 from pricelattice.plans import marts
 from pricelattice.plans.staging import STAGES
-from pricelattice.plans.views import all_views
+from pricelattice.plans.views import view
 
 VIEW_NAMES = [
     "vw_preco_atual", "vw_evolucao_preco", "vw_comparacao_regime", "vw_comparacao_uf", "vw_indice_reajuste",
@@ -22,26 +22,26 @@ MART_NAMES = [
 BUCKET_KEYS = ["insumo_id", "state_slug", "medida"]
 
 
-def define_marts(
-    silver: dict[str, DataFrame], states: DataFrame, months: DataFrame,
+def define_mart(
+    name: str, staged: dict[str, DataFrame], states: DataFrame, months: DataFrame,
     targets: dict[str, DataFrame] | None = None,
-) -> dict[str, DataFrame]:
-    """The seven marts as unevaluated DataFrames.
+) -> DataFrame:
+    """One of the seven marts, unevaluated.
 
     ``targets`` (report type -> existing wide fact) switches the wide facts to the
     incremental form, which holds only the rows of changed partitions.
     """
-    staged = {t: STAGES[t](df) for t, df in silver.items()}
-    facts = {
-        t: marts.build_fact(t, df, months, None if targets is None else targets.get(t)) for t, df in staged.items()
-    }
-    return {
-        "dim_uf": marts.state_dimension(states),
-        "dim_data_referencia": marts.period_dimension(staged, months),
-        "dim_insumo": marts.item_dimension(staged),
-        **{marts.FACT_NAME[t]: df for t, df in facts.items()},
-        "fato_medicao": marts.build_long_fact(facts),
+    def fact(tipo: str) -> DataFrame:
+        return marts.build_fact(tipo, staged[tipo], months, (targets or {}).get(tipo))
+
+    builders = {
+        "dim_uf": lambda: marts.state_dimension(states),
+        "dim_data_referencia": lambda: marts.period_dimension(staged, months),
+        "dim_insumo": lambda: marts.item_dimension(staged),
+        **{marts.FACT_NAME[t]: lambda t=t: fact(t) for t in V.REPORT_TYPES},
+        "fato_medicao": lambda: marts.build_long_fact({t: fact(t) for t in V.REPORT_TYPES}),
     }
+    return builders[name]()
 
 
 def export_table(df: DataFrame, path: str) -> DataFrame:
@@ -76,9 +76,10 @@ def build_gold(
     silver: dict[str, DataFrame], states: DataFrame, months: DataFrame, root: str, table_prefix: str
 ) -> dict[str, DataFrame]:
     """Write all marts under ``root``; the long fact is built from the written facts."""
-    defined = define_marts(silver, states, months)
+    staged = {t: STAGES[t](df) for t, df in silver.items()}
     written = {
-        name: export_table(df, f"{root}/{name}") for name, df in defined.items() if name != "fato_medicao"
+        name: export_table(define_mart(name, staged, states, months), f"{root}/{name}")
+        for name in MART_NAMES if name != "fato_medicao"
     }
     facts = {t: written[marts.FACT_NAME[t]] for t in V.REPORT_TYPES}
     written["fato_medicao"] = export_bucketed(
@@ -97,7 +98,8 @@ def register_catalog(spark: SparkSession, root: str, names: list[str] | None = N
 
 def export_gold(marts_by_name: dict[str, DataFrame], root: str) -> None:
     """Write all sixteen relations, views included, as a serving catalog."""
-    for name, df in {**marts_by_name, **all_views(marts_by_name)}.items():
+    tables = {**marts_by_name, **{name: view(name, marts_by_name) for name in VIEW_NAMES}}
+    for name, df in tables.items():
         if name == "vw_evolucao_preco":
             export_clustered(df, f"{root}/{name}", ["tipo", "medida", "state_slug"], ["period_start", "codigo"])
         else:

@@ -17,7 +17,7 @@ from pricelattice import vocabulary as V
 from pricelattice.functions.numeric import relative_change
 from pricelattice.operators.median import exact_median
 from pricelattice.operators.ranking import top_per_group
-from pricelattice.plans.marts import SERIES_KEYS, series_window
+from pricelattice.plans.marts import FACT_NAME, SERIES_KEYS, series_window
 from pricelattice.session import broadcast_if_small
 
 
@@ -212,23 +212,25 @@ def coverage(periods: DataFrame, states: DataFrame) -> DataFrame:
     ).orderBy("tipo", "state_slug")
 
 
-def all_views(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The nine views by name, from the seven mart tables by name."""
-    items, states, long_fact = marts["dim_insumo"], marts["dim_uf"], marts["fato_medicao"]
-    facts = {
-        V.MATERIAL: marts["fato_preco_material"],
-        V.EQUIPMENT: marts["fato_custo_equipamento"],
-        V.LABOUR: marts["fato_custo_mao_de_obra"],
-    }
-    evolution = price_evolution(long_fact, items, states)
-    return {
-        "vw_preco_atual": latest_price(long_fact, items, states),
+def view(name: str, marts: dict[str, DataFrame]) -> DataFrame:
+    """One of the nine views by name, from the mart tables by name."""
+    items, states = marts["dim_insumo"], marts["dim_uf"]
+
+    def evolution() -> DataFrame:
+        return price_evolution(marts["fato_medicao"], items, states)
+
+    def facts() -> dict[str, DataFrame]:
+        return {t: marts[n] for t, n in FACT_NAME.items()}
+
+    builders = {
+        "vw_preco_atual": lambda: latest_price(marts["fato_medicao"], items, states),
         "vw_evolucao_preco": evolution,
-        "vw_comparacao_regime": regime_comparison(long_fact, items, states),
-        "vw_comparacao_uf": state_comparison(long_fact, items, states),
-        "vw_indice_reajuste": readjustment_index(long_fact, items),
-        "vw_maiores_variacoes": biggest_changes(evolution),
-        "vw_breakdown_equipamento": equipment_breakdown(facts[V.EQUIPMENT], items, states),
-        "vw_breakdown_mao_de_obra": labour_breakdown(facts[V.LABOUR], items, states),
-        "vw_cobertura": coverage(published_periods(facts), states),
+        "vw_comparacao_regime": lambda: regime_comparison(marts["fato_medicao"], items, states),
+        "vw_comparacao_uf": lambda: state_comparison(marts["fato_medicao"], items, states),
+        "vw_indice_reajuste": lambda: readjustment_index(marts["fato_medicao"], items),
+        "vw_maiores_variacoes": lambda: biggest_changes(evolution()),
+        "vw_breakdown_equipamento": lambda: equipment_breakdown(marts[FACT_NAME[V.EQUIPMENT]], items, states),
+        "vw_breakdown_mao_de_obra": lambda: labour_breakdown(marts[FACT_NAME[V.LABOUR]], items, states),
+        "vw_cobertura": lambda: coverage(published_periods(facts()), states),
     }
+    return builders[name]()

@@ -38,21 +38,35 @@ def matching_layout(report_type: Column, cells: Column) -> Column:
     ])
 
 
-def find_headers(rows: DataFrame) -> DataFrame:
-    """First header row of each file and the layout it shows."""
+def _header_position() -> Column:
+    """Row number and layout of a header row as one long; null for other rows."""
+    openings = sorted({header[0] for layouts in V.SHEET_LAYOUTS.values() for header, _ in layouts})
+    # one cell tells most rows from headers, so the others are not normalised
+    may_be = collapse_whitespace(F.get("cells", F.lit(0))).isin(openings)
     layout = matching_layout(F.col("report_type"), normalized_cells(F.col("cells")))
-    found = rows.select("file", (F.col("row_idx") * _LAYOUTS_PER_TYPE + layout).cast("long").alias("_at"))
-    first = found.where(F.col("_at").isNotNull()).groupBy("file").agg(F.min("_at").alias("_at"))
+    return F.when(may_be, F.col("row_idx") * _LAYOUTS_PER_TYPE + layout).cast("long")
+
+
+def file_headers(rows: DataFrame) -> DataFrame:
+    """Every file with the position and layout of its first header row, null if there is none."""
+    first = rows.select("file", "report_type", _header_position().alias("_at")).groupBy("file", "report_type").agg(
+        F.min("_at").alias("_at")
+    )
     return first.select(
-        "file",
+        "file", "report_type",
         F.floor(F.col("_at") / _LAYOUTS_PER_TYPE).alias("header_idx"),
         (F.col("_at") % _LAYOUTS_PER_TYPE).cast("int").alias("layout"),
     )
 
 
+def find_headers(rows: DataFrame) -> DataFrame:
+    """First header row of each file that has one, and the layout it shows."""
+    return file_headers(rows).where(F.col("header_idx").isNotNull()).drop("report_type")
+
+
 def unknown_layouts(rows: DataFrame) -> DataFrame:
     """Files in which no known header was found."""
-    return rows.select("file", "report_type").distinct().join(find_headers(rows), "file", "left_anti")
+    return file_headers(rows).where(F.col("header_idx").isNull()).select("file", "report_type")
 
 
 def data_rows(rows: DataFrame) -> DataFrame:
@@ -82,27 +96,24 @@ def _has_column(tipo: str, column: str) -> Column:
     return F.col("layout").isin(numbers)
 
 
+def _bad_row(tipo: str) -> Column:
+    numbers = [c for c in _columns(tipo) if c not in V.TEXT_COLUMNS]
+    return reduce(Column.__or__, [is_bad_number(_cell(tipo, c)) for c in numbers])
+
+
 def typed_rows(data: DataFrame, tipo: str) -> DataFrame:
     """Data rows of one type with cleaned columns; ``bad`` marks rows with a cell that is no number."""
-    columns = _columns(tipo)
-    numbers = [c for c in columns if c not in V.TEXT_COLUMNS]
     return data.where(F.col("report_type") == tipo).select(
         "file", "row_idx", "layout",
         *[
             F.when(_has_column(tipo, c), clean_text(_cell(tipo, c))).alias(c) if c in V.TEXT_COLUMNS
             else clean_number(_cell(tipo, c)).alias(c)
-            for c in columns
+            for c in _columns(tipo)
         ],
-        reduce(Column.__or__, [is_bad_number(_cell(tipo, c)) for c in numbers]).alias("bad"),
+        _bad_row(tipo).alias("bad"),
     )
 
 
-def bad_files(data: DataFrame) -> DataFrame:
-    """Files with at least one cell that is no number."""
-    marked = [typed_rows(data, t).where("bad").select("file") for t in V.SHEET_LAYOUTS]
-    return reduce(DataFrame.unionByName, marked).distinct()
-
-
 def parse_sheets(rows: DataFrame, tipo: str) -> DataFrame:
     """Clean rows of one type; one bad cell rejects its whole file."""
     typed = typed_rows(data_rows(rows.where(F.col("report_type") == tipo)), tipo)
@@ -122,15 +133,12 @@ def attach_file_metadata(parsed: DataFrame, files: DataFrame, parsed_at: Column)
 
 def file_outcomes(rows: DataFrame) -> DataFrame:
     """Per file: parsed with its row count, or failed with the reason."""
-    data = data_rows(rows)
-    checked = reduce(
-        DataFrame.unionByName, [typed_rows(data, t).select("file", "bad") for t in V.SHEET_LAYOUTS]
-    ).groupBy("file").agg(F.count(F.lit(1)).alias("_rows"), F.bool_or("bad").alias("_bad"))
-    files = rows.select("file", "report_type").distinct().join(
-        find_headers(rows).select("file", F.lit(True).alias("_header")), "file", "left"
-    ).join(checked, "file", "left")
-    error = F.when(F.col("_header").isNull(), "no known header").when(F.col("_bad"), "cell is not a number")
-    return files.select(
+    bad = F.coalesce(*[F.when(F.col("report_type") == t, _bad_row(t)) for t in V.SHEET_LAYOUTS])
+    checked = data_rows(rows).select("file", bad.alias("_bad")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("_rows"), F.bool_or("_bad").alias("_bad")
+    )
+    error = F.when(F.col("header_idx").isNull(), "no known header").when(F.col("_bad"), "cell is not a number")
+    return file_headers(rows).join(checked, "file", "left").select(
         "file", "report_type",
         F.when(error.isNull(), F.coalesce("_rows", F.lit(0))).cast("long").alias("row_count"),
         F.when(error.isNull(), "parsed").otherwise("failed").alias("status"),

@@ -159,7 +159,7 @@ def sheet_rows(panel: DataFrame) -> DataFrame:
     pad = F.array(F.lit(None).cast("string"), F.lit(None).cast("string"))
 
     def number(column: str) -> Column:
-        return F.coalesce(F.col(column).cast("decimal(18,2)").cast("string"), F.lit(" - "))
+        return F.coalesce(F.col(column).cast("decimal(18,4)").cast("string"), F.lit(" - "))
 
     first = {V.MATERIAL: "preco_unitario", V.EQUIPMENT: "valor_aquisicao", V.LABOUR: "custo"}
 

@@ -58,14 +58,14 @@ def _(k: Lake) -> DataFrame:
 
 @query("gold_export_roundtrip")
 def _(k: Lake) -> DataFrame:
-    return build.export_table(k.views["vw_comparacao_uf"], scratch_path(k.spark, "export"))
+    return build.export_table(k.view("vw_comparacao_uf"), scratch_path(k.spark, "export"))
 
 
 @query("gold_export_clustered")
 def _(k: Lake) -> DataFrame:
     path = scratch_path(k.spark, "clustered")
     cluster, order = ["tipo", "medida", "state_slug"], ["period_start", "codigo"]
-    table = build.export_clustered(k.views["vw_evolucao_preco"], path, cluster, order)
+    table = build.export_clustered(k.view("vw_evolucao_preco"), path, cluster, order)
     return table.where("tipo = 'equipamentos' and medida = 'custo_produtivo'")
 
 
@@ -242,7 +242,7 @@ query("failed_files")(lambda k: _first_parses(k).where("status = 'failed'").sele
 
 
 def _sheets(k: Lake) -> DataFrame:
-    return standin.sheet_rows(k.panel)
+    return k.sheets
 
 
 @query("sheet_header_norm")

@@ -11,23 +11,32 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricelattice import standin
 from pricelattice import vocabulary as V
 from pricelattice.plans import build, seeds, views
-from pricelattice.plans.marts import FACT_NAME
+from pricelattice.plans.marts import FACT_NAME, build_fact
 from pricelattice.plans.staging import STAGES
 from pricelattice.session import scratch_path, tune
 from pricelattice.sources.silver import write_silver
 
+CUTOFF = "2000-01-01 00:00:00"  # parse time that separates the two builds of the incremental queries
+
 
 @dataclass
 class Lake:
     spark: SparkSession
     sf_dir: str
 
+    @cached_property
+    def _tables(self) -> dict[str, DataFrame]:
+        return {}
+
     def table(self, name: str) -> DataFrame:
-        return standin.read_table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = standin.read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     @cached_property
     def silver_path(self) -> str:
@@ -42,28 +51,35 @@ class Lake:
         write_silver(self.panel, path)
         return path
 
-    @property
+    @cached_property
     def panel(self) -> DataFrame:
         return self.spark.read.parquet(self.silver_path)
 
+    @cached_property
+    def sheets(self) -> DataFrame:
+        """The raw layer: sheet rows as delivered."""
+        path = scratch_path(self.spark, "sheets")
+        standin.sheet_rows(self.panel).write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @property
     def silver(self) -> dict[str, DataFrame]:
         return standin.silver_by_type(self.panel)
 
-    @property
+    @cached_property
     def staged(self) -> dict[str, DataFrame]:
         return {t: STAGES[t](df) for t, df in self.silver.items()}
 
-    @property
+    @cached_property
     def states(self) -> DataFrame:
         return standin.state_table(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def months(self) -> DataFrame:
         return seeds.months(self.spark)
 
-    def define_marts(self, targets: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-        return build.define_marts(self.silver, self.states, self.months, targets)
+    def define_mart(self, name: str) -> DataFrame:
+        return build.define_mart(name, self.staged, self.states, self.months)
 
     @cached_property
     def gold(self) -> dict[str, DataFrame]:
@@ -73,11 +89,17 @@ class Lake:
 
     @property
     def facts(self) -> dict[str, DataFrame]:
-        return {t: self.gold[FACT_NAME[t]] for t in V.REPORT_TYPES}
+        return {t: self.gold[n] for t, n in FACT_NAME.items()}
 
-    @property
-    def views(self) -> dict[str, DataFrame]:
-        return views.all_views(self.gold)
+    def view(self, name: str) -> DataFrame:
+        return views.view(name, self.gold)
+
+    @cached_property
+    def old_fact(self) -> DataFrame:
+        """The equipment fact as an earlier build left it, for the incremental queries."""
+        before = self.staged[V.EQUIPMENT].where(F.col("parsed_at") <= F.lit(CUTOFF).cast("timestamp_ntz"))
+        fact = build_fact(V.EQUIPMENT, before, self.months)
+        return build.export_table(fact, scratch_path(self.spark, "old-fact"))
 
 
 _LAKES: dict[tuple[str, str], Lake] = {}

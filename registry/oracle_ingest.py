@@ -165,7 +165,7 @@ def _list(values: list[str]) -> str:
 
 
 def _number(column: str, broken: bool = False) -> str:
-    text = f"coalesce({column}::DECIMAL(18,2)::VARCHAR, ' - ')"
+    text = f"coalesce({column}::DECIMAL(18,4)::VARCHAR, ' - ')"
     return f"if(broken, 'n/d', {text})" if broken else text
 
 
@@ -212,17 +212,17 @@ SELECT file, row_idx, TRY_CAST(fourth AS DOUBLE) AS value,
 cte("h_bad", "SELECT DISTINCT blob_name AS file FROM h_rows WHERE broken")
 oracle("reject_bad_files", """
 SELECT blob_name AS file, item * 4 + 10 AS row_idx, lower(codigo) AS codigo, descricao, coalesce(unidade, '') AS unidade,
-       CASE WHEN year < '2000' THEN salario::DECIMAL(18,2)::DOUBLE END AS salario,
-       encargos_totais::DECIMAL(18,2)::DOUBLE AS encargos_totais, custo::DECIMAL(18,2)::DOUBLE AS custo,
-       periculosidade_insalubridade::DECIMAL(18,2)::DOUBLE AS periculosidade_insalubridade
+       CASE WHEN year < '2000' THEN salario::DECIMAL(18,4)::DOUBLE END AS salario,
+       encargos_totais::DECIMAL(18,4)::DOUBLE AS encargos_totais, custo::DECIMAL(18,4)::DOUBLE AS custo,
+       periculosidade_insalubridade::DECIMAL(18,4)::DOUBLE AS periculosidade_insalubridade
 FROM h_rows WHERE report_type = 'mao_de_obra' AND NOT (state_slug = 'nation_20' AND year = '1996')
   AND blob_name NOT IN (SELECT file FROM h_bad)""")
 oracle("silver_from_sheets", """
-SELECT lower(codigo) AS codigo, descricao, valor_aquisicao::DECIMAL(18,2)::DOUBLE AS valor_aquisicao,
-       depreciacao::DECIMAL(18,2)::DOUBLE AS depreciacao, oportunidade_capital::DECIMAL(18,2)::DOUBLE AS oportunidade_capital,
-       seguros_impostos::DECIMAL(18,2)::DOUBLE AS seguros_impostos, manutencao::DECIMAL(18,2)::DOUBLE AS manutencao,
-       operacao::DECIMAL(18,2)::DOUBLE AS operacao, mao_de_obra_operacao::DECIMAL(18,2)::DOUBLE AS mao_de_obra_operacao,
-       custo_produtivo::DECIMAL(18,2)::DOUBLE AS custo_produtivo, custo_improdutivo::DECIMAL(18,2)::DOUBLE AS custo_improdutivo,
+SELECT lower(codigo) AS codigo, descricao, valor_aquisicao::DECIMAL(18,4)::DOUBLE AS valor_aquisicao,
+       depreciacao::DECIMAL(18,4)::DOUBLE AS depreciacao, oportunidade_capital::DECIMAL(18,4)::DOUBLE AS oportunidade_capital,
+       seguros_impostos::DECIMAL(18,4)::DOUBLE AS seguros_impostos, manutencao::DECIMAL(18,4)::DOUBLE AS manutencao,
+       operacao::DECIMAL(18,4)::DOUBLE AS operacao, mao_de_obra_operacao::DECIMAL(18,4)::DOUBLE AS mao_de_obra_operacao,
+       custo_produtivo::DECIMAL(18,4)::DOUBLE AS custo_produtivo, custo_improdutivo::DECIMAL(18,4)::DOUBLE AS custo_improdutivo,
        blob_name, region, state_slug, year, month, archive_stem, report_type, desonerado, revisado,
        '2002-01-01 00:00:00' AS parsed_at
 FROM h_rows WHERE report_type = 'equipamentos' AND NOT (state_slug = 'nation_20' AND year = '1996')

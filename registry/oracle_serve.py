@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from registry.oracle import EQU, MAT, LAB, cte, oracle
-from registry.serve import CUTOFF, EQUIPMENT, LABOUR, MATERIAL, STATE_NAME, STATE_NAMES, STATE_SLUG
+from registry.lake import CUTOFF
+from registry.serve import EQUIPMENT, LABOUR, MATERIAL, STATE_NAME, STATE_NAMES, STATE_SLUG
 
 _MEASURE = {
     "preco_unitario": "Preço Unitário", "custo_produtivo": "Custo Produtivo", "custo_improdutivo": "Custo Improdutivo",

@@ -33,13 +33,13 @@ for _name in [
     "dim_uf", "dim_data_referencia", "dim_insumo", "fato_preco_material", "fato_custo_equipamento",
     "fato_custo_mao_de_obra", "fato_medicao",
 ]:
-    query(_name)(lambda k, name=_name: k.define_marts()[name])
+    query(_name)(lambda k, name=_name: k.define_mart(name))
 
 for _name in [
     "vw_preco_atual", "vw_evolucao_preco", "vw_comparacao_regime", "vw_comparacao_uf", "vw_indice_reajuste",
     "vw_maiores_variacoes", "vw_breakdown_equipamento", "vw_breakdown_mao_de_obra", "vw_cobertura",
 ]:
-    query(_name)(lambda k, name=_name: k.views[name])
+    query(_name)(lambda k, name=_name: k.view(name))
 
 query("serie_base")(lambda k: views.series_base(k.gold["fato_medicao"]))
 query("cobertura_esperada")(lambda k: views.expected_periods(views.published_periods(k.facts), k.gold["dim_uf"]))

@@ -11,14 +11,13 @@ from pricelattice.functions.numeric import relative_change
 from pricelattice.operators import keyed, quality, revision
 from pricelattice.plans import marts, serving, views
 from pricelattice.session import scratch_path
-from registry.lake import Lake
+from registry.lake import CUTOFF, Lake
 from registry.queries import query
 
 # parameters of the serving queries; present at every scale of the test tables
 MATERIAL, EQUIPMENT, LABOUR = "c3", "c4", "c5"
 STATE_NAME, STATE_SLUG = "Nation 20", "nation_20"
 STATE_NAMES = ["Nation 3", "Nation 15", "Nation 20"]
-CUTOFF = "2000-01-01 00:00:00"
 
 # ---- operators the marts are made of ------------------------------------------------------
 
@@ -66,19 +65,13 @@ def _(k: Lake) -> DataFrame:
 # ---- incremental refresh ----------------------------------------------------------------------
 
 
-def _old(k: Lake, tipo: str = V.EQUIPMENT) -> DataFrame:
-    """The fact as a build before the cut-off would have left it."""
-    before = k.staged[tipo].where(F.col("parsed_at") <= F.lit(CUTOFF).cast("timestamp_ntz"))
-    return marts.build_fact(tipo, before, k.months)
-
-
-def _batch(k: Lake, tipo: str = V.EQUIPMENT) -> DataFrame:
-    return marts.build_fact(tipo, k.staged[tipo], k.months, target=_old(k, tipo))
+def _batch(k: Lake) -> DataFrame:
+    return marts.build_fact(V.EQUIPMENT, k.staged[V.EQUIPMENT], k.months, target=k.old_fact)
 
 
 _FACT = ["custo_equipamento_id", "period_start", "custo_produtivo", "revisado", "parsed_at"]
 
-query("high_water_mark")(lambda k: revision.high_water_mark(_old(k)))
+query("high_water_mark")(lambda k: revision.high_water_mark(k.old_fact))
 
 
 @query("changed_partitions")
@@ -88,7 +81,7 @@ def _(k: Lake) -> DataFrame:
 
 
 query("incremental_batch")(lambda k: _batch(k).select(_FACT))
-query("delete_insert")(lambda k: keyed.replace_by_key(_old(k), _batch(k), "custo_equipamento_id").select(_FACT))
+query("delete_insert")(lambda k: keyed.replace_by_key(k.old_fact, _batch(k), "custo_equipamento_id").select(_FACT))
 
 
 @query("partition_overwrite")
@@ -96,7 +89,7 @@ def _(k: Lake) -> DataFrame:
     """Old fact on disk, then the batch's partitions written over it."""
     keys = ["state_slug", "period_start", "desonerado"]
     path = scratch_path(k.spark, "fact")
-    keyed.overwrite_partitions(_old(k).select(*_FACT, "state_slug", "desonerado"), path, keys)
+    keyed.overwrite_partitions(k.old_fact.select(*_FACT, "state_slug", "desonerado"), path, keys)
     keyed.overwrite_partitions(_batch(k).select(*_FACT, "state_slug", "desonerado"), path, keys)
     return k.spark.read.parquet(path).select(_FACT)
 
@@ -111,51 +104,51 @@ query("check_accepted_values")(
 query("check_valor_positivo")(lambda k: quality.implausible_values(
     k.gold["fato_medicao"].withColumn("valor", F.when(F.col("valor") < 5000, F.lit(0.0)).otherwise(F.col("valor")))
 ).select("medicao_id", "medida", "valor"))
-query("warn_cobertura")(lambda k: quality.coverage_gaps(k.views["vw_cobertura"]))
-query("warn_variacao")(lambda k: quality.suspicious_changes(k.views["vw_evolucao_preco"]))
+query("warn_cobertura")(lambda k: quality.coverage_gaps(k.view("vw_cobertura")))
+query("warn_variacao")(lambda k: quality.suspicious_changes(k.view("vw_evolucao_preco")))
 
 
 @query("quality_report")
 def _(k: Lake) -> DataFrame:
     staged = {"stg_materiais": V.MATERIAL, "stg_equipamentos": V.EQUIPMENT, "stg_mao_de_obra": V.LABOUR}
     tables = {name: k.staged[t] for name, t in staged.items()}
-    wanted = ["vw_cobertura", "vw_evolucao_preco"]
-    return quality.report(quality.standard_checks({**tables, **k.gold, **{n: k.views[n] for n in wanted}}))
+    tables |= {**k.gold, **{n: k.view(n) for n in ["vw_cobertura", "vw_evolucao_preco"]}}
+    return quality.report(tables, quality.standard_checks(tables))
 
 
 # ---- serving --------------------------------------------------------------------------------------------
 
-query("serve_preco_atual")(lambda k: serving.current_prices(k.views["vw_preco_atual"], V.EQUIPMENT, state_name=STATE_NAME, desonerado=False))
-query("serve_evolucao_uf")(lambda k: serving.series_in_state(k.views["vw_evolucao_preco"], k.gold["dim_insumo"], V.LABOUR, STATE_NAME, LABOUR))
-query("serve_evolucao_media")(lambda k: serving.series_over_states(k.views["vw_evolucao_preco"], k.gold["dim_insumo"], V.EQUIPMENT, EQUIPMENT))
-query("serve_kpis")(lambda k: serving.item_indicators(k.views["vw_preco_atual"], k.views["vw_evolucao_preco"], V.EQUIPMENT, EQUIPMENT, STATE_NAME))
-query("serve_preco_por_estado")(lambda k: serving.price_by_state(k.views["vw_preco_atual"], V.EQUIPMENT, EQUIPMENT))
-query("serve_regime")(lambda k: serving.regime_rows(k.views["vw_comparacao_regime"], V.EQUIPMENT, EQUIPMENT, STATE_NAMES))
-query("serve_regime_media")(lambda k: serving.regime_means(k.views["vw_comparacao_regime"], V.EQUIPMENT, EQUIPMENT))
-query("serve_regime_tabela")(lambda k: serving.regime_table(k.views["vw_comparacao_regime"], V.EQUIPMENT, EQUIPMENT))
-query("serve_comparacao_uf")(lambda k: serving.item_across_states(k.views["vw_comparacao_uf"], EQUIPMENT, "custo_produtivo"))
-query("serve_indice")(lambda k: serving.index_series(k.views["vw_indice_reajuste"], k.gold["dim_uf"], V.EQUIPMENT, STATE_NAMES))
-query("serve_top20_regional")(lambda k: serving.top_movers(k.views["vw_evolucao_preco"], k.gold["dim_uf"], V.EQUIPMENT, region="africa", desonerado=False))
+query("serve_preco_atual")(lambda k: serving.current_prices(k.view("vw_preco_atual"), V.EQUIPMENT, state_name=STATE_NAME, desonerado=False))
+query("serve_evolucao_uf")(lambda k: serving.series_in_state(k.view("vw_evolucao_preco"), k.gold["dim_insumo"], V.LABOUR, STATE_NAME, LABOUR))
+query("serve_evolucao_media")(lambda k: serving.series_over_states(k.view("vw_evolucao_preco"), k.gold["dim_insumo"], V.EQUIPMENT, EQUIPMENT))
+query("serve_kpis")(lambda k: serving.item_indicators(k.view("vw_preco_atual"), k.view("vw_evolucao_preco"), V.EQUIPMENT, EQUIPMENT, STATE_NAME))
+query("serve_preco_por_estado")(lambda k: serving.price_by_state(k.view("vw_preco_atual"), V.EQUIPMENT, EQUIPMENT))
+query("serve_regime")(lambda k: serving.regime_rows(k.view("vw_comparacao_regime"), V.EQUIPMENT, EQUIPMENT, STATE_NAMES))
+query("serve_regime_media")(lambda k: serving.regime_means(k.view("vw_comparacao_regime"), V.EQUIPMENT, EQUIPMENT))
+query("serve_regime_tabela")(lambda k: serving.regime_table(k.view("vw_comparacao_regime"), V.EQUIPMENT, EQUIPMENT))
+query("serve_comparacao_uf")(lambda k: serving.item_across_states(k.view("vw_comparacao_uf"), EQUIPMENT, "custo_produtivo"))
+query("serve_indice")(lambda k: serving.index_series(k.view("vw_indice_reajuste"), k.gold["dim_uf"], V.EQUIPMENT, STATE_NAMES))
+query("serve_top20_regional")(lambda k: serving.top_movers(k.view("vw_evolucao_preco"), k.gold["dim_uf"], V.EQUIPMENT, region="africa", desonerado=False))
 query("serve_top20_tabela")(lambda k: serving.movers_table(
-    serving.top_movers(k.views["vw_evolucao_preco"], k.gold["dim_uf"], V.MATERIAL)
+    serving.top_movers(k.view("vw_evolucao_preco"), k.gold["dim_uf"], V.MATERIAL)
 ))
-query("serve_detalhe_equip")(lambda k: serving.equipment_components(k.views["vw_breakdown_equipamento"], EQUIPMENT, STATE_SLUG))
-query("serve_detalhe_equip_tabela")(lambda k: serving.equipment_table(k.views["vw_breakdown_equipamento"], EQUIPMENT, STATE_SLUG))
-query("serve_detalhe_mao")(lambda k: serving.labour_components(k.views["vw_breakdown_mao_de_obra"], LABOUR, STATE_SLUG))
-query("serve_detalhe_mao_tabela")(lambda k: serving.labour_table(k.views["vw_breakdown_mao_de_obra"], LABOUR, STATE_SLUG))
-query("serve_cobertura")(lambda k: serving.coverage_table(k.views["vw_cobertura"]))
-query("serve_cobertura_resumo")(lambda k: serving.coverage_summary(k.views["vw_cobertura"]))
+query("serve_detalhe_equip")(lambda k: serving.equipment_components(k.view("vw_breakdown_equipamento"), EQUIPMENT, STATE_SLUG))
+query("serve_detalhe_equip_tabela")(lambda k: serving.equipment_table(k.view("vw_breakdown_equipamento"), EQUIPMENT, STATE_SLUG))
+query("serve_detalhe_mao")(lambda k: serving.labour_components(k.view("vw_breakdown_mao_de_obra"), LABOUR, STATE_SLUG))
+query("serve_detalhe_mao_tabela")(lambda k: serving.labour_table(k.view("vw_breakdown_mao_de_obra"), LABOUR, STATE_SLUG))
+query("serve_cobertura")(lambda k: serving.coverage_table(k.view("vw_cobertura")))
+query("serve_cobertura_resumo")(lambda k: serving.coverage_summary(k.view("vw_cobertura")))
 query("serve_periodo_span")(lambda k: serving.publication_span(k.gold["dim_data_referencia"]))
 query("list_ufs")(lambda k: serving.list_states(k.gold["dim_uf"]))
 query("list_insumos")(lambda k: serving.list_items(k.gold["dim_insumo"]))
-query("list_medidas")(lambda k: serving.list_measures(k.views["vw_evolucao_preco"], V.EQUIPMENT, EQUIPMENT))
-query("list_periodos")(lambda k: serving.list_periods(k.views["vw_breakdown_equipamento"], EQUIPMENT, STATE_SLUG))
+query("list_medidas")(lambda k: serving.list_measures(k.view("vw_evolucao_preco"), V.EQUIPMENT, EQUIPMENT))
+query("list_periodos")(lambda k: serving.list_periods(k.view("vw_breakdown_equipamento"), EQUIPMENT, STATE_SLUG))
 
 
 @query("serve_single_item_guard")
 def _(k: Lake) -> DataFrame:
     """One code passes the guard, several do not: only the first part has rows."""
-    view = k.views["vw_preco_atual"]
+    view = k.view("vw_preco_atual")
     one = serving.single_item(view.where(F.col("codigo") == MATERIAL)).withColumn("filtro", F.lit("codigo"))
     many = serving.single_item(view.where(F.col("tipo") == V.MATERIAL)).withColumn("filtro", F.lit("tipo"))
     return one.unionByName(many).select("filtro", "codigo", "state_slug", "medida", "valor")
@@ -166,7 +159,7 @@ def _(k: Lake) -> DataFrame:
 
 @query("labels")
 def _(k: Lake) -> DataFrame:
-    return k.views["vw_comparacao_uf"].select(
+    return k.view("vw_comparacao_uf").select(
         "codigo", "state_slug", "period_start",
         L.type_label(F.col("tipo")).alias("tipo"),
         L.measure_label(F.col("medida")).alias("medida"),
@@ -181,7 +174,7 @@ query("format_moeda")(lambda k: k.gold["fato_medicao"].select("medicao_id", L.fo
 query("format_faixa")(lambda k: k.gold["fato_custo_equipamento"].select(
     "custo_equipamento_id", L.format_money_range(F.col("custo_improdutivo"), F.col("custo_produtivo")).alias("rotulo")
 ))
-query("format_variacao")(lambda k: k.views["vw_evolucao_preco"].select(
+query("format_variacao")(lambda k: k.view("vw_evolucao_preco").select(
     "codigo", "medida", "state_slug", "desonerado", "period_start",
     L.format_change(F.col("variacao_percentual")).alias("variacao"),
     L.format_difference(F.col("variacao_percentual")).alias("diferenca"),
