@@ -27,20 +27,29 @@ def stable_mean(value: Column) -> Column:
     return F.sum(value.cast("decimal(28,4)")).cast("double") / F.count(value)
 
 
-_NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
+_NUMBER = r"(?iU)^[\s\x1c-\x1f]*([+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan))[\s\x1c-\x1f]*$"
 
 
-def _bare(cell: Column) -> Column:
-    return F.btrim(cell, F.lit(V.WHITESPACE_CHARACTERS))
+def number_text(cell: Column) -> Column:
+    """The number a text cell holds, as text; empty if it holds none."""
+    return F.regexp_extract(cell, _NUMBER, 1)
+
+
+def number_value(text: Column) -> Column:
+    return F.when(text != "", text).cast("double")
+
+
+def is_bad_cell(cell: Column, text: Column) -> Column:
+    """True where a cell holds neither a number, nor the placeholder, nor nothing."""
+    return F.when(text != "", False).otherwise(
+        F.coalesce(F.btrim(cell, F.lit(V.WHITESPACE_CHARACTERS)) != V.EMPTY_NUMBER, F.lit(False))
+    )
 
 
 def clean_number(cell: Column) -> Column:
     """Text cell to double; the '-' placeholder and cells that are no number give null."""
-    bare = _bare(cell)
-    return F.when(bare.rlike(_NUMBER), bare).try_cast("double")
+    return number_value(number_text(cell))
 
 
 def is_bad_number(cell: Column) -> Column:
-    """True where a cell holds neither a number, nor the placeholder, nor nothing."""
-    bare = _bare(cell)
-    return F.coalesce((bare != V.EMPTY_NUMBER) & ~bare.rlike(_NUMBER), F.lit(False))
+    return is_bad_cell(cell, number_text(cell))

@@ -64,12 +64,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, written: bool = False) -> DataFrame:
     """Hint a broadcast only after a bounded count has proven the side small.
 
     The count stops at ``max_rows + 1`` rows.  A bigger side is returned without
     a hint, so the join is planned as a shuffle join, where adaptive execution
-    splits skewed partitions.
+    splits skewed partitions.  With ``written`` the side is checkpointed in the shared
+    folder first, for sides that are costly to compute twice.
     """
+    if written:
+        df = cut_lineage(df)
     small = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if small else df

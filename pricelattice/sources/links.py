@@ -40,7 +40,7 @@ def extract_links(pages: DataFrame, keep: list[str], html: str = "html") -> Data
 
 
 def _without_dots(path: Column) -> Column:
-    """Path with '.' and '..' segments removed."""
+    """Path with '.' and '..' segments removed; only paths that may hold one are walked."""
     parts = F.split(path, "/", -1)
     last = F.element_at(parts, -1)
     # a path ending in a dot segment denotes a folder
@@ -54,42 +54,50 @@ def _without_dots(path: Column) -> Column:
     return F.when(path.contains("/."), F.array_join(walked, "/")).otherwise(path)
 
 
-def resolve_url(base: Column, href: Column) -> Column:
-    """Absolute URL of an href on a page; null for links that lead to no host."""
-    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    host = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/?#]*)", 1)
-    origin = F.concat(scheme, F.lit(":"), host)
-    bare = F.regexp_replace(base, "#.*$", "")
-    no_query = F.regexp_replace(bare, r"\?.*$", "")
-    path = no_query.substr(F.length(origin) + 1, F.length(no_query))
-    folder = F.when(path == "", "/").otherwise(F.regexp_replace(path, "[^/]*$", ""))
+def resolve_links(links: DataFrame, base: str, href: str = "href", link: str = "link") -> DataFrame:
+    """Adds the absolute URL of an href found on page ``base``; links to no host are dropped.
 
+    The steps are columns of their own, so that Spark computes each part once.
+    """
+    kept = links.columns
+    scheme = r"^([A-Za-z][A-Za-z0-9+.-]*):"
+    parts = links.withColumns({
+        "_scheme": F.regexp_extract(base, scheme, 1),
+        "_origin": F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0),
+        "_bare": F.substring_index(base, "#", 1),
+        "_page": F.substring_index(F.substring_index(base, "#", 1), "?", 1),
+        "_own": F.regexp_extract(href, scheme, 1),
+    })
     # 'http:page' on an http page is a relative link
-    own = F.regexp_extract(href, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    relative = (own == "") | ((F.lower(own) == F.lower(scheme)) & ~href.substr(F.length(own) + 2, F.lit(2)).eqNullSafe("//"))
-    rest = F.when((own != "") & relative, href.substr(F.length(own) + 2, F.length(href))).otherwise(href)
-    target = F.regexp_extract(rest, r"^([^?#]*)", 1)
-    tail = rest.substr(F.length(target) + 1, F.length(rest))
-
+    absolute = (F.col("_own") != "") & (
+        (F.lower("_own") != F.lower("_scheme")) | F.substring(F.col(href), F.length("_own") + 2, F.lit(2)).eqNullSafe("//")
+    )
+    local = F.when(F.col("_own") == "", F.col(href)).otherwise(F.col(href).substr(F.length("_own") + 2, F.length(href)))
+    parts = parts.withColumns({"_absolute": absolute, "_rest": F.when(~absolute, local)})
+    parts = parts.withColumns({
+        "_target": F.regexp_extract("_rest", r"^([^?#]*)", 1),
+        "_tail": F.regexp_extract("_rest", r"^[^?#]*(.*)$", 1),
+        "_folder": F.when(F.col("_page") == F.col("_origin"), "/").otherwise(
+            F.regexp_extract(F.col("_page").substr(F.length("_origin") + 1, F.length("_page")), "^.*/", 0)
+        ),
+    })
+    rest = F.col("_rest")
+    path = F.when(rest.startswith("/"), F.col("_target")).otherwise(F.concat("_folder", "_target"))
     resolved = (
-        F.when(~relative, href)
-        .when(rest == "", base)
-        .when(rest.startswith("//"), F.concat(scheme, F.lit(":"), rest))
-        .when(rest.startswith("/"), F.concat(origin, _without_dots(target), tail))
-        .when(rest.startswith("?"), F.concat(no_query, rest))
-        .when(rest.startswith("#"), F.concat(bare, rest))
-        .otherwise(F.concat(origin, _without_dots(F.concat(folder, target)), tail))
+        F.when(F.col("_absolute"), F.col(href))
+        .when(rest == "", F.col(base))
+        .when(rest.startswith("//"), F.concat(F.col("_scheme"), F.lit(":"), rest))
+        .when(rest.startswith("?"), F.concat("_page", rest))
+        .when(rest.startswith("#"), F.concat("_bare", rest))
+        .otherwise(F.concat(F.col("_origin"), _without_dots(path), F.col("_tail")))
     )
-    ignored = F.lit(False)
-    for prefix in V.IGNORED_LINK_SCHEMES:
-        ignored = ignored | href.startswith(prefix)
-    has_host = resolved.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]")
-    return F.when(~ignored & has_host, resolved)
-
-
-def resolve_links(links: DataFrame, base: str, href: str = "href") -> DataFrame:
-    resolved = links.withColumn("link", resolve_url(F.col(base), F.col(href)))
-    return resolved.where(F.col("link").isNotNull())
+    ignored = F.col(href).startswith(V.IGNORED_LINK_SCHEMES[0])
+    for prefix in V.IGNORED_LINK_SCHEMES[1:]:
+        ignored = ignored | F.col(href).startswith(prefix)
+    url = parts.select(*kept, F.when(~ignored, resolved).alias(link))
+    has_host = F.when(F.col(link).rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]"), F.col(link))
+    # exploding drops the nulls without computing the column a second time for a filter
+    return url.select(*kept, F.explode(F.array_compact(F.array(has_host))).alias(link))
 
 
 def in_scope(links: DataFrame, prefix: str | Column, excluded: list[str] = V.EXCLUDED_LINK_WORDS) -> DataFrame:

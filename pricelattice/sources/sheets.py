@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelattice import vocabulary as V
-from pricelattice.functions.numeric import clean_number, is_bad_number
+from pricelattice.functions.numeric import is_bad_cell, is_bad_number, number_text, number_value
 from pricelattice.functions.text import clean_text, collapse_whitespace
 from pricelattice.session import broadcast_if_small
 
@@ -71,7 +71,7 @@ def unknown_layouts(rows: DataFrame) -> DataFrame:
 
 def data_rows(rows: DataFrame) -> DataFrame:
     """Rows below the header whose first cell is not null."""
-    headers = broadcast_if_small(find_headers(rows))
+    headers = broadcast_if_small(find_headers(rows), written=True)
     return rows.join(headers, "file").where(
         (F.col("row_idx") > F.col("header_idx")) & F.get("cells", F.lit(0)).isNotNull()
     )
@@ -84,11 +84,10 @@ def _columns(tipo: str) -> list[str]:
 
 def _cell(tipo: str, column: str) -> Column:
     """The cell holding a column under the row's layout; null if the layout lacks it."""
-    return F.coalesce(*[
-        F.when(F.col("layout") == number, F.try_element_at("cells", F.lit(columns.index(column) + 1)))
-        for number, (_, columns) in enumerate(V.SHEET_LAYOUTS[tipo])
-        if column in columns
-    ])
+    places = {n: columns.index(column) for n, (_, columns) in enumerate(V.SHEET_LAYOUTS[tipo]) if column in columns}
+    if len(places) == len(V.SHEET_LAYOUTS[tipo]) and len(set(places.values())) == 1:
+        return F.get("cells", F.lit(places[0]))
+    return F.coalesce(*[F.when(F.col("layout") == n, F.get("cells", F.lit(at))) for n, at in places.items()])
 
 
 def _has_column(tipo: str, column: str) -> Column:
@@ -96,29 +95,36 @@ def _has_column(tipo: str, column: str) -> Column:
     return F.col("layout").isin(numbers)
 
 
-def _bad_row(tipo: str) -> Column:
-    numbers = [c for c in _columns(tipo) if c not in V.TEXT_COLUMNS]
-    return reduce(Column.__or__, [is_bad_number(_cell(tipo, c)) for c in numbers])
-
-
 def typed_rows(data: DataFrame, tipo: str) -> DataFrame:
     """Data rows of one type with cleaned columns; ``bad`` marks rows with a cell that is no number."""
-    return data.where(F.col("report_type") == tipo).select(
+    columns = _columns(tipo)
+    numbers = [c for c in columns if c not in V.TEXT_COLUMNS]
+    cells = data.where(F.col("report_type") == tipo).select(
+        "file", "row_idx", "layout", *[_cell(tipo, c).alias(c) for c in columns],
+        *[number_text(_cell(tipo, c)).alias(f"_{c}") for c in numbers],
+    )
+    return cells.select(
         "file", "row_idx", "layout",
         *[
-            F.when(_has_column(tipo, c), clean_text(_cell(tipo, c))).alias(c) if c in V.TEXT_COLUMNS
-            else clean_number(_cell(tipo, c)).alias(c)
-            for c in _columns(tipo)
+            F.when(_has_column(tipo, c), clean_text(F.col(c))).alias(c) if c in V.TEXT_COLUMNS
+            else number_value(F.col(f"_{c}")).alias(c)
+            for c in columns
         ],
-        _bad_row(tipo).alias("bad"),
+        reduce(Column.__or__, [is_bad_cell(F.col(c), F.col(f"_{c}")) for c in numbers]).alias("bad"),
     )
 
 
+def _bad_row(tipo: str) -> Column:
+    numbers = [c for c in _columns(tipo) if c not in V.TEXT_COLUMNS]
+    return reduce(Column.__or__, [is_bad_number(_cell(tipo, c)) for c in numbers])
+
+
 def parse_sheets(rows: DataFrame, tipo: str) -> DataFrame:
     """Clean rows of one type; one bad cell rejects its whole file."""
-    typed = typed_rows(data_rows(rows.where(F.col("report_type") == tipo)), tipo)
-    rejected = typed.where("bad").select("file").distinct()
-    return typed.join(broadcast_if_small(rejected), "file", "left_anti").drop("bad", "layout")
+    data = data_rows(rows.where(F.col("report_type") == tipo))
+    rejected = data.where(_bad_row(tipo)).select("file").distinct()
+    kept = data.join(broadcast_if_small(rejected, written=True), "file", "left_anti")
+    return typed_rows(kept, tipo).drop("bad", "layout")
 
 
 def attach_file_metadata(parsed: DataFrame, files: DataFrame, parsed_at: Column) -> DataFrame:

@@ -91,10 +91,8 @@ IGNORED_LINK_SCHEMES = ["mailto:", "tel:", "javascript:"]
 EXCLUDED_LINK_WORDS = ["notarevisional", "nota-revisional", "/search"]
 MAX_LINK_DEPTH = 5
 
-# white space as Python's str.split() sees it, as one regex class
-_OTHER_THAN_BLANK = r"\t\n\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-# runs that are not one plain blank already; leaving those alone saves most of the work
-WHITESPACE_RUN = rf"[{_OTHER_THAN_BLANK}][ {_OTHER_THAN_BLANK}]*| [ {_OTHER_THAN_BLANK}]+"
+# white space as Python's str.split() sees it: Unicode White_Space and four separators
+WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 WHITESPACE_CHARACTERS = (
     " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"

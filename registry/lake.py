@@ -95,11 +95,16 @@ class Lake:
         return views.view(name, self.gold)
 
     @cached_property
-    def old_fact(self) -> DataFrame:
-        """The equipment fact as an earlier build left it, for the incremental queries."""
-        before = self.staged[V.EQUIPMENT].where(F.col("parsed_at") <= F.lit(CUTOFF).cast("timestamp_ntz"))
-        fact = build_fact(V.EQUIPMENT, before, self.months)
-        return build.export_table(fact, scratch_path(self.spark, "old-fact"))
+    def _old_facts(self) -> dict[str, DataFrame]:
+        return {}
+
+    def old_fact(self, tipo: str) -> DataFrame:
+        """A wide fact as an earlier build left it, for the incremental queries."""
+        if tipo not in self._old_facts:
+            before = self.staged[tipo].where(F.col("parsed_at") <= F.lit(CUTOFF).cast("timestamp_ntz"))
+            fact = build_fact(tipo, before, self.months)
+            self._old_facts[tipo] = build.export_table(fact, scratch_path(self.spark, "old-fact"))
+        return self._old_facts[tipo]
 
 
 _LAKES: dict[tuple[str, str], Lake] = {}

@@ -106,7 +106,7 @@ cte("t_lab", f"""
 # ---- marts -----------------------------------------------------------------------------
 
 
-def _fact(tipo: str, staged: str, key: str, partition: list[str], columns: list[str]) -> str:
+def fact_sql(tipo: str, staged: str, key: str, partition: list[str], columns: list[str]) -> str:
     keys = ", ".join(partition)
     return f"""
   SELECT md5(concat_ws('|', '{tipo}', codigo, {keys})) AS {key}, md5('{tipo}|' || codigo) AS insumo_id,
@@ -117,10 +117,10 @@ def _fact(tipo: str, staged: str, key: str, partition: list[str], columns: list[
   WHERE revisado = has_revision"""
 
 
-_P3, _P4 = ["state_slug", "year", "month"], ["state_slug", "year", "month", "desonerado"]
-cte("f_mat", _fact("materiais", "t_mat", "preco_material_id", _P3, MAT))
-cte("f_equ", _fact("equipamentos", "t_equ", "custo_equipamento_id", _P4, ["desonerado"] + EQU))
-cte("f_lab", _fact("mao_de_obra", "t_lab", "custo_mao_de_obra_id", _P4, ["desonerado"] + LAB + ["schema_version"]))
+P3, _P4 = ["state_slug", "year", "month"], ["state_slug", "year", "month", "desonerado"]
+cte("f_mat", fact_sql("materiais", "t_mat", "preco_material_id", P3, MAT))
+cte("f_equ", fact_sql("equipamentos", "t_equ", "custo_equipamento_id", _P4, ["desonerado"] + EQU))
+cte("f_lab", fact_sql("mao_de_obra", "t_lab", "custo_mao_de_obra_id", _P4, ["desonerado"] + LAB + ["schema_version"]))
 
 
 def _long(fact: str, key: str, regime: str, measures: list[str]) -> str:

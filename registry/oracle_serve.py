@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.oracle import EQU, MAT, LAB, cte, oracle
+from registry.oracle import EQU, LAB, MAT, P3, cte, fact_sql, oracle
 from registry.lake import CUTOFF
 from registry.serve import EQUIPMENT, LABOUR, MATERIAL, STATE_NAME, STATE_NAMES, STATE_SLUG
 
@@ -79,10 +79,15 @@ oracle("incremental_batch", f"SELECT {_FACT} FROM n_batch")
 oracle("delete_insert", f"""
 SELECT {_FACT} FROM n_batch UNION ALL
 SELECT {_FACT} FROM n_old WHERE custo_equipamento_id NOT IN (SELECT custo_equipamento_id FROM n_batch)""")
-oracle("partition_overwrite", f"""
-SELECT {_FACT} FROM n_batch UNION ALL
-SELECT {_FACT} FROM n_old o WHERE NOT EXISTS (FROM n_batch b WHERE b.state_slug = o.state_slug
-  AND b.period_start = o.period_start AND b.desonerado = o.desonerado)""")
+cte("n_mat_old", fact_sql("materiais", "(FROM t_mat WHERE parsed_at <= TIMESTAMP '" + CUTOFF + "')", "preco_material_id", P3, MAT))
+cte("n_mat_touched", """
+  SELECT DISTINCT state_slug, period_start FROM f_mat
+  WHERE (state_slug, period_start) IN (
+    SELECT (state_slug, make_date(year, month_number, 1)) FROM t_mat JOIN s_months ON month = month_name
+    WHERE parsed_at > (SELECT max(parsed_at) FROM n_mat_old))""")
+oracle("partition_overwrite", """
+SELECT * FROM f_mat SEMI JOIN n_mat_touched USING (state_slug, period_start)
+UNION ALL SELECT * FROM n_mat_old ANTI JOIN n_mat_touched USING (state_slug, period_start)""")
 
 # ---- quality ---------------------------------------------------------------------------------
 

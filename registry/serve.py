@@ -65,13 +65,17 @@ def _(k: Lake) -> DataFrame:
 # ---- incremental refresh ----------------------------------------------------------------------
 
 
-def _batch(k: Lake) -> DataFrame:
-    return marts.build_fact(V.EQUIPMENT, k.staged[V.EQUIPMENT], k.months, target=k.old_fact)
+def _old(k: Lake, tipo: str = V.EQUIPMENT) -> DataFrame:
+    return k.old_fact(tipo)
+
+
+def _batch(k: Lake, tipo: str = V.EQUIPMENT) -> DataFrame:
+    return marts.build_fact(tipo, k.staged[tipo], k.months, target=_old(k, tipo))
 
 
 _FACT = ["custo_equipamento_id", "period_start", "custo_produtivo", "revisado", "parsed_at"]
 
-query("high_water_mark")(lambda k: revision.high_water_mark(k.old_fact))
+query("high_water_mark")(lambda k: revision.high_water_mark(_old(k)))
 
 
 @query("changed_partitions")
@@ -81,17 +85,16 @@ def _(k: Lake) -> DataFrame:
 
 
 query("incremental_batch")(lambda k: _batch(k).select(_FACT))
-query("delete_insert")(lambda k: keyed.replace_by_key(k.old_fact, _batch(k), "custo_equipamento_id").select(_FACT))
+query("delete_insert")(lambda k: keyed.replace_by_key(_old(k), _batch(k), "custo_equipamento_id").select(_FACT))
 
 
 @query("partition_overwrite")
 def _(k: Lake) -> DataFrame:
-    """Old fact on disk, then the batch's partitions written over it."""
-    keys = ["state_slug", "period_start", "desonerado"]
+    """Old material prices on disk, then the batch's partitions written over them."""
     path = scratch_path(k.spark, "fact")
-    keyed.overwrite_partitions(k.old_fact.select(*_FACT, "state_slug", "desonerado"), path, keys)
-    keyed.overwrite_partitions(_batch(k).select(*_FACT, "state_slug", "desonerado"), path, keys)
-    return k.spark.read.parquet(path).select(_FACT)
+    for rows in [_old(k, V.MATERIAL), _batch(k, V.MATERIAL)]:
+        keyed.overwrite_partitions(rows, path, ["state_slug", "period_start"])
+    return k.spark.read.parquet(path)
 
 
 # ---- quality ----------------------------------------------------------------------------------------
