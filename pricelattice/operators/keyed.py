@@ -7,7 +7,10 @@ no side is broadcast unless Spark knows its size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelattice.operators.ranking import top_per_group
@@ -73,10 +76,16 @@ def replace_by_key(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return target.join(batch.select(key), key, "left_anti").unionByName(batch)
 
 
+def in_partitions(df: DataFrame, partitions: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose partition is (or, with left_anti, is not) in the list; null is a partition too."""
+    touched = partitions.select(*[F.col(k).alias(f"_p_{k}") for k in keys]).distinct()
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys])
+    return df.join(broadcast_if_small(touched), same, how)
+
+
 def replace_partitions(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows of every partition the batch touches give way to the batch."""
-    touched = broadcast_if_small(batch.select(*keys).distinct())
-    return target.join(touched, keys, "left_anti").unionByName(batch)
+    return in_partitions(target, batch, keys, "left_anti").unionByName(batch)
 
 
 def overwrite_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
@@ -91,15 +100,14 @@ def overwrite_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
     )
 
 
-def merge_into_table(spark, path: str, batch: DataFrame, key: str, partition_keys: list[str]) -> None:
+def merge_into_table(spark: SparkSession, path: str, batch: DataFrame, key: str, partition_keys: list[str]) -> None:
     """Delete-and-insert into a partitioned table, touching only the batch's partitions.
 
     The merged partitions are first written aside, so a failure before the last step
     leaves the table as it was and the table is not read while it is replaced.
     """
-    target = spark.read.parquet(path)
-    touched = broadcast_if_small(batch.select(*partition_keys).distinct())
-    affected = target.join(touched, partition_keys, "left_semi")
+    target = spark.read.schema(batch.schema).parquet(path)
+    affected = in_partitions(target, batch, partition_keys)
     aside = scratch_path(spark, "merge")
-    replace_by_key(affected, batch.select(target.columns), key).write.parquet(aside)
-    overwrite_partitions(spark.read.schema(target.schema).parquet(aside), path, partition_keys)
+    replace_by_key(affected, batch, key).write.parquet(aside)
+    overwrite_partitions(spark.read.parquet(aside), path, partition_keys)

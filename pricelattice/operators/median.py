@@ -8,18 +8,21 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricelattice.session import broadcast_if_small
+
 
 def _slot(value: Column, per_unit: int) -> Column:
     """A non-decreasing integer image of a double: fine near zero, logarithmic far out."""
     return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * per_unit)).cast("bigint")
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, result: str, size: str, per_unit: int = 4096) -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str, result: str, size: str, per_unit: int = 1024) -> DataFrame:
     """Per group: the interpolated median of a non-null column and the group's row count.
 
     1. Count rows per group and value slot.  Slots are counted in the map tasks, so a
        group holding a third of all rows sends a few thousand counts, not its rows.
-    2. Running counts over a group's slots show which slots hold the middle ranks.
+    2. Running counts over a group's slots show which slots hold the middle ranks; this
+       list of at most two slots per group is written and its size checked.
     3. Only the rows of those slots go on, counted per distinct value (again combined
        on the map side), and the middle values are read off their running counts.
     """
@@ -43,7 +46,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, result: str, size:
 
     # null is a group of its own, so keys are matched null-safely
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys], F.col("_slot") == F.col("_m_slot"))
-    picked = slotted.join(middle, same)
+    picked = slotted.join(broadcast_if_small(middle, written=True), same)
     slot = [*keys, "_slot", "_n", "_low", "_high", "_below"]
     by_value = Window.partitionBy(*keys, "_slot").orderBy("_v")
     values = picked.groupBy(*slot, "_v").agg(F.count(F.lit(1)).alias("_c"))

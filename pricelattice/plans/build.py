@@ -91,16 +91,26 @@ def build_gold(
 def register_catalog(spark: SparkSession, root: str, names: list[str] | None = None) -> list[str]:
     """One temp view per gold relation found under ``root``/name."""
     names = MART_NAMES + VIEW_NAMES if names is None else names
+    types = {name: tipo for tipo, name in marts.FACT_NAME.items()}
     for name in names:
-        spark.read.parquet(f"{root}/{name}").createOrReplaceTempView(name)
+        # facts may be partitioned; folder names carry no types
+        reader = spark.read.schema(marts.fact_schema(types[name])) if name in types else spark.read
+        reader.parquet(f"{root}/{name}").createOrReplaceTempView(name)
     return names
 
 
-def export_gold(marts_by_name: dict[str, DataFrame], root: str) -> None:
-    """Write all sixteen relations, views included, as a serving catalog."""
-    tables = {**marts_by_name, **{name: view(name, marts_by_name) for name in VIEW_NAMES}}
-    for name, df in tables.items():
+def export_views(marts_by_name: dict[str, DataFrame], root: str) -> None:
+    """Write the nine views; the evolution clustered by the columns it is filtered on."""
+    for name in VIEW_NAMES:
+        df = view(name, marts_by_name)
         if name == "vw_evolucao_preco":
             export_clustered(df, f"{root}/{name}", ["tipo", "medida", "state_slug"], ["period_start", "codigo"])
         else:
             export_table(df, f"{root}/{name}")
+
+
+def export_gold(marts_by_name: dict[str, DataFrame], root: str) -> None:
+    """Write all sixteen relations, views included, as a serving catalog."""
+    for name in MART_NAMES:
+        export_table(marts_by_name[name], f"{root}/{name}")
+    export_views(marts_by_name, root)

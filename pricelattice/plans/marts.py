@@ -28,6 +28,19 @@ FACT_NAME = {
     V.EQUIPMENT: "fato_custo_equipamento",
     V.LABOUR: "fato_custo_mao_de_obra",
 }
+
+
+def fact_schema(tipo: str) -> str:
+    """Columns of a wide fact as a schema string."""
+    regime = "" if tipo == V.MATERIAL else "desonerado boolean, "
+    layout = "schema_version string, " if tipo == V.LABOUR else ""
+    return (
+        f"{FACT_KEY[tipo]} string, insumo_id string, state_slug string, period_start date, {regime}"
+        + "".join(f"{m} double, " for m in V.MEASURES[tipo])
+        + f"{layout}revisado boolean, blob_name string, parsed_at timestamp_ntz"
+    )
+
+
 # identity of a price series; a fact row adds the period
 SERIES_KEYS = ["insumo_id", "state_slug", "desonerado", "medida"]
 

@@ -36,14 +36,15 @@ def mentions_revision(path: Column) -> Column:
     return F.lower(path).contains(V.REVISED_WORD)
 
 
-def classify_files(files: DataFrame, path: str = "path") -> DataFrame:
+def classify_files(files: DataFrame, path: str = "path", keep: tuple[str, ...] = ()) -> DataFrame:
     """Report files among all files, with the facts their path holds."""
     parts = F.split(F.col(path), "/", -1)
-    named = files.select(F.col(path).alias("blob_name"), parts.alias("_parts")).where(
+    named = files.select(*keep, F.col(path).alias("blob_name"), parts.alias("_parts")).where(
         F.lower("blob_name").endswith(V.REPORT_EXTENSION) & (F.size("_parts") >= 6)
     )
     fields = ["region", "state_slug", "year", "month", "archive_stem"]
     return named.select(
+        *keep,
         "blob_name",
         *[F.col("_parts")[i].alias(name) for i, name in enumerate(fields)],
         report_type(F.lower(last_segment(F.col("blob_name")))).alias("report_type"),

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelattice.functions.text import file_id
-from pricelattice.operators.keyed import overwrite_partitions
-from pricelattice.session import broadcast_if_small, scratch_path
+from pricelattice.operators.keyed import in_partitions, overwrite_partitions
+from pricelattice.session import path_exists, scratch_path
 
 PARTITION_COLUMNS = ["report_type", "desonerado", "year", "month", "state_slug"]
 
@@ -27,10 +27,12 @@ def merge_silver(spark: SparkSession, root: str, parsed: DataFrame) -> None:
     Only the folders the parsed files belong to are read and rewritten.  The merged
     rows are written aside first, so no folder is read while it is replaced.
     """
-    existing = retype_partition_columns(read_silver(spark, root))
-    parsed = retype_partition_columns(parsed)
-    touched = broadcast_if_small(parsed.select(*PARTITION_COLUMNS).distinct())
-    affected = existing.join(touched, PARTITION_COLUMNS, "left_semi")
+    if not path_exists(spark, root):
+        write_silver(parsed, root)
+        return
+    types = {f.name: f.dataType for f in parsed.schema}
+    existing = read_silver(spark, root).withColumns({c: F.col(c).cast(types[c]) for c in PARTITION_COLUMNS})
+    affected = in_partitions(existing, parsed, PARTITION_COLUMNS)
     aside = scratch_path(spark, "silver-merge")
     replace_files(affected, parsed).write.parquet(aside)
     overwrite_partitions(spark.read.parquet(aside), root, PARTITION_COLUMNS)

@@ -51,25 +51,19 @@ def silver_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("n_nationkey", F.lower("n_name").alias("state_slug"), F.lower("r_name").alias("region"))
     )
-    suppliers = supplier.join(F.broadcast(places), F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", "n_nationkey", "state_slug", "region"
-    )
+    suppliers = supplier.select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
     # now and then a state skips a publication and reports with the next one
     skipped = (F.col("n_nationkey") + 4 * F.year("l_shipdate") + F.quarter("l_shipdate")) % 29 == 0
     published = F.when(skipped, F.add_months("l_shipdate", 3)).otherwise(F.to_date("l_shipdate"))
-    year, quarter = F.year("published"), F.quarter("published")
     cells = (
         line.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumn("published", published)
-        .select(
-            F.expr("l_partkey div 10").alias("item"),
-            "n_nationkey", "state_slug", "region",
-            year.alias("y"), quarter.alias("q"),
-            (((F.expr("l_partkey div 10") % 3) != 0) & (F.col("l_returnflag") == "R")).alias("desonerado"),
-            ((F.col("l_suppkey") + 4 * year + quarter) % 8 == 0).alias("revisado"),
-            "l_extendedprice", "l_quantity", "l_discount", "l_tax",
+        .withColumns({"item": F.expr("l_partkey div 10"), "y": F.year("published"), "q": F.quarter("published")})
+        .groupBy(
+            "item", "n_nationkey", "y", "q",
+            ((F.col("item") % 3 != 0) & (F.col("l_returnflag") == "R")).alias("desonerado"),
+            ((F.col("l_suppkey") + 4 * F.col("y") + F.col("q")) % 8 == 0).alias("revisado"),
         )
-        .groupBy("item", "n_nationkey", "state_slug", "region", "y", "q", "desonerado", "revisado")
         .agg(
             F.min("l_extendedprice").alias("p"),
             F.min("l_quantity").alias("n"),
@@ -78,7 +72,7 @@ def silver_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     sizes = part.groupBy(F.expr("p_partkey div 10").alias("item")).agg(F.max("p_size").alias("size"))
-    rows = cells.join(sizes, "item").withColumns({
+    rows = cells.join(sizes, "item").join(F.broadcast(places), "n_nationkey").withColumns({
         "report_type": _choose(F.col("item") % 3, dict(enumerate(V.REPORT_TYPES))),
         "label": F.col("size") + F.col("y") % 3,
         "month": _choose(F.col("q"), {i + 1: m for i, m in enumerate(QUARTER_MONTHS)}),

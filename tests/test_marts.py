@@ -89,6 +89,12 @@ def test_fact_key_includes_the_regime_for_equipment_only(spark):
     assert row.preco_material_id == hashlib.md5(b"materiais|a1|acre|2021|abril").hexdigest()
 
 
+@pytest.mark.parametrize("tipo", V.REPORT_TYPES)
+def test_declared_schema_is_the_built_one(spark, tipo):
+    fact = marts.build_fact(tipo, STAGES[tipo](silver(spark, tipo, [])), seeds.months(spark))
+    assert ", ".join(f"{n} {t}" for n, t in fact.dtypes) == marts.fact_schema(tipo)
+
+
 def test_latest_label_skips_nulls(spark):
     staged = {t: STAGES[t](silver(spark, t, [])) for t in V.REPORT_TYPES}
     staged[V.MATERIAL] = STAGES[V.MATERIAL](silver(spark, V.MATERIAL, [
