@@ -27,9 +27,12 @@ def latest_per_key(df: DataFrame, keys: list[str], newest: str, tie: str) -> Dat
 
 
 def insert_if_absent(ledger: DataFrame, batch: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """Adds rows with a new key; the first of several in the batch wins."""
-    new = batch.join(ledger.select(key), key, "left_anti")
-    return ledger.unionByName(one_per_key(new, [key], order))
+    """Adds rows with a new key; the first of several in the batch wins.
+
+    The batch is cut to one row per key before it is joined, so copies are not shuffled.
+    """
+    new = one_per_key(batch, [key], order).join(ledger.select(key), key, "left_anti")
+    return ledger.unionByName(new.select(ledger.columns))
 
 
 def update_by_key(
