@@ -24,7 +24,7 @@ def stable_mean(value: Column) -> Column:
 
     Summing as decimal gives the same digits for every partitioning and retry.
     """
-    return F.sum(value.cast("decimal(28,4)")).cast("double") / F.count(value)
+    return F.sum(value.cast("decimal(28,8)")).cast("double") / F.count(value)
 
 
 _NUMBER = r"(?iU)^[\s\x1c-\x1f]*([+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan))[\s\x1c-\x1f]*$"

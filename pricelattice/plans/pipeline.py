@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelattice import vocabulary as V
-from pricelattice.operators import keyed
+from pricelattice.operators import graph, keyed
 from pricelattice.plans import build, marts
 from pricelattice.plans.staging import STAGES
 from pricelattice.session import cut_lineage, path_exists, scratch_path
-from pricelattice.sources import links, sheets, silver, workbooks
+from pricelattice.sources import files, links, sheets, silver, workbooks
 from pricelattice.sources.classify import classify_files, silver_object_path
 
 DOWNLOADS_SCHEMA = (
@@ -47,10 +47,20 @@ def record_links(ledger: DataFrame, pages: DataFrame, prefix: str) -> DataFrame:
     return keyed.insert_if_absent(ledger, new.select(ledger.columns), "url", [F.col("url")])
 
 
+def crawl(ledger: DataFrame, pages: DataFrame, seeds: DataFrame, prefix: str) -> DataFrame:
+    """The download ledger after a walk over stored pages from the seeds, at most five links deep.
+
+    ``pages`` has url and html, ``seeds`` has node (a url).
+    """
+    _, onward = links.harvest(pages, prefix)
+    visited = graph.reachable(onward.select(F.col("url").alias("src"), F.col("link").alias("dst")), seeds)
+    reached = pages.join(visited.select(F.col("node").alias("url")), "url", "left_semi")
+    return record_links(ledger, reached, prefix)
+
+
 def pending_reports(spark: SparkSession, raw_root: str, ledger: DataFrame) -> DataFrame:
     """Report files below the raw folder that are not parsed yet."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw_root)
-    paths = files.select("path", workbooks.relative_path(F.col("path"), raw_root).alias("blob_name"))
+    paths = files.list_objects(spark, raw_root).select("path", F.col("name").alias("blob_name"))
     return keyed.pending(classify_files(paths, "blob_name", keep=("path",)), ledger, "blob_name")
 
 

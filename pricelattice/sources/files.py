@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,10 +17,19 @@ def _binary(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(root)
 
 
+def relative_path(path: Column, root: str) -> Column:
+    """Path below the root folder, without scheme and host."""
+    bare = F.regexp_replace(path, "^[a-z0-9]+:/*", "/")
+    start = re.sub("^[a-z0-9]+:/*", "/", root.rstrip("/"))
+    return bare.substr(F.lit(len(start) + 2), F.length(bare))
+
+
 def list_objects(spark: SparkSession, root: str, prefix: str | None = None, glob: str | None = None) -> DataFrame:
-    """All files below a folder; file contents are not read."""
-    files = _binary(spark, root, glob).select("path", "modificationTime", "length")
-    return files if prefix is None else files.where(F.col("path").startswith(prefix))
+    """All files below a folder, or those whose name below it has a prefix; contents are not read."""
+    files = _binary(spark, root, glob).select(
+        "path", relative_path(F.col("path"), root).alias("name"), "modificationTime", "length"
+    )
+    return files if prefix is None else files.where(F.col("name").startswith(prefix))
 
 
 def content_hash(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:

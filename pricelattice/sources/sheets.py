@@ -129,7 +129,7 @@ def parse_sheets(rows: DataFrame, tipo: str) -> DataFrame:
 
 def attach_file_metadata(parsed: DataFrame, files: DataFrame, parsed_at: Column) -> DataFrame:
     """Adds the path facts of each row's file and the parse time, as silver stores them."""
-    facts = broadcast_if_small(files.withColumnRenamed("blob_name", "file"))
+    facts = broadcast_if_small(files.withColumnRenamed("blob_name", "file"), max_rows=50_000)
     return (
         parsed.drop("row_idx").join(facts, "file")
         .withColumnRenamed("file", "blob_name")

@@ -16,7 +16,6 @@ from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 ROWS_SCHEMA = "path string, row_idx long, cells array<string>, error string"
 _ROWS_PER_BATCH = 5_000
@@ -93,10 +92,3 @@ def read_workbooks(spark: SparkSession, root: str) -> DataFrame:
     """Cells of every workbook below a folder."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[xX][lL][sS][xX]")
     return read_cells(found.load(root))
-
-
-def relative_path(path, root: str):
-    """Path below the root folder, decoded, as the classifier expects it."""
-    bare = F.regexp_replace(path, "^[a-z0-9]+:/*", "/")
-    start = re.sub("^[a-z0-9]+:/*", "/", root.rstrip("/"))
-    return bare.substr(F.lit(len(start) + 2), F.length(bare))

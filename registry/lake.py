@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelattice import standin
-from pricelattice import vocabulary as V
 from pricelattice.plans import build, seeds, views
 from pricelattice.plans.marts import FACT_NAME, build_fact
 from pricelattice.plans.staging import STAGES

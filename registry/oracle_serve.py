@@ -38,7 +38,7 @@ def difference(c: str) -> str:
 
 
 def mean(c: str) -> str:
-    return f"sum({c}::DECIMAL(28,4))::DOUBLE / count({c})"
+    return f"sum({c}::DECIMAL(28,8))::DOUBLE / count({c})"
 
 
 _SIM = "if({0}, 'Sim', 'Não')".format

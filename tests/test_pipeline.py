@@ -4,8 +4,6 @@ import io
 import zipfile
 from xml.sax.saxutils import escape
 
-import pytest
-
 from pricelattice.operators import quality
 from pricelattice.plans import build, pipeline, seeds
 from pricelattice.sources import workbooks
@@ -111,6 +109,22 @@ def test_runs(spark, tmp_path):
     assert quality.require({n: spark.table(n) for n in names}) == [("warn_variacao_percentual_suspeita", 2)]
 
 
+def test_only_reachable_pages_are_harvested(spark):
+    root = "https://h.example/reports"
+
+    def page(*hrefs):
+        return "".join(f'<a href="{h}">x</a>' for h in hrefs)
+
+    file = "/sul/parana/2021/abril/"
+    chain = [(f"{root}/p{i}", page(f"/reports/p{i + 1}", f"/reports{file}f{i}.zip")) for i in range(8)]
+    data = [(root, page("/reports/p0", "/reports"))] + chain + [(f"{root}/island", page(f"/reports{file}island.zip"))]
+    pages = spark.createDataFrame(data, "url string, html string")
+    seeds_ = spark.createDataFrame([(root,)], "node string")
+    ledger = pipeline.crawl(pipeline.empty_downloads(spark), pages, seeds_, root)
+    # the seed has depth 0, so p4 is the last page within five steps
+    assert sorted(r.filename for r in ledger.collect()) == [f"f{i}.zip" for i in range(5)]
+
+
 def test_links_enter_the_ledger_once(spark):
     base = "https://h.example/reports"
     body = '<a href="/reports/sul/parana/2021/abril-1/f.zip">x</a><a href="/reports/sul">y</a>'

@@ -1,9 +1,7 @@
-import io
 import zipfile
 from urllib.parse import urljoin, urlparse
 
 import pytest
-from pyspark.sql import functions as F
 
 from pricelattice import vocabulary as V
 from pricelattice.sources import classify, files, links, sheets, silver
@@ -108,6 +106,7 @@ def test_listing_hash_and_archives(spark, tmp_path):
     root = str(tmp_path)
     assert files.list_objects(spark, root).count() == 2
     assert files.list_objects(spark, root, glob="*.txt").count() == 1
+    assert [(r.name, r.length > 3) for r in files.list_objects(spark, root, prefix="in/").collect()] == [("in/a.ZIP", True)]
     hashes = files.content_hash(spark, root, "*.txt").collect()
     assert [(r.length, r.sha256) for r in hashes] == [(3, hashlib.sha256(b"abc").hexdigest())]
     members = [(r.member, bytes(r.content)) for r in files.archive_members(spark, root).collect()]
