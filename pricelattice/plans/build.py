@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelattice import vocabulary as V
@@ -72,19 +74,25 @@ def export_bucketed(df: DataFrame, path: str, table: str, keys: list[str]) -> Da
     return spark.table(table)
 
 
+def write_mart(
+    name: str, staged: dict[str, DataFrame], states: DataFrame, months: DataFrame, written: Mapping[str, DataFrame],
+    root: str, table_prefix: str,
+) -> DataFrame:
+    """Write one mart under ``root``; the long fact is built from the written wide facts."""
+    if name != "fato_medicao":
+        return export_table(define_mart(name, staged, states, months), f"{root}/{name}")
+    facts = {t: written[fact] for t, fact in marts.FACT_NAME.items()}
+    return export_bucketed(marts.build_long_fact(facts), f"{root}/{name}", f"{table_prefix}_{name}", BUCKET_KEYS)
+
+
 def build_gold(
     silver: dict[str, DataFrame], states: DataFrame, months: DataFrame, root: str, table_prefix: str
 ) -> dict[str, DataFrame]:
-    """Write all marts under ``root``; the long fact is built from the written facts."""
+    """Write all marts under ``root``."""
     staged = {t: STAGES[t](df) for t, df in silver.items()}
-    written = {
-        name: export_table(define_mart(name, staged, states, months), f"{root}/{name}")
-        for name in MART_NAMES if name != "fato_medicao"
-    }
-    facts = {t: written[marts.FACT_NAME[t]] for t in V.REPORT_TYPES}
-    written["fato_medicao"] = export_bucketed(
-        marts.build_long_fact(facts), f"{root}/fato_medicao", f"{table_prefix}_fato_medicao", BUCKET_KEYS
-    )
+    written: dict[str, DataFrame] = {}
+    for name in MART_NAMES:
+        written[name] = write_mart(name, staged, states, months, written, root, table_prefix)
     return written
 
 

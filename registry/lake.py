@@ -23,6 +23,24 @@ from pricelattice.sources.silver import write_silver
 CUTOFF = "2000-01-01 00:00:00"  # parse time that separates the two builds of the incremental queries
 
 
+class Gold(dict):
+    """The mart tables by name, each written when it is first asked for."""
+
+    def __init__(self, source: Lake):
+        super().__init__()
+        self.source = source
+        self.root = scratch_path(source.spark, "gold")
+        self.prefix = "pl_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
+
+    def __missing__(self, name: str) -> DataFrame:
+        k = self.source
+        self[name] = build.write_mart(name, k.staged, k.states, k.months, self, self.root, self.prefix)
+        return self[name]
+
+    def all(self) -> dict[str, DataFrame]:
+        return {name: self[name] for name in build.MART_NAMES}
+
+
 @dataclass
 class Lake:
     spark: SparkSession
@@ -81,10 +99,8 @@ class Lake:
         return build.define_mart(name, self.staged, self.states, self.months)
 
     @cached_property
-    def gold(self) -> dict[str, DataFrame]:
-        root = scratch_path(self.spark, "gold")
-        prefix = "pl_" + hashlib.md5(root.encode()).hexdigest()[:12]
-        return build.build_gold(self.silver, self.states, self.months, root, prefix)
+    def gold(self) -> Gold:
+        return Gold(self)
 
     @property
     def facts(self) -> dict[str, DataFrame]:
