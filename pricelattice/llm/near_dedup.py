@@ -52,7 +52,7 @@ def band_keys(coordinates: np.ndarray, rows: int) -> np.ndarray:
 
 def _sketched(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch):
+        for part in W.slices(batch):
             words = W.words_of(part["text"].to_pylist())
             sizes, keys, seen = [], [], {}
             for i, key in enumerate(part["key"].to_pylist()):
@@ -69,17 +69,6 @@ def _sketched(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows:
             )
 
 
-def slices(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch of about ``size`` bytes of text, one row at least."""
-    lengths = batch["text"].cast(pa.large_string()).fill_null("")
-    lengths = np.diff(np.frombuffer(lengths.buffers()[1], np.int64)[lengths.offset : lengths.offset + len(lengths) + 1])
-    part = np.cumsum(lengths) // size
-    edges = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
-    for a, b in zip(edges, edges[1:]):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def _agreeing(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -95,7 +84,7 @@ def _agreeing(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch):
+        for part in W.slices(batch):
             words = W.words_of(part["text"].to_pylist())
             sets = [W.shingles(words.hashes[a:b], shingle).tobytes() for a, b in zip(words.first, words.first[1:])]
             yield pa.RecordBatch.from_arrays([part["key"], pa.array(sets, pa.binary())], ["node", "items"])

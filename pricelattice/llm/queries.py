@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pricelattice.llm import language
 from pricelattice.llm.near_dedup import near_duplicates
+from pricelattice.llm.sharding import assign_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op3_sharding")
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(table(spark, sf_dir, "documents"), 24, columns=["doc_id"])
+
+
+@query("op10_language")
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = language.held_out(F.col("doc_id"), 3, 1)
+    found = language.identify(docs, language.learn_dictionaries(docs.where(~out)), carry=["doc_id"])
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 @query("op7_near_dedup")
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
