@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelattice.llm import language
+from pricelattice.llm.decontaminate import find_contamination
 from pricelattice.llm.near_dedup import near_duplicates
 from pricelattice.llm.sharding import assign_shards
 
@@ -29,6 +30,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 @query("op3_sharding")
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), 24, columns=["doc_id"])
