@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pricelattice.llm import language
 from pricelattice.llm.decontaminate import find_contamination
 from pricelattice.llm.near_dedup import near_duplicates
+from pricelattice.llm.packing import pack
 from pricelattice.llm.sharding import assign_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_packing")
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op2_decontamination")
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
