@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelattice.llm import words as W
-from pricelattice.llm.steps import linked, written
+from pricelattice.llm.steps import crossing_prefixes, linked, written
 from pricelattice.session import broadcast_if_small
 
 _U = np.uint64
@@ -90,6 +90,20 @@ def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([part["key"], pa.array(sets, pa.binary())], ["node", "items"])
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            items = [np.frombuffer(x.as_py(), np.int64) for x in part["items"]]
+            sizes = np.array([len(x) for x in items], np.int32)
+            each = pa.array(np.repeat(np.arange(len(items)), sizes))
+            yield pa.RecordBatch.from_arrays(
+                [part["node"].take(each), part["root"].take(each), pa.array(np.repeat(sizes, sizes)),
+                 pa.array(np.concatenate(items))],
+                ["node", "root", "size", "token"],
+            )
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = 75, shingle: int = 5, bands: int = 32, rows: int = 3, text_col: str = "text",
     id_col: str = "doc_id",
@@ -138,7 +152,11 @@ def near_duplicates(
         ).select("a", "b", "x", "y")
         return full.mapInArrow(lambda batches: _agreeing(batches, percent), "a binary, b binary")
 
-    roots = linked(spread, confirm, "near")
+    def settle(opened: DataFrame) -> DataFrame:
+        tokens = sets.join(opened, "node").mapInArrow(_tokens, "node binary, root binary, size int, token long")
+        return crossing_prefixes(tokens, percent)
+
+    roots = linked(spread, confirm, settle, "near")
     named = classes.select("key", "doc_id", "n_shingles").join(roots.withColumnRenamed("node", "key"), "key", "left")
     named = written(named.withColumn("root", F.coalesce("root", "key")), "near-classes")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
