@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelattice.llm import language
+from pricelattice.llm import language, quality_crf
 from pricelattice.llm.decontaminate import find_contamination
+from pricelattice.llm.link_trust import Rule, judge_urls
 from pricelattice.llm.near_dedup import near_duplicates
 from pricelattice.llm.packing import pack
 from pricelattice.llm.sharding import assign_shards
@@ -52,6 +53,27 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), 24, columns=["doc_id"])
 
 
+URL_RULES = [
+    Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"),
+    Rule("allow", "org", "/fr/"),
+]
+
+
+@query("op8_url_filter")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = language.held_out(F.col("doc_id"), 4, 2)
+    model = quality_crf.learn(docs.where(~out), table(spark, sf_dir, "labels").where(~out))
+    found = quality_crf.score_quality(docs, model, carry=["doc_id"])
+    return found.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 @query("op10_language")
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
