@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelattice.llm import words as W
+from pricelattice.llm.sets import agreeing, set_tokens
 from pricelattice.llm.steps import crossing_prefixes, linked, written
 from pricelattice.session import broadcast_if_small
 
@@ -69,19 +70,6 @@ def _sketched(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows:
             )
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch["x"], batch["y"]):
-            x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (x, y))
-            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                keep.append(False)
-                continue
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= percent * (len(x) + len(y) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in W.slices(batch):
@@ -90,20 +78,6 @@ def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([part["key"], pa.array(sets, pa.binary())], ["node", "items"])
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 200):
-            part = batch.slice(at, 200)
-            items = [np.frombuffer(x.as_py(), np.int64) for x in part["items"]]
-            sizes = np.array([len(x) for x in items], np.int32)
-            each = pa.array(np.repeat(np.arange(len(items)), sizes))
-            yield pa.RecordBatch.from_arrays(
-                [part["node"].take(each), part["root"].take(each), pa.array(np.repeat(sizes, sizes)),
-                 pa.array(np.concatenate(items))],
-                ["node", "root", "size", "token"],
-            )
-
-
 def near_duplicates(
     docs: DataFrame, percent: int = 75, shingle: int = 5, bands: int = 32, rows: int = 3, text_col: str = "text",
     id_col: str = "doc_id",
@@ -150,10 +124,10 @@ def near_duplicates(
         full = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a").join(
             sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b"
         ).select("a", "b", "x", "y")
-        return full.mapInArrow(lambda batches: _agreeing(batches, percent), "a binary, b binary")
+        return full.mapInArrow(lambda batches: agreeing(batches, percent), "a binary, b binary")
 
     def settle(opened: DataFrame) -> DataFrame:
-        tokens = sets.join(opened, "node").mapInArrow(_tokens, "node binary, root binary, size int, token long")
+        tokens = sets.join(opened, "node").mapInArrow(set_tokens, "node binary, root binary, size int, token long")
         return crossing_prefixes(tokens, percent)
 
     roots = linked(spread, confirm, settle, "near")

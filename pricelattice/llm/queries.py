@@ -12,6 +12,7 @@ from pricelattice.llm.decontaminate import find_contamination
 from pricelattice.llm.link_trust import Rule, judge_urls
 from pricelattice.llm.near_dedup import near_duplicates
 from pricelattice.llm.packing import pack
+from pricelattice.llm.passage_dedup import repeated_passages
 from pricelattice.llm.sharding import assign_shards
 from pricelattice.llm.topk import exact_top_k
 
@@ -82,6 +83,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+@query("op4_passage_dedup")
+def op4_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document that repeats a passage of another: the word ranges to cut, and who keeps them."""
+    found = repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "gone", "kept_in", F.size("kept_in").cast("long").alias("n_keepers"))
+
+
 _TOP_K_SQL = """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q FROM embeddings
