@@ -14,7 +14,9 @@ from pricelattice.llm.near_dedup import near_duplicates
 from pricelattice.llm.packing import pack
 from pricelattice.llm.passage_dedup import repeated_passages
 from pricelattice.llm.sharding import assign_shards
+from pricelattice.llm.steps import written
 from pricelattice.llm.topk import exact_top_k
+from pricelattice.llm.warc_fixity import audit, record_index, warc_record
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -109,6 +111,55 @@ def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
 
 
+#: 103 bytes of a record are neither its URI, id, length nor payload.
+_FIXITY_SQL = """
+WITH damage AS (
+    SELECT *, coalesce(html, '') AS body, ('0x' || substr(md5(page_id::VARCHAR), 1, 6))::BIGINT % 97 AS fate FROM pages
+), bodies AS (
+    SELECT *, CASE fate
+        WHEN 0 THEN substr(body, 1, length(body) // 2) || '~' || substr(body, length(body) // 2 + 2)
+        WHEN 1 THEN substr(body, 1, length(body) // 3) ELSE body END AS other
+    FROM damage
+), records AS (
+    SELECT page_id, url, body, other, coalesce(fate = 2, false) AS lost, octet_length(encode(body)) AS n, octet_length(encode(other)) AS m,
+        103 + octet_length(encode(coalesce(url, ''))) + length(coalesce(page_id::VARCHAR, '')) AS head
+    FROM bodies
+), sized AS (
+    SELECT *, (head + n + length(n::VARCHAR))::BIGINT AS length, (head + m + length(m::VARCHAR))::BIGINT AS replica,
+        row_number() OVER (ORDER BY page_id NULLS FIRST, url NULLS FIRST) - 1 AS nth
+    FROM records
+), placed AS (
+    SELECT *, (nth // 1000)::BIGINT AS file,
+        coalesce(sum(length) OVER (PARTITION BY nth // 1000 ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
+    FROM sized
+)
+SELECT page_id, file, place AS "offset",
+    CASE WHEN lost THEN 'missing' WHEN length <> replica THEN 'length' ELSE 'changed' END AS kind, length,
+    CASE WHEN lost THEN NULL ELSE replica END AS replica_length
+FROM placed WHERE lost OR body <> other
+"""
+
+
+@query("op6_warc_fixity", _FIXITY_SQL)
+def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as WARC files, and a replica of them in which about three records in 97 are flipped, cut or lost."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    fate = F.conv(F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 6), 16, 10).cast("long") % 97
+    half, third = F.floor(F.length("html") / 2).cast("int"), F.floor(F.length("html") / 3).cast("int")
+    flipped = F.concat(F.substring("html", F.lit(1), half), F.lit("~"), F.substring("html", half + 2, F.length("html")))
+    other = F.when(fate == 0, flipped).when(fate == 1, F.substring("html", F.lit(1), third)).otherwise(F.col("html"))
+    both = pages.select(
+        "page_id", "url", warc_record(F.col("url"), F.col("page_id"), F.col("html")).alias("record"),
+        warc_record(F.col("url"), F.col("page_id"), other).alias("other"), F.coalesce(fate == 2, F.lit(False)).alias("lost"),
+    )
+    copied = both.select(
+        "page_id", "url", "record", F.octet_length("other").cast("long").alias("n"), F.sha2("other", 256).alias("d"), "lost"
+    )
+    index = written(record_index(copied, ["page_id", "url"]), "record-index")
+    replica = index.where("not lost").select("file", "offset", F.col("n").alias("length"), F.col("d").alias("digest"))
+    return audit(index, replica, carry=["page_id"])
+
+
 @query("op7_near_dedup")
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
