@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelattice.llm import words as W
-from pricelattice.llm.sets import agreeing, set_tokens
-from pricelattice.llm.steps import crossing_prefixes, linked, written
+from pricelattice.llm.sets import agreeing, links_across
+from pricelattice.llm.steps import linked, written
 from pricelattice.session import broadcast_if_small
 
 _U = np.uint64
@@ -126,11 +126,7 @@ def near_duplicates(
         ).select("a", "b", "x", "y")
         return full.mapInArrow(lambda batches: agreeing(batches, percent), "a binary, b binary")
 
-    def settle(opened: DataFrame) -> DataFrame:
-        tokens = sets.join(opened, "node").mapInArrow(set_tokens, "node binary, root binary, size int, token long")
-        return crossing_prefixes(tokens, percent)
-
-    roots = linked(spread, confirm, settle, "near")
+    roots = linked(spread, confirm, lambda groups: links_across(groups, sets, percent), "near")
     named = classes.select("key", "doc_id", "n_shingles").join(roots.withColumnRenamed("node", "key"), "key", "left")
     named = written(named.withColumn("root", F.coalesce("root", "key")), "near-classes")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))

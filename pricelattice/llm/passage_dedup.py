@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelattice.llm import words as W
-from pricelattice.llm.sets import agreeing, set_tokens
-from pricelattice.llm.steps import crossing_prefixes, linked, written
+from pricelattice.llm.sets import agreeing, links_across
+from pricelattice.llm.steps import linked, written
 from pricelattice.session import broadcast_if_small
 
 _U = np.uint64
@@ -160,11 +160,7 @@ def repeated_passages(
         ).select("a", "b", "x", "y")
         return full.mapInArrow(lambda batches: agreeing(batches, percent), "a long, b long")
 
-    def settle(opened: DataFrame) -> DataFrame:
-        tokens = sets.join(opened, "node").mapInArrow(set_tokens, "node long, root long, size int, token long")
-        return crossing_prefixes(tokens, percent)
-
-    roots = linked(members, confirm, settle, "passages").where("node <> root")
+    roots = linked(members, confirm, lambda groups: links_across(groups, sets, percent), "passages").where("node <> root")
     placed = windows.select("node", "doc_id", "key", "at").join(broadcast_if_small(roots, 1_000_000), "node", "left").select(
         F.coalesce("root", "node").alias("root"), F.struct("doc_id", "key").alias("doc"), "at"
     )

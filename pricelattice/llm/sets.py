@@ -6,6 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pricelattice.llm.steps import written
 
 
 def agreeing(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -22,16 +26,82 @@ def agreeing(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def set_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per item of each set."""
+def links_across(groups: DataFrame, sets: DataFrame, percent: int, block: int = 256) -> DataFrame:
+    """Links (a, b) of ``percent`` between nodes of one group (lead) and different roots.
+
+    ``groups`` has (lead, node, root, n) with the group's size, ``sets`` (node, items).  A group is cut into blocks of about
+    ``block`` nodes; a row of work is a pair of blocks, compared in memory, so a group
+    of any size is spread over tasks; of the links in a pair only enough to connect what they connect are written.
+    """
+    kind = groups.schema["node"].dataType.simpleString()
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / block)).cast("int")
+    blocks = written(
+        groups.withColumn("block", part).join(sets, "node").groupBy("lead", "block").agg(
+            F.collect_list(F.struct("node", "root", "items")).alias("held"), F.min("root").alias("lo"), F.max("root").alias("hi")
+        ), "blocks",
+    )
+    one = blocks.select("lead", F.col("block").alias("i"), F.col("lo").alias("li"), F.col("hi").alias("hi_i"))
+    two = blocks.select("lead", F.col("block").alias("j"), F.col("lo").alias("lj"), F.col("hi").alias("hi_j"))
+    work = one.join(two, "lead").where("i <= j and not (li = hi_i and lj = hi_j and li = lj)").select("lead", "i", "j")
+    work = work.join(blocks.select("lead", F.col("block").alias("i"), F.col("held").alias("x")), ["lead", "i"]).join(
+        blocks.select("lead", F.col("block").alias("j"), F.col("held").alias("y")), ["lead", "j"]
+    ).select((F.col("i") == F.col("j")).alias("same"), "x", "y")
+    found = work.mapInArrow(lambda batches: _across(batches, percent), f"a {kind}, b {kind}")
+    return found.distinct()
+
+
+def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 200):
-            part = batch.slice(at, 200)
-            items = [np.frombuffer(x.as_py(), np.int64) for x in part["items"]]
-            sizes = np.array([len(x) for x in items], np.int32)
-            each = pa.array(np.repeat(np.arange(len(items)), sizes))
-            yield pa.RecordBatch.from_arrays(
-                [part["node"].take(each), part["root"].take(each), pa.array(np.repeat(sizes, sizes)),
-                 pa.array(np.concatenate(items))],
-                ["node", "root", "size", "token"],
-            )
+        for i in range(batch.num_rows):
+            x, y = (_held(batch[c][i]) for c in ("x", "y"))
+            shared = common(x[2], y[2])
+            sizes = np.array([len(s) for s in x[2]])[:, None] + np.array([len(s) for s in y[2]])[None, :]
+            linked = (100 * shared >= percent * (sizes - shared)) & (x[1][:, None] != y[1][None, :])
+            label = spanning(linked, batch["same"][i].as_py())
+            nodes = x[0] if batch["same"][i].as_py() else pa.concat_arrays([x[0], y[0]])
+            joined = np.flatnonzero(label != np.arange(len(label)))
+            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(label[joined])), nodes.take(pa.array(joined))], ["a", "b"])
+
+
+def spanning(linked: np.ndarray, same: bool) -> np.ndarray:
+    """Least index that links lead to, for the rows and then the columns of ``linked``, or for both if they are the ``same``."""
+    rows, columns = linked.shape
+    label = np.arange(rows if same else rows + columns)
+    here, there = slice(0, rows), slice(0, rows) if same else slice(rows, None)
+    most = len(label)
+    while True:
+        before = label.copy()
+        label[here] = np.minimum(label[here], np.where(linked, label[there][None, :], most).min(axis=1, initial=most))
+        label[there] = np.minimum(label[there], np.where(linked, label[here][:, None], most).min(axis=0, initial=most))
+        if (label == before).all():
+            return label
+
+
+def _held(cell: pa.ListScalar) -> tuple[pa.Array, np.ndarray, list[np.ndarray]]:
+    rows = cell.values
+    node, root, items = (rows.field(c) for c in ("node", "root", "items"))
+    return node, root.to_numpy(zero_copy_only=False), [np.frombuffer(s.as_py(), np.uint64) for s in items]
+
+
+def common(x: list[np.ndarray], y: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of every set of ``x`` with every set of ``y``.
+
+    Items that both sides have become columns of two 0/1 matrices, ``width`` at a time.
+    """
+    out = np.zeros((len(x), len(y)), np.int64)
+    flat = [np.concatenate(s) if s else np.zeros(0, np.uint64) for s in (x, y)]
+    row = [np.repeat(np.arange(len(s)), [len(i) for i in s]) for s in (x, y)]
+    items = np.intersect1d(*flat)
+    column = [np.searchsorted(items, f) for f in flat]
+    known = [(c < len(items)) & (items[np.minimum(c, len(items) - 1)] == f) if len(items) else np.zeros(len(f), bool)
+             for c, f in zip(column, flat)]
+    row, column = [r[k] for r, k in zip(row, known)], [c[k] for c, k in zip(column, known)]
+    for at in range(0, len(items), width):
+        sides = []
+        for s, r, c in zip((x, y), row, column):
+            here = (c >= at) & (c < at + width)
+            side = np.zeros((len(s), min(width, len(items) - at)), np.float32)
+            side[r[here], c[here] - at] = 1
+            sides.append(side)
+        out += (sides[0] @ sides[1].T).astype(np.int64)
+    return out

@@ -87,67 +87,25 @@ def _mark(links: DataFrame) -> tuple:
 
 def linked(
     members: DataFrame, confirm: Callable[[DataFrame], DataFrame], settle: Callable[[DataFrame], DataFrame], name: str,
-    star_rounds: int = 2,
 ) -> DataFrame:
-    """Components of the confirmed links among nodes that share a bucket: rows (node, root).
-
-    ``members`` has distinct (bucket, node); ``confirm`` keeps the true ones of pairs (a, b).
-    Pairs inside one component need no test.  So each of the first rounds tests every node against one
-    drawn member of each of its buckets that lies in another component, which connects most
-    of a group of copies in a number of tests near its size.  Nodes in buckets that still hold several components
-    then go to ``settle``: from (node, root) it gives every pair across roots that can be a link, so no
-    link between candidates is lost.
-    """
-    wide = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-    members = written(members.join(wide.select("bucket"), "bucket"), f"{name}-members")
-    nodes = written(members.select("node").distinct(), f"{name}-nodes")
-    roots, links, tried = nodes.withColumn("root", F.col("node")), None, None
-    for turn in range(star_rounds + 1):
-        placed = members.join(roots, "node")
-        drawn = placed.groupBy("bucket").agg(
-            F.min("root").alias("lo"), F.max("root").alias("hi"),
-            F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn))).alias("drawn"),
-        ).where("lo <> hi")
-        opened = placed.join(drawn, "bucket")
-        if turn < star_rounds:
-            pairs = opened.where("root <> drawn.root").select(
-                F.least("node", "drawn.node").alias("a"), F.greatest("node", "drawn.node").alias("b")
-            ).distinct()
-        else:
-            pairs = settle(written(opened.select("node", "root").distinct(), f"{name}-open"))
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, f"{name}-pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        found = written(confirm(pairs), f"{name}-links")
-        links = found if links is None else links.union(found)
-        roots = written(
-            nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root")),
-            f"{name}-roots",
-        )
-    return roots
-
-
-def crossing_prefixes(tokens: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes of different roots that can reach a Jaccard similarity of ``percent``.
+    """Components of the true links among nodes that share a bucket: rows (node, root).
 
-    ``tokens`` has (node, root, size, token), the whole set of each node.  Sets that are
-    similar share at least ceil(percent * size / 100) tokens, so they share one of the size less that plus one
-    rarest tokens of either.  A token of one node alone links nothing: a node with that many
-    of its own is done, the others are paired over the shared tokens of their prefix.
+    ``members`` has distinct (bucket, node).  A bucket's least node stands for it, and a group is
+    everything that shares a bucket with the same least node; groups of copies have few of them.  First every node is
+    tested against those: ``confirm`` keeps the true ones of pairs (a, b).  Pairs inside one component need no
+    test; groups that still hold several components go as (lead, node, root, n), n the size of the group, to ``settle``, which gives the
+    true links across roots, so no link between candidates is lost.
     """
-    count = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    shared = written(tokens.join(count, "token"), "shared-tokens")
-    own = shared.groupBy("node").agg(F.count("*").alias("shared"), F.first("size").alias("_size"))
-    own = own.where(100 * F.col("shared") >= percent * F.col("_size")).select("node", "shared")
-    rank = Window.partitionBy("node").orderBy("n", "token")
-    prefix = shared.join(own, "node").withColumn("place", F.row_number().over(rank)).where(
-        F.col("place") <= F.col("shared") - F.ceil(F.col("size") * percent / 100) + 1
+    wide = members.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("hi")).where("lead <> hi")
+    wide = broadcast_if_small(wide.select("bucket", "lead"), 1_000_000, written=True)
+    groups = written(members.join(wide, "bucket").select("lead", "node").distinct(), f"{name}-groups")
+    pairs = groups.where("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    links = written(confirm(pairs), f"{name}-links")
+    nodes = groups.select("node").distinct()
+    rooted = lambda found: written(
+        nodes.join(components(found), "node", "left").select("node", F.coalesce("root", "node").alias("root")), f"{name}-roots"
     )
-    prefix = written(prefix.select("token", "node", "root", "size"), "prefixes")
-    across = prefix.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    prefix = prefix.join(across.select("token"), "token")
-    here = prefix.select("token", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"))
-    there = prefix.select("token", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"))
-    similar = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    return here.join(there, "token").where(f"a < b and ra <> rb and {similar}").select("a", "b").distinct()
+    placed = groups.join(rooted(links), "node")
+    mixed = placed.groupBy("lead").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
+    placed = placed.join(mixed.where("lo <> hi").select("lead", "n"), "lead")
+    return rooted(links.union(written(settle(placed), f"{name}-settled")))
