@@ -7,12 +7,63 @@ without the rows or passages that the stage removes.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pricelattice.llm import language
+from pricelattice.llm.decontaminate import find_contamination
+from pricelattice.llm.near_dedup import near_duplicates
+from pricelattice.llm.packing import pack
+from pricelattice.llm.passage_dedup import remove_repeats
 from pricelattice.llm.steps import written
 
-STAGES: list = []
 
-#: No SQL: language models, sketches and column generation are not SQL; tests hold the stages against brute force.
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the dictionaries tell; null or letterless texts and ties between languages go.
+
+    A table without language labels teaches nothing, so all of its documents go.
+    """
+    labelled = docs.where(~language.held_out(F.col("doc_id"), 3, 1))
+    found = language.identify(docs, language.learn_dictionaries(labelled), carry=docs.columns)
+    return found.where("not rejected").select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one of the least id.
+
+    Of rows that share an id and a group one stays; a document without an id stays.
+    """
+    kept = near_duplicates(docs).where("kept").select(*docs.columns, "component_id")
+    named = kept.where("component_id is not null").dropDuplicates(["component_id"])
+    return named.union(kept.where("component_id is null")).select(*docs.columns)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has are cut out; a document of nothing else goes."""
+    cut = remove_repeats(docs)
+    emptied = (F.size("spans") > 0) & (F.length(F.trim(F.coalesce("text", F.lit("")))) == 0)
+    return cut.where(~emptied).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which at least a twentieth is benchmark windows go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_contamination(docs, benchmark, carry=docs.columns).where("not contaminated").select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences with their ids."""
+    return pack(docs, with_ids=True)
+
+
+STAGES = [
+    ("language", keep_known_languages),
+    ("near_duplicates", keep_one_of_each_group),
+    ("repeated_passages", cut_repeated_passages),
+    ("contamination", drop_contaminated),
+    ("packing", pack_sequences),
+]
+
+#: No SQL: compressors, sketches, suffix indexes and column generation are not SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
