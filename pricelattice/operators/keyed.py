@@ -12,9 +12,10 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from pricelattice.operators.ranking import top_per_group
-from pricelattice.session import broadcast_if_small, scratch_path
+from pricelattice.session import broadcast_if_small, drop_scratch, scratch_path
 
 
 def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -79,13 +80,32 @@ def replace_by_key(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return target.join(batch.select(key), key, "left_anti").unionByName(batch)
 
 
+# Touched partitions up to this number are named in the predicate itself, so the scan opens only their folders.
+LISTED_PARTITIONS = 20_000
+
+
 def in_partitions(df: DataFrame, partitions: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
-    """Rows whose partition is (or, with left_anti, is not) in the list; null is a partition too."""
-    touched = partitions.select(*[F.col(k).alias(f"_p_{k}") for k in keys]).distinct()
+    """Rows whose partition is (or, with left_anti, is not) in the list; null is a partition too.
+
+    The list is bounded by states, calendar and regimes.  It is gathered once; its values
+    per key prune the folders to be read, and the join on the whole key does the rest.
+    """
+    touched = partitions.select(*keys).distinct()
+    found = touched.limit(LISTED_PARTITIONS + 1).collect()
+    if len(found) <= LISTED_PARTITIONS:
+        touched = df.sparkSession.createDataFrame(found, touched.schema)
+        if how == "left_semi":
+            df = df.where(reduce(and_, [_one_of(k, df.schema[k].dataType, {r[k] for r in found}) for k in keys]))
+    touched = touched.select(*[F.col(k).alias(f"_p_{k}") for k in keys])
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys])
     return df.join(broadcast_if_small(touched), same, how)
 
 
+def _one_of(column: str, kind: DataType, values: set) -> Column:
+    known = F.col(column).isin([F.lit(v).cast(kind) for v in sorted(values - {None})])
+    return known | F.col(column).isNull() if None in values else known
+
+
 def replace_partitions(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows of every partition the batch touches give way to the batch."""
     return in_partitions(target, batch, keys, "left_anti").unionByName(batch)
@@ -113,4 +133,5 @@ def merge_into_table(spark: SparkSession, path: str, batch: DataFrame, key: str,
     affected = in_partitions(target, batch, partition_keys)
     aside = scratch_path(spark, "merge")
     replace_by_key(affected, batch, key).write.parquet(aside)
-    overwrite_partitions(spark.read.parquet(aside), path, partition_keys)
+    overwrite_partitions(spark.read.schema(batch.schema).parquet(aside), path, partition_keys)
+    drop_scratch(spark, aside)

@@ -6,6 +6,8 @@ is pending and writes the ledger's next version.
 
 from __future__ import annotations
 
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from pricelattice import vocabulary as V
 from pricelattice.operators import graph, keyed
 from pricelattice.plans import build, marts
 from pricelattice.plans.staging import STAGES
-from pricelattice.session import cut_lineage, path_exists, scratch_path
+from pricelattice.session import broadcast_if_small, cut_lineage, drop_scratch, path_exists, scratch_path
 from pricelattice.sources import files, links, sheets, silver, workbooks
 from pricelattice.sources.classify import classify_files, silver_object_path
 
@@ -70,27 +72,38 @@ def run_silver(
 ) -> DataFrame:
     """Parse pending workbooks into silver, the first ``limit`` by path; returns the new parse ledger.
 
-    A bad file fails alone: its outcome is recorded and its rows are left out.  Work goes
-    in rounds, so the list of paths handed to a round's reader stays bounded.
+    A bad file fails alone: its outcome is recorded and none of its rows are kept.  Work goes
+    in rounds of paths, as the reader takes a list; the waiting list is sorted once, and the
+    ledger takes in the outcomes of all rounds once at the end.
     """
     waiting = pending_reports(spark, raw_root, ledger).orderBy("blob_name")
     waiting = cut_lineage(waiting if limit is None else waiting.limit(limit))
-    while True:
-        batch = waiting.orderBy("blob_name").limit(files_per_round)
-        paths = [r.path for r in batch.select("path").collect()]  # at most files_per_round
-        if not paths:
-            return ledger
-        outcomes = cut_lineage(_parse_round(spark, paths, batch, silver_root, parsed_at).select(ledger.columns))
-        ledger = cut_lineage(ledger.join(outcomes.select("blob_name"), "blob_name", "left_anti").unionByName(outcomes))
-        waiting = cut_lineage(waiting.join(outcomes.select("blob_name"), "blob_name", "left_anti"))
-
-
-def _parse_round(spark: SparkSession, paths: list[str], batch: DataFrame, silver_root: str, parsed_at: str) -> DataFrame:
+    aside = scratch_path(spark, "outcomes")
+    queue = waiting.orderBy("blob_name").toLocalIterator()  # a partition at a time
+    while chunk := list(islice(queue, files_per_round)):
+        batch = spark.createDataFrame(chunk, waiting.schema)
+        _parse_round(spark, [r.path for r in chunk], batch, silver_root, parsed_at, ledger.columns, aside)
+    if not path_exists(spark, aside):
+        return ledger
+    outcomes = spark.read.schema(PARSES_SCHEMA).parquet(aside)
+    merged = cut_lineage(keyed.replace_by_key(ledger, outcomes.select(ledger.columns), "blob_name"))
+    drop_scratch(spark, aside)
+    return merged
+
+
+def _parse_round(
+    spark: SparkSession, paths: list[str], batch: DataFrame, silver_root: str, parsed_at: str, columns: list[str], outcomes_path: str
+) -> None:
+    """Parse the listed workbooks into silver and append their outcomes."""
     content = spark.read.format("binaryFile").load(paths)
     aside = scratch_path(spark, "sheet-rows")
     workbooks.read_cells(content).write.parquet(aside)
     cells = spark.read.parquet(aside).join(batch.select("path", "blob_name", "report_type"), "path")
+    # rows that were read before a file broke off do not count
+    unreadable = cells.where("error is not null").select(F.col("blob_name").alias("file"), F.col("error").alias("_unreadable"))
+    unreadable = broadcast_if_small(unreadable.dropDuplicates(["file"]), written=True)
     rows = cells.where("error is null").select(F.col("blob_name").alias("file"), "report_type", "row_idx", "cells")
+    rows = rows.join(unreadable, "file", "left_anti")
 
     stamp = F.lit(parsed_at).cast("timestamp_ntz")
     facts = batch.drop("path")
@@ -98,16 +111,17 @@ def _parse_round(spark: SparkSession, paths: list[str], batch: DataFrame, silver
         parsed = sheets.attach_file_metadata(sheets.parse_sheets(rows, tipo), facts, stamp)
         silver.merge_silver(spark, silver_root, parsed)
 
-    unreadable = cells.where("error is not null").select(F.col("blob_name").alias("file"), F.col("error").alias("_unreadable"))
     outcomes = facts.withColumnRenamed("blob_name", "file").join(
         sheets.file_outcomes(rows).drop("report_type"), "file", "left"
     ).join(unreadable, "file", "left")
     done = F.coalesce(F.col("status"), F.lit("failed"))
-    return outcomes.withColumn("status", done).withColumns({
+    outcomes = outcomes.withColumn("status", done).withColumns({
         "blob_name": F.col("file"),
         "error": F.when(done == "failed", F.coalesce("_unreadable", "error", F.lit("no known header"))),
         "parsed_at": stamp,
     }).withColumn("silver_blob_name", F.when(F.col("status") == "parsed", silver_object_path(silver_root)))
+    outcomes.select(columns).write.mode("append").parquet(outcomes_path)
+    drop_scratch(spark, aside)
 
 
 def read_silver_by_type(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:

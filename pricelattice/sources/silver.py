@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pricelattice.functions.text import file_id
 from pricelattice.operators.keyed import in_partitions, overwrite_partitions
-from pricelattice.session import path_exists, scratch_path
+from pricelattice.session import drop_scratch, path_exists, scratch_path
 
 PARTITION_COLUMNS = ["report_type", "desonerado", "year", "month", "state_slug"]
 
@@ -30,12 +30,13 @@ def merge_silver(spark: SparkSession, root: str, parsed: DataFrame) -> None:
     if not path_exists(spark, root):
         write_silver(parsed, root)
         return
-    types = {f.name: f.dataType for f in parsed.schema}
-    existing = read_silver(spark, root).withColumns({c: F.col(c).cast(types[c]) for c in PARTITION_COLUMNS})
-    affected = in_partitions(existing, parsed, PARTITION_COLUMNS)
+    # parsed rows have every column of their report type; the schema also types the folder names for pruning
+    affected = in_partitions(spark.read.schema(parsed.schema).parquet(root), parsed, PARTITION_COLUMNS)
     aside = scratch_path(spark, "silver-merge")
-    replace_files(affected, parsed).write.parquet(aside)
-    overwrite_partitions(spark.read.parquet(aside), root, PARTITION_COLUMNS)
+    merged = replace_files(affected, parsed)
+    merged.write.parquet(aside)
+    overwrite_partitions(spark.read.schema(merged.schema).parquet(aside), root, PARTITION_COLUMNS)
+    drop_scratch(spark, aside)
 
 
 def read_silver(spark: SparkSession, root: str, report_type: str | None = None) -> DataFrame:

@@ -1,10 +1,13 @@
 """Workbooks on disk to silver to gold, then a revision on top."""
 
 import io
+import re
 import zipfile
 from xml.sax.saxutils import escape
 
-from pricelattice.operators import quality
+import pytest
+
+from pricelattice.operators import keyed, quality
 from pricelattice.plans import build, pipeline, seeds
 from pricelattice.sources import workbooks
 
@@ -109,6 +112,62 @@ def test_runs(spark, tmp_path):
     assert quality.require({n: spark.table(n) for n in names}) == [("warn_variacao_percentual_suspeita", 2)]
 
 
+def broken_off(rows):
+    """A workbook whose sheet ends in the middle of its last row."""
+    whole = workbook([MAT, *[[f"A{i}", "Cal", "kg", 1.0] for i in range(rows)]])
+    out = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(whole)) as old, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as new:
+        for part in old.namelist():
+            body = old.read(part)
+            new.writestr(part, body[: body.rindex(b"<c")] if part.endswith("sheet1.xml") else body)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("per_batch", [5_000, 100])
+def test_a_file_that_breaks_off_leaves_no_rows(spark, tmp_path, monkeypatch, per_batch):
+    monkeypatch.setattr(workbooks, "_ROWS_PER_BATCH", per_batch)
+    raw, silver = tmp_path / "raw", str(tmp_path / "silver")
+    name = "x/Relatório Sintético de Materiais.xlsx"
+    put(raw, f"norte/acre/2021/abril/{name}", broken_off(7_000))
+    put(raw, f"norte/acre/2021/julho/{name}", workbook([MAT, ["A1", "Cal", "kg", 10.0]]))
+    ledger = pipeline.run_silver(spark, str(raw), silver, pipeline.empty_parses(spark), "2024-01-01 00:00:00")
+    got = {r.month: (r.status, r.row_count, r.error) for r in ledger.collect()}
+    assert got["julho"] == ("parsed", 1, None)
+    assert got["abril"][:2] == ("failed", None) and got["abril"][2].startswith("ParseError")
+    assert [r.month for r in spark.read.parquet(silver).collect()] == ["julho"]
+    put(raw, f"norte/acre/2021/abril/{name}", workbook([MAT, ["A1", "Cal", "kg", 10.0], ["A2", "Cal", "kg", 10.0]]))
+    ledger = pipeline.run_silver(spark, str(raw), silver, ledger, "2024-02-01 00:00:00")
+    assert {r.month: (r.status, r.row_count) for r in ledger.collect()} == {"julho": ("parsed", 1), "abril": ("parsed", 2)}
+    assert spark.read.parquet(silver).count() == 3
+
+
+def test_the_limit_takes_the_first_by_path(spark, tmp_path):
+    raw, silver = tmp_path / "raw", str(tmp_path / "silver")
+    for month in ("abril", "janeiro", "julho", "outubro"):
+        put(raw, f"norte/acre/2021/{month}/x/Relatório Sintético de Materiais.xlsx", workbook([MAT, ["A1", "Cal", "kg", 10.0]]))
+    ledger, seen = pipeline.empty_parses(spark), []
+    for _ in range(3):
+        ledger = pipeline.run_silver(spark, str(raw), silver, ledger, "2024-01-01 00:00:00", limit=2, files_per_round=1)
+        seen.append(sorted(r.month for r in ledger.collect()))
+    assert seen == [["abril", "janeiro"], ["abril", "janeiro", "julho", "outubro"], ["abril", "janeiro", "julho", "outubro"]]
+    assert not list((tmp_path / "raw").glob("**/*.parquet")) and spark.read.parquet(silver).count() == 4
+
+
+def test_a_refresh_opens_touched_folders_only(spark, tmp_path, capsys):
+    path = str(tmp_path / "table")
+    rows = [(i, f"s{i % 5}", i % 2 == 0, None if i % 7 == 0 else i % 3) for i in range(60)]
+    table = spark.createDataFrame(rows, "id int, state string, flag boolean, part int")
+    table.write.partitionBy("state", "flag", "part").parquet(path)
+    target = spark.read.schema(table.schema).parquet(path)
+    touched = table.where("id in (3, 7)")
+    found = keyed.in_partitions(target, touched, ["state", "flag", "part"])
+    found.explain("formatted")
+    filters = re.search(r"PartitionFilters: \[(.*)\]", capsys.readouterr().out).group(1)
+    assert "s3" in filters and "s2" in filters and "isnull(part" in filters
+    want = {r[0] for r in rows if r[1:] in {q[1:] for q in rows if q[0] in (3, 7)}}
+    assert {r.id for r in found.collect()} == want
+
+
 def test_only_reachable_pages_are_harvested(spark):
     root = "https://h.example/reports"
 
