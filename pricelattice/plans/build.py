@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pricelattice import vocabulary as V
 from pricelattice.plans import marts
 from pricelattice.plans.staging import STAGES
-from pricelattice.plans.views import view
+from pricelattice.plans.views import biggest_changes, view
+from pricelattice.session import drop_scratch, scratch_path
 
+# Names of the gold relations.
 VIEW_NAMES = [
     "vw_preco_atual", "vw_evolucao_preco", "vw_comparacao_regime", "vw_comparacao_uf", "vw_indice_reajuste",
     "vw_maiores_variacoes", "vw_breakdown_equipamento", "vw_breakdown_mao_de_obra", "vw_cobertura",
@@ -63,10 +66,13 @@ def export_clustered(df: DataFrame, path: str, cluster: list[str], order: list[s
     return df.sparkSession.read.parquet(path)
 
 
-def export_bucketed(df: DataFrame, path: str, table: str, keys: list[str]) -> DataFrame:
-    """Write as an external table bucketed by ``keys``, one file per bucket."""
+def export_bucketed(df: DataFrame, path: str, table: str, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """Write as an external table bucketed by ``keys``, one file per bucket.
+
+    ``buckets`` should leave a bucket some hundred megabytes; the session's shuffle partitions by default.
+    """
     spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
         df.repartition(n, *keys)
         .write.mode("overwrite").option("path", path).bucketBy(n, *keys).saveAsTable(table)
@@ -74,33 +80,43 @@ def export_bucketed(df: DataFrame, path: str, table: str, keys: list[str]) -> Da
     return spark.table(table)
 
 
+def long_fact_table(root: str) -> str:
+    """Name under which the session's catalog knows the long fact of a gold folder, with its buckets."""
+    return f"pl_{hashlib.md5(root.encode()).hexdigest()[:12]}_fato_medicao"
+
+
+def export_long_fact(long_fact: DataFrame, root: str, buckets: int | None = None) -> DataFrame:
+    return export_bucketed(long_fact, f"{root}/fato_medicao", long_fact_table(root), BUCKET_KEYS, buckets)
+
+
 def write_mart(
-    name: str, staged: dict[str, DataFrame], states: DataFrame, months: DataFrame, written: Mapping[str, DataFrame],
-    root: str, table_prefix: str,
+    name: str, staged: dict[str, DataFrame], states: DataFrame, months: DataFrame, written: Mapping[str, DataFrame], root: str
 ) -> DataFrame:
     """Write one mart under ``root``; the long fact is built from the written wide facts."""
     if name != "fato_medicao":
         return export_table(define_mart(name, staged, states, months), f"{root}/{name}")
-    facts = {t: written[fact] for t, fact in marts.FACT_NAME.items()}
-    return export_bucketed(marts.build_long_fact(facts), f"{root}/{name}", f"{table_prefix}_{name}", BUCKET_KEYS)
+    return export_long_fact(marts.build_long_fact({t: written[fact] for t, fact in marts.FACT_NAME.items()}), root)
 
 
 def build_gold(
-    silver: dict[str, DataFrame], states: DataFrame, months: DataFrame, root: str, table_prefix: str
+    silver: dict[str, DataFrame], states: DataFrame, months: DataFrame, root: str
 ) -> dict[str, DataFrame]:
     """Write all marts under ``root``."""
     staged = {t: STAGES[t](df) for t, df in silver.items()}
     written: dict[str, DataFrame] = {}
     for name in MART_NAMES:
-        written[name] = write_mart(name, staged, states, months, written, root, table_prefix)
+        written[name] = write_mart(name, staged, states, months, written, root)
     return written
 
 
 def register_catalog(spark: SparkSession, root: str, names: list[str] | None = None) -> list[str]:
-    """One temp view per gold relation found under ``root``/name."""
+    """One temp view per gold relation found under ``root``/name; the long fact with its buckets if this catalog wrote it."""
     names = MART_NAMES + VIEW_NAMES if names is None else names
     types = {name: tipo for tipo, name in marts.FACT_NAME.items()}
     for name in names:
+        if name == "fato_medicao" and spark.catalog.tableExists(long_fact_table(root)):
+            spark.table(long_fact_table(root)).createOrReplaceTempView(name)
+            continue
         # facts may be partitioned; folder names carry no types
         reader = spark.read.schema(marts.fact_schema(types[name])) if name in types else spark.read
         reader.parquet(f"{root}/{name}").createOrReplaceTempView(name)
@@ -109,12 +125,18 @@ def register_catalog(spark: SparkSession, root: str, names: list[str] | None = N
 
 def export_views(marts_by_name: dict[str, DataFrame], root: str) -> None:
     """Write the nine views; the evolution clustered by the columns it is filtered on."""
+    spark = marts_by_name["dim_uf"].sparkSession
+    # the range partitioning reads its input twice, and the movers read it again: written once
+    aside = scratch_path(spark, "evolution")
+    evolution = export_table(view("vw_evolucao_preco", marts_by_name), aside)
     for name in VIEW_NAMES:
-        df = view(name, marts_by_name)
         if name == "vw_evolucao_preco":
-            export_clustered(df, f"{root}/{name}", ["tipo", "medida", "state_slug"], ["period_start", "codigo"])
+            export_clustered(evolution, f"{root}/{name}", ["tipo", "medida", "state_slug"], ["period_start", "codigo"])
+        elif name == "vw_maiores_variacoes":
+            export_table(biggest_changes(evolution), f"{root}/{name}")
         else:
-            export_table(df, f"{root}/{name}")
+            export_table(view(name, marts_by_name), f"{root}/{name}")
+    drop_scratch(spark, aside)
 
 
 def export_gold(marts_by_name: dict[str, DataFrame], root: str) -> None:

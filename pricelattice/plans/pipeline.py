@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelattice import vocabulary as V
-from pricelattice.operators import graph, keyed
+from pricelattice.operators import graph, keyed, quality
 from pricelattice.plans import build, marts
 from pricelattice.plans.staging import STAGES
 from pricelattice.session import broadcast_if_small, cut_lineage, drop_scratch, path_exists, scratch_path
@@ -151,17 +151,21 @@ def refresh_fact(spark: SparkSession, tipo: str, staged: DataFrame, months: Data
     # written once: the batch serves to find the touched partitions and to fill them
     aside = scratch_path(spark, "fact-batch")
     marts.build_fact(tipo, staged, months, fact_table(spark, tipo, path)).write.parquet(aside)
-    batch = spark.read.parquet(aside)
+    batch = spark.read.schema(marts.fact_schema(tipo)).parquet(aside)
     if key_only:
         keyed.merge_into_table(spark, path, batch, marts.FACT_KEY[tipo], _table_keys(tipo))
     else:
         keyed.overwrite_partitions(batch, path, _table_keys(tipo))
+    drop_scratch(spark, aside)
 
 
-def run_gold(spark: SparkSession, silver_root: str, gold_root: str, states: DataFrame, months: DataFrame, full: bool = False) -> None:
-    """Build or refresh all sixteen gold relations under ``gold_root``.
+def run_gold(
+    spark: SparkSession, silver_root: str, gold_root: str, states: DataFrame, months: DataFrame, full: bool = False
+) -> list[tuple[str, int]]:
+    """Build or refresh all sixteen gold relations under ``gold_root``; returns the warnings of the data checks.
 
     Facts live in partitioned tables and are refreshed incrementally unless ``full``.
+    The marts are checked before the views are written, so an error leaves the views as they were.
     """
     staged = {t: STAGES[t](df) for t, df in read_silver_by_type(spark, silver_root).items()}
     tables = {
@@ -178,5 +182,8 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, states: Data
             refresh_fact(spark, tipo, staged[tipo], months, path)
         tables[name] = fact_table(spark, tipo, path)
     facts = {t: tables[n] for t, n in marts.FACT_NAME.items()}
-    tables["fato_medicao"] = build.export_table(marts.build_long_fact(facts), f"{gold_root}/fato_medicao")
+    tables["fato_medicao"] = build.export_long_fact(marts.build_long_fact(facts), gold_root)
+    quality.require(tables)
     build.export_views(tables, gold_root)
+    written = {name: spark.read.parquet(f"{gold_root}/{name}") for name in ("vw_cobertura", "vw_evolucao_preco")}
+    return quality.require(written)

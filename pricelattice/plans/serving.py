@@ -1,7 +1,7 @@
 """Parameterised questions a price dashboard asks of the views.
 
-A parameter left ``None`` does not filter.  Filters sit directly on the views, so
-Catalyst carries them to the scans.  Nothing is collected here.
+A parameter left ``None`` does not filter.  The views are best built from marts narrowed to the same
+item, type and states (``views.narrowed``), so that only their rows are read.
 """
 
 from __future__ import annotations

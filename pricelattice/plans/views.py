@@ -1,13 +1,15 @@
 """The nine analytical views over the star schema.
 
-Each is a function of DataFrames, so filters of a caller reach the scan of the fact:
-filters on series columns pass below the windows, filters on labels prune the
-dimension.  Joins to dimensions carry no hint; Spark broadcasts a dimension whose
-size it knows to be small and shuffles otherwise.
+Each is a function of DataFrames.  A caller that wants one item, type or state narrows the
+marts first (``narrowed``): the fact is then filtered by its own columns, below the windows
+and at the scan; a filter on a view's labels alone would stop at the dimensions.  Joins to dimensions carry no hint; Spark
+broadcasts a dimension whose size it knows to be small and shuffles otherwise.
 """
 
 from __future__ import annotations
 
+from collections import ChainMap
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pricelattice import vocabulary as V
 from pricelattice.functions.numeric import relative_change
+from pricelattice.functions.text import surrogate_key
 from pricelattice.operators.median import exact_median
 from pricelattice.operators.ranking import top_per_group
 from pricelattice.plans.marts import FACT_NAME, SERIES_KEYS, series_window
@@ -212,7 +215,26 @@ def coverage(periods: DataFrame, states: DataFrame) -> DataFrame:
     ).orderBy("tipo", "state_slug")
 
 
-def view(name: str, marts: dict[str, DataFrame]) -> DataFrame:
+def narrowed(
+    marts: Mapping[str, DataFrame], tipo: str | None = None, codigo: str | None = None, state_names: list[str] | None = None
+) -> Mapping[str, DataFrame]:
+    """The marts with the long fact cut to a type, an item and states by the fact's own columns.
+
+    An item's key is a hash of type and code, so it is a literal here; the few state names are looked up
+    in the dimension.  All three are part of the series key, so windows over series see whole series.
+    """
+    fact = marts["fato_medicao"]
+    if tipo is not None:
+        fact = fact.where(F.col("medida").isin(V.MEASURES[tipo]))
+    if tipo is not None and codigo is not None:
+        fact = fact.where(F.col("insumo_id") == surrogate_key(F.lit(tipo), F.lit(codigo)))
+    if state_names:
+        found = marts["dim_uf"].where(F.col("state_name").isin(list(state_names))).select("state_slug").collect()
+        fact = fact.where(F.col("state_slug").isin([r.state_slug for r in found]))
+    return ChainMap({"fato_medicao": fact}, marts)
+
+
+def view(name: str, marts: Mapping[str, DataFrame]) -> DataFrame:
     """One of the nine views by name, from the mart tables by name."""
     items, states = marts["dim_insumo"], marts["dim_uf"]
 

@@ -247,6 +247,11 @@ def parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def link_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A directed graph over customers: each order points from its customer to another."""
+    """A directed graph over customers: each order points from its customer to another.
+
+    Targets range over as many ids as the table has, so the graph grows with the data.
+    """
     orders = read_table(spark, sf_dir, "orders")
-    return orders.select(F.col("o_custkey").alias("src"), ((F.col("o_custkey") * 7 + F.col("o_orderkey") % 11) % 100_003).alias("dst"))
+    ids = orders.agg((F.coalesce(F.max("o_custkey"), F.lit(0)) + 1).alias("n"))
+    target = (F.col("o_custkey") * 7 + F.col("o_orderkey") % 11) % F.col("n")
+    return orders.join(F.broadcast(ids)).select(F.col("o_custkey").alias("src"), target.alias("dst"))  # one row joined

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,35 +74,11 @@ def _(k: Lake) -> DataFrame:
     return with_month_number(used, k.months, "month")
 
 
-@query("list_objects")
-def _(k: Lake) -> DataFrame:
-    return files.list_objects(k.spark, k.sf_dir, glob="*.parquet")
-
-
 @query("content_sha256")
 def _(k: Lake) -> DataFrame:
     return k.table("documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
 
 
-@query("archive_members")
-def _(k: Lake) -> DataFrame:
-    """Every page as a zip archive of two members, written by tasks, listed and hashed."""
-
-    def pack(batches):
-        for batch in batches:
-            def one(row):
-                out = io.BytesIO()
-                with zipfile.ZipFile(out, "w") as z:
-                    z.writestr("page/body.html", row.html)
-                    z.writestr("page/address.txt", row.url)
-                return out.getvalue()
-            batch["content"] = [one(r) for r in batch.itertuples()]
-            yield batch[["page_id", "content"]].rename(columns={"page_id": "path"}).astype({"path": str})
-
-    archives = k.table("pages").mapInPandas(pack, "path string, content binary")
-    return files.expand_archives(archives).select("path", "member", "size", F.sha2("content", 256).alias("sha256"))
-
-
 # ---- file classification ------------------------------------------------------------------------
 
 
@@ -236,7 +209,7 @@ query("ledger_upsert")(
 query("pending_files")(
     lambda k: keyed.pending(_parses(k).select("blob_name").distinct(), _first_parses(k), "blob_name")
 )
-query("failed_files")(lambda k: _first_parses(k).where("status = 'failed'").select("blob_name", "error"))
+query("failed_files")(lambda k: _parses(k).where("status = 'failed'").select("blob_name", "error"))
 
 # ---- sheets ----------------------------------------------------------------------------------------------
 

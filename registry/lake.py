@@ -6,7 +6,6 @@ serving queries are computed over them.  Tables go to the session's shared folde
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -30,11 +29,10 @@ class Gold(dict):
         super().__init__()
         self.source = source
         self.root = scratch_path(source.spark, "gold")
-        self.prefix = "pl_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
 
     def __missing__(self, name: str) -> DataFrame:
         k = self.source
-        self[name] = build.write_mart(name, k.staged, k.states, k.months, self, self.root, self.prefix)
+        self[name] = build.write_mart(name, k.staged, k.states, k.months, self, self.root)
         return self[name]
 
     def all(self) -> dict[str, DataFrame]:
@@ -106,8 +104,9 @@ class Lake:
     def facts(self) -> dict[str, DataFrame]:
         return {t: self.gold[n] for t, n in FACT_NAME.items()}
 
-    def view(self, name: str) -> DataFrame:
-        return views.view(name, self.gold)
+    def view(self, name: str, **only) -> DataFrame:
+        """A view, of one type, item or some states if they are given."""
+        return views.view(name, views.narrowed(self.gold, **only) if only else self.gold)
 
     @cached_property
     def _old_facts(self) -> dict[str, DataFrame]:

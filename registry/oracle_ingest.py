@@ -18,10 +18,6 @@ oracle("seed_month_lookup", """
 SELECT month, n, month_number AS mes_numero
 FROM (SELECT month, count(*) AS n FROM s_panel GROUP BY month) JOIN s_months ON month = month_name""")
 oracle("content_sha256", "SELECT doc_id, sha256(text) AS sha256 FROM documents")
-oracle("archive_members", """
-SELECT page_id::VARCHAR AS path, 'page/body.html' AS member, strlen(html) AS size, sha256(html) AS sha256 FROM pages
-UNION ALL SELECT page_id::VARCHAR, 'page/address.txt', strlen(url), sha256(url) FROM pages""")
-
 # ---- files -----------------------------------------------------------------------------------
 
 cte("i_real", "SELECT DISTINCT blob_name AS path FROM s_panel")
@@ -72,7 +68,8 @@ SELECT page_id, url AS link, p[-1] AS filename, p[-5] AS region, p[-4] AS state_
 FROM (SELECT *, url.split('/') AS p FROM pages)""")
 oracle("link_reachability", """
 SELECT node, min(depth)::INTEGER AS depth FROM (
-  WITH RECURSIVE edges AS (SELECT DISTINCT o_custkey AS src, (o_custkey * 7 + o_orderkey % 11) % 100003 AS dst FROM orders),
+  WITH RECURSIVE edges AS (
+    SELECT DISTINCT o_custkey AS src, (o_custkey * 7 + o_orderkey % 11) % (SELECT max(o_custkey) + 1 FROM orders) AS dst FROM orders),
   walk AS (SELECT r_regionkey::BIGINT AS node, 0 AS depth FROM region
            UNION SELECT dst, depth + 1 FROM walk JOIN edges ON src = node WHERE depth < 5)
   SELECT * FROM walk)
@@ -145,7 +142,7 @@ FROM o_ledger l FULL JOIN (SELECT * FROM o_parses WHERE seq % 2 = 1
 oracle("pending_files", """
 SELECT DISTINCT blob_name FROM o_parses
 WHERE blob_name NOT IN (SELECT blob_name FROM o_ledger WHERE status = 'parsed')""")
-oracle("failed_files", "SELECT blob_name, error FROM o_ledger WHERE status = 'failed'")
+oracle("failed_files", "SELECT blob_name, error FROM o_parses WHERE status = 'failed'")
 
 # ---- sheets -------------------------------------------------------------------------------------------
 

@@ -18,6 +18,7 @@ from registry.queries import query
 MATERIAL, EQUIPMENT, LABOUR = "c3", "c4", "c5"
 STATE_NAME, STATE_SLUG = "Nation 20", "nation_20"
 STATE_NAMES = ["Nation 3", "Nation 15", "Nation 20"]
+_EQUIPMENT = {"tipo": V.EQUIPMENT, "codigo": EQUIPMENT}
 
 # ---- operators the marts are made of ------------------------------------------------------
 
@@ -121,19 +122,21 @@ def _(k: Lake) -> DataFrame:
 
 # ---- serving --------------------------------------------------------------------------------------------
 
-query("serve_preco_atual")(lambda k: serving.current_prices(k.view("vw_preco_atual"), V.EQUIPMENT, state_name=STATE_NAME, desonerado=False))
-query("serve_evolucao_uf")(lambda k: serving.series_in_state(k.view("vw_evolucao_preco"), k.gold["dim_insumo"], V.LABOUR, STATE_NAME, LABOUR))
-query("serve_evolucao_media")(lambda k: serving.series_over_states(k.view("vw_evolucao_preco"), k.gold["dim_insumo"], V.EQUIPMENT, EQUIPMENT))
-query("serve_kpis")(lambda k: serving.item_indicators(k.view("vw_preco_atual"), k.view("vw_evolucao_preco"), V.EQUIPMENT, EQUIPMENT, STATE_NAME))
-query("serve_preco_por_estado")(lambda k: serving.price_by_state(k.view("vw_preco_atual"), V.EQUIPMENT, EQUIPMENT))
-query("serve_regime")(lambda k: serving.regime_rows(k.view("vw_comparacao_regime"), V.EQUIPMENT, EQUIPMENT, STATE_NAMES))
-query("serve_regime_media")(lambda k: serving.regime_means(k.view("vw_comparacao_regime"), V.EQUIPMENT, EQUIPMENT))
-query("serve_regime_tabela")(lambda k: serving.regime_table(k.view("vw_comparacao_regime"), V.EQUIPMENT, EQUIPMENT))
-query("serve_comparacao_uf")(lambda k: serving.item_across_states(k.view("vw_comparacao_uf"), EQUIPMENT, "custo_produtivo"))
-query("serve_indice")(lambda k: serving.index_series(k.view("vw_indice_reajuste"), k.gold["dim_uf"], V.EQUIPMENT, STATE_NAMES))
-query("serve_top20_regional")(lambda k: serving.top_movers(k.view("vw_evolucao_preco"), k.gold["dim_uf"], V.EQUIPMENT, region="africa", desonerado=False))
+query("serve_preco_atual")(lambda k: serving.current_prices(k.view("vw_preco_atual", tipo=V.EQUIPMENT, state_names=[STATE_NAME]), V.EQUIPMENT, state_name=STATE_NAME, desonerado=False))
+query("serve_evolucao_uf")(lambda k: serving.series_in_state(
+    k.view("vw_evolucao_preco", tipo=V.LABOUR, codigo=LABOUR, state_names=[STATE_NAME]), k.gold["dim_insumo"], V.LABOUR, STATE_NAME, LABOUR
+))
+query("serve_evolucao_media")(lambda k: serving.series_over_states(k.view("vw_evolucao_preco", **_EQUIPMENT), k.gold["dim_insumo"], V.EQUIPMENT, EQUIPMENT))
+query("serve_kpis")(lambda k: serving.item_indicators(k.view("vw_preco_atual", **_EQUIPMENT), k.view("vw_evolucao_preco", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT, STATE_NAME))
+query("serve_preco_por_estado")(lambda k: serving.price_by_state(k.view("vw_preco_atual", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT))
+query("serve_regime")(lambda k: serving.regime_rows(k.view("vw_comparacao_regime", **_EQUIPMENT, state_names=STATE_NAMES), V.EQUIPMENT, EQUIPMENT, STATE_NAMES))
+query("serve_regime_media")(lambda k: serving.regime_means(k.view("vw_comparacao_regime", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT))
+query("serve_regime_tabela")(lambda k: serving.regime_table(k.view("vw_comparacao_regime", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT))
+query("serve_comparacao_uf")(lambda k: serving.item_across_states(k.view("vw_comparacao_uf", **_EQUIPMENT), EQUIPMENT, "custo_produtivo"))
+query("serve_indice")(lambda k: serving.index_series(k.view("vw_indice_reajuste", tipo=V.EQUIPMENT, state_names=STATE_NAMES), k.gold["dim_uf"], V.EQUIPMENT, STATE_NAMES))
+query("serve_top20_regional")(lambda k: serving.top_movers(k.view("vw_evolucao_preco", tipo=V.EQUIPMENT), k.gold["dim_uf"], V.EQUIPMENT, region="africa", desonerado=False))
 query("serve_top20_tabela")(lambda k: serving.movers_table(
-    serving.top_movers(k.view("vw_evolucao_preco"), k.gold["dim_uf"], V.MATERIAL)
+    serving.top_movers(k.view("vw_evolucao_preco", tipo=V.MATERIAL), k.gold["dim_uf"], V.MATERIAL)
 ))
 query("serve_detalhe_equip")(lambda k: serving.equipment_components(k.view("vw_breakdown_equipamento"), EQUIPMENT, STATE_SLUG))
 query("serve_detalhe_equip_tabela")(lambda k: serving.equipment_table(k.view("vw_breakdown_equipamento"), EQUIPMENT, STATE_SLUG))
@@ -144,7 +147,7 @@ query("serve_cobertura_resumo")(lambda k: serving.coverage_summary(k.view("vw_co
 query("serve_periodo_span")(lambda k: serving.publication_span(k.gold["dim_data_referencia"]))
 query("list_ufs")(lambda k: serving.list_states(k.gold["dim_uf"]))
 query("list_insumos")(lambda k: serving.list_items(k.gold["dim_insumo"]))
-query("list_medidas")(lambda k: serving.list_measures(k.view("vw_evolucao_preco"), V.EQUIPMENT, EQUIPMENT))
+query("list_medidas")(lambda k: serving.list_measures(k.view("vw_evolucao_preco", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT))
 query("list_periodos")(lambda k: serving.list_periods(k.view("vw_breakdown_equipamento"), EQUIPMENT, STATE_SLUG))
 
 

@@ -169,7 +169,7 @@ def gold(spark, tmp_path_factory):
         for regime in [True, False]:
             equ.append(("e1", "grua", "acre", year, month, regime, False, f"e{i}{regime}", 1, 100.0 if regime else 80.0 * i))
     parts = {V.MATERIAL: silver(spark, V.MATERIAL, mat), V.EQUIPMENT: silver(spark, V.EQUIPMENT, equ), V.LABOUR: silver(spark, V.LABOUR, [])}
-    return build.build_gold(parts, seeds.states(spark), seeds.months(spark), str(tmp_path_factory.mktemp("gold")), "test_gold")
+    return build.build_gold(parts, seeds.states(spark), seeds.months(spark), str(tmp_path_factory.mktemp("gold")))
 
 
 def test_unknown_state_is_in_facts_but_in_no_view(gold):
@@ -264,6 +264,16 @@ def test_export_and_catalog(spark, gold, tmp_path):
     assert spark.table("vw_evolucao_preco").count() == views.view("vw_evolucao_preco", gold).count()
 
 
+def test_filters_of_a_narrowed_view_reach_the_scan(gold, capsys):
+    marts = views.narrowed(gold, tipo=V.MATERIAL, codigo="m1", state_names=["Acre"])
+    found = views.view("vw_evolucao_preco", marts)
+    found.explain("formatted")
+    pushed = [line for line in capsys.readouterr().out.splitlines() if "PushedFilters" in line and "medida" in line][0]
+    assert "EqualTo(insumo_id" in pushed and "state_slug" in pushed and "acre" in pushed and "preco_unitario" in pushed
+    whole = views.view("vw_evolucao_preco", gold).where("tipo = 'materiais' and codigo = 'm1' and state_name = 'Acre'")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+
+
 def test_series_jobs_need_no_shuffle(gold):
     plan = views.series_changes(gold["fato_medicao"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Bucketed: true" in plan

@@ -8,7 +8,7 @@ from xml.sax.saxutils import escape
 import pytest
 
 from pricelattice.operators import keyed, quality
-from pricelattice.plans import build, pipeline, seeds
+from pricelattice.plans import build, pipeline, seeds, views
 from pricelattice.sources import workbooks
 
 NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -81,7 +81,7 @@ def test_runs(spark, tmp_path):
         f"{acre}/abril/x/Relatório Sintético de Mão de Obra - com desoneração.xlsx": ("parsed", 1, None),
     }
     states, months = seeds.states(spark), seeds.months(spark)
-    pipeline.run_gold(spark, silver, gold, states, months)
+    assert pipeline.run_gold(spark, silver, gold, states, months) == [("warn_cobertura_com_lacunas", 1)]
 
     def prices():
         rows = spark.read.parquet(f"{gold}/vw_evolucao_preco").where("tipo = 'materiais'").collect()
@@ -110,6 +110,16 @@ def test_runs(spark, tmp_path):
     names = build.register_catalog(spark, gold)
     assert len(names) == 16
     assert quality.require({n: spark.table(n) for n in names}) == [("warn_variacao_percentual_suspeita", 2)]
+    plan = views.series_changes(spark.table("fato_medicao"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+
+    # a negative price stops the run before the views are written
+    put(raw, f"{bahia}/outubro/{name}", workbook([MAT, ["A1", "Cal", "kg", -1.0]]))
+    pipeline.run_silver(spark, str(raw), silver, again, "2024-03-01 00:00:00")
+    before = prices()
+    with pytest.raises(quality.QualityError, match="valor_positivo: 1"):
+        pipeline.run_gold(spark, silver, gold, states, months)
+    assert prices() == before
 
 
 def broken_off(rows):
