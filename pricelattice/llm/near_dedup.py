@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelattice.llm import words as W
-from pricelattice.llm.sets import agreeing, links_across
-from pricelattice.llm.steps import linked, written
+from pricelattice.llm.sets import links_within
+from pricelattice.llm.steps import rooted, sharing_groups, written
 from pricelattice.session import broadcast_if_small
 
 _U = np.uint64
@@ -106,27 +106,17 @@ def near_duplicates(
         ),
         "sketches",
     )
-    spread = classes.select(F.explode("bands").alias("bucket"), F.col("key").alias("node")).distinct()
-    sets = None
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        nonlocal sets
-        if sets is None:  # the first round names every node that has a candidate
-            wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-            wanted = broadcast_if_small(classes.select("key", "doc_id").join(wanted, "key"), written=True)
-            wanted = wanted.select(F.col("key").alias("_key"), F.col("doc_id").alias("_least"))
-            found = keyed.join(wanted, "_key").where(F.col(id_col).eqNullSafe(F.col("_least")))
-            sets = written(
-                found.select(F.col("_key").alias("key"), F.col(text_col).alias("text")).mapInArrow(
-                    lambda batches: _sets(batches, shingle), "node binary, items binary"
-                ).dropDuplicates(["node"]), "sets",
-            )
-        full = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b"
-        ).select("a", "b", "x", "y")
-        return full.mapInArrow(lambda batches: agreeing(batches, percent), "a binary, b binary")
-
-    roots = linked(spread, confirm, lambda groups: links_across(groups, sets, percent), "near")
+    groups = sharing_groups(classes.select(F.explode("bands").alias("bucket"), F.col("key").alias("node")), "near")
+    nodes = groups.select("node").distinct()
+    wanted = classes.select("key", "doc_id").join(nodes.withColumnRenamed("node", "key"), "key")
+    wanted = broadcast_if_small(wanted.select(F.col("key").alias("_key"), F.col("doc_id").alias("_least")), written=True)
+    found = keyed.join(wanted, "_key").where(F.col(id_col).eqNullSafe(F.col("_least")))
+    sets = written(
+        found.select(F.col("_key").alias("key"), F.col(text_col).alias("text")).mapInArrow(
+            lambda batches: _sets(batches, shingle), "node binary, items binary"
+        ).dropDuplicates(["node"]), "sets",
+    )
+    roots = rooted(nodes, written(links_within(groups, sets, percent), "near-links"), "near")
     named = classes.select("key", "doc_id", "n_shingles").join(roots.withColumnRenamed("node", "key"), "key", "left")
     named = written(named.withColumn("root", F.coalesce("root", "key")), "near-classes")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))

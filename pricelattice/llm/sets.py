@@ -12,55 +12,52 @@ from pyspark.sql import functions as F
 from pricelattice.llm.steps import written
 
 
-def agreeing(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) whose sets x and y reach a Jaccard similarity of ``percent``."""
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch["x"], batch["y"]):
-            x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (x, y))
-            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                keep.append(False)
-                continue
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= percent * (len(x) + len(y) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-def links_across(groups: DataFrame, sets: DataFrame, percent: int, block: int = 256) -> DataFrame:
-    """Links (a, b) of ``percent`` between nodes of one group (lead) and different roots.
-
-    ``groups`` has (lead, node, root, n) with the group's size, ``sets`` (node, items).  A group is cut into blocks of about
-    ``block`` nodes; a row of work is a pair of blocks, compared in memory, so a group
-    of any size is spread over tasks; of the links in a pair only enough to connect what they connect are written.
+def links_within(groups: DataFrame, sets: DataFrame, percent: int, block: int = 256) -> DataFrame:
+    """Links (a, b) between nodes of one group whose sets reach a Jaccard similarity of ``percent``.
+
+    ``groups`` has (lead, node, n) with the group's size, ``sets`` (node, items).  A group of at most ``block`` nodes is compared in
+    one piece.  A greater one is cut into blocks of about that many; a row of work is then a pair of blocks, so a group of
+    any size is spread over tasks.  Every pair of nodes is compared, in memory; of the
+    links in a piece only enough to connect what they connect are written.
     """
     kind = groups.schema["node"].dataType.simpleString()
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / block)).cast("int")
-    blocks = written(
-        groups.withColumn("block", part).join(sets, "node").groupBy("lead", "block").agg(
-            F.collect_list(F.struct("node", "root", "items")).alias("held"), F.min("root").alias("lo"), F.max("root").alias("hi")
-        ), "blocks",
-    )
-    one = blocks.select("lead", F.col("block").alias("i"), F.col("lo").alias("li"), F.col("hi").alias("hi_i"))
-    two = blocks.select("lead", F.col("block").alias("j"), F.col("lo").alias("lj"), F.col("hi").alias("hi_j"))
-    work = one.join(two, "lead").where("i <= j and not (li = hi_i and lj = hi_j and li = lj)").select("lead", "i", "j")
-    work = work.join(blocks.select("lead", F.col("block").alias("i"), F.col("held").alias("x")), ["lead", "i"]).join(
-        blocks.select("lead", F.col("block").alias("j"), F.col("held").alias("y")), ["lead", "j"]
-    ).select((F.col("i") == F.col("j")).alias("same"), "x", "y")
-    found = work.mapInArrow(lambda batches: _across(batches, percent), f"a {kind}, b {kind}")
+    held = F.collect_list(F.struct("node", "items"))
+    whole = groups.where(F.col("n") <= block).join(sets, "node").groupBy("lead").agg(held.alias("x"))
+    found = whole.select("x").mapInArrow(lambda batches: _linked(batches, percent), f"a {kind}, b {kind}")
+    large = groups.where(F.col("n") > block)
+    if not large.isEmpty():
+        part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / block)).cast("int")
+        blocks = written(
+            large.withColumn("block", part).join(sets, "node").groupBy("lead", "block").agg(held.alias("held")), "blocks"
+        )
+        one = blocks.select("lead", F.col("block").alias("i"))
+        work = one.join(one.withColumnRenamed("i", "j"), "lead").where("i <= j")
+        work = work.join(blocks.select("lead", F.col("block").alias("i"), F.col("held").alias("x")), ["lead", "i"]).join(
+            blocks.select("lead", F.col("block").alias("j"), F.col("held").alias("y")), ["lead", "j"]
+        ).select("x", F.when(F.col("i") < F.col("j"), F.col("y")).alias("y"))
+        found = found.union(work.mapInArrow(lambda batches: _linked(batches, percent), f"a {kind}, b {kind}"))
     return found.distinct()
 
 
-def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Spanning links within x, or between x and y where y is given."""
     for batch in batches:
         for i in range(batch.num_rows):
-            x, y = (_held(batch[c][i]) for c in ("x", "y"))
-            shared = common(x[2], y[2])
-            sizes = np.array([len(s) for s in x[2]])[:, None] + np.array([len(s) for s in y[2]])[None, :]
-            linked = (100 * shared >= percent * (sizes - shared)) & (x[1][:, None] != y[1][None, :])
-            label = spanning(linked, batch["same"][i].as_py())
-            nodes = x[0] if batch["same"][i].as_py() else pa.concat_arrays([x[0], y[0]])
+            x = _held(batch["x"][i])
+            same = "y" not in batch.schema.names or not batch["y"][i].is_valid
+            y = x if same else _held(batch["y"][i])
+            shared = common(x[1], y[1])
+            sizes = np.array([len(s) for s in x[1]])[:, None] + np.array([len(s) for s in y[1]])[None, :]
+            label = spanning(100 * shared >= percent * (sizes - shared), same)
+            nodes = x[0] if same else pa.concat_arrays([x[0], y[0]])
             joined = np.flatnonzero(label != np.arange(len(label)))
-            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(label[joined])), nodes.take(pa.array(joined))], ["a", "b"])
+            if len(joined):
+                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(label[joined])), nodes.take(pa.array(joined))], ["a", "b"])
+
+
+def _held(cell: pa.ListScalar) -> tuple[pa.Array, list[np.ndarray]]:
+    rows = cell.values
+    return rows.field("node"), [np.frombuffer(s.as_py(), np.uint64) for s in rows.field("items")]
 
 
 def spanning(linked: np.ndarray, same: bool) -> np.ndarray:
@@ -77,12 +74,6 @@ def spanning(linked: np.ndarray, same: bool) -> np.ndarray:
             return label
 
 
-def _held(cell: pa.ListScalar) -> tuple[pa.Array, np.ndarray, list[np.ndarray]]:
-    rows = cell.values
-    node, root, items = (rows.field(c) for c in ("node", "root", "items"))
-    return node, root.to_numpy(zero_copy_only=False), [np.frombuffer(s.as_py(), np.uint64) for s in items]
-
-
 def common(x: list[np.ndarray], y: list[np.ndarray], width: int = 4096) -> np.ndarray:
     """Sizes of the intersections of every set of ``x`` with every set of ``y``.
 

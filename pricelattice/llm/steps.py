@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -85,27 +83,20 @@ def _mark(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def linked(
-    members: DataFrame, confirm: Callable[[DataFrame], DataFrame], settle: Callable[[DataFrame], DataFrame], name: str,
-) -> DataFrame:
-    """Components of the true links among nodes that share a bucket: rows (node, root).
+def sharing_groups(members: DataFrame, name: str) -> DataFrame:
+    """Groups of nodes that share buckets, written: (lead, node, n).
 
-    ``members`` has distinct (bucket, node).  A bucket's least node stands for it, and a group is
-    everything that shares a bucket with the same least node; groups of copies have few of them.  First every node is
-    tested against those: ``confirm`` keeps the true ones of pairs (a, b).  Pairs inside one component need no
-    test; groups that still hold several components go as (lead, node, root, n), n the size of the group, to ``settle``, which gives the
-    true links across roots, so no link between candidates is lost.
+    ``members`` has (bucket, node).  A bucket's least node stands for it, and a group is everything that shares
+    a bucket with the same least node; copies of one thing lie in few groups, unlike buckets.  Buckets of one node are dropped.
+    The members are laid out by bucket once, for the minima and for the join with them.
     """
+    members = members.repartition("bucket")
     wide = members.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("hi")).where("lead <> hi")
-    wide = broadcast_if_small(wide.select("bucket", "lead"), 1_000_000, written=True)
-    groups = written(members.join(wide, "bucket").select("lead", "node").distinct(), f"{name}-groups")
-    pairs = groups.where("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b"))
-    links = written(confirm(pairs), f"{name}-links")
-    nodes = groups.select("node").distinct()
-    rooted = lambda found: written(
-        nodes.join(components(found), "node", "left").select("node", F.coalesce("root", "node").alias("root")), f"{name}-roots"
-    )
-    placed = groups.join(rooted(links), "node")
-    mixed = placed.groupBy("lead").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    placed = placed.join(mixed.where("lo <> hi").select("lead", "n"), "lead")
-    return rooted(links.union(written(settle(placed), f"{name}-settled")))
+    groups = written(members.join(wide.select("bucket", "lead"), "bucket").select("lead", "node").distinct(), f"{name}-groups")
+    return groups.join(groups.groupBy("lead").agg(F.count("*").alias("n")), "lead")
+
+
+def rooted(nodes: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """Every node with the least node of its component, written: (node, root)."""
+    known = components(links)
+    return written(nodes.join(known, "node", "left").select("node", F.coalesce("root", "node").alias("root")), f"{name}-roots")
