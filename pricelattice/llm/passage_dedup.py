@@ -1,9 +1,10 @@
-"""Repeated passages: MinHash banding of paragraph windows, exact verification, removal by components."""
+"""Repeated passages: MinHash banding of paragraphs, exact verification, removal by components."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -11,14 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelattice.llm import words as W
-from pricelattice.llm.sets import agreeing, links_across
-from pricelattice.llm.steps import linked, written
+from pricelattice.llm.sets import links_within
+from pricelattice.llm.steps import rooted, sharing_groups, written
 from pricelattice.session import broadcast_if_small
 
 _U = np.uint64
 
 
-def tune_bands(similarity: float, recall: float, most: int = 4) -> tuple[int, int]:
+def tune_bands(similarity: float, recall: float, most: int = 8) -> tuple[int, int]:
     """Bands and rows for the wanted recall at a similarity: the most rows that ``most`` bands allow, else one row."""
     best = None
     for rows in range(1, 9):
@@ -47,46 +48,81 @@ def anchors(grams: np.ndarray, first: np.ndarray, reach: int) -> np.ndarray:
     return found[fresh]
 
 
-def windows_of(texts: list[str | None], length: int, reach: int, shingle: int):
-    """Paragraph windows: words, and for every window its text, first word and shingles."""
-    words = W.words_of(texts)
+@dataclass
+class Units:
+    """Stretches of words of several texts: text, first word, word behind the last, and hash of the words."""
+
+    text: np.ndarray
+    start: np.ndarray
+    stop: np.ndarray
+    node: np.ndarray
+
+
+def units_of(words: W.Words, length: int, reach: int, shingle: int) -> tuple[Units, np.ndarray, Units]:
+    """Paragraphs (lines) of at least ``length`` words with the shingles of all words, and anchored windows of ``length`` words."""
+    n = len(words.hashes)
+    text_of = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+    grams = W.windows_hash(words.hashes, shingle)
+    raw = np.frombuffer(words.data, np.uint8)
+    breaks = np.concatenate([np.flatnonzero(raw == 10), words.begins[1:] - 1])
+    breaks.sort()
+    line = np.searchsorted(breaks, words.starts)
+    start = np.flatnonzero(np.diff(line, prepend=-1))
+    stop = np.append(start[1:], n) if len(start) else start
+    long = stop - start >= length
+    start, stop = start[long], stop[long]
+    paragraphs = Units(text_of[start], start, stop, _stretch_hash(words.hashes, start, stop))
+    # grams that do not cross into the next text
     counts = np.maximum(np.diff(words.first) - shingle + 1, 0)
     first = np.concatenate([[0], np.cumsum(counts)])
-    grams = np.zeros(0, np.uint64)
-    if first[-1]:
-        grams = W.windows_hash(words.hashes, shingle)
-        doc = np.repeat(np.arange(len(texts)), counts)
-        word = words.first[doc] + np.arange(first[-1]) - first[doc]
-        grams = grams[word]
-    at = anchors(grams, first, reach)
-    doc = np.searchsorted(first, at, side="right") - 1
-    start = words.first[doc] + at - first[doc]
-    whole = start + length <= words.first[doc + 1]
-    at, doc, start = at[whole], doc[whole], start[whole]
-    items = grams[at[:, None] + np.arange(length - shingle + 1)] if len(at) else np.zeros((0, length - shingle + 1), np.uint64)
-    node = W.mix(W.windows_hash(words.hashes, length)[start]) if len(at) else np.zeros(0, np.uint64)
-    return words, doc, start, items, node
+    own = np.repeat(words.first[:-1] - first[:-1], counts) + np.arange(first[-1])
+    at = own[anchors(grams[own], first, reach)] if first[-1] else own
+    at = at[at + length <= words.first[text_of[at] + 1]]
+    node = W.windows_hash(words.hashes, length)[at] if len(at) else np.zeros(0, np.uint64)
+    return paragraphs, grams, Units(text_of[at], at, at + length, W.mix(node))
+
+
+def _stretch_hash(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of each of several stretches that do not overlap: their words with their places."""
+    sizes = stop - start
+    word = np.repeat(start - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    place = word - np.repeat(start, sizes)
+    mixed = W.mix(hashes[word] ^ W.mix(place.astype(np.uint64) + _U(1)))
+    total = np.add.reduceat(mixed, np.cumsum(sizes) - sizes) if len(sizes) else np.zeros(0, np.uint64)
+    return W.mix(total + sizes.astype(np.uint64))
 
 
 def _keyed(batches: Iterator[pa.RecordBatch], length: int, reach: int, shingle: int, bands: int, rows: int):
     seeds = W.mix(np.arange(1, bands * rows + 1, dtype=np.uint64))
     for batch in (part for whole in batches for part in W.slices(whole)):
-        words, doc, start, items, node = windows_of(batch["text"].to_pylist(), length, reach, shingle)
-        columns = [batch["doc_id"].take(pa.array(doc)), batch["key"].take(pa.array(doc)),
-                   pa.array((start - words.first[doc]).astype(np.int32)), pa.array(W.signed(node))]
-        for band in range(bands):
-            key = W.mix(np.full(len(doc), band + 1, np.uint64))
-            for seed in seeds[band * rows : (band + 1) * rows]:
-                key = W.mix(key ^ (W.mix(items ^ seed).min(axis=1) if len(doc) else key))
-            columns.append(pa.array(W.signed(key)))
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "at", "node", *[f"b{i}" for i in range(bands)]])
+        words = W.words_of(batch["text"].to_pylist())
+        paragraphs, grams, windows = units_of(words, length, reach, shingle)
+        keys = np.zeros((len(paragraphs.start), bands), np.uint64)
+        if len(keys):
+            sizes = paragraphs.stop - paragraphs.start - shingle + 1
+            at = np.cumsum(sizes) - sizes
+            items = grams[np.repeat(paragraphs.start - at, sizes) + np.arange(sizes.sum())]
+            for band in range(bands):
+                keys[:, band] = W.mix(np.full(len(keys), band + 1, np.uint64))
+                for seed in seeds[band * rows : (band + 1) * rows]:
+                    keys[:, band] = W.mix(keys[:, band] ^ np.minimum.reduceat(W.mix(items ^ seed), at))
+        for units, found in ((paragraphs, keys), (windows, np.zeros((0, bands), np.uint64))):
+            some = len(found) > 0
+            offsets = np.arange(len(units.start) + 1, dtype=np.int32) * (bands if some else 0)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"].take(pa.array(units.text)), batch["key"].take(pa.array(units.text)),
+                 pa.array((units.start - words.first[units.text]).astype(np.int32)),
+                 pa.array((units.stop - words.first[units.text]).astype(np.int32)), pa.array(W.signed(units.node)),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(W.signed(found.ravel())))],
+                ["doc_id", "key", "start", "stop", "node", "bands"],
+            )
 
 
 def _shingled(batches: Iterator[pa.RecordBatch], length: int, reach: int, shingle: int):
-    for batch in (part for whole in batches for part in W.slices(whole, 2 << 20)):
-        _, _, _, items, node = windows_of(batch["text"].to_pylist(), length, reach, shingle)
-        node, where = np.unique(node, return_index=True)
-        sets = [np.unique(row).tobytes() for row in items[where]]
+    for batch in (part for whole in batches for part in W.slices(whole)):
+        paragraphs, grams, _ = units_of(W.words_of(batch["text"].to_pylist()), length, reach, shingle)
+        node, where = np.unique(paragraphs.node, return_index=True)
+        sets = [np.unique(grams[paragraphs.start[i] : paragraphs.stop[i] - shingle + 1]).tobytes() for i in where]
         yield pa.RecordBatch.from_arrays([pa.array(W.signed(node)), pa.array(sets, pa.binary())], ["node", "items"])
 
 
@@ -120,14 +156,14 @@ def repeated_passages(
 ) -> DataFrame:
     """Passages that an earlier document has too: (doc_id, key, gone, kept_in), one row per document that has any.
 
-    Words are runs of anything but ASCII white space with A-Z lowered.  A paragraph is a window of ``length`` words that begins at an
-    anchor, the least of ``reach`` consecutive ``shingle``-word hashes, so the same passage has the same windows wherever it is
-    set in, within a line or across lines: every repeat of length + reach + shingle - 2 = 51 words or more holds
-    one.  Equal windows are one node; others that collide in a MinHash band (bands tuned to ``recall`` at the threshold)
-    are verified by exact Jaccard similarity of their shingles.  In a component of nodes the document of the least id (null first)
-    keeps its windows, the others lose theirs.  Repeats within one document stay; so do texts of
-    fewer than reach + shingle - 1 = 28 words.  Rows equal in id and text are one document.
+    Words are runs of anything but ASCII white space with A-Z lowered.  Two kinds of stretches are compared.  Paragraphs are lines of ``length`` words or
+    more; those that collide in a MinHash band (bands tuned to ``recall`` at the threshold) are verified by the exact Jaccard similarity
+    of their ``shingle``-word shingles, and equal ones are the same node.  Passages that begin or end within a line are met by windows of ``length`` words that begin at an
+    anchor, the least of ``reach`` consecutive shingle hashes: the same passage has the same windows wherever it is
+    set in, and every repeat of length + reach + shingle - 2 = 51 words or more holds one.
 
+    In a component of nodes the document of the least id (null first) keeps its stretches, the others lose theirs.  Repeats within one document stay.
+    Rows equal in id and text are one document; a null or empty text has no passages.
     ``key`` is xxhash64 of the text, ``gone`` the word ranges to cut as [from, to, from, to ...], ``kept_in`` the ids that keep them.
     """
     bands, rows = tune_bands(percent / 100, recall)
@@ -135,53 +171,44 @@ def repeated_passages(
         F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("text")
     ).where("text is not null")
     ids = docs.schema[id_col].dataType.simpleString()
-    names = [f"b{i}" for i in range(bands)]
-    windows = written(
+    units = written(
         rows_in.mapInArrow(
             lambda batches: _keyed(batches, length, reach, shingle, bands, rows),
-            f"doc_id {ids}, key long, at int, node long, {', '.join(n + ' long' for n in names)}",
-        ), "windows",
+            f"doc_id {ids}, key long, start int, stop int, node long, bands array<long>",
+        ), "units",
     )
-    members = windows.select(F.explode(F.array(*names)).alias("bucket"), "node")
-    sets = None
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        nonlocal sets
-        if sets is None:  # the first round names every node that has a candidate
-            wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-            sets = written(
-                rows_in.select("text").mapInArrow(
-                    lambda batches: _shingled(batches, length, reach, shingle), "node long, items binary"
-                ).join(broadcast_if_small(wanted, 1_000_000, written=True), "node", "left_semi").dropDuplicates(["node"]),
-                "window-sets",
-            )
-        full = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b"
-        ).select("a", "b", "x", "y")
-        return full.mapInArrow(lambda batches: agreeing(batches, percent), "a long, b long")
-
-    roots = linked(members, confirm, lambda groups: links_across(groups, sets, percent), "passages").where("node <> root")
-    placed = windows.select("node", "doc_id", "key", "at").join(broadcast_if_small(roots, 1_000_000), "node", "left").select(
-        F.coalesce("root", "node").alias("root"), F.struct("doc_id", "key").alias("doc"), "at"
+    groups = sharing_groups(units.select(F.explode("bands").alias("bucket"), "node"), "paragraphs")
+    nodes = written(groups.select("node").distinct(), "paragraph-nodes")
+    # the texts of one occurrence of each node give the shingles to verify
+    spots = units.where(F.size("bands") > 0).join(nodes, "node").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("doc"))
+    spots = spots.select(F.col("doc.doc_id").alias("_id"), F.col("doc.key").alias("_key")).distinct()
+    spots = broadcast_if_small(spots, 1_000_000, written=True)
+    read = rows_in.join(spots, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    sets = written(
+        read.select("text").mapInArrow(lambda batches: _shingled(batches, length, reach, shingle), "node long, items binary")
+        .join(nodes, "node", "left_semi").dropDuplicates(["node"]), "paragraph-sets",
+    )
+    roots = rooted(nodes, written(links_within(groups, sets, percent), "paragraph-links"), "paragraphs").where("node <> root")
+    placed = units.select("node", "doc_id", "key", "start", "stop").join(broadcast_if_small(roots, 1_000_000), "node", "left").select(
+        F.coalesce("root", "node").alias("root"), F.struct("doc_id", "key").alias("doc"), "start", "stop"
     )
-    groups = placed.groupBy("root").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).where("keeper <> last")
-    lost = placed.join(groups.select("root", "keeper"), "root").where("doc <> keeper").select(
-        "doc.doc_id", "doc.key", "at", F.col("keeper.doc_id").alias("keeper")
+    owners = placed.groupBy("root").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).where("keeper <> last")
+    lost = placed.join(owners.select("root", "keeper"), "root").where("doc <> keeper").select(
+        "doc.doc_id", "doc.key", F.struct("start", "stop").alias("at"), F.col("keeper.doc_id").alias("keeper")
     )
     return lost.groupBy("doc_id", "key").agg(
-        _merged(F.array_sort(F.collect_set("at")), length).alias("gone"), F.array_sort(F.collect_set("keeper")).alias("kept_in")
+        _merged(F.array_sort(F.collect_set("at"))).alias("gone"), F.array_sort(F.collect_set("keeper")).alias("kept_in")
     )
 
 
-def _merged(starts, length: int):
-    """Ascending starts of ranges of one length as disjoint ranges [from, to, ...]."""
-    def add(ranges, at):
-        last = F.try_element_at(ranges, F.lit(-1))
-        return F.when(F.size(ranges) == 0, F.array(at, at + length)).when(
-            at <= last, F.concat(F.slice(ranges, 1, F.greatest(F.size(ranges) - 1, F.lit(0))), F.array(at + length))
-        ).otherwise(F.concat(ranges, F.array(at, at + length)))
+def _merged(ranges):
+    """Ascending ranges (start, stop) as disjoint ones [from, to, from, to ...]."""
+    def add(done, at):
+        last = F.try_element_at(done, F.lit(-1))
+        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.greatest(last, at["stop"])))
+        return F.when((F.size(done) > 0) & (at["start"] <= last), joined).otherwise(F.concat(done, F.array(at["start"], at["stop"])))
 
-    return F.aggregate(starts, F.array().cast("array<int>"), add)
+    return F.aggregate(ranges, F.array().cast("array<int>"), add)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
