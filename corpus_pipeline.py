@@ -32,9 +32,13 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Of rows that share an id and a group one stays; a document without an id stays.
     """
-    kept = near_duplicates(docs).where("kept").select(*docs.columns, "component_id")
-    named = kept.where("component_id is not null").dropDuplicates(["component_id"])
-    return named.union(kept.where("component_id is null")).select(*docs.columns)
+    kept = near_duplicates(docs).where("kept")
+    twins = kept.where("component_id is not null").groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1")
+    twins = written(twins.select("component_id"), "twins")
+    if twins.isEmpty():
+        return kept.select(*docs.columns)
+    single = kept.join(twins, "component_id", "left_anti").select(*docs.columns)
+    return single.union(kept.join(twins, "component_id").dropDuplicates(["component_id"]).select(*docs.columns))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
