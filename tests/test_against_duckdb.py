@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from registry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return compare.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     assert compare.compare(spark, con, SF_DIR, name) is None
 
