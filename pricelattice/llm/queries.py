@@ -17,6 +17,7 @@ from pricelattice.llm.sharding import assign_shards
 from pricelattice.llm.steps import written
 from pricelattice.llm.topk import exact_top_k
 from pricelattice.llm.warc_fixity import audit, record_index, warc_record
+from pricelattice.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,7 +34,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query("op1_packing")
