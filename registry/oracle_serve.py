@@ -6,6 +6,7 @@ from registry.oracle import EQU, LAB, MAT, P3, cte, fact_sql, oracle
 from registry.lake import CUTOFF
 from registry.serve import EQUIPMENT, LABOUR, MATERIAL, STATE_NAME, STATE_NAMES, STATE_SLUG
 
+# Display labels, as in vocabulary.py.
 _MEASURE = {
     "preco_unitario": "Preço Unitário", "custo_produtivo": "Custo Produtivo", "custo_improdutivo": "Custo Improdutivo",
     "valor_aquisicao": "Valor de Aquisição", "depreciacao": "Depreciação",
@@ -50,13 +51,29 @@ _NAMES = "(" + ", ".join(f"'{n}'" for n in STATE_NAMES) + ")"
 
 oracle("regime_filter", "SELECT medicao_id, valor, if(desonerado, 'd', 'n') AS regime FROM f_long")
 oracle("guarded_ratio", "SELECT custo_equipamento_id, (depreciacao - manutencao) / nullif(manutencao, 0) AS ratio FROM f_equ")
-oracle("join_month_left", """
-SELECT codigo, blob_name, year, m AS month, month_number AS mes_numero, make_date(year, month_number, 1) AS period_start
-FROM (SELECT *, if(len(codigo) % 3 = 0, month || '?', month) AS m FROM t_lab) LEFT JOIN s_months ON m = month_name""")
-oracle("dedup_exact_rows", "SELECT codigo, blob_name, custo_produtivo, parsed_at FROM (SELECT DISTINCT * FROM t_equ)")
-oracle("revisado_resolve", """
-SELECT state_slug, year, month, desonerado, codigo, custo, revisado, blob_name FROM t_lab
-QUALIFY revisado = bool_or(revisado) OVER (PARTITION BY state_slug, year, month, desonerado)""")
+# report type: staged rows, partition keys, headline measure
+_TYPES = {
+    "materiais": ("t_mat", "state_slug, year, month", "preco_unitario"),
+    "equipamentos": ("t_equ", "state_slug, year, month, desonerado", "custo_produtivo"),
+    "mao_de_obra": ("t_lab", "state_slug, year, month, desonerado", "custo"),
+}
+
+
+def _each(part: str) -> str:
+    """The statement for every report type; {tipo}, {rows}, {keys} and {value} stand for its own."""
+    return "\nUNION ALL\n".join(
+        part.format(tipo=t, rows=rows, keys=keys, value=value) for t, (rows, keys, value) in _TYPES.items()
+    )
+
+
+oracle("join_month_left", _each("""
+SELECT '{tipo}' AS tipo, codigo, blob_name, year, m AS month, month_number AS mes_numero, make_date(year, month_number, 1) AS period_start
+FROM (SELECT *, if(len(codigo) % 3 = 0, month || '?', month) AS m FROM {rows}) LEFT JOIN s_months ON m = month_name"""))
+oracle("dedup_exact_rows", _each(
+    "SELECT '{tipo}' AS tipo, codigo, blob_name, {value} AS valor, parsed_at FROM (SELECT DISTINCT * FROM {rows})"))
+oracle("revisado_resolve", _each("""
+SELECT * FROM (SELECT '{tipo}' AS tipo, state_slug, year, month, codigo, {value} AS valor, revisado, blob_name FROM {rows}
+QUALIFY revisado = bool_or(revisado) OVER (PARTITION BY {keys}))"""))
 oracle("latest_period_filter", """
 SELECT medida, state_slug, insumo_id, desonerado, period_start, valor FROM f_long
 QUALIFY period_start = max(period_start) OVER (PARTITION BY medida, state_slug)""")
@@ -64,21 +81,23 @@ QUALIFY period_start = max(period_start) OVER (PARTITION BY medida, state_slug)"
 # ---- incremental ---------------------------------------------------------------------------
 
 _RESOLVED = """
-  SELECT md5(concat_ws('|', 'equipamentos', codigo, state_slug, year, month, desonerado)) AS custo_equipamento_id,
-         state_slug, desonerado, make_date(year, month_number, 1) AS period_start, custo_produtivo, revisado, parsed_at
-  FROM (SELECT DISTINCT * FROM t_equ WHERE {0}) JOIN s_months ON month = month_name
-  QUALIFY revisado = bool_or(revisado) OVER (PARTITION BY state_slug, year, month, desonerado)"""
-cte("n_old", _RESOLVED.format(f"parsed_at <= TIMESTAMP '{CUTOFF}'"))
-cte("n_mark", "SELECT coalesce(max(parsed_at), TIMESTAMP '1900-01-01') AS high_water_mark FROM n_old")
-cte("n_changed", "SELECT DISTINCT state_slug, year, month, desonerado FROM t_equ WHERE parsed_at > (FROM n_mark)")
-cte("n_batch", _RESOLVED.format("(state_slug, year, month, desonerado) IN (SELECT (state_slug, year, month, desonerado) FROM n_changed)"))
-_FACT = "custo_equipamento_id, period_start, custo_produtivo, revisado, parsed_at"
-oracle("high_water_mark", "SELECT high_water_mark FROM n_mark")
-oracle("changed_partitions", f"SELECT DISTINCT state_slug, year, month, desonerado FROM t_equ WHERE parsed_at > TIMESTAMP '{CUTOFF}'")
-oracle("incremental_batch", f"SELECT {_FACT} FROM n_batch")
-oracle("delete_insert", f"""
-SELECT {_FACT} FROM n_batch UNION ALL
-SELECT {_FACT} FROM n_old WHERE custo_equipamento_id NOT IN (SELECT custo_equipamento_id FROM n_batch)""")
+  SELECT * FROM (SELECT '{tipo}' AS tipo, md5(concat_ws('|', '{tipo}', codigo, {keys})) AS fato_id,
+         make_date(year, month_number, 1) AS period_start, {value} AS valor, revisado, parsed_at
+  FROM (SELECT DISTINCT * FROM {rows} WHERE """
+_RESOLVED_END = """) JOIN s_months ON month = month_name
+  QUALIFY revisado = bool_or(revisado) OVER (PARTITION BY {keys}))"""
+cte("n_old", _each(_RESOLVED + f"parsed_at <= TIMESTAMP '{CUTOFF}'" + _RESOLVED_END))
+cte("n_mark", _each("""
+  SELECT '{tipo}' AS tipo, coalesce(max(parsed_at), TIMESTAMP '1900-01-01') AS high_water_mark FROM n_old WHERE tipo = '{tipo}'"""))
+cte("n_batch", _each(_RESOLVED + """({keys}) IN (
+    SELECT ({keys}) FROM {rows} WHERE parsed_at > (SELECT high_water_mark FROM n_mark WHERE tipo = '{tipo}'))""" + _RESOLVED_END))
+oracle("high_water_mark", "SELECT tipo, high_water_mark FROM n_mark")
+oracle("changed_partitions", f"""
+SELECT DISTINCT 'materiais' AS tipo, state_slug, year, month, NULL::BOOLEAN AS desonerado FROM t_mat WHERE parsed_at > TIMESTAMP '{CUTOFF}'
+UNION ALL SELECT DISTINCT 'equipamentos', state_slug, year, month, desonerado FROM t_equ WHERE parsed_at > TIMESTAMP '{CUTOFF}'
+UNION ALL SELECT DISTINCT 'mao_de_obra', state_slug, year, month, desonerado FROM t_lab WHERE parsed_at > TIMESTAMP '{CUTOFF}'""")
+oracle("incremental_batch", "SELECT * FROM n_batch")
+oracle("delete_insert", "SELECT * FROM n_batch UNION ALL SELECT * FROM n_old WHERE fato_id NOT IN (SELECT fato_id FROM n_batch)")
 cte("n_mat_old", fact_sql("materiais", "(FROM t_mat WHERE parsed_at <= TIMESTAMP '" + CUTOFF + "')", "preco_material_id", P3, MAT))
 cte("n_mat_touched", """
   SELECT DISTINCT state_slug, period_start FROM f_mat

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,24 +39,32 @@ def _(k: Lake) -> DataFrame:
     return k.gold["fato_custo_equipamento"].select("custo_equipamento_id", ratio.alias("ratio"))
 
 
+def _each(of) -> DataFrame:
+    """A part for every report type, named and put together."""
+    return reduce(DataFrame.unionByName, [of(t).withColumn("tipo", F.lit(t)) for t in V.REPORT_TYPES])
+
+
 @query("join_month_left")
 def _(k: Lake) -> DataFrame:
-    rows = k.staged[V.LABOUR].select("codigo", "blob_name", "year", "month")
-    # every third item carries a month name nobody knows
-    odd = F.when(F.length("codigo") % 3 == 0, F.concat(F.col("month"), F.lit("?"))).otherwise(F.col("month"))
-    dated = marts.with_month_number(rows.withColumn("month", odd), k.months, "month")
-    return dated.withColumn("period_start", F.make_date("year", "mes_numero", F.lit(1)))
+    def dated(tipo: str) -> DataFrame:
+        rows = k.staged[tipo].select("codigo", "blob_name", "year", "month")
+        # every third item carries a month name nobody knows
+        odd = F.when(F.length("codigo") % 3 == 0, F.concat(F.col("month"), F.lit("?"))).otherwise(F.col("month"))
+        return marts.with_month_number(rows.withColumn("month", odd), k.months, "month")
+
+    return _each(dated).withColumn("period_start", F.make_date("year", "mes_numero", F.lit(1)))
 
 
 @query("dedup_exact_rows")
 def _(k: Lake) -> DataFrame:
-    return k.staged[V.EQUIPMENT].distinct().select("codigo", "blob_name", "custo_produtivo", "parsed_at")
+    return _each(lambda t: k.staged[t].distinct().select("codigo", "blob_name", F.col(V.HEADLINE_MEASURE[t]).alias("valor"), "parsed_at"))
 
 
 @query("revisado_resolve")
 def _(k: Lake) -> DataFrame:
-    rows = k.staged[V.LABOUR].select(*marts.PARTITION_KEYS[V.LABOUR], "codigo", "custo", "revisado", "blob_name")
-    return revision.resolve_revisions(rows, marts.PARTITION_KEYS[V.LABOUR])
+    return _each(lambda t: revision.resolve_revisions(k.staged[t], marts.PARTITION_KEYS[t]).select(
+        "state_slug", "year", "month", "codigo", F.col(V.HEADLINE_MEASURE[t]).alias("valor"), "revisado", "blob_name"
+    ))
 
 
 @query("latest_period_filter")
@@ -66,34 +76,36 @@ def _(k: Lake) -> DataFrame:
 # ---- incremental refresh ----------------------------------------------------------------------
 
 
-def _old(k: Lake, tipo: str = V.EQUIPMENT) -> DataFrame:
-    return k.old_fact(tipo)
-
+def _batch(k: Lake, tipo: str) -> DataFrame:
+    return marts.build_fact(tipo, k.staged[tipo], k.months, target=k.old_fact(tipo))
 
-def _batch(k: Lake, tipo: str = V.EQUIPMENT) -> DataFrame:
-    return marts.build_fact(tipo, k.staged[tipo], k.months, target=_old(k, tipo))
 
+def _facts(tipo: str, fact: DataFrame) -> DataFrame:
+    value = F.col(V.HEADLINE_MEASURE[tipo]).alias("valor")
+    return fact.select(F.col(marts.FACT_KEY[tipo]).alias("fato_id"), "period_start", value, "revisado", "parsed_at")
 
-_FACT = ["custo_equipamento_id", "period_start", "custo_produtivo", "revisado", "parsed_at"]
 
-query("high_water_mark")(lambda k: revision.high_water_mark(_old(k)))
+query("high_water_mark")(lambda k: _each(lambda t: revision.high_water_mark(k.old_fact(t))))
 
 
 @query("changed_partitions")
 def _(k: Lake) -> DataFrame:
     mark = F.lit(CUTOFF).cast("timestamp_ntz")
-    return revision.changed_partitions(k.staged[V.EQUIPMENT], marts.PARTITION_KEYS[V.EQUIPMENT], mark)
+    regime = lambda t: F.lit(None).cast("boolean") if t == V.MATERIAL else F.col("desonerado")
+    return _each(lambda t: revision.changed_partitions(k.staged[t], marts.PARTITION_KEYS[t], mark).select(
+        "state_slug", "year", "month", regime(t).alias("desonerado")
+    ))
 
 
-query("incremental_batch")(lambda k: _batch(k).select(_FACT))
-query("delete_insert")(lambda k: keyed.replace_by_key(_old(k), _batch(k), "custo_equipamento_id").select(_FACT))
+query("incremental_batch")(lambda k: _each(lambda t: _facts(t, _batch(k, t))))
+query("delete_insert")(lambda k: _each(lambda t: _facts(t, keyed.replace_by_key(k.old_fact(t), _batch(k, t), marts.FACT_KEY[t]))))
 
 
 @query("partition_overwrite")
 def _(k: Lake) -> DataFrame:
     """Old material prices on disk, then the batch's partitions written over them."""
     path = scratch_path(k.spark, "fact")
-    for rows in [_old(k, V.MATERIAL), _batch(k, V.MATERIAL)]:
+    for rows in [k.old_fact(V.MATERIAL), _batch(k, V.MATERIAL)]:
         keyed.overwrite_partitions(rows, path, ["state_slug", "period_start"])
     return k.spark.read.parquet(path)
 
