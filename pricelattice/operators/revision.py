@@ -33,11 +33,11 @@ def rows_of_changed_partitions(staged: DataFrame, keys: list[str], target: DataF
     """All rows, old ones included, of every partition with something new."""
     mark = high_water_mark(target).first()["high_water_mark"]
     changed = changed_partitions(staged, keys, F.lit(mark).cast("timestamp_ntz"))
-    return staged.join(broadcast_if_small(changed), keys, "left_semi")
+    return staged.join(broadcast_if_small(changed, written=True), keys, "left_semi")
 
 
 def resolve_revisions(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Keep revised rows, and unrevised rows of partitions that have no revised row."""
     revised = rows.where("revisado").select(*keys).distinct().withColumn("_revised", F.lit(True))
-    flagged = rows.join(broadcast_if_small(revised), keys, "left")
+    flagged = rows.join(broadcast_if_small(revised, written=True), keys, "left")
     return flagged.where(F.col("revisado") | F.col("_revised").isNull()).drop("_revised")

@@ -177,24 +177,28 @@ def published_periods(facts: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, lists)
 
 
-def expected_periods(periods: DataFrame, states: DataFrame, max_states: int = 100_000) -> DataFrame:
-    """Every period some state published, for every state of the dimension.
+def _calendar(periods: DataFrame):
+    """All published (type, period) as one array value, bounded by the types and the calendar."""
+    return periods.select(F.struct("tipo", "period_start").alias("p")).distinct().agg(F.collect_list("p").alias("p")).scalar()
 
-    The state list is one bounded array value, exploded per period; no join.
-    """
-    slugs = states.agg(
-        F.when(F.count(F.lit(1)) <= max_states, F.array_sort(F.collect_set("state_slug")))
-        .otherwise(F.raise_error(F.lit(f"more than {max_states} states in the dimension")))
-        .alias("slugs")
-    ).scalar()
-    return periods.select("tipo", "period_start").distinct().select(
-        "tipo", F.explode(slugs).alias("state_slug"), "period_start"
-    )
+
+def expected_periods(periods: DataFrame, states: DataFrame) -> DataFrame:
+    """Every period some state published, for every state of the dimension."""
+    return states.select("state_slug", F.explode(_calendar(periods)).alias("p")).select("p.tipo", "state_slug", "p.period_start")
 
 
 def missing_periods(periods: DataFrame, states: DataFrame) -> DataFrame:
-    """Expected periods a state did not publish."""
-    return expected_periods(periods, states).join(periods, ["tipo", "state_slug", "period_start"], "left_anti")
+    """Expected periods a state did not publish: the calendar less the state's own periods.
+
+    An undated period is expected of everyone and matched by nobody.
+    """
+    own = periods.where(F.col("period_start").isNotNull()).groupBy("state_slug").agg(
+        F.collect_set(F.struct("tipo", "period_start")).alias("own")
+    )
+    missing = F.when(F.col("own").isNull(), _calendar(periods)).otherwise(F.array_except(_calendar(periods), F.col("own")))
+    return states.select("state_slug").join(own, "state_slug", "left").select("state_slug", F.explode(missing).alias("p")).select(
+        "p.tipo", "state_slug", "p.period_start"
+    )
 
 
 def coverage(periods: DataFrame, states: DataFrame) -> DataFrame:
