@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from registry.oracle import EQU, LAB, MAT, P3, cte, fact_sql, oracle
+from pricelattice.plans.build import MART_NAMES, VIEW_NAMES
+from registry.oracle import EQU, LAB, MAT, ORACLE, P3, cte, fact_sql, oracle
 from registry.lake import CUTOFF
 from registry.serve import EQUIPMENT, LABOUR, MATERIAL, STATE_NAME, STATE_NAMES, STATE_SLUG
 
@@ -108,6 +109,9 @@ oracle("partition_overwrite", """
 SELECT * FROM f_mat SEMI JOIN n_mat_touched USING (state_slug, period_start)
 UNION ALL SELECT * FROM n_mat_old ANTI JOIN n_mat_touched USING (state_slug, period_start)""")
 
+oracle("catalog_relations", "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS relation, count(*) AS n FROM ({ORACLE[name]})" for name in MART_NAMES + VIEW_NAMES))
+
 # ---- quality ---------------------------------------------------------------------------------
 
 oracle("check_not_null", "SELECT preco_material_id FROM f_mat WHERE preco_unitario IS NULL")

@@ -11,7 +11,7 @@ from pricelattice import vocabulary as V
 from pricelattice.functions import labels as L
 from pricelattice.functions.numeric import relative_change
 from pricelattice.operators import keyed, quality, revision
-from pricelattice.plans import marts, serving, views
+from pricelattice.plans import build, marts, serving, views
 from pricelattice.session import scratch_path
 from registry.lake import CUTOFF, Lake
 from registry.queries import query
@@ -132,6 +132,18 @@ def _(k: Lake) -> DataFrame:
     return quality.report(tables, quality.standard_checks(tables))
 
 
+@query("catalog_relations")
+def _(k: Lake) -> DataFrame:
+    """All sixteen relations exported, registered by name and counted there."""
+    root = scratch_path(k.spark, "catalog")
+    build.export_gold(k.gold.all(), root)
+    counts = [
+        k.spark.table(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("relation"), "n")
+        for name in build.register_catalog(k.spark, root)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # ---- serving --------------------------------------------------------------------------------------------
 
 query("serve_preco_atual")(lambda k: serving.current_prices(k.view("vw_preco_atual", tipo=V.EQUIPMENT, state_names=[STATE_NAME]), V.EQUIPMENT, state_name=STATE_NAME, desonerado=False))
