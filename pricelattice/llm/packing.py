@@ -95,7 +95,7 @@ def encode(texts: list[str | None], path: str) -> list[bytes]:
     return out
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int, with_ids: bool):
+def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int, with_ids: bool, keep_cache: bool):
     end = np.array([end_id], "<u4").tobytes()
     gc.disable()  # encoding makes many containers and no cycles
     try:
@@ -116,8 +116,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int
             yield pa.RecordBatch.from_arrays(columns, names)
     finally:  # the worker may go on with other work
         gc.enable()
-        if path in _loaded:
-            _loaded[path][1].clear()
+        for cache in _loaded.get(path, [])[1 : 2 if keep_cache else 3]:
+            cache.clear()
 
 
 @dataclass
@@ -223,6 +223,7 @@ def _placer(patterns: Patterns):
 def pack(
     docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, size: int = 4096, unit: int = 16,
     id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, with_ids: bool = False,
+    keep_cache: bool = True,
 ) -> DataFrame:
     """Pieces of the documents' tokens, laid into sequences of ``size`` ids.
 
@@ -232,7 +233,7 @@ def pack(
     Offsets are gapless from 0, longer pieces first; what a sequence lacks is padding.
 
     Lengths count in classes of ``unit`` ids for the linear program; its input is the histogram of at most
-    size / unit classes.  In each class the pieces are ranked by length, id and start, and the rank gives the place.
+    size / unit classes.  ``keep_cache`` leaves a worker the parts it has encoded for its next tasks, about a hundred megabytes.  In each class the pieces are ranked by length, id and start, and the rank gives the place.
     """
     tokenizer = tokenizer or default_tokenizer()
     added = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
@@ -241,7 +242,7 @@ def pack(
     kinds = "".join(f"{p} {docs.schema[c].dataType.simpleString()}, " for p, c in zip(place, kept))
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"), *[F.col(c).alias(p) for p, c in zip(place, kept)])
     pieces = rows.mapInArrow(
-        lambda batches: _pieces(batches, tokenizer, end_id, size, with_ids),
+        lambda batches: _pieces(batches, tokenizer, end_id, size, with_ids, keep_cache),
         f"key {docs.schema[id_col].dataType.simpleString()}, {kinds}start long, length long, ids_crc32 long, doc_tokens long"
         + ", ids binary" * with_ids,
     ).withColumn("units", F.ceil(F.col("length") / unit).cast("int"))
