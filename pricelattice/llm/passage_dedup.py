@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pricelattice.llm import words as W
 from pricelattice.llm.sets import links_within
 from pricelattice.llm.steps import rooted, sharing_groups, written
-from pricelattice.session import broadcast_if_small
+from pricelattice.session import BROADCAST_ROWS, broadcast_if_small
 
 _U = np.uint64
 
@@ -218,6 +218,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     found = written(repeated_passages(docs, id_col=id_col, text_col=text_col, **how), "repeats")
     found = found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "gone")
+    held = found.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("gone")), F.lit(0)).alias("numbers")).first()
+    if held.rows <= BROADCAST_ROWS and held.numbers <= 10 * BROADCAST_ROWS:  # 20 MB at most
+        found = F.broadcast(found)
     kept = [c for c in docs.columns if c not in (text_col, "spans")]
     place = [f"c{i}" for i in range(len(kept))]
     rows = docs.withColumn("_hash", F.xxhash64(text_col)).join(
