@@ -15,6 +15,7 @@ from pricelattice.llm.near_dedup import near_duplicates
 from pricelattice.llm.packing import pack
 from pricelattice.llm.passage_dedup import remove_repeats
 from pricelattice.llm.steps import written
+from pricelattice.session import broadcast_if_small, tune
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +23,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     A table without language labels teaches nothing, so all of its documents go.
     """
+    tune(spark)
     labelled = docs.where(~language.held_out(F.col("doc_id"), 3, 1))
     found = language.identify(docs, language.learn_dictionaries(labelled), carry=docs.columns)
     return found.where("not rejected").select(*docs.columns)
@@ -32,17 +34,29 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Of rows that share an id and a group one stays; a document without an id stays.
     """
-    kept = near_duplicates(docs).where("kept")
-    twins = kept.where("component_id is not null").groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1")
-    twins = written(twins.select("component_id"), "twins")
+    tune(spark)
+    named = docs.select("doc_id", "text").withColumn("_hash", F.xxhash64("text"))
+    found = written(near_duplicates(named).select("doc_id", "_hash", "component_id", "kept"), "near-decisions")
+    kept = without(docs, found.where("not kept"))
+    twins = found.where("kept and component_id is not null").groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1")
+    twins = written(found.join(twins.select("component_id"), "component_id").where("kept").distinct(), "twins")
     if twins.isEmpty():
         return kept.select(*docs.columns)
-    single = kept.join(twins, "component_id", "left_anti").select(*docs.columns)
-    return single.union(kept.join(twins, "component_id").dropDuplicates(["component_id"]).select(*docs.columns))
+    again = twins.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_key"), F.col("component_id").alias("_group"))
+    double = kept.withColumn("_hash", F.xxhash64("text")).join(again, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_hash").eqNullSafe(F.col("_key")))
+    return without(kept, twins).select(*docs.columns).union(double.dropDuplicates(["_group"]).select(*docs.columns))
+
+
+def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Documents whose id and text are not among ``rows`` (doc_id, hash of the text)."""
+    rows = rows.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    return docs.join(broadcast_if_small(rows, written=True), same, "left_anti")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out; a document of nothing else goes."""
+    tune(spark)
     cut = remove_repeats(docs)
     emptied = (F.size("spans") > 0) & (F.length(F.trim(F.coalesce("text", F.lit("")))) == 0)
     return cut.where(~emptied).select(*docs.columns)
@@ -50,13 +64,14 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which at least a twentieth is benchmark windows go."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    benchmark = tune(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
     return find_contamination(docs, benchmark, carry=docs.columns).where("not contaminated").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences with their ids."""
-    return pack(docs, with_ids=True)
+    tune(spark)
+    return pack(docs, with_ids=True, keep_cache=False)
 
 
 STAGES = [
