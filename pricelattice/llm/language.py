@@ -17,6 +17,8 @@ from pricelattice.session import broadcast_if_small
 
 UNKNOWN = "und"
 LEVEL = 6
+#: Bytes coded at a time, each piece with the dictionary afresh: what a dictionary saves is then a share of any length.
+PIECE = 1 << 16
 _MARKS = re.compile(r"[\W\d_]+")
 
 
@@ -72,6 +74,11 @@ def coders(contents: list[bytes], level: int = LEVEL) -> list[zstandard.ZstdComp
     return out
 
 
+def code_length(coder: zstandard.ZstdCompressor, code: bytes) -> int:
+    """Bytes of the code of the whole text, summed over its pieces."""
+    return sum(len(coder.compress(code[at : at + PIECE])) for at in range(0, len(code), PIECE))
+
+
 def _predict(batches: Iterator[pa.RecordBatch], names: list[str], contents: list[bytes], margin: float):
     by_language = coders(contents)
     for batch in (part for whole in batches for part in slices(whole)):
@@ -81,7 +88,7 @@ def _predict(batches: Iterator[pa.RecordBatch], names: list[str], contents: list
             if names and text and any(map(str.isalpha, text)):
                 known[i] = True
                 code = plain(text).encode()
-                lengths[i] = [len(coder.compress(code)) for coder in by_language]
+                lengths[i] = [code_length(coder, code) for coder in by_language]
         ordered = np.sort(lengths, axis=1)
         lead = (ordered[:, 1] - ordered[:, 0]) / ordered[:, 1] if len(names) > 1 else np.ones(len(known))
         share = 1 / np.exp2(-np.minimum(lengths - ordered[:, :1], 60.0)).sum(axis=1)
@@ -98,7 +105,7 @@ def identify(
     docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.002, text_col: str = "text",
     carry: list[str] | None = None,
 ) -> DataFrame:
-    """Language of each text by the shortest zstandard code.
+    """Language of each text by the shortest zstandard code, summed over pieces of ``PIECE`` bytes of the whole text.
 
     Returns the ``carry`` columns (by default all but the result's names) and lang_pred, score (0 to 1: the share of the best language when
     each byte saved doubles it), margin (how much longer the second-best code is, as a share of

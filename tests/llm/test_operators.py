@@ -464,6 +464,21 @@ def test_language(spark, odd, none):
     assert language.learn_dictionaries(none) == {} and language.identify(none, known).count() == 0
 
 
+def test_the_margin_does_not_fade_with_length(spark):
+    """10 MB of one language, of texts that the dictionaries do not hold, are told as surely as 100 KB of it."""
+    docs = texts_of(spark, "/root/testdata/sf0.01").where("lang = 'en' and text is not null")
+    out = language.held_out(F.col("doc_id"), 3, 1)
+    known = language.learn_dictionaries(texts_of(spark, "/root/testdata/sf0.01").where(~out))
+    words = " ".join(r.text for r in docs.where(out).orderBy("doc_id").select("text").collect()).split()
+    rng = np.random.default_rng(0)
+    long = " ".join(words[i] for i in rng.integers(0, len(words), 2_200_000))[: 10 << 20]
+    assert len(long) > 9.5e6
+    rows = spark.createDataFrame([(0, long[:100_000]), (1, long)], "doc_id long, text string")
+    short, whole = language.identify(rows, known).orderBy("doc_id").collect()
+    assert short.lang_pred == whole.lang_pred == "en" and not whole.rejected
+    assert whole.margin > short.margin / 2
+
+
 def test_held_out(spark):
     got = spark.range(50).select("id", language.held_out(F.col("id"), 3, 1).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in got)
