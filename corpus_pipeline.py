@@ -30,19 +30,21 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one of the least id.
+    """One document of each group of near duplicates: the one of the least id, a row without an id last.
 
-    Of rows that share an id and a group one stays; a document without an id stays.
+    Of the texts that share this id and the group the one of the least hash stays, of equal rows one.
+    Rows without words are in no group and stay.
     """
     tune(spark)
     named = docs.select("doc_id", "text").withColumn("_hash", F.xxhash64("text"))
-    found = written(near_duplicates(named).select("doc_id", "_hash", "component_id", "kept"), "near-decisions")
-    kept = without(docs, found.where("not kept"))
-    twins = found.where("kept and component_id is not null").groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1")
-    twins = written(found.join(twins.select("component_id"), "component_id").where("kept").distinct(), "twins")
+    found = near_duplicates(named, with_group=True).select("doc_id", "_hash", "_group", "_leads")
+    found = written(found, "near-decisions")
+    kept = without(docs, found.where("not _leads"))
+    leading = found.where("_leads and _group is not null").groupBy("_group", "doc_id", "_hash").agg(F.count("*").alias("n"))
+    twins = written(leading.where("n > 1").drop("n"), "twins")
     if twins.isEmpty():
         return kept.select(*docs.columns)
-    again = twins.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_key"), F.col("component_id").alias("_group"))
+    again = twins.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_key"), "_group")
     double = kept.withColumn("_hash", F.xxhash64("text")).join(again, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_hash").eqNullSafe(F.col("_key")))
     return without(kept, twins).select(*docs.columns).union(double.dropDuplicates(["_group"]).select(*docs.columns))
 

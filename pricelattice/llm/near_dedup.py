@@ -80,7 +80,7 @@ def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Record
 
 def near_duplicates(
     docs: DataFrame, percent: int = 75, shingle: int = 5, bands: int = 32, rows: int = 3, text_col: str = "text",
-    id_col: str = "doc_id",
+    id_col: str = "doc_id", with_group: bool = False,
 ) -> DataFrame:
     """Classes of documents linked by 100 * |A and B| >= percent * |A or B| over word shingles.
 
@@ -90,6 +90,10 @@ def near_duplicates(
     or words is linked with nothing.  Repeated ids are separate rows; a component of null ids
     only has a null component_id and its rows are kept.
 
+    Ids need not tell components apart: with ``with_group`` two more columns do, _group (null without text or words) and
+    _leads (the row has id and text of the component's first: the least id, null last, and of its texts the least hash;
+    true without text or words).  Rows equal in id and text lead together.
+
     Equal texts are one node.  With 32 bands of 3 coordinates a pair at the threshold is missed
     with probability (1 - 0.75**3)**32 < 3e-8; candidates are verified on the full sets.
     """
@@ -119,14 +123,18 @@ def near_duplicates(
     roots = rooted(nodes, written(links_within(groups, sets, percent), "near-links"), "near")
     named = classes.select("key", "doc_id", "n_shingles").join(roots.withColumnRenamed("node", "key"), "key", "left")
     named = written(named.withColumn("root", F.coalesce("root", "key")), "near-classes")
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "root").select(
-        F.col("key").alias("_key"), F.col("n_shingles").alias("_n"), F.col("component_id").alias("_c")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")
+    named = named.join(named.groupBy("root").agg(first), "root").select(
+        F.col("key").alias("_key"), F.col("n_shingles").alias("_n"), F.col("first.doc_id").alias("_c"),
+        F.col("root").alias("_root"), F.col("first.key").alias("_first"),
     )
     own = F.col("_n").isNull()
+    leads = (F.col("_key") == F.col("_first")) & F.col(id_col).eqNullSafe(F.col("_c"))
+    group = [F.col("_root").alias("_group"), F.when(own, True).otherwise(leads).alias("_leads")]
     return keyed.join(named, "_key", "left").select(
         *[F.col(c) for c in docs.columns if c not in ("n_shingles", "component_id", "kept")],
         F.coalesce("_n", F.lit(0)).cast("long").alias("n_shingles"),
         F.when(own, F.col(id_col)).otherwise(F.col("_c")).alias("component_id"),
         F.when(own, True).otherwise(F.col(id_col).eqNullSafe(F.col("_c"))).alias("kept"),
+        *(group if with_group else []),
     )

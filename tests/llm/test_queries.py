@@ -100,6 +100,25 @@ def test_stages(spark):
             assert pieces == {i: code + b"\x02\0\0\0" for i, code in zip(ids, encode([old[i] for i in ids], default_tokenizer()))}
 
 
+def test_one_of_each_group_whatever_the_ids(spark):
+    """Repeated ids on different texts, copies without ids, and rows without words next to a text of the same id."""
+    text = lambda seed: " ".join(f"w{seed}x{i}" for i in range(60))
+    near = lambda seed: text(seed).replace(f"w{seed}x59", "edited")
+    rows = [(5, text(1)), (5, text(2)), (5, text(2)), (5, ""), (5, None), (5, None), (None, text(3)), (None, text(3)), (None, near(3)),
+            (6, text(4)), (6, near(4)), (7, near(4)), (None, text(4)), (8, text(1)), (None, text(5)), (None, None), (9, " \n"), (6, text(6))]
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        same = next((g for g in groups if g and (a := shingle_set(g)) and 4 * len(a & shingle_set(t)) >= 3 * len(a | shingle_set(t))), t)
+        groups[same if shingle_set(t) else None].append((i, t))
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], DOCS)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_each_group(spark, docs, SF).collect()]
+    assert collections.Counter(r for r in got if not shingle_set(r[1])) == collections.Counter(groups.pop(None))
+    assert len([r for r in got if shingle_set(r[1])]) == len(groups) == 6
+    for members in groups.values():
+        ids = [i for i, _ in members if i is not None]
+        assert [r[0] for r in got if r in members] == [min(ids, default=None)]
+
+
 def test_stages_on_odd_tables(spark):
     text = " ".join(f"word{i}" for i in range(60))
     rows = [(1, text, "en", None, None), (1, text, "en", None, None), (None, text, None, "s", 1), (2, None, None, None, None), (3, "", "de", "s", 0),
