@@ -32,7 +32,7 @@ def tune_bands(similarity: float, recall: float, most: int = 8) -> tuple[int, in
 def anchors(grams: np.ndarray, first: np.ndarray, reach: int) -> np.ndarray:
     """Positions of the least gram of every ``reach`` consecutive grams of one text.
 
-    Where passages agree they have the same anchors, whatever stands around them.  In a run of equal grams only one is taken.
+    Where passages agree they have the same anchors, whatever stands around them.
     """
     if len(grams) < reach:
         return np.zeros(0, np.int64)
@@ -42,10 +42,24 @@ def anchors(grams: np.ndarray, first: np.ndarray, reach: int) -> np.ndarray:
         inside[max(0, end - reach + 1) : end] = False
     at = np.flatnonzero(inside)
     found = [part + runs[part].argmin(axis=1) for part in np.array_split(at, max(1, len(at) // 100_000))]
-    found = np.unique(np.concatenate(found))
-    fresh = np.ones(len(found), bool)
-    fresh[1:] = grams[found[1:]] != grams[found[:-1]]
-    return found[fresh]
+    return np.unique(np.concatenate(found))
+
+
+def covering(at: np.ndarray, node: np.ndarray, text: np.ndarray, length: int) -> np.ndarray:
+    """Which windows of ``length`` words to take: of equal ones that follow each other in a text, as many as cover the same words.
+
+    These are the first, the last, and from each the farthest that still meets it.  Equal windows are one node, so no other can be told from them.
+    """
+    take = np.ones(len(at), bool)
+    take[1:] = (node[1:] != node[:-1]) | (text[1:] != text[:-1]) | (np.diff(at) > length)
+    edges = np.append(np.flatnonzero(take), len(at))
+    take[edges[1:] - 1] = True
+    for run in np.flatnonzero(np.diff(edges) > 2):
+        i, end = edges[run], edges[run + 1]
+        while at[end - 1] - at[i] > length:
+            i += np.searchsorted(at[i:end], at[i] + length, "right") - 1
+            take[i] = True
+    return take
 
 
 @dataclass
@@ -79,6 +93,8 @@ def units_of(words: W.Words, length: int, reach: int, shingle: int) -> tuple[Uni
     at = own[anchors(grams[own], first, reach)] if first[-1] else own
     at = at[at + length <= words.first[text_of[at] + 1]]
     node = W.windows_hash(words.hashes, length)[at] if len(at) else np.zeros(0, np.uint64)
+    some = covering(at, node, text_of[at], length)
+    at, node = at[some], node[some]
     return paragraphs, grams, Units(text_of[at], at, at + length, W.mix(node))
 
 

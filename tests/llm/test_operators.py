@@ -16,7 +16,7 @@ from pricelattice.llm.decontaminate import find_contamination
 from pricelattice.llm.fm_index import FMIndex
 from pricelattice.llm.near_dedup import band_keys, near_duplicates, sketch
 from pricelattice.llm.packing import cutting_stock, default_tokenizer, encode, pack
-from pricelattice.llm.passage_dedup import remove_repeats, repeated_passages, tune_bands
+from pricelattice.llm.passage_dedup import covering, remove_repeats, repeated_passages, tune_bands
 from pricelattice.llm.sets import common, spanning
 from pricelattice.llm.sharding import assign_shards, jump_hash
 from pricelattice.llm.steps import components, numbered
@@ -221,6 +221,35 @@ def test_every_long_repeat_is_found(spark):
     assert found == set(range(1, 20)) | {201}
 
 
+def gone_words(spark, rows):
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {r.doc_id: {w for a, b in zip(r.gone[0::2], r.gone[1::2]) for w in range(a, b)} for r in found}
+
+
+def test_repeats_of_short_lines_are_covered(spark):
+    """Lines of 5 words over and over, of one word, and texts next to each other that end and begin alike."""
+    menu = "\n".join(["home news about shop contact"] * 40)
+    rows = [(i, f"{prose(800 + i, 30 + i)}\n{menu}\n{prose(810 + i, 30)}") for i in range(3)]
+    rows += [(10 + i, f"{prose(820 + i, 40)} {'spam ' * 300}{prose(830 + i, 40)}") for i in range(2)]
+    rows += [(20, prose(840, 30) + " " + "again " * 60), (21, "again " * 60 + prose(841, 30))]
+    gone = gone_words(spark, rows)
+    assert set(gone) == {1, 2, 11, 21}
+    for i, begin, size in ((1, 31, 200), (2, 32, 200), (11, 40, 300), (21, 0, 60)):
+        own = gone[i] & set(range(begin, begin + size))
+        assert gone[i] == own and len(own) > size - 24
+
+
+def test_covering_windows_cover_what_all_cover():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        at = np.unique(rng.integers(0, 400, 60))
+        node, text = np.sort(rng.integers(0, 4, len(at))), np.sort(rng.integers(0, 3, len(at)))
+        some = covering(at, node, text, 24)
+        cover = lambda take: {(n, t, w) for a, n, t in zip(at[take], node[take], text[take]) for w in range(a, a + 24)}
+        assert cover(some) == cover(np.ones(len(at), bool))
+    assert covering(np.arange(10_000), np.zeros(10_000), np.zeros(10_000), 24).sum() < 420
+
+
 def test_tuned_bands():
     bands, rows = tune_bands(0.75, 0.98)
     assert 1 - (1 - 0.75**rows) ** bands >= 0.98
