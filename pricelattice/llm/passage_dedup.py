@@ -176,7 +176,8 @@ def repeated_passages(
     more; those that collide in a MinHash band (bands tuned to ``recall`` at the threshold) are verified by the exact Jaccard similarity
     of their ``shingle``-word shingles, and equal ones are the same node.  Passages that begin or end within a line are met by windows of ``length`` words that begin at an
     anchor, the least of ``reach`` consecutive shingle hashes: the same passage has the same windows wherever it is
-    set in, and every repeat of length + reach + shingle - 2 = 51 words or more holds one.
+    set in, and every repeat of length + reach + shingle - 2 = 51 words or more holds one.  From the outermost windows a passage
+    goes on to the first word that no earlier document with that window has there.
 
     In a component of nodes the document of the least id (null first) keeps its stretches, the others lose theirs.  Repeats within one document stay.
     Rows equal in id and text are one document; a null or empty text has no passages.
@@ -205,15 +206,112 @@ def repeated_passages(
         .join(nodes, "node", "left_semi").dropDuplicates(["node"]), "paragraph-sets",
     )
     roots = rooted(nodes, written(links_within(groups, sets, percent), "paragraph-links"), "paragraphs").where("node <> root")
-    placed = units.select("node", "doc_id", "key", "start", "stop").join(broadcast_if_small(roots, 1_000_000), "node", "left").select(
-        F.coalesce("root", "node").alias("root"), F.struct("doc_id", "key").alias("doc"), "start", "stop"
+    placed = units.select("node", "doc_id", "key", "start", "stop", (F.size("bands") == 0).alias("window"))
+    placed = placed.join(broadcast_if_small(roots, 1_000_000), "node", "left").select(
+        F.coalesce("root", "node").alias("root"), F.struct("doc_id", "key").alias("doc"), "start", "stop", "window"
     )
     owners = placed.groupBy("root").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).where("keeper <> last")
-    lost = placed.join(owners.select("root", "keeper"), "root").where("doc <> keeper").select(
-        "doc.doc_id", "doc.key", F.struct("start", "stop").alias("at"), F.col("keeper.doc_id").alias("keeper")
+    shared = written(placed.join(owners.select("root", "keeper"), "root"), "shared")
+    lost = shared.where("doc <> keeper").groupBy("doc").agg(
+        _merged(F.array_sort(F.collect_set(F.struct("start", "stop")))).alias("gone"),
+        F.array_sort(F.collect_set("keeper.doc_id")).alias("kept_in"),
+        F.array_sort(F.collect_set(F.when(F.col("window"), F.struct("start", "stop", "root")))).alias("windows"),
     )
-    return lost.groupBy("doc_id", "key").agg(
-        _merged(F.array_sort(F.collect_set("at"))).alias("gone"), F.array_sort(F.collect_set("keeper")).alias("kept_in")
+    lost = written(lost.select("doc.doc_id", "doc.key", "gone", "kept_in", "windows"), "lost")
+    ends = lost.where(F.size("windows") > 0).select("gone", "windows").mapInArrow(
+        lambda batches: _ends(batches, reach - 1), "root long, left boolean, right boolean"
+    )
+    more = _extensions(rows_in, shared, ends, length, reach)
+    more = more.withColumnsRenamed({"doc_id": "_id", "key": "_key"})
+    ranges = F.transform(
+        F.sequence(F.lit(0), (F.size("gone") / 2 - 1).cast("int")),
+        lambda i: F.struct(F.get("gone", 2 * i).alias("start"), F.get("gone", 2 * i + 1).alias("stop")),
+    )
+    wider = lost.join(broadcast_if_small(more, written=True), (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    return wider.select(
+        "doc_id", "key",
+        F.when(F.col("more").isNull(), F.col("gone")).otherwise(_merged(F.array_sort(F.concat(ranges, "more")))).alias("gone"),
+        F.when(F.col("more").isNull(), F.col("kept_in")).otherwise(F.array_sort(F.array_union("kept_in", "also_in"))).alias("kept_in"),
+    )
+
+
+def _ends(batches: Iterator[pa.RecordBatch], most: int):
+    """Windows from which ``most`` words can lead out of the range they lie in: (root, left, right)."""
+    flat = lambda column: column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    for batch in batches:
+        sizes = [batch[c].value_lengths().to_numpy(zero_copy_only=False) for c in ("gone", "windows")]
+        doc = [np.repeat(np.arange(batch.num_rows), n) << 32 for n in (sizes[0] // 2, sizes[1])]
+        gone, windows = flat(batch["gone"]), batch["windows"].flatten()
+        start, stop, root = (windows.field(n).to_numpy(zero_copy_only=False) for n in ("start", "stop", "root"))
+        before, after = np.ones(len(start), bool), np.ones(len(start), bool)
+        if len(start) > 1:  # no other window meets it
+            before[1:] = (doc[1][1:] != doc[1][:-1]) | (start[1:] > stop[:-1])
+            after[:-1] = before[1:]
+        held = np.searchsorted(doc[0] + gone[0::2], doc[1] + start, "right") - 1
+        begin, end = gone[0::2][held], gone[1::2][held]
+        left, right = before & (begin > 0) & (start - most < begin), after & (stop + most > end)
+        some = left | right
+        yield pa.RecordBatch.from_arrays([pa.array(root[some]), pa.array(left[some]), pa.array(right[some])], ["root", "left", "right"])
+
+
+def _contexts(batches: Iterator[pa.RecordBatch], length: int, most: int):
+    """Hash of each window with the next 1, 2 ... ``most`` words on its left (steps below 0) or right, as far as its text goes."""
+    for batch in (part for whole in batches for part in W.slices(whole)):
+        words = W.words_of(batch["text"].to_pylist())
+        spots = batch["spots"].flatten()
+        text = np.repeat(np.arange(batch.num_rows), batch["spots"].value_lengths().to_numpy(zero_copy_only=False))
+        start, root = (spots.field(n).to_numpy(zero_copy_only=False) for n in ("start", "root"))
+        for side, wanted in ((-1, spots.field("left")), (1, spots.field("right"))):
+            on = np.flatnonzero(wanted.to_numpy(zero_copy_only=False).astype(bool))
+            at = words.first[text[on]] + start[on] + (length - 1 if side > 0 else 0)
+            chain = W.mix(root[on].astype(np.int64).view(np.uint64) ^ _U(side + 2))
+            for step in range(1, most + 1):
+                at = at + side
+                inside = (at >= words.first[text[on]]) & (at < words.first[text[on] + 1])
+                on, at = on[inside], at[inside]
+                chain = W.mix(chain[inside] ^ words.hashes[at])
+                of = pa.array(text[on])
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].take(of), batch["key"].take(of), pa.array(start[on].astype(np.int32)),
+                     pa.array(np.full(len(on), side * step, np.int32)), pa.array(W.signed(chain))],
+                    ["doc_id", "key", "start", "step", "context"],
+                )
+
+
+def _extensions(rows_in: DataFrame, shared: DataFrame, ends: DataFrame, length: int, reach: int) -> DataFrame:
+    """What of a passage stands beyond its outermost windows: (doc_id, key, more, also_in), ranges and ids of documents that have them.
+
+    A window goes on as far as an earlier document with the same window has the same words.  A passage's first and last windows are
+    fewer than ``reach`` words from its ends, and words beyond that are another window's; only windows that near to an end of
+    what is cut (``ends``) are looked up.
+    Every number of words is looked up as one hash, so no pairs of documents are made however many share a passage.
+    """
+    ids = rows_in.schema["doc_id"].dataType.simpleString()
+    wanted = ends.groupBy("root").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    spots = shared.where("window").join(broadcast_if_small(wanted, written=True), "root").groupBy("doc").agg(
+        F.collect_set(F.struct("start", "root", "left", "right")).alias("spots")
+    )
+    spots = written(spots.select(F.col("doc.doc_id").alias("_id"), F.col("doc.key").alias("_key"), "spots"), "spots")
+    held = spots.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("spots")), F.lit(0)).alias("spots")).first()
+    if held.rows <= BROADCAST_ROWS and held.spots <= 4 * BROADCAST_ROWS:  # 20 MB at most
+        spots = F.broadcast(spots)
+    read = rows_in.join(spots, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    contexts = written(
+        read.select("doc_id", "key", "text", "spots").mapInArrow(
+            lambda batches: _contexts(batches, length, reach - 1), f"doc_id {ids}, key long, start int, step int, context long"
+        ).select(F.struct("doc_id", "key").alias("doc"), "start", "step", "context"), "contexts",
+    )
+    least = contexts.groupBy("context").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last")
+    found = contexts.join(broadcast_if_small(least.select("context", "first"), written=True), "context").where("doc <> first")
+    found = found.groupBy("doc", "start", (F.col("step") > 0).alias("right")).agg(
+        F.max(F.struct(F.abs("step").alias("words"), F.col("first.doc_id").alias("keeper"))).alias("far")
+    )
+    stop = F.col("start") + length
+    at = F.when(F.col("right"), F.struct(stop.alias("start"), (stop + F.col("far.words")).alias("stop"))).otherwise(
+        F.struct((F.col("start") - F.col("far.words")).alias("start"), F.col("start").alias("stop"))
+    )
+    return found.groupBy("doc").agg(F.collect_set(at).alias("more"), F.collect_set("far.keeper").alias("also_in")).select(
+        "doc.doc_id", "doc.key", "more", "also_in"
     )
 
 

@@ -239,6 +239,24 @@ def test_repeats_of_short_lines_are_covered(spark):
         assert gone[i] == own and len(own) > size - 24
 
 
+def test_passages_are_cut_to_their_ends(spark):
+    """Planted passages go whole, whichever of the earlier documents has all of their words, at the ends of texts and over lines."""
+    rows, planted = [], {}
+    for n in range(30):
+        size = 51 + n
+        shared = prose(1000 + n, size).split()
+        for copy in range(3):
+            before, after = prose(2000 + 10 * n + copy, 35 * copy), prose(3000 + 10 * n + copy, 40 if n % 2 else 0)
+            rows.append((10 * n + copy + 1, f"{before} {chr(10).join([' '.join(shared[:10]), ' '.join(shared[10:])]) if copy == 1 else ' '.join(shared)} {after}"))
+            if copy:
+                planted[10 * n + copy + 1] = set(range(35 * copy, 35 * copy + size))
+        # an earlier document with the middle of the passage only
+        rows.append((10 * n, f"{prose(4000 + n, 30)} {' '.join(shared[2:-2])} {prose(5000 + n, 30)}"))
+        planted[10 * n + 1] = set(range(2, size - 2))
+    gone = gone_words(spark, rows)
+    assert {i: w for i, w in gone.items() if i in planted} == planted
+
+
 def test_covering_windows_cover_what_all_cover():
     rng = np.random.default_rng(3)
     for _ in range(200):
