@@ -44,6 +44,18 @@ def matching_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
+def _targets(html_col: str) -> Column:
+    """The href and src values that hold '://' or begin with '//', from '://' up to '?', '#' or the end."""
+    found = r"(?i)(?:href|src)\s*=\s*[\"']?\s*(?:[a-z][a-z0-9+.-]*:)?(//[^/?#\"'\s<>]+[^?#\"'\s<>]*)"
+    return F.transform(F.regexp_extract_all(F.col(html_col), F.lit(found), F.lit(1)), lambda t: F.concat(F.lit(":"), t))
+
+
+def linked_urls(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """Distinct targets of absolute links: (host, path)."""
+    found = pages.select(F.explode(F.array_distinct(_targets(html_col))).alias("_url"))
+    return found.select(host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path")).distinct()
+
+
 def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Links between hosts with their number of pages: (src, dst, weight).
 
@@ -51,10 +63,7 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     relative links stay on the host and say nothing.  A page counts once per host.
     """
     src = host_of(F.col(url_col))
-    targets = F.array_distinct(F.transform(
-        F.regexp_extract_all(F.col(html_col), F.lit(r"(?i)(?:href|src)\s*=\s*[\"']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\s<>]+)"), F.lit(1)),
-        lambda h: F.translate(h, _CAPITALS, _SMALL),
-    ))
+    targets = F.array_distinct(F.transform(_targets(html_col), host_of))
     links = pages.select(src.alias("src"), F.explode(targets).alias("dst")).where("src <> '' and dst <> '' and src <> dst")
     return links.groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
@@ -98,9 +107,10 @@ def judge_urls(
 
     Adds host, path, rule (the longest that fits, else null), trust, distrust and verdict to the columns of ``pages`` (replacing
     those of the same name).  A rule decides its URLs.  For others the host does: a host is a trusted seed by the share of its
-    pages that an allow rule covers, and a blocked seed by the share that a block rule covers.  Trust flows
+    known URLs that an allow rule covers, and a blocked seed by the share that a block rule covers.  Known are its pages and
+    the distinct targets of absolute links that are no pages here, so hosts without pages are seeds, too.  Trust flows
     along the links between hosts, distrust against them (who links to blocked hosts is suspect).
-    Both are scaled to seed pages, so without links they are those shares again; a host is blocked if distrust less
+    Both are scaled to seed URLs, so without links they are those shares again; a host is blocked if distrust less
     trust exceeds ``threshold``, and allowed else, as is a URL without a host.
     """
     kinds = {r.name: r.verdict for r in rules}
@@ -110,8 +120,11 @@ def judge_urls(
         "rule", matching_rule(F.col("host"), F.col("path"), rules)
     )
     ruled = lambda kind: F.coalesce(F.col("rule").isin([n for n, v in kinds.items() if v == kind]), F.lit(False))
+    linked = linked_urls(pages, html_col).where("host <> ''").join(
+        placed.select("host", "path").distinct(), ["host", "path"], "left_anti"
+    ).withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
     hosts = written(
-        placed.where("host <> ''").groupBy("host").agg(
+        placed.where("host <> ''").select("host", "rule").union(linked.select("host", "rule")).groupBy("host").agg(
             F.avg(ruled("allow").cast("int")).alias("allowed"), F.avg(ruled("block").cast("int")).alias("blocked")
         ), "hosts",
     )

@@ -452,6 +452,20 @@ def test_distrust_flows_to_those_who_link(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
 
 
+def test_hosts_without_pages_are_seeds(spark):
+    """A blocked target that was not crawled makes its linkers suspect; a trusted one hands its trust on by its path."""
+    pages = spark.createDataFrame([
+        (1, "http://friend.com/a", '<a href="http://Spam.net/x?y">'), (2, "http://clean.com/a", '<a href="http://example.net/en/b">'),
+        (3, "http://other.com/a", '<a href="http://nowhere.com/">'), (4, "http://path.com/a", "<a href='//www.half.com/bad/1'>"),
+    ], "page_id int, url string, html string")
+    rules = [*RULES, link_trust.Rule("block", "half.com", "/bad/")]
+    got = {r.page_id: r for r in link_trust.judge_urls(pages, rules, threshold=0.3).collect()}
+    assert {i: r.verdict for i, r in got.items()} == {1: "block", 2: "allow", 3: "allow", 4: "block"}
+    assert got[1].distrust > 0.3 and got[4].distrust > 0.3 and got[2].distrust == got[3].distrust == 0
+    seen = {(r.host, r.path) for r in link_trust.linked_urls(pages).collect()}
+    assert seen == {("spam.net", "/x"), ("example.net", "/en/b"), ("nowhere.com", "/"), ("www.half.com", "/bad/1")}
+
+
 def test_propagation_is_personalised_pagerank(spark):
     links = [("a", "b", 2), ("a", "c", 1), ("b", "c", 1), ("c", "a", 3), ("d", "c", 1), ("b", "e", 1)]
     seeds = {"a": 1.0, "d": 3.0}
