@@ -1,7 +1,7 @@
 """Words and shingles of UTF-8 texts as 64-bit hashes, a batch at a time in NumPy.
 
-A word's hash covers its bytes with A-Z lowered.  Arrays are built per slice of
-``SLICE`` bytes, so a very long text needs eight bytes a word, not a multiple of its size.
+A word's hash covers its bytes with A-Z lowered, each with its place, however long the word is.  Arrays are built per
+slice of ``SLICE`` bytes, so a very long text needs eight bytes a word, not a multiple of its size.
 """
 
 from __future__ import annotations
@@ -23,7 +23,9 @@ NON_SPACE = ~((_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)))
 ALPHANUMERIC = ((_BYTES >= 0x30) & (_BYTES <= 0x39)) | ((LOWER >= 0x61) & (LOWER <= 0x7A)) | (_BYTES >= 0x80)
 
 _BYTE_CODES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_POWERS = np.multiply.accumulate(np.full(4096, 0x9E3779B97F4A7C15, np.uint64))
+#: Odd factors of the places within a run of this many bytes; in a longer word each run has a factor, too.
+RUN = 4096
+_PLACE_FACTORS = np.random.default_rng(20240303).integers(1, 2**63, RUN, dtype=np.uint64) * _U(2) + _U(1)
 _PLACES = np.multiply.accumulate(np.full(64, 0xD6E8FEB86659FD93, np.uint64))
 
 
@@ -79,9 +81,11 @@ def _slice_words(raw: np.ndarray, kind: np.ndarray):
     lengths = ends - starts
     at = np.cumsum(lengths) - lengths
     place = np.arange(lengths.sum()) - np.repeat(at, lengths)
-    if lengths.max() > len(_POWERS):
-        place %= len(_POWERS)
-    codes = _BYTE_CODES[LOWER[raw[inside]]] * _POWERS[place]
+    codes = _BYTE_CODES[LOWER[raw[inside]]]
+    if lengths.max() > RUN:
+        run, place = np.divmod(place, RUN)
+        codes *= mix(run.astype(np.uint64)) | _U(1)
+    codes *= _PLACE_FACTORS[place]
     return mix(np.add.reduceat(codes, at) + lengths.astype(np.uint64)), starts, ends
 
 

@@ -67,6 +67,21 @@ def test_words_match_a_plain_split():
     assert len(np.unique(W.words_of(["a A b ab"]).hashes)) == 3
 
 
+def test_long_words_with_blocks_exchanged_differ():
+    a, b = "a" * W.RUN, "b" * W.RUN
+    words = [a + b, b + a, a + b + "c", a + "c" + b, (a + b) * 1200, (b + a) * 1200, (a + b) * 1199 + b + a, "x" * 5_000, "x" * 5_001]
+    assert len(np.unique(W.words_of([" ".join(words)]).hashes)) == len(words)
+    assert (W.words_of([w.upper() for w in words]).hashes == W.words_of([" ".join(words)]).hashes).all()
+
+
+def test_long_words_are_no_copies(spark):
+    a, b = "a" * W.RUN, "b" * W.RUN
+    docs = spark.createDataFrame([(1, a + b), (2, b + a), (3, a + b)], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()} == {(1, 1), (2, 2), (3, 1)}
+    found = find_contamination(docs, spark.createDataFrame([(7, a + b)], "item_id long, text string"))
+    assert {(r.doc_id, r.contaminated) for r in found.collect()} == {(1, True), (2, False), (3, True)}
+
+
 # ---- 1 packing -------------------------------------------------------------------------
 
 
