@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import os
-import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -13,23 +9,15 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pricelattice.llm.steps import numbered, written
+from pricelattice.llm.token_ids import encoder
 from pricelattice.llm.words import slices
 
-#: Entries kept per worker in the caches of chunks and of parts, and the longest that enter.
-CACHE_CHUNKS, CACHE_PARTS, CACHE_CHARACTERS = 250_000, 800_000, 48
-#: White space for str.split() but not for the tokenizer's pattern.
-_SEPARATORS = "\x1c\x1d\x1e\x1f"
-#: Texts that lower-case character by character within their own range; and the parts into which the tokenizer's pattern cuts them.
-_SIMPLE = re.compile("[\x00-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0148\u014a-\u01c3\u01dd-\u01ef\u01f4-\u0219]*")
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\u024f]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^a-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\u024f]+")
-_loaded: dict[str, tuple] = {}
-
-
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -37,87 +25,45 @@ def default_tokenizer() -> str:
 
 
 def encode(texts: list[str | None], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit, just as the tokenizer gives them.
-
-    The tokenizer lowers letters, drops white space, never merges across it, and cuts what stands between into words, digits and
-    runs of marks before it merges.  So every such part is encoded once, and texts are put together from cached
-    chunks (what stands between white space) and parts.  Texts of other than Latin letters go to it whole.
-    """
-    if path not in _loaded:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are parallel; threads on top only spin
-        from tokenizers import Tokenizer
-
-        _loaded[path] = Tokenizer.from_file(path), {}, {}
-    tokenizer, chunks, parts = _loaded[path]
-    whole, rows = [], []
-    for i, text in enumerate(texts):
-        if not text:
-            rows.append([])
-        elif (text.isascii() or _SIMPLE.fullmatch(text)) and "<|" not in text and not any(c in text for c in _SEPARATORS):
-            rows.append(text.lower().split())
-        else:
-            rows.append([])
-            whole.append(i)
-    wanted = set().union(*rows)
-    if len(chunks) + len(wanted) > CACHE_CHUNKS:
-        chunks.clear()
-    fresh = wanted.difference(chunks)
-    words, marked, cut = [], [], []
-    for c in fresh:  # the common forms first: a word, or a word and one mark
-        if c.isascii():
-            if c.isalpha():
-                words.append(c)
-                continue
-            if c[:-1].isalpha() and not c[-1].isalnum():
-                marked.append(c)
-                continue
-        cut.append((c, _PARTS.findall(c)))
-    needed = set(words).union([c[:-1] for c in marked], [c[-1] for c in marked], *[found for _, found in cut])
-    if len(parts) + len(needed) > CACHE_PARTS:
-        parts.clear()
-    new = list(needed.difference(parts))
-    for at in range(0, len(new), 20_000):
-        some = new[at : at + 20_000]
-        for part, found in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-            parts[part] = array("I", found.ids).tobytes()
-    for c in words:
-        chunks[c] = parts[c]
-    for c in marked:
-        chunks[c] = parts[c[:-1]] + parts[c[-1]]
-    for c, found in cut:
-        chunks[c] = b"".join([parts[p] for p in found])
-    out = [b"".join(map(chunks.__getitem__, row)) for row in rows]
-    for i in whole:
-        out[i] = array("I", tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
-    for cache, used in ((chunks, fresh), (parts, new)):
-        for key in [k for k in used if len(k) > CACHE_CHARACTERS]:
-            del cache[key]
-    return out
+    """Ids of each text as little-endian unsigned 32-bit, just as the tokenizer gives them."""
+    ids, first = encoder(path).encode(texts, 0)
+    return [ids[a : b - 1].astype("<u4").tobytes() for a, b in zip(first, first[1:])]
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int, with_ids: bool, keep_cache: bool):
-    end = np.array([end_id], "<u4").tobytes()
-    gc.disable()  # encoding makes many containers and no cycles
-    try:
-        for batch in (part for whole in batches for part in slices(whole, 2 << 20)):
-            rows, start, total, ids = [], [], [], []
-            for i, code in enumerate(encode(batch["text"].to_pylist(), path)):
-                code += end
-                for at in range(0, len(code), 4 * size):
-                    rows.append(i), start.append(at // 4), total.append(len(code) // 4), ids.append(code[at : at + 4 * size])
-            rest = [n for n in batch.schema.names if n != "text"]
-            carried = batch.select(rest).take(pa.array(rows, pa.int64())).columns if rest else []
-            columns = [*carried, pa.array(start, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                       pa.array([crc32(x) for x in ids], pa.int64()), pa.array(total, pa.int64())]
-            names = [*rest, "start", "length", "ids_crc32", "doc_tokens"]
-            if with_ids:
-                columns.append(pa.array(ids, pa.binary()))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names)
-    finally:  # the worker may go on with other work
-        gc.enable()
-        for cache in _loaded.get(path, [])[1 : 2 if keep_cache else 3]:
-            cache.clear()
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in (part for whole in batches for part in slices(whole, 6 << 20)):
+        ids, first = encoder(path).encode(batch["text"].to_pylist(), end_id)
+        total = np.diff(first)
+        count = -(-total // size)
+        row = np.repeat(np.arange(len(count)), count)
+        start = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * size
+        length = np.minimum(total[row] - start, size)
+        raw = ids.astype("<u4")
+        parts = [raw[a : a + n] for a, n in zip(first[row] + start, length)]
+        rest = [n for n in batch.schema.names if n != "text"]
+        carried = batch.select(rest).take(pa.array(row)).columns if rest else []
+        columns = [*carried, pa.array(start), pa.array(length), pa.array([crc32(x) for x in parts], pa.int64()), pa.array(total[row])]
+        names = [*rest, "start", "length", "ids_crc32", "doc_tokens"]
+        if with_ids:  # on their way ids take two bytes where they fit, and are compressed
+            kind = "<u2" if ids.max(initial=0) < 1 << 16 else "<u4"
+            columns.append(pa.array([squeeze(x.astype(kind).tobytes()) for x in parts], pa.binary()))
+            columns.append(pa.array(np.full(len(parts), int(kind[-1]), np.int32)))
+            names += ["ids", "bytes"]
+        yield pa.RecordBatch.from_arrays(columns, names)
+    if not keep_cache:  # the worker may go on with other work
+        encoder(path).clear()
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    expand = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        whole = [
+            np.frombuffer(expand(code.as_py()), f"<u{n}").astype("<u4").tobytes()
+            for code, n in zip(batch["ids"], batch["bytes"].to_pylist())
+        ]
+        rest = [n for n in batch.schema.names if n not in ("ids", "bytes")]
+        yield pa.RecordBatch.from_arrays([*(batch[n] for n in rest), pa.array(whole, pa.binary())], [*rest, "ids"])
 
 
 @dataclass
@@ -233,7 +179,7 @@ def pack(
     Offsets are gapless from 0, longer pieces first; what a sequence lacks is padding.
 
     Lengths count in classes of ``unit`` ids for the linear program; its input is the histogram of at most
-    size / unit classes.  ``keep_cache`` leaves a worker the parts it has encoded for its next tasks, about a hundred megabytes.  In each class the pieces are ranked by length, id and start, and the rank gives the place.
+    size / unit classes.  ``keep_cache`` leaves a worker the words it has encoded for its next tasks, about a hundred megabytes.  In each class the pieces are ranked by length, id and start, and the rank gives the place.
     """
     tokenizer = tokenizer or default_tokenizer()
     added = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
@@ -244,10 +190,10 @@ def pack(
     pieces = rows.mapInArrow(
         lambda batches: _pieces(batches, tokenizer, end_id, size, with_ids, keep_cache),
         f"key {docs.schema[id_col].dataType.simpleString()}, {kinds}start long, length long, ids_crc32 long, doc_tokens long"
-        + ", ids binary" * with_ids,
+        + ", ids binary, bytes int" * with_ids,
     ).withColumn("units", F.ceil(F.col("length") / unit).cast("int"))
     pieces = written(pieces.withColumn("piece", F.monotonically_increasing_id()), "pieces")
-    ranked = numbered(pieces.drop("ids"), ["units"], ["length", "key", "start"], "rank")
+    ranked = numbered(pieces.drop("ids", "bytes"), ["units"], ["length", "key", "start"], "rank")
     demand = np.zeros(-(-size // unit), np.int64)
     for r in ranked.groupBy("units").count().collect():  # one row per class
         demand[r["units"] - 1] = r["count"]
@@ -262,8 +208,10 @@ def pack(
     before = Window.partitionBy("sequence_id").orderBy("at.ordinal").rowsBetween(Window.unboundedPreceding, -1)
     laid = laid.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
     if with_ids:  # the ids are moved once, when their place is known
-        laid = laid.join(pieces.select("piece", "ids"), "piece")
-    return laid.select(
-        *[F.col(p).alias(c) for p, c in zip(place, kept)], "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
-        "offset", *(["ids"] if with_ids else []),
-    )
+        laid = laid.join(pieces.select("piece", "ids", "bytes"), "piece")
+    found = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    laid = laid.select(*place, *found, *(["ids", "bytes"] if with_ids else []))
+    if with_ids:
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in laid.drop("ids", "bytes").schema)
+        laid = laid.mapInArrow(_unpacked, f"{kinds}, ids binary")
+    return laid.select(*[F.col(p).alias(c) for p, c in zip(place, kept)], *found, *(["ids"] if with_ids else []))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pricelattice.llm import language, quality_crf
 from pricelattice.llm.decontaminate import find_contamination
+from pricelattice.llm.grammar import read_ids, write_ids
 from pricelattice.llm.link_trust import Rule, judge_urls
 from pricelattice.llm.near_dedup import near_duplicates
 from pricelattice.llm.packing import pack
@@ -165,3 +166,9 @@ def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op13_grammar_ids")
+def op13_grammar_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the documents, written as Re-Pair grammar files and read back from them."""
+    return read_ids(write_ids(table(spark, sf_dir, "documents").select("doc_id", "text")))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricelattice.llm import language, link_trust, quality_crf, warc_fixity
+from pricelattice.llm import grammar, language, link_trust, quality_crf, warc_fixity
 from pricelattice.llm import words as W
 from pricelattice.llm.decontaminate import find_contamination
 from pricelattice.llm.fm_index import FMIndex
@@ -96,6 +96,41 @@ def test_encode_is_the_tokenizer():
     assert encode(texts, default_tokenizer()) == [np.array(e.ids, "<u4").tobytes() for e in found]
 
 
+def random_texts(seed, n):
+    rng = np.random.default_rng(seed)
+    kinds = ["ab 'stremvld", "aA1 '!\n\t  ", "é²½ßİΣς漢́ 's <|endoftext|>\u200b\xa0\x1c\x85　Ⱥ١", "\U0010ffff a𝔄😀 \r\n"]
+    kinds = [list(k) for k in [*kinds, "".join(kinds), "".join(map(chr, range(0x20, 0x300)))]]
+    return ["".join(rng.choice(kinds[i % len(kinds)], rng.integers(0, 30))) for i in range(n)]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json", "no_normaliser", "other_rule"])
+def test_encoder_is_the_tokenizer_on_random_texts(tmp_path, name, monkeypatch):
+    """Also files with other rules, which the fast way does not know, long texts in parts, and a cache that overflows."""
+    import json
+
+    import public_tokenizers
+    from pricelattice.llm import token_ids
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name if name.endswith("json") else "word_bpe_49k.json")
+    if not name.endswith("json"):
+        with open(path) as file:
+            rules = json.load(file)
+        if name == "no_normaliser":
+            rules["normalizer"] = None
+        else:
+            rules["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": "[a-z]|[0-9]+"}
+        path = str(tmp_path / "other.json")
+        with open(path, "w") as file:
+            json.dump(rules, file)
+    monkeypatch.setattr(token_ids, "PART", 40)
+    monkeypatch.setattr(token_ids, "CACHE_WORDS", 500)
+    texts = [*random_texts(5, 4000), "Hello World ABC", None, "It's a long text, isn't it?  \n " * 30]
+    ids, first = token_ids.Encoder(path).encode(texts, 7) if name.endswith("json") else token_ids.encoder(path).encode(texts, 7)
+    want = [e.ids + [7] for e in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == want
+
+
 def test_cutting_stock_holds_every_piece_in_few_sequences():
     demand = np.random.default_rng(0).integers(0, 40, 64) * (np.arange(64) < 30)
     packed = cutting_stock(demand.astype(float), 64)
@@ -121,6 +156,57 @@ def test_pack(spark, odd, none):
     assert pack(none).count() == 0
 
 
+# ---- 13 grammar files -------------------------------------------------------------------
+
+
+def test_grammar_files_give_back_every_range():
+    rng = np.random.default_rng(4)
+    for ids in (np.zeros(0, int), np.zeros(1, int), np.zeros(1000, int), rng.integers(0, 3, 5000), rng.zipf(1.3, 20_000) % 50_000,
+                np.tile(rng.integers(0, 70_000, 30), 300)):
+        cuts = np.unique(np.concatenate([[0, len(ids)], rng.integers(0, len(ids) + 1, 20)]))
+        file = grammar.Reader(grammar.store(ids.astype(np.uint32), cuts))
+        assert (file.expand(file.symbols) == ids).all() and (file.lengths >= 2).all()
+        assert [file.document(i).tolist() for i in range(len(cuts) - 1)] == [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
+        for a, b in np.sort(rng.integers(0, len(ids) + 1, (50, 2)), axis=1):
+            assert (file.ids(int(a), int(b)) == ids[a:b]).all()
+    assert len(file.symbols) < 1000  # repeated ids have become few symbols
+
+
+def test_pairs_stay_within_documents():
+    ids, first = np.tile([1, 2, 3], 100).astype(np.uint32), np.arange(0, 301, 3)
+    file = grammar.Reader(grammar.store(ids, first))
+    assert set(np.cumsum(file.sizes(file.symbols))) >= set(first[1:].tolist())
+
+
+def test_joined_crc32():
+    for a, b in ((b"abc", b"defg" * 5), (b"", b"x"), (b"q", b""), (b"\0" * 9, b"\xff" * 1001)):
+        assert grammar.joined_crc32(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+
+
+@pytest.mark.parametrize("size", [1 << 18, 100])
+def test_written_ids_are_read_back(spark, odd, none, size):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(grammar.default_tokenizer())
+    names = "id text part tie ordinal begin start n_ids content".split()
+    clashing = odd.select("*", *[F.lit("mine").alias(n) for n in names if n not in odd.columns])
+    for docs in (texts_of(spark), clashing):
+        rows = sorted(((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()), key=lambda r: (r[0] is not None, r[0] or 0))
+        files = grammar.write_ids(docs, size=size)
+        assert files.agg(F.max("n_ids")).first()[0] <= size
+        got = [tuple(r) for r in grammar.read_ids(files).orderBy("start").collect()]
+        start, want = 0, collections.Counter()
+        for i, text in rows:
+            ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [0], "<u4").tobytes()
+            want[i, len(ids) // 4, zlib.crc32(ids)] += 1
+        assert collections.Counter((i, n, crc) for i, _, n, crc in got) == want
+        for i, begin, n, _ in got:  # gapless, in order of id
+            assert begin == start
+            start += n
+        assert [g[0] for g in got] == [r[0] for r in rows]
+    assert grammar.read_ids(grammar.write_ids(none)).count() == 0
+
+
 # ---- 2 decontamination -----------------------------------------------------------------
 
 

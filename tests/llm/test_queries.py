@@ -27,6 +27,7 @@ COLUMNS = {
     "op3_sharding": "doc_id size text_crc32 law shard slot grown_shard", "op4_passage_dedup": "doc_id gone kept_in",
     "op7_near_dedup": "doc_id n_shingles component_id kept", "op8_url_filter": "page_id host path rule verdict",
     "op9_quality": "doc_id held_out score predicted", "op10_language": "doc_id held_out lang_pred score",
+    "op13_grammar_ids": "doc_id start n_tokens ids_crc32",
 }
 
 
