@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from pricelattice.llm import language, quality_crf
 from pricelattice.llm.decontaminate import find_contamination
+from pricelattice.llm.fill_in_middle import digests, fill_in_middle, store_frames
 from pricelattice.llm.grammar import read_ids, write_ids
 from pricelattice.llm.link_trust import Rule, judge_urls
 from pricelattice.llm.near_dedup import near_duplicates
 from pricelattice.llm.packing import pack
 from pricelattice.llm.passage_dedup import repeated_passages
+from pricelattice.llm.prefix_trie import numbered_turns, prefix_trie, rebuilt
 from pricelattice.llm.sharding import assign_shards
 from pricelattice.llm.steps import written
 from pricelattice.llm.topk import exact_top_k
@@ -172,3 +174,72 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_grammar_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of the documents, written as Re-Pair grammar files and read back from them."""
     return read_ids(write_ids(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+_MIDDLE_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS s FROM documents
+), h AS (
+    SELECT doc_id, t, length(t) AS n, ('0x' || s[1:8])::BIGINT AS h1, ('0x' || s[9:16])::BIGINT AS h2, ('0x' || s[17:24])::BIGINT AS h3,
+        ('0x' || s[25:32])::BIGINT AS h4 FROM d
+), c AS (
+    SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+            WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h
+), o AS (
+    SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+        ELSE '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a) END AS o FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a::BIGINT END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN (b - a)::BIGINT END AS middle_chars, sha256(o) AS output_sha256,
+    sha256(CASE form WHEN 'plain' THEN o
+        WHEN 'psm' THEN split_part(split_part(o, '<S>', 1), '<P>', 2) || split_part(o, '<M>', 2) || split_part(split_part(o, '<S>', 2), '<M>', 1)
+        ELSE split_part(split_part(o, '<P>', 2), '<M>', 1) || split_part(o, '<M>', 2) || split_part(split_part(o, '<P>', 1), '<S>', 2)
+    END) AS restored_sha256 FROM o
+"""
+
+
+@query("op11_fill_in_middle", _MIDDLE_SQL)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Examples of the documents, built from their frames, and their digests."""
+    frames = store_frames(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return digests(fill_in_middle(frames)).withColumnRenamed("id", "doc_id")
+
+
+_TRIE_SQL = """
+WITH t AS (
+    SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+    SELECT c, count(*) AS n, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''),
+        lambda ch: ascii(ch)::BIGINT)), lambda s, b: list_reduce(list_concat([xor(s, b)], range(8)), lambda v, i:
+        xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END)))) % 6 AS h
+    FROM t GROUP BY c
+), p AS (
+    SELECT c.c, b.pos AS d, b.r, b.x FROM c JOIN t b ON b.c = c.c - c.c % 100 AND b.pos <= c.h
+    UNION ALL
+    SELECT c.c, least(c.h, coalesce(b.n, 0)) + t.pos - c.h, t.r, t.x FROM c JOIN t ON t.c = c.c LEFT JOIN c b ON b.c = c.c - c.c % 100 WHERE t.pos > c.h
+    UNION ALL
+    SELECT c, 0, '', '' FROM c
+), k AS (
+    SELECT c, d, length(x) AS chars, md5(string_agg(md5(r) || md5(x), '') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS k,
+        max(d) OVER (PARTITION BY c) AS m FROM p
+), v AS (
+    SELECT k, d, min(c) AS conv, count(*) AS n, any_value(chars) AS chars, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (m = d), '')) AS ends
+    FROM k GROUP BY k, d
+), e AS (SELECT DISTINCT a.k, a.d, b.k AS up FROM k a JOIN k b ON a.c = b.c AND b.d = a.d - 1
+), w AS (SELECT v.*, (SELECT count(*) FROM e WHERE e.up = v.k AND e.d = v.d + 1) AS children FROM v
+), s AS (
+    SELECT a.k, a.d, sum((w.n - 1) * w.chars)::BIGINT AS saved, count(*) FILTER (w.children = 0) AS leaves
+    FROM w JOIN k a ON a.c = w.conv AND a.d <= w.d GROUP BY a.k, a.d
+)
+SELECT w.conv AS conv_id, w.d::BIGINT AS depth, u.conv AS parent_conv_id, w.n AS n_convs, w.children AS n_children, s.leaves AS n_leaves,
+    s.saved AS saved_tokens, w.ends AS ends_sha256
+FROM w JOIN s USING (k, d) LEFT JOIN e USING (k, d) LEFT JOIN v u ON u.k = e.up AND u.d = e.d - 1
+"""
+
+
+@query("op12_prefix_trie", _TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of conversations, each begun by the first of its hundred."""
+    return prefix_trie(rebuilt(numbered_turns(table(spark, sf_dir, "conversations"))))
