@@ -228,8 +228,8 @@ def _files(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int)
             [pa.array([part], pa.int32()), pa.array([nth], pa.int64()), pa.array([start], pa.int64()), pa.array([len(ids)], pa.int64()),
              *(pa.ListArray.from_arrays(pa.array([0, len(open_docs)], pa.int32()), column) for column in (
                  pa.concat_arrays([d[0] for d in open_docs]), *(pa.array([d[k] for d in open_docs], pa.int64()) for k in (1, 2, 4)))),
-             pa.array([store(ids, first)], pa.binary())],
-            ["part", "nth", "start", "n_ids", "ids_of", "ordinal", "begin", "doc_ids", "content"],
+             pa.array([any(d[3] < d[4] for d in open_docs)]), pa.array([store(ids, first)], pa.binary())],
+            ["part", "nth", "start", "n_ids", "ids_of", "ordinal", "begin", "doc_ids", "cut", "content"],
         )
         nth, start, open_ids, open_docs, held = nth + 1, start + len(ids), [], [], 0
         return table
@@ -259,8 +259,8 @@ def write_ids(
 
     A document is its ids and ``end_id`` (a null or empty text: that alone).  A null id comes first, rows of one id stand as in the
     table; other columns are not read.  A row is a file of at most ``size`` ids: part and nth (its place), start (ids before it in its part),
-    n_ids, content, and for each piece of a document in it ids_of (the document's id), ordinal (its place in the part), begin
-    (its ids before the piece) and doc_ids (ids of the whole document).  An empty table gives no file.
+    n_ids, content, cut (holds a document in part), and for each piece of a document in it ids_of (the document's id), ordinal (its
+    place in the part), begin (its ids before the piece) and doc_ids (ids of the whole document).  An empty table gives no file.
 
     Rows are laid out by id in ranges, ties by place, so that an id with any share of the rows is spread over tasks.  Files are
     rows of a Parquet table, so Spark's committed writes guard them when executors are lost.
@@ -272,7 +272,7 @@ def write_ids(
     rows = rows.select("id", "text", F.spark_partition_id().alias("part"))
     files = rows.mapInArrow(
         lambda batches: _files(batches, tokenizer, end_id, size),
-        f"part int, nth long, start long, n_ids long, ids_of array<{kind}>, ordinal array<long>, begin array<long>, doc_ids array<long>, content binary",
+        f"part int, nth long, start long, n_ids long, ids_of array<{kind}>, ordinal array<long>, begin array<long>, doc_ids array<long>, cut boolean, content binary",
     )
     return written(files, "grammar-files")
 
@@ -325,17 +325,21 @@ def read_ids(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
     totals = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
-    pieces = files.mapInArrow(
-        _pieces, f"part int, id {kind}, ordinal long, begin long, n_tokens long, start long, length long, crc long"
-    )
-    pieces = pieces.join(broadcast_if_small(totals, written=True), F.col("part") == F.col("p"))
-    whole = pieces.where("length = n_tokens").select("id", F.col("start") + F.col("shift"), "n_tokens", "crc")
+    totals = broadcast_if_small(totals, written=True)
+
+    def pieces(of: DataFrame) -> DataFrame:
+        found = of.mapInArrow(
+            _pieces, f"part int, id {kind}, ordinal long, begin long, n_tokens long, start long, length long, crc long"
+        )
+        return found.join(totals, F.col("part") == F.col("p"))
+
+    whole = pieces(files).where("length = n_tokens").select("id", F.col("start") + F.col("shift"), "n_tokens", "crc")
 
     @F.pandas_udf("long")
     def joined(rows: pd.Series) -> pd.Series:
         return rows.map(lambda parts: reduce(lambda crc, p: joined_crc32(crc, p["crc"], 4 * p["length"]), parts, 0))
 
-    cut = pieces.where("length < n_tokens").groupBy("part", "ordinal").agg(
+    cut = pieces(files.where("cut")).where("length < n_tokens").groupBy("part", "ordinal").agg(
         F.first("id").alias("id"), F.min(F.col("start") + F.col("shift")).alias("start"), F.first("n_tokens").alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct("begin", "crc", "length"))).alias("parts"),
     ).select("id", "start", "n_tokens", joined("parts"))
