@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pricelattice.llm.words import slices
-from pricelattice.session import broadcast_if_small
+from pricelattice.session import broadcast_if_small, cut_lineage
 
 UNKNOWN = "und"
 LEVEL = 6
@@ -41,16 +41,32 @@ def learn_dictionaries(
     The sample is the ``texts_per_language`` rows of least hash of each language, chosen on ids alone so that
     texts are read only for them, and of these the shortest distinct texts, whole, of ``bytes_per_language`` together
     (one at least).  Rows without language, id or text teach nothing.
+
+    Rows are counted per language first; only those below a hash that twice the wanted number are expected to be below are ranked, so
+    a language of any size sends few rows to its task.
     """
-    rank = Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col)
-    usable = labelled.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    chosen = usable.select(lang_col, id_col).withColumn("_n", F.row_number().over(rank))
-    chosen = chosen.where(F.col("_n") <= texts_per_language).select(
-        F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id")
+    labelled = labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("id").isNotNull()).select("lang", "id")
+    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}  # one row per language
+    share = {lang: 2 * texts_per_language / n for lang, n in counts.items()}
+    while True:
+        below = F.lit(False)
+        for lang, part in share.items():
+            own = F.col("lang") == lang
+            below |= own & (F.xxhash64("id") < F.lit(int(part * 2**64) - 2**63)) if part < 1 else own
+        few = cut_lineage(usable.where(below))
+        held = {r["lang"]: r["count"] for r in few.groupBy("lang").count().collect()}
+        short = [lang for lang, n in counts.items() if held.get(lang, 0) < min(n, texts_per_language)]
+        if not short:
+            break
+        share |= {lang: 4 * share[lang] for lang in short}  # by chance too few, or many rows of one id
+    rank = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    chosen = few.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= texts_per_language).select(
+        F.col("lang").alias("_lang"), F.col("id").alias("_id")
     ).distinct()
-    rows = labelled.where(F.length(text_col) > 0).join(
-        broadcast_if_small(chosen, written=True), (F.col(id_col) == F.col("_id")) & (F.col(lang_col) == F.col("_lang"))
-    ).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).distinct()
+    rows = labelled.where(F.length("text") > 0).join(
+        broadcast_if_small(chosen, written=True), (F.col("id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))
+    ).select("lang", "text").distinct()
     so_far = Window.partitionBy("lang").orderBy(F.octet_length("text"), "text").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(so_far), F.lit(0)))
     rows = rows.where((F.col("before") == 0) | (F.col("before") + F.octet_length("text") <= bytes_per_language))

@@ -68,28 +68,36 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return links.groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
-def propagate(links: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 20) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = None, tolerance: float = 1e-6) -> DataFrame:
     """Personalised PageRank: (host, score) from links (src, dst, weight) and seeds (host, share).
 
     Every round a host hands ``damping`` of its score to its targets by weight, and the seeds get the rest.
     What hosts without targets hold would also go to the seeds; that only scales all scores, so it
     is made good at the end, when they are scaled to a sum of one.  Partial sums are combined before the shuffle,
     so a host that everyone links to is no single task.
+
+    Scores only grow, and each round adds at most ``damping`` times what the last one added.  It ends when five rounds have added no more than
+    ``tolerance`` of the sum; then less than that share, damping**5 / (1 - damping**5) of it, has not arrived.  A caller
+    who gives ``rounds`` stops after that many at the latest.
     """
     out = links.groupBy("src").agg(F.sum("weight").alias("total"))
     moves = links.join(out, "src").select("src", "dst", (F.col("weight") * damping / F.col("total")).alias("part"))
     moves = written(moves, "link-parts")
     if moves.isEmpty():
         return seeds.select("host", F.col("share").alias("score"))
+    moves = cut_lineage(moves.repartition("src"))  # laid out once; every round then joins without moving the links
     source = seeds.select("host", (F.col("share") * (1 - damping)).alias("score"))
-    scores = source
-    for turn in range(rounds):
-        sent = moves.join(scores, moves["src"] == scores["host"])
-        sent = sent.select(F.col("dst").alias("host"), (F.col("score") * F.col("part")).alias("score"))
-        scores = sent.union(source).groupBy("host").agg(F.sum("score").alias("score"))
-        if turn % 5 == 4:
-            scores = cut_lineage(scores)
-    total = scores.agg(F.coalesce(F.sum("score"), F.lit(1.0))).first()[0]
+    scores, before, total, turn = source, 0.0, 0.0, 0
+    while (not total or total - before > tolerance * total) and (rounds is None or turn < rounds):
+        turn += 5
+        for _ in range(5):
+            sent = moves.join(scores, moves["src"] == scores["host"])
+            sent = sent.select(F.col("dst").alias("host"), (F.col("score") * F.col("part")).alias("score"))
+            scores = sent.union(source).groupBy("host").agg(F.sum("score").alias("score"))
+        scores = cut_lineage(scores)
+        before, total = total, scores.agg(F.coalesce(F.sum("score"), F.lit(0.0))).first()[0]
+        if not total:
+            return scores
     return scores.select("host", (F.col("score") / total).alias("score"))
 
 
@@ -100,7 +108,7 @@ def seed_shares(hosts: DataFrame, weight: str) -> tuple[DataFrame, float]:
 
 
 def judge_urls(
-    pages: DataFrame, rules: list[Rule], threshold: float = 0.5, damping: float = 0.85, rounds: int = 20,
+    pages: DataFrame, rules: list[Rule], threshold: float = 0.5, damping: float = 0.85, tolerance: float = 1e-6,
     url_col: str = "url", html_col: str = "html",
 ) -> DataFrame:
     """Verdict of each page's URL.
@@ -130,9 +138,9 @@ def judge_urls(
     )
     links = written(host_links(pages, url_col, html_col), "host-links")
     (good, n_good), (bad, n_bad) = seed_shares(hosts, "allowed"), seed_shares(hosts, "blocked")
-    trust = propagate(links, good, damping, rounds).select("host", (F.col("score") * n_good).alias("trust"))
+    trust = propagate(links, good, damping, tolerance=tolerance).select("host", (F.col("score") * n_good).alias("trust"))
     against = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    distrust = propagate(against, bad, damping, rounds).select("host", (F.col("score") * n_bad).alias("distrust"))
+    distrust = propagate(against, bad, damping, tolerance=tolerance).select("host", (F.col("score") * n_bad).alias("distrust"))
     scores = written(
         hosts.select("host").join(trust, "host", "left").join(distrust, "host", "left").na.fill(0.0, ["trust", "distrust"])
         .where("trust > 0 or distrust > 0"), "host-scores",

@@ -98,8 +98,10 @@ def near_duplicates(
     with probability (1 - 0.75**3)**32 < 3e-8; candidates are verified on the full sets.
     """
     spark = docs.sparkSession
-    keyed = docs.withColumn("_key", F.unhex(F.md5(F.col(text_col).cast("binary"))))
-    narrow = keyed.select(F.col("_key").alias("key"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    # the columns of docs may have any names, those of the steps here included
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    keyed = docs.toDF(*place.values()).withColumn("_key", F.unhex(F.md5(F.col(place[text_col]).cast("binary"))))
+    narrow = keyed.select(F.col("_key").alias("key"), F.col(place[id_col]).alias("doc_id"), F.col(place[text_col]).alias("text"))
     ids = docs.schema[id_col].dataType.simpleString()
     classes = written(
         narrow.mapInArrow(
@@ -114,9 +116,9 @@ def near_duplicates(
     nodes = groups.select("node").distinct()
     wanted = classes.select("key", "doc_id").join(nodes.withColumnRenamed("node", "key"), "key")
     wanted = broadcast_if_small(wanted.select(F.col("key").alias("_key"), F.col("doc_id").alias("_least")), written=True)
-    found = keyed.join(wanted, "_key").where(F.col(id_col).eqNullSafe(F.col("_least")))
+    found = keyed.join(wanted, "_key").where(F.col(place[id_col]).eqNullSafe(F.col("_least")))
     sets = written(
-        found.select(F.col("_key").alias("key"), F.col(text_col).alias("text")).mapInArrow(
+        found.select(F.col("_key").alias("key"), F.col(place[text_col]).alias("text")).mapInArrow(
             lambda batches: _sets(batches, shingle), "node binary, items binary"
         ).dropDuplicates(["node"]), "sets",
     )
@@ -129,12 +131,14 @@ def near_duplicates(
         F.col("root").alias("_root"), F.col("first.key").alias("_first"),
     )
     own = F.col("_n").isNull()
-    leads = (F.col("_key") == F.col("_first")) & F.col(id_col).eqNullSafe(F.col("_c"))
-    group = [F.col("_root").alias("_group"), F.when(own, True).otherwise(leads).alias("_leads")]
+    id_ = F.col(place[id_col])
+    leads = (F.col("_key") == F.col("_first")) & id_.eqNullSafe(F.col("_c"))
+    added = {
+        "n_shingles": F.coalesce("_n", F.lit(0)).cast("long"),
+        "component_id": F.when(own, id_).otherwise(F.col("_c")), "kept": F.when(own, True).otherwise(id_.eqNullSafe(F.col("_c"))),
+    }
+    if with_group:
+        added |= {"_group": F.col("_root"), "_leads": F.when(own, True).otherwise(leads)}
     return keyed.join(named, "_key", "left").select(
-        *[F.col(c) for c in docs.columns if c not in ("n_shingles", "component_id", "kept")],
-        F.coalesce("_n", F.lit(0)).cast("long").alias("n_shingles"),
-        F.when(own, F.col(id_col)).otherwise(F.col("_c")).alias("component_id"),
-        F.when(own, True).otherwise(F.col(id_col).eqNullSafe(F.col("_c"))).alias("kept"),
-        *(group if with_group else []),
+        *[F.col(p).alias(c) for c, p in place.items() if c not in added], *[value.alias(c) for c, value in added.items()]
     )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from pricelattice.session import BROADCAST_ROWS, broadcast_if_small
 _U = np.uint64
 
 
-def tune_bands(similarity: float, recall: float, most: int = 8) -> tuple[int, int]:
+def tune_bands(similarity: float, recall: float, most: int = 9) -> tuple[int, int]:
     """Bands and rows for the wanted recall at a similarity: the most rows that ``most`` bands allow, else one row."""
     best = None
     for rows in range(1, 9):
@@ -73,19 +74,29 @@ class Units:
 
 
 def units_of(words: W.Words, length: int, reach: int, shingle: int) -> tuple[Units, np.ndarray, Units]:
-    """Paragraphs (lines) of at least ``length`` words with the shingles of all words, and anchored windows of ``length`` words."""
+    """Paragraphs of at least ``length`` words with the shingles of all words, and anchored windows of ``length`` words.
+
+    A paragraph is a line, and the lines between two blank lines or ends of the text together, which may be one that was wrapped.
+    """
     n = len(words.hashes)
     text_of = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
     grams = W.windows_hash(words.hashes, shingle)
     raw = np.frombuffer(words.data, np.uint8)
-    breaks = np.concatenate([np.flatnonzero(raw == 10), words.begins[1:] - 1])
-    breaks.sort()
-    line = np.searchsorted(breaks, words.starts)
-    start = np.flatnonzero(np.diff(line, prepend=-1))
-    stop = np.append(start[1:], n) if len(start) else start
-    long = stop - start >= length
-    start, stop = start[long], stop[long]
-    paragraphs = Units(text_of[start], start, stop, _stretch_hash(words.hashes, start, stop))
+    line = np.searchsorted(np.flatnonzero(raw == 10), words.starts)
+    ahead = np.diff(line, prepend=-2)
+    fresh = np.diff(text_of, prepend=-1) > 0
+    found = []
+    for starts in (np.flatnonzero(fresh | (ahead > 0)), np.flatnonzero(fresh | (ahead > 1))):
+        found.append((starts, np.append(starts[1:], n) if len(starts) else starts))
+    (start, stop), (block, end) = found
+    several = stop[np.searchsorted(start, block)] != end  # not one line, which is there already
+    units = []
+    for begin, behind in ((start, stop), (block[several], end[several])):
+        long = behind - begin >= length
+        begin, behind = begin[long], behind[long]
+        units.append((begin, behind, _stretch_hash(words.hashes, begin, behind)))
+    start, stop, node = (np.concatenate(c) for c in zip(*units))
+    paragraphs = Units(text_of[start], start, stop, node)
     # grams that do not cross into the next text
     counts = np.maximum(np.diff(words.first) - shingle + 1, 0)
     first = np.concatenate([[0], np.cumsum(counts)])
@@ -109,7 +120,8 @@ def _stretch_hash(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np
 
 
 def _keyed(batches: Iterator[pa.RecordBatch], length: int, reach: int, shingle: int, bands: int, rows: int):
-    seeds = W.mix(np.arange(1, bands * rows + 1, dtype=np.uint64))
+    # grams are well mixed, so an odd factor gives each coordinate its own order
+    factors = W.mix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | _U(1)
     for batch in (part for whole in batches for part in W.slices(whole)):
         words = W.words_of(batch["text"].to_pylist())
         paragraphs, grams, windows = units_of(words, length, reach, shingle)
@@ -120,8 +132,8 @@ def _keyed(batches: Iterator[pa.RecordBatch], length: int, reach: int, shingle:
             items = grams[np.repeat(paragraphs.start - at, sizes) + np.arange(sizes.sum())]
             for band in range(bands):
                 keys[:, band] = W.mix(np.full(len(keys), band + 1, np.uint64))
-                for seed in seeds[band * rows : (band + 1) * rows]:
-                    keys[:, band] = W.mix(keys[:, band] ^ np.minimum.reduceat(W.mix(items ^ seed), at))
+                for factor in factors[band * rows : (band + 1) * rows]:
+                    keys[:, band] = W.mix(keys[:, band] ^ np.minimum.reduceat(items * factor, at))
         for units, found in ((paragraphs, keys), (windows, np.zeros((0, bands), np.uint64))):
             some = len(found) > 0
             offsets = np.arange(len(units.start) + 1, dtype=np.int32) * (bands if some else 0)
@@ -167,13 +179,13 @@ def _cut(batches: Iterator[pa.RecordBatch], carried: list[str]) -> Iterator[pa.R
 
 
 def repeated_passages(
-    docs: DataFrame, percent: int = 75, length: int = 24, reach: int = 24, shingle: int = 5, recall: float = 0.98,
+    docs: DataFrame, percent: int = 75, length: int = 24, reach: int = 24, shingle: int = 5, recall: float = 0.999,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Passages that an earlier document has too: (doc_id, key, gone, kept_in), one row per document that has any.
 
-    Words are runs of anything but ASCII white space with A-Z lowered.  Two kinds of stretches are compared.  Paragraphs are lines of ``length`` words or
-    more; those that collide in a MinHash band (bands tuned to ``recall`` at the threshold) are verified by the exact Jaccard similarity
+    Words are runs of anything but ASCII white space with A-Z lowered.  Two kinds of stretches are compared.  Paragraphs are lines, and lines between
+    blank lines taken together, of ``length`` words or more; those that collide in a MinHash band (bands tuned to ``recall`` at the threshold) are verified by the exact Jaccard similarity
     of their ``shingle``-word shingles, and equal ones are the same node.  Passages that begin or end within a line are met by windows of ``length`` words that begin at an
     anchor, the least of ``reach`` consecutive shingle hashes: the same passage has the same windows wherever it is
     set in, and every repeat of length + reach + shingle - 2 = 51 words or more holds one.  From the outermost windows a passage
@@ -254,28 +266,107 @@ def _ends(batches: Iterator[pa.RecordBatch], most: int):
         yield pa.RecordBatch.from_arrays([pa.array(root[some]), pa.array(left[some]), pa.array(right[some])], ["root", "left", "right"])
 
 
-def _contexts(batches: Iterator[pa.RecordBatch], length: int, most: int):
-    """Hash of each window with the next 1, 2 ... ``most`` words on its left (steps below 0) or right, as far as its text goes."""
+#: Bytes of each word's hash that travel with a window.
+_WORD_BYTES = 6
+#: A window of more occurrences than this is looked up by hashes, not compared in one place.
+TOGETHER = 10_000
+
+
+def _ahead(batches: Iterator[pa.RecordBatch], length: int, most: int):
+    """For each side of each window the hashes of the next ``most`` words, nearest first, as far as its text goes."""
     for batch in (part for whole in batches for part in W.slices(whole)):
         words = W.words_of(batch["text"].to_pylist())
+        low = np.ascontiguousarray(words.hashes.view(np.uint8).reshape(-1, 8)[:, :_WORD_BYTES])
         spots = batch["spots"].flatten()
         text = np.repeat(np.arange(batch.num_rows), batch["spots"].value_lengths().to_numpy(zero_copy_only=False))
         start, root = (spots.field(n).to_numpy(zero_copy_only=False) for n in ("start", "root"))
-        for side, wanted in ((-1, spots.field("left")), (1, spots.field("right"))):
+        for right, wanted in ((False, spots.field("left")), (True, spots.field("right"))):
             on = np.flatnonzero(wanted.to_numpy(zero_copy_only=False).astype(bool))
-            at = words.first[text[on]] + start[on] + (length - 1 if side > 0 else 0)
-            chain = W.mix(root[on].astype(np.int64).view(np.uint64) ^ _U(side + 2))
-            for step in range(1, most + 1):
-                at = at + side
-                inside = (at >= words.first[text[on]]) & (at < words.first[text[on] + 1])
-                on, at = on[inside], at[inside]
-                chain = W.mix(chain[inside] ^ words.hashes[at])
-                of = pa.array(text[on])
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].take(of), batch["key"].take(of), pa.array(start[on].astype(np.int32)),
-                     pa.array(np.full(len(on), side * step, np.int32)), pa.array(W.signed(chain))],
-                    ["doc_id", "key", "start", "step", "context"],
-                )
+            own = text[on]
+            at = words.first[own] + start[on]
+            if right:
+                begin = at + length
+                count = np.minimum(words.first[own + 1] - begin, most)
+            else:
+                count = np.minimum(at - words.first[own], most)
+                begin = at - count
+            size = int(count.sum())
+            place = np.arange(size) - np.repeat(np.cumsum(count) - count, count)
+            word = np.repeat(begin, count) + (place if right else np.repeat(count, count) - 1 - place)
+            offsets = np.concatenate([[0], np.cumsum(count)]) * _WORD_BYTES
+            ahead = pa.Array.from_buffers(pa.binary(), len(on), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(low[word].tobytes())])
+            of = pa.array(own)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"].take(of), batch["key"].take(of), pa.array(start[on].astype(np.int32)),
+                 pa.array(np.full(len(on), right)), pa.array(root[on]), spots.field("many").take(pa.array(on)), ahead],
+                ["doc_id", "key", "start", "right", "root", "many", "ahead"],
+            )
+
+
+def _words_ahead(ahead: pa.Array, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """A row of up to ``most`` word numbers per window, and how many it has."""
+    size = np.diff(np.frombuffer(ahead.buffers()[1], np.int32)[ahead.offset : ahead.offset + len(ahead) + 1]) // _WORD_BYTES
+    first = np.frombuffer(ahead.buffers()[1], np.int32)[ahead.offset] if len(ahead) else 0
+    flat = np.zeros((int(size.sum()), 8), np.uint8)
+    flat[:, :_WORD_BYTES] = np.frombuffer(ahead.buffers()[2] or b"", np.uint8, flat.shape[0] * _WORD_BYTES, first).reshape(-1, _WORD_BYTES)
+    out = np.zeros((len(size), most), np.uint64)
+    out[np.arange(most) < size[:, None]] = flat.view(np.uint64).reshape(-1)
+    return out, size
+
+
+def _compared(batches: Iterator[pa.RecordBatch], most: int):
+    """How far each window goes on like one of an earlier document with the same window; rows hold all of one window's occurrences in order."""
+    for batch in batches:
+        rows = batch["rows"].flatten()
+        group = np.repeat(np.arange(batch.num_rows), batch["rows"].value_lengths().to_numpy(zero_copy_only=False))
+        if not len(group):
+            continue
+        doc, key = rows.field("doc").field("doc_id"), rows.field("doc").field("key").to_numpy(zero_copy_only=False)
+        same_id = pc.fill_null(pc.equal(doc[1:], doc[:-1]), False).to_numpy(zero_copy_only=False)
+        none = doc.is_null().to_numpy(zero_copy_only=False)
+        same = (group[1:] == group[:-1]) & (key[1:] == key[:-1]) & (same_id | (none[1:] & none[:-1]))
+        rank = np.concatenate([[0], np.cumsum(~same)])  # in order within a group
+        ahead, size = _words_ahead(rows.field("ahead"), most)
+        far, keeper = np.zeros(len(group), np.int32), np.zeros(len(group), np.int64)
+        live, prefix = np.arange(len(group)), group
+        for step in range(most):
+            live, prefix = live[size[live] > step], prefix[size[live] > step]
+            if not len(live):
+                break
+            order = np.lexsort((ahead[live, step], prefix))
+            live, prefix, word = live[order], prefix[order], ahead[live[order], step]
+            new = np.concatenate([[True], (prefix[1:] != prefix[:-1]) | (word[1:] != word[:-1])])
+            prefix = np.cumsum(new) - 1
+            begins = np.flatnonzero(new)
+            least, greatest = np.minimum.reduceat(rank[live], begins), np.maximum.reduceat(rank[live], begins)
+            held = np.zeros(len(begins), np.int64)  # a row of the earliest document
+            first = np.flatnonzero(rank[live] == least[prefix])
+            held[prefix[first]] = live[first]
+            later = rank[live] > least[prefix]
+            far[live[later]], keeper[live[later]] = step + 1, held[prefix[later]]
+            stay = (greatest > least)[prefix]
+            live, prefix = live[stay], prefix[stay]
+        hit = np.flatnonzero(far)
+        of = pa.array(hit)
+        yield pa.RecordBatch.from_arrays(
+            [doc.take(of), pa.array(key[hit]), rows.field("start").take(of), batch["right"].take(pa.array(group[hit])),
+             pa.array(far[hit]), doc.take(pa.array(keeper[hit]))], ["doc_id", "key", "start", "right", "words", "keeper"],
+        )
+
+
+def _contexts(batches: Iterator[pa.RecordBatch], most: int):
+    """Hash of each window with the next 1, 2 ... words."""
+    for batch in batches:
+        ahead, size = _words_ahead(batch["ahead"], most)
+        chain = W.mix(batch["root"].to_numpy().view(np.uint64) ^ (batch["right"].to_numpy(zero_copy_only=False) + _U(1)))
+        for step in range(most):
+            on = np.flatnonzero(size > step)
+            chain[on] = W.mix(chain[on] ^ ahead[on, step])
+            of = pa.array(on)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[n].take(of) for n in ("doc_id", "key", "start", "right")), pa.array(np.full(len(on), step + 1, np.int32)),
+                 pa.array(W.signed(chain[on]))], ["doc_id", "key", "start", "right", "words", "context"],
+            )
 
 
 def _extensions(rows_in: DataFrame, shared: DataFrame, ends: DataFrame, length: int, reach: int) -> DataFrame:
@@ -284,35 +375,46 @@ def _extensions(rows_in: DataFrame, shared: DataFrame, ends: DataFrame, length:
     A window goes on as far as an earlier document with the same window has the same words.  A passage's first and last windows are
     fewer than ``reach`` words from its ends, and words beyond that are another window's; only windows that near to an end of
     what is cut (``ends``) are looked up.
-    Every number of words is looked up as one hash, so no pairs of documents are made however many share a passage.
+    A window's occurrences come together with the words that follow, one row each, and are compared in memory.  Of a window with more than
+    ``TOGETHER`` occurrences every number of words is looked up as one hash, so no task holds them all.
     """
-    ids = rows_in.schema["doc_id"].dataType.simpleString()
+    ids, most = rows_in.schema["doc_id"].dataType.simpleString(), reach - 1
     wanted = ends.groupBy("root").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    counts = shared.where("window").groupBy(F.col("root").alias("r")).agg((F.count("*") > TOGETHER).alias("many"))
+    wanted = wanted.join(counts, F.col("root") == F.col("r")).drop("r")
     spots = shared.where("window").join(broadcast_if_small(wanted, written=True), "root").groupBy("doc").agg(
-        F.collect_set(F.struct("start", "root", "left", "right")).alias("spots")
+        F.collect_set(F.struct("start", "root", "left", "right", "many")).alias("spots")
     )
     spots = written(spots.select(F.col("doc.doc_id").alias("_id"), F.col("doc.key").alias("_key"), "spots"), "spots")
     held = spots.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("spots")), F.lit(0)).alias("spots")).first()
     if held.rows <= BROADCAST_ROWS and held.spots <= 4 * BROADCAST_ROWS:  # 20 MB at most
         spots = F.broadcast(spots)
     read = rows_in.join(spots, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    contexts = written(
+    sides = written(
         read.select("doc_id", "key", "text", "spots").mapInArrow(
-            lambda batches: _contexts(batches, length, reach - 1), f"doc_id {ids}, key long, start int, step int, context long"
-        ).select(F.struct("doc_id", "key").alias("doc"), "start", "step", "context"), "contexts",
+            lambda batches: _ahead(batches, length, most),
+            f"doc_id {ids}, key long, start int, right boolean, root long, many boolean, ahead binary",
+        ).where(F.length("ahead") > 0), "sides",
     )
-    least = contexts.groupBy("context").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last")
-    found = contexts.join(broadcast_if_small(least.select("context", "first"), written=True), "context").where("doc <> first")
-    found = found.groupBy("doc", "start", (F.col("step") > 0).alias("right")).agg(
-        F.max(F.struct(F.abs("step").alias("words"), F.col("first.doc_id").alias("keeper"))).alias("far")
+    row = F.struct(F.struct("doc_id", "key").alias("doc"), "start", "ahead")
+    found = sides.where("not many").groupBy("root", "right").agg(F.sort_array(F.collect_list(row)).alias("rows")).select("right", "rows").mapInArrow(
+        lambda batches: _compared(batches, most), f"doc_id {ids}, key long, start int, right boolean, words int, keeper {ids}"
     )
+    many = sides.where("many")
+    if not many.isEmpty():
+        contexts = many.mapInArrow(
+            lambda batches: _contexts(batches, most), f"doc_id {ids}, key long, start int, right boolean, words int, context long"
+        ).select(F.struct("doc_id", "key").alias("doc"), "start", "right", "words", "context")
+        contexts = written(contexts, "contexts")
+        least = contexts.groupBy("context").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last")
+        hits = contexts.join(broadcast_if_small(least.select("context", "first"), written=True), "context").where("doc <> first")
+        hits = hits.groupBy("doc", "start", "right").agg(F.max(F.struct("words", F.col("first.doc_id").alias("keeper"))).alias("far"))
+        found = found.union(hits.select("doc.doc_id", "doc.key", "start", "right", "far.words", "far.keeper"))
     stop = F.col("start") + length
-    at = F.when(F.col("right"), F.struct(stop.alias("start"), (stop + F.col("far.words")).alias("stop"))).otherwise(
-        F.struct((F.col("start") - F.col("far.words")).alias("start"), F.col("start").alias("stop"))
-    )
-    return found.groupBy("doc").agg(F.collect_set(at).alias("more"), F.collect_set("far.keeper").alias("also_in")).select(
-        "doc.doc_id", "doc.key", "more", "also_in"
+    at = F.when(F.col("right"), F.struct(stop.alias("start"), (stop + F.col("words")).alias("stop"))).otherwise(
+        F.struct((F.col("start") - F.col("words")).alias("start"), F.col("start").alias("stop"))
     )
+    return found.groupBy("doc_id", "key").agg(F.collect_set(at).alias("more"), F.collect_set("keeper").alias("also_in"))
 
 
 def _merged(ranges):
@@ -330,19 +432,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     The columns of ``docs`` stay (a column named spans is replaced); rows without a repeat stay as they are.
     """
-    found = written(repeated_passages(docs, id_col=id_col, text_col=text_col, **how), "repeats")
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # docs may have columns of any names
+    plain = docs.toDF(*place.values())
+    found = written(repeated_passages(plain, id_col=place[id_col], text_col=place[text_col], **how), "repeats")
     found = found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "gone")
     held = found.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("gone")), F.lit(0)).alias("numbers")).first()
     if held.rows <= BROADCAST_ROWS and held.numbers <= 10 * BROADCAST_ROWS:  # 20 MB at most
         found = F.broadcast(found)
-    kept = [c for c in docs.columns if c not in (text_col, "spans")]
-    place = [f"c{i}" for i in range(len(kept))]
-    rows = docs.withColumn("_hash", F.xxhash64(text_col)).join(
-        found, (F.col("_hash") == F.col("_key")) & F.col(id_col).eqNullSafe(F.col("_id")), "left"
-    ).select(*[F.col(c).alias(p) for p, c in zip(place, kept)], F.col(text_col).alias("text"), "gone")
-    kinds = "".join(f"{p} {docs.schema[c].dataType.simpleString()}, " for p, c in zip(place, kept))
+    carried = [p for c, p in place.items() if c not in (text_col, "spans")]
+    rows = plain.withColumn("_hash", F.xxhash64(place[text_col])).join(
+        found, (F.col("_hash") == F.col("_key")) & F.col(place[id_col]).eqNullSafe(F.col("_id")), "left"
+    ).select(*carried, F.col(place[text_col]).alias("text"), "gone")
+    kinds = "".join(f"{p} {plain.schema[p].dataType.simpleString()}, " for p in carried)
     cut = rows.mapInArrow(
-        lambda batches: _cut(batches, place), f"{kinds}text string, spans array<struct<start:int,stop:int>>"
+        lambda batches: _cut(batches, carried), f"{kinds}text string, spans array<struct<start:int,stop:int>>"
+    )
+    return cut.select(
+        *[F.col("text" if c == text_col else p).alias(c) for c, p in place.items() if c == text_col or c != "spans"], "spans"
     )
-    by_name = {**{c: F.col(p).alias(c) for p, c in zip(place, kept)}, text_col: F.col("text").alias(text_col)}
-    return cut.select(*[by_name[c] for c in docs.columns if c in by_name], "spans")

@@ -151,19 +151,19 @@ def learn(
     nothing; an id labelled twice counts once, as the lesser label.  Without examples the model is
     all zeros and every score is one half.
     """
-    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(
+    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
         F.min(label_col).cast("int").alias("_label")
     )
-    drawn = known.orderBy(F.xxhash64(id_col), id_col).limit(documents).withColumnRenamed(id_col, "_id")
+    drawn = known.orderBy(F.xxhash64("_id"), "_id").limit(documents)
     drawn = broadcast_if_small(drawn, written=True)
-    found = docs.join(drawn, F.col(id_col) == F.col("_id"))
-    sizes = found.select("_id", F.octet_length(F.coalesce(text_col, F.lit(""))).alias("n")).dropDuplicates(["_id"])
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(drawn, F.col("id") == F.col("_id"))
+    sizes = found.select("_id", F.octet_length(F.coalesce("text", F.lit(""))).alias("n")).dropDuplicates(["_id"])
     chosen, room = [], bytes_in_all
     for row in sorted(sizes.limit(documents).collect(), key=lambda r: (r["n"], str(r["_id"]))):
         if row["n"] <= room:
             chosen.append(row["_id"])
             room -= row["n"]
-    rows = found.where(F.col("_id").isin(chosen)).select("_id", "_label", F.col(text_col).alias("text")) if chosen else None
+    rows = found.where(F.col("_id").isin(chosen)).select("_id", "_label", "text") if chosen else None
     rows = sorted(rows.dropDuplicates(["_id"]).collect(), key=lambda r: str(r["_id"])) if chosen else []
     if not rows:
         return Model(np.zeros(N_FEATURES), np.zeros((2, 2)))

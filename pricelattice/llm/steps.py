@@ -24,26 +24,27 @@ def numbered(df: DataFrame, within: list[str], order: list[str], name: str) -> D
     """Add ``name``: gapless positions from 0 within each key, in ``order``; ties as they come.
 
     Rows are range-partitioned on key and order, so a key with any share of the rows is
-    spread over tasks; a short table of counts per key and partition gives the offsets.
+    spread over tasks; a short table of counts per key and partition gives the offsets.  The columns of ``df`` may have any names.
     """
-    keys = [*within, *order]
+    place = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    inner, keys = [place[c] for c in within], [place[c] for c in [*within, *order]]
     laid = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie")
-        .drop("_tie").withColumn("_at", F.monotonically_increasing_id())
+        df.toDF(*place.values()).withColumn("tie", F.monotonically_increasing_id())
+        .repartitionByRange(*keys, "tie").sortWithinPartitions(*keys, "tie")
+        .drop("tie").withColumn("at", F.monotonically_increasing_id())
     )
-    laid = cut_lineage(laid).withColumn("_part", F.shiftrightunsigned("_at", 33))
-    runs = laid.groupBy(*within, "_part").agg(F.min("_at").alias("_least"), F.count("*").alias("_n"))
-    before = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    laid = cut_lineage(laid).withColumn("part", F.shiftrightunsigned("at", 33))
+    runs = laid.groupBy(*inner, "part").agg(F.min("at").alias("least"), F.count("*").alias("n"))
+    before = Window.partitionBy(*inner).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(within)], F.col("_part").alias("_p"),
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least")).alias("_shift"),
+        *[F.col(k).alias(f"k{i}") for i, k in enumerate(inner)], F.col("part").alias("p"),
+        (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("least")).alias("shift"),
     )
-    same = F.col("_part") == F.col("_p")
-    for i, k in enumerate(within):
-        same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    same = F.col("part") == F.col("p")
+    for i, k in enumerate(inner):
+        same &= F.col(k).eqNullSafe(F.col(f"k{i}"))
     return laid.join(broadcast_if_small(runs, written=True), same).select(
-        *df.columns, (F.col("_at") + F.col("_shift")).alias(name)
+        *[F.col(p).alias(c) for c, p in place.items()], (F.col("at") + F.col("shift")).alias(name)
     )
 
 

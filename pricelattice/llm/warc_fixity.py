@@ -32,9 +32,12 @@ def record_index(records: DataFrame, order: list[str], record_col: str = "record
         *[c for c in records.columns if c not in (record_col, "file", "offset", "length", "digest")],
         F.octet_length(record_col).cast("long").alias("length"), F.sha2(F.col(record_col), 256).alias("digest"),
     )
-    placed = numbered(narrow, [], order, "_at").withColumn("file", F.floor(F.col("_at") / per_file).cast("long"))
-    before = Window.partitionBy("file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")).drop("_at")
+    at = "_at"
+    while at in narrow.columns:
+        at += "_"
+    placed = numbered(narrow, [], order, at).withColumn("file", F.floor(F.col(at) / per_file).cast("long"))
+    before = Window.partitionBy("file").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")).drop(at)
 
 
 @dataclass

@@ -578,6 +578,80 @@ def test_propagation_is_personalised_pagerank(spark):
     assert {r.host: round(r.score, 4) for r in got.collect()} == {h: round(s, 4) for h, s in want.items()}
 
 
+def test_propagation_ends_when_little_is_left_to_arrive(spark):
+    """Against the solved system, with links that let scores circle for long."""
+    rng = np.random.default_rng(8)
+    n = 40
+    links = [(int(a), int(b), int(w)) for a, b, w in zip(rng.integers(0, n, 90), rng.integers(0, n, 90), rng.integers(1, 5, 90)) if a != b]
+    weights = np.zeros((n, n))
+    for a, b, w in links:
+        weights[b, a] += w
+    moves = 0.95 * weights / np.maximum(weights.sum(axis=0), 1)
+    source = np.zeros(n)
+    source[:4] = 0.25
+    want = np.linalg.solve(np.eye(n) - moves, source)
+    got = link_trust.propagate(
+        spark.createDataFrame([(f"h{a}", f"h{b}", w) for a, b, w in links], "src string, dst string, weight long"),
+        spark.createDataFrame([(f"h{i}", 0.25) for i in range(4)], "host string, share double"), damping=0.95, tolerance=1e-6,
+    )
+    got = {r.host: r.score for r in got.collect()}
+    assert sum(abs(got.get(f"h{i}", 0) - want[i] / want.sum()) for i in range(n)) < 1e-5
+
+
+# ---- names ---------------------------------------------------------------------------------
+
+#: Every name that a result or a step bears.
+NAMES = sorted({*"""_id _key _hash gone _n _c _root _first _p _at _part _least _group _leads _label _lang _tie _doc key node bucket
+lead n a b u v m root part nth start stop windows more also_in keeper spans kept kept_in n_shingles component_id size text_crc32 law shard
+slot grown_shard score predicted margin rejected lang_pred n_words n_hit n_items items contaminated ids ids_crc32 length doc_tokens sequence_id
+offset host path rule verdict trust distrust file digest label c0 c1 c2 id tie at p shift units piece rank""".split()} - {"doc_id", "text"})
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    rows = [(i, t, "en" if (i or 0) % 2 else "de", *["mine"] * len(NAMES)) for i, t in ODD]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"`{n}` string" for n in NAMES))
+
+
+def test_columns_of_any_name(spark, clashing):
+    """All operators take a table whose columns bear the names of results and steps, and keep those that are no result."""
+    plain = clashing.select("doc_id", "text", "lang")
+    value = lambda df, columns: collections.Counter(tuple(str(x) for x in r) for r in df.select(*columns).collect())
+
+    def same(op, result):
+        wide, narrow = op(clashing), op(plain)
+        assert value(wide, result) == value(narrow, result)
+        for name in set(wide.columns) & set(NAMES) - set(narrow.columns):
+            assert {r[0] for r in wide.select(f"`{name}`").collect()} == {"mine"}, name
+
+    same(near_duplicates, ["doc_id", "text", "n_shingles", "component_id", "kept"])
+    same(remove_repeats, ["doc_id", "text", "spans"])
+    same(assign_shards, ["doc_id", "size", "text_crc32", "shard", "slot", "grown_shard"])
+    benchmark = spark.createDataFrame([(1, prose(4, 60)), (2, "one")], "item_id long, text string")
+    same(lambda d: find_contamination(d, benchmark), ["doc_id", "n_words", "n_hit", "contaminated"])
+    same(pack, ["doc_id", "start", "length", "ids_crc32"])
+    dictionaries = language.learn_dictionaries(clashing)
+    assert dictionaries == language.learn_dictionaries(plain) and len(dictionaries) == 2
+    same(lambda d: language.identify(d, dictionaries), ["doc_id", "lang_pred", "score", "rejected"])
+    labels = clashing.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), *[f"`{n}`" for n in NAMES])
+    one, two = (quality_crf.learn(d, q) for d, q in ((clashing, labels), (plain, labels.select("doc_id", "quality"))))
+    assert (one.weights == two.weights).all()
+    same(lambda d: quality_crf.score_quality(d, one), ["doc_id", "score", "predicted"])
+    records = lambda d: d.withColumn("record", F.coalesce("text", F.lit("")).cast("binary"))
+    same(lambda d: warc_fixity.record_index(records(d), ["doc_id", "text"]), ["doc_id", "file", "offset", "length", "digest"])
+
+
+def test_stages_take_columns_of_any_name(spark, clashing):
+    import corpus_pipeline
+
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, clashing, SF)
+        if name != "packing":
+            assert out.columns == clashing.columns, name
+            assert {tuple(r) for r in out.select(*[f"`{n}`" for n in NAMES]).distinct().collect()} <= {("mine",) * len(NAMES)}
+        assert 0 < out.count() <= 60
+
+
 # ---- 9 quality ---------------------------------------------------------------------------
 
 
