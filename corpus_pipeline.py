@@ -21,12 +21,21 @@ from pricelattice.session import broadcast_if_small, tune
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the dictionaries tell; null or letterless texts and ties between languages go.
 
-    A table without language labels teaches nothing, so all of its documents go.
+    A table without language labels teaches nothing; then nothing can be judged, and all documents stay.
     """
     tune(spark)
-    labelled = docs.where(~language.held_out(F.col("doc_id"), 3, 1))
-    found = language.identify(docs, language.learn_dictionaries(labelled), carry=docs.columns)
-    return found.where("not rejected").select(*docs.columns)
+    dictionaries = language.learn_dictionaries(docs.where(~language.held_out(F.col("doc_id"), 3, 1)))
+    if not dictionaries:
+        return docs
+    # the columns of docs may bear names of the result
+    place = numbered_names(docs)
+    found = language.identify(docs.toDF(*place.values()), dictionaries, text_col=place["text"], carry=list(place.values()))
+    return found.where("not rejected").select(*place.values()).toDF(*docs.columns)
+
+
+def numbered_names(docs: DataFrame) -> dict[str, str]:
+    """Column -> a name that no step uses."""
+    return {c: f"c{i}" for i, c in enumerate(docs.columns)}
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,38 +45,44 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Rows without words are in no group and stay.
     """
     tune(spark)
-    named = docs.select("doc_id", "text").withColumn("_hash", F.xxhash64("text"))
+    place = numbered_names(docs)
+    rows = docs.toDF(*place.values()).withColumns({"_doc": F.col(place["doc_id"]), "_hash": F.xxhash64(place["text"])})
+    named = rows.select(F.col("_doc").alias("doc_id"), F.col(place["text"]).alias("text"), "_hash")
     found = near_duplicates(named, with_group=True).select("doc_id", "_hash", "_group", "_leads")
     found = written(found, "near-decisions")
-    kept = without(docs, found.where("not _leads"))
+    kept = without(rows, found.where("not _leads"))
     leading = found.where("_leads and _group is not null").groupBy("_group", "doc_id", "_hash").agg(F.count("*").alias("n"))
     twins = written(leading.where("n > 1").drop("n"), "twins")
     if twins.isEmpty():
-        return kept.select(*docs.columns)
+        return kept.select(*place.values()).toDF(*docs.columns)
     again = twins.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_key"), "_group")
-    double = kept.withColumn("_hash", F.xxhash64("text")).join(again, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_hash").eqNullSafe(F.col("_key")))
-    return without(kept, twins).select(*docs.columns).union(double.dropDuplicates(["_group"]).select(*docs.columns))
+    double = kept.join(again, F.col("_doc").eqNullSafe(F.col("_id")) & F.col("_hash").eqNullSafe(F.col("_key")))
+    one = double.dropDuplicates(["_group"]).select(*place.values())
+    return without(kept, twins).select(*place.values()).union(one).toDF(*docs.columns)
 
 
 def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Documents whose id and text are not among ``rows`` (doc_id, hash of the text)."""
+    """Documents whose id and text (_doc, _hash) are not among ``rows`` (doc_id, hash of the text)."""
     rows = rows.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key"))
     return docs.join(broadcast_if_small(rows, written=True), same, "left_anti")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out; a document of nothing else goes."""
     tune(spark)
-    cut = remove_repeats(docs)
-    emptied = (F.size("spans") > 0) & (F.length(F.trim(F.coalesce("text", F.lit("")))) == 0)
-    return cut.where(~emptied).select(*docs.columns)
+    place = numbered_names(docs)
+    cut = remove_repeats(docs.toDF(*place.values()), id_col=place["doc_id"], text_col=place["text"])
+    emptied = (F.size("spans") > 0) & (F.length(F.trim(F.coalesce(place["text"], F.lit("")))) == 0)
+    return cut.where(~emptied).select(*place.values()).toDF(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which at least a twentieth is benchmark windows go."""
     benchmark = tune(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
-    return find_contamination(docs, benchmark, carry=docs.columns).where("not contaminated").select(*docs.columns)
+    place = numbered_names(docs)
+    found = find_contamination(docs.toDF(*place.values()), benchmark, text_col=place["text"], carry=list(place.values()))
+    return found.where("not contaminated").select(*place.values()).toDF(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
