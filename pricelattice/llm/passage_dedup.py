@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from pricelattice.llm import words as W
 from pricelattice.llm.sets import links_within
-from pricelattice.llm.steps import rooted, sharing_groups, written
+from pricelattice.llm.steps import dropped, rooted, sharing_groups, written
 from pricelattice.session import BROADCAST_ROWS, broadcast_if_small
 
 _U = np.uint64
 
 
-def tune_bands(similarity: float, recall: float, most: int = 9) -> tuple[int, int]:
+def tune_bands(similarity: float, recall: float, most: int = 13) -> tuple[int, int]:
     """Bands and rows for the wanted recall at a similarity: the most rows that ``most`` bands allow, else one row."""
     best = None
     for rows in range(1, 9):
@@ -76,7 +76,8 @@ class Units:
 def units_of(words: W.Words, length: int, reach: int, shingle: int) -> tuple[Units, np.ndarray, Units]:
     """Paragraphs of at least ``length`` words with the shingles of all words, and anchored windows of ``length`` words.
 
-    A paragraph is a line, and the lines between two blank lines or ends of the text together, which may be one that was wrapped.
+    A paragraph is a line of that many words, or a run of shorter lines up to a blank line, a long line
+    or the end of the text; in a text with blank lines, all lines between two of them are one, too, as they may be a wrapped one.
     """
     n = len(words.hashes)
     text_of = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
@@ -85,16 +86,21 @@ def units_of(words: W.Words, length: int, reach: int, shingle: int) -> tuple[Uni
     line = np.searchsorted(np.flatnonzero(raw == 10), words.starts)
     ahead = np.diff(line, prepend=-2)
     fresh = np.diff(text_of, prepend=-1) > 0
-    found = []
-    for starts in (np.flatnonzero(fresh | (ahead > 0)), np.flatnonzero(fresh | (ahead > 1))):
-        found.append((starts, np.append(starts[1:], n) if len(starts) else starts))
-    (start, stop), (block, end) = found
-    several = stop[np.searchsorted(start, block)] != end  # not one line, which is there already
+    behind = lambda start: np.append(start[1:], n) if len(start) else start
+    blank = ~fresh & (ahead > 1)
+    start = np.flatnonzero(fresh | (ahead > 0))
+    long = behind(start) - start >= length
+    start = start[long | np.concatenate([[True], long[:-1]])[: len(long)] | fresh[start] | blank[start]]
+    stop = behind(start)
+    block = np.flatnonzero(fresh | blank)
+    end = behind(block)
+    parted = np.zeros(len(words.first), bool)  # texts with blank lines
+    parted[text_of[blank]] = True
+    block, end = (x[parted[text_of[block]] & (stop[np.searchsorted(start, block)] != end)] for x in (block, end))
     units = []
-    for begin, behind in ((start, stop), (block[several], end[several])):
-        long = behind - begin >= length
-        begin, behind = begin[long], behind[long]
-        units.append((begin, behind, _stretch_hash(words.hashes, begin, behind)))
+    for begin, after in ((start, stop), (block, end)):
+        long = after - begin >= length
+        units.append((begin[long], after[long], _stretch_hash(words.hashes, begin[long], after[long])))
     start, stop, node = (np.concatenate(c) for c in zip(*units))
     paragraphs = Units(text_of[start], start, stop, node)
     # grams that do not cross into the next text
@@ -147,11 +153,17 @@ def _keyed(batches: Iterator[pa.RecordBatch], length: int, reach: int, shingle:
 
 
 def _shingled(batches: Iterator[pa.RecordBatch], length: int, reach: int, shingle: int):
+    """The shingle sets of the paragraphs asked for: each row names some nodes of its text."""
     for batch in (part for whole in batches for part in W.slices(whole)):
         paragraphs, grams, _ = units_of(W.words_of(batch["text"].to_pylist()), length, reach, shingle)
-        node, where = np.unique(paragraphs.node, return_index=True)
+        asked = batch["nodes"].flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        row = np.repeat(np.arange(batch.num_rows), batch["nodes"].value_lengths().to_numpy(zero_copy_only=False))
+        have = {}
+        for i, key in enumerate(zip(paragraphs.text.tolist(), paragraphs.node.tolist())):
+            have.setdefault(key, i)
+        where = [have[key] for key in zip(row.tolist(), asked.tolist())]
         sets = [np.unique(grams[paragraphs.start[i] : paragraphs.stop[i] - shingle + 1]).tobytes() for i in where]
-        yield pa.RecordBatch.from_arrays([pa.array(W.signed(node)), pa.array(sets, pa.binary())], ["node", "items"])
+        yield pa.RecordBatch.from_arrays([pa.array(W.signed(asked)), pa.array(sets, pa.binary())], ["node", "items"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch], carried: list[str]) -> Iterator[pa.RecordBatch]:
@@ -184,8 +196,8 @@ def repeated_passages(
 ) -> DataFrame:
     """Passages that an earlier document has too: (doc_id, key, gone, kept_in), one row per document that has any.
 
-    Words are runs of anything but ASCII white space with A-Z lowered.  Two kinds of stretches are compared.  Paragraphs are lines, and lines between
-    blank lines taken together, of ``length`` words or more; those that collide in a MinHash band (bands tuned to ``recall`` at the threshold) are verified by the exact Jaccard similarity
+    Words are runs of anything but ASCII white space with A-Z lowered.  Two kinds of stretches are compared.  Paragraphs are lines, runs of
+    shorter lines, and all lines between two blank ones, of ``length`` words or more; those that collide in a MinHash band (bands tuned to ``recall`` at the threshold) are verified by the exact Jaccard similarity
     of their ``shingle``-word shingles, and equal ones are the same node.  Passages that begin or end within a line are met by windows of ``length`` words that begin at an
     anchor, the least of ``reach`` consecutive shingle hashes: the same passage has the same windows wherever it is
     set in, and every repeat of length + reach + shingle - 2 = 51 words or more holds one.  From the outermost windows a passage
@@ -208,22 +220,29 @@ def repeated_passages(
     )
     groups = sharing_groups(units.select(F.explode("bands").alias("bucket"), "node"), "paragraphs")
     nodes = written(groups.select("node").distinct(), "paragraph-nodes")
-    # the texts of one occurrence of each node give the shingles to verify
+    # the text of one occurrence of each node gives the shingles to verify
     spots = units.where(F.size("bands") > 0).join(nodes, "node").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("doc"))
-    spots = spots.select(F.col("doc.doc_id").alias("_id"), F.col("doc.key").alias("_key")).distinct()
-    spots = broadcast_if_small(spots, 1_000_000, written=True)
-    read = rows_in.join(spots, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    spots = spots.groupBy("doc").agg(F.collect_list("node").alias("nodes"))  # at most a document's paragraphs
+    spots = written(spots.select(F.col("doc.doc_id").alias("_id"), F.col("doc.key").alias("_key"), "nodes"), "paragraph-spots")
+    read = rows_in.join(_broadcast_lists(spots, "nodes"), (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     sets = written(
-        read.select("text").mapInArrow(lambda batches: _shingled(batches, length, reach, shingle), "node long, items binary")
-        .join(nodes, "node", "left_semi").dropDuplicates(["node"]), "paragraph-sets",
+        read.select("text", "nodes").mapInArrow(lambda batches: _shingled(batches, length, reach, shingle), "node long, items binary")
+        .dropDuplicates(["node"]), "paragraph-sets",  # rows equal in id and text
     )
-    roots = rooted(nodes, written(links_within(groups, sets, percent), "paragraph-links"), "paragraphs").where("node <> root")
+    links = written(links_within(groups, sets, percent), "paragraph-links")
+    dropped(sets)
+    roots = rooted(nodes, links, "paragraphs").where("node <> root")
     placed = units.select("node", "doc_id", "key", "start", "stop", (F.size("bands") == 0).alias("window"))
-    placed = placed.join(broadcast_if_small(roots, 1_000_000), "node", "left").select(
+    placed = placed.join(broadcast_if_small(roots), "node", "left").select(
         F.coalesce("root", "node").alias("root"), F.struct("doc_id", "key").alias("doc"), "start", "stop", "window"
     )
-    owners = placed.groupBy("root").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).where("keeper <> last")
-    shared = written(placed.join(owners.select("root", "keeper"), "root"), "shared")
+    # most stretches stand in one document only; those go by two numbers a root
+    of = F.xxhash64("doc")
+    several = placed.groupBy("root").agg(F.min(of).alias("least"), F.max(of).alias("most")).where("least <> most").select("root")
+    repeated = written(placed.join(broadcast_if_small(several, written=True), "root", "left_semi"), "repeated")
+    keepers = broadcast_if_small(repeated.groupBy("root").agg(F.min("doc").alias("keeper")), written=True)
+    shared = written(repeated.join(keepers, "root"), "shared")
+    dropped(units, repeated)
     lost = shared.where("doc <> keeper").groupBy("doc").agg(
         _merged(F.array_sort(F.collect_set(F.struct("start", "stop")))).alias("gone"),
         F.array_sort(F.collect_set("keeper.doc_id")).alias("kept_in"),
@@ -386,10 +405,7 @@ def _extensions(rows_in: DataFrame, shared: DataFrame, ends: DataFrame, length:
         F.collect_set(F.struct("start", "root", "left", "right", "many")).alias("spots")
     )
     spots = written(spots.select(F.col("doc.doc_id").alias("_id"), F.col("doc.key").alias("_key"), "spots"), "spots")
-    held = spots.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("spots")), F.lit(0)).alias("spots")).first()
-    if held.rows <= BROADCAST_ROWS and held.spots <= 4 * BROADCAST_ROWS:  # 20 MB at most
-        spots = F.broadcast(spots)
-    read = rows_in.join(spots, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    read = rows_in.join(_broadcast_lists(spots, "spots"), (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     sides = written(
         read.select("doc_id", "key", "text", "spots").mapInArrow(
             lambda batches: _ahead(batches, length, most),
@@ -417,6 +433,12 @@ def _extensions(rows_in: DataFrame, shared: DataFrame, ends: DataFrame, length:
     return found.groupBy("doc_id", "key").agg(F.collect_set(at).alias("more"), F.collect_set("keeper").alias("also_in"))
 
 
+def _broadcast_lists(df: DataFrame, lists: str) -> DataFrame:
+    """A written table with a hint to broadcast it, if its rows and the entries of its lists are proven few: 30 MB at most."""
+    held = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size(lists)), F.lit(0)).alias("entries")).first()
+    return F.broadcast(df) if held.rows <= BROADCAST_ROWS and held.entries <= 4 * BROADCAST_ROWS else df
+
+
 def _merged(ranges):
     """Ascending ranges (start, stop) as disjoint ones [from, to, from, to ...]."""
     def add(done, at):
@@ -436,9 +458,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     plain = docs.toDF(*place.values())
     found = written(repeated_passages(plain, id_col=place[id_col], text_col=place[text_col], **how), "repeats")
     found = found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "gone")
-    held = found.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("gone")), F.lit(0)).alias("numbers")).first()
-    if held.rows <= BROADCAST_ROWS and held.numbers <= 10 * BROADCAST_ROWS:  # 20 MB at most
-        found = F.broadcast(found)
+    found = _broadcast_lists(found, "gone")
     carried = [p for c, p in place.items() if c not in (text_col, "spans")]
     rows = plain.withColumn("_hash", F.xxhash64(place[text_col])).join(
         found, (F.col("_hash") == F.col("_key")) & F.col(place[id_col]).eqNullSafe(F.col("_id")), "left"

@@ -6,14 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pricelattice.session import broadcast_if_small, cut_lineage, scratch_path
+from pricelattice.session import broadcast_if_small, cut_lineage, drop_scratch, scratch_path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: computed once, kept if executors are lost."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables of :func:`written` when everything that was made of them is written, too."""
+    for table in tables:
+        drop_scratch(table.sparkSession, table.written_to)
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:

@@ -124,7 +124,7 @@ def found(df):
 
 def conversations(seed, n):
     """Few words, so that beginnings are shared; copies of whole conversations, single turns, ties, nulls, a long one."""
-    rng = random.Random(seed)
+    rng = random.Random(str(seed))
     rows = []
     for c in rng.sample(range(-250, 900), n):
         turns = rng.choice([0, 1, 1, 2, 3, 7]) if rng.random() < 0.6 else -1
@@ -159,3 +159,114 @@ def test_no_nodes_without_conversations(spark):
     assert T.prefix_trie(T.rebuilt(T.numbered_turns(none))).count() == 0
     null = spark.createDataFrame([(None, 1, "a", "b")], "conv_id long, turn long, role string, text string")
     assert T.prefix_trie(T.rebuilt(T.numbered_turns(null))).count() == 0
+
+
+# ---- 4 passages: layout and the whole result --------------------------------------------
+
+
+def words(seed, n):
+    rng = random.Random(str(seed))
+    return ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("width", [60, 30, 12, 7, 1])
+def test_near_copies_are_found_in_lines_of_any_width(spark, width):
+    """Paragraphs of 60 words with one word changed, wrapped alike or not, between others and blank lines."""
+    from pricelattice.llm.passage_dedup import repeated_passages
+
+    rows, pairs = [], 100
+    wrapped = lambda w, at: "\n".join(" ".join(w[i : i + at]) for i in range(0, len(w), at))
+    for p in range(pairs):
+        body = words(("p", p), 60)
+        copy = list(body)
+        copy[random.Random(p).randrange(60)] = "changed"
+        for side, text in enumerate((body, copy)):
+            around = [words((p, side, k), 40) for k in range(2)]
+            rows.append((2 * p + side, "\n\n".join([wrapped(around[0], width), wrapped(text, width), wrapped(around[1], width)])))
+    found = {r.doc_id: r.gone for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(found) <= {2 * p + 1 for p in range(pairs)}
+    whole = [found.get(2 * p + 1) == [40, 100] for p in range(pairs)]
+    assert sum(whole) >= 0.99 * pairs, [found.get(2 * p + 1) for p in range(pairs) if not whole[p]]
+
+
+def plain_repeats(rows, least, length=24, percent=75):
+    """Which words an earlier document has, too, by comparing all pairs: equal or near paragraphs, and equal stretches of ``least`` words or more."""
+    docs = sorted(rows, key=lambda r: (r[0] is not None, r[0]))
+    texts, units = [], []
+    for n, (_, text) in enumerate(docs):
+        at, run = 0, []
+        own = text.encode().lower().split()
+        texts.append(own)
+        for line in [*text.split("\n"), ""]:
+            count = len(line.split())
+            if run and (count >= length or not count):
+                if run[1] - run[0] >= length:
+                    units.append((n, *run))
+                run = []
+            if count >= length:
+                units.append((n, at, at + count))
+            elif count:
+                run = [run[0] if run else at, at + count]
+            at += count
+    sets = [{tuple(texts[n][i : i + 5]) for i in range(a, b - 4)} for n, a, b in units]
+    root = list(range(len(units)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(units)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    gone = collections.defaultdict(set)
+    first = {}
+    for i, (n, _, _) in enumerate(units):
+        first[find(i)] = min(first.get(find(i), n), n)
+    for i, (n, a, b) in enumerate(units):
+        if first[find(i)] < n:
+            gone[n].update(range(a, b))
+    for n in range(len(texts)):
+        for m in range(n):
+            for a in range(len(texts[n])):
+                for b in range(len(texts[m])):
+                    if (a and b and texts[n][a - 1] == texts[m][b - 1]) or texts[n][a] != texts[m][b]:
+                        continue
+                    k = 0
+                    while a + k < len(texts[n]) and b + k < len(texts[m]) and texts[n][a + k] == texts[m][b + k]:
+                        k += 1
+                    if k >= least:
+                        gone[n].update(range(a, a + k))
+    return {docs[n][0]: g for n, g in gone.items()}
+
+
+@pytest.mark.parametrize("together", [10_000, 2])
+def test_whole_result_of_passages(spark, monkeypatch, together):
+    """Planted passages, near paragraphs and noise; also with every window's occurrences looked up by hashes."""
+    from pricelattice.llm import passage_dedup
+
+    monkeypatch.setattr(passage_dedup, "TOGETHER", together)
+    rng = random.Random(5)
+    passages = [words(("q", k), rng.choice([51, 55, 64, 90, 130])) for k in range(5)]
+    near = [words(("n", k), 40) for k in range(3)]
+    rows = []
+    for i in range(24):
+        parts = [words(("u", i, k), rng.randint(3, 30)) for k in range(3)]
+        if rng.random() < 0.8:
+            parts.insert(rng.randrange(4), rng.choice(passages))
+        text = " ".join(" ".join(p) for p in parts)
+        if rng.random() < 0.5:
+            edited = list(rng.choice(near))
+            edited[rng.randrange(40)] = f"edit{i % 2}"
+            text += "\n" + " ".join(edited) + "\n" + " ".join(words(("t", i), 10))
+        rows.append((i, text))
+    got = {
+        r.doc_id: {w for a, b in zip(r.gone[0::2], r.gone[1::2]) for w in range(a, b)}
+        for r in passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    }
+    # every repeat of 51 words goes whole; shorter ones, down to 24 words, where an anchor lies in them; nothing else
+    surely, perhaps = plain_repeats(rows, 51), plain_repeats(rows, 24)
+    assert len(surely) > 10 and set(surely) <= set(got) <= set(perhaps)
+    for doc, gone in got.items():
+        assert surely.get(doc, set()) <= gone <= perhaps[doc], doc
