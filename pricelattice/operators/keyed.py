@@ -72,6 +72,12 @@ def pending(candidates: DataFrame, ledger: DataFrame, key: str, done: str = "par
     return candidates.join(finished, key, "left_anti")
 
 
+def first_pending(candidates: DataFrame, ledger: DataFrame, key: str, limit: int | None) -> DataFrame:
+    """The first ``limit`` candidates by key without a finished entry; each task hands on no more than that many."""
+    waiting = pending(candidates, ledger, key).orderBy(key)
+    return waiting if limit is None else waiting.limit(limit)
+
+
 def replace_by_key(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Delete-and-insert: target rows whose key is in the batch give way to the batch.
 

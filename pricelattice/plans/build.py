@@ -8,10 +8,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelattice import vocabulary as V
-from pricelattice.plans import marts
+from pricelattice.plans import marts, served
 from pricelattice.plans.staging import STAGES
 from pricelattice.plans.views import biggest_changes, view
-from pricelattice.session import drop_scratch, scratch_path
 
 # Names of the gold relations.
 VIEW_NAMES = [
@@ -25,6 +24,11 @@ MART_NAMES = [
 # The long fact is laid out by these, a subset of every series key: windows and
 # groupings over a series then need no shuffle.
 BUCKET_KEYS = ["insumo_id", "state_slug", "medida"]
+# In folders by type and state the state is no bucket key; rows of a bucket are in order of the item.
+FOLDER_KEYS, FOLDER_BUCKET_KEYS = ["tipo", "state_slug"], ["insumo_id", "medida"]
+LONG_COLUMNS = [
+    "medicao_id", "insumo_id", "state_slug", "period_start", "desonerado", "medida", "valor", "revisado", "blob_name", "parsed_at",
+]
 
 
 def define_mart(
@@ -89,6 +93,30 @@ def export_long_fact(long_fact: DataFrame, root: str, buckets: int | None = None
     return export_bucketed(long_fact, f"{root}/fato_medicao", long_fact_table(root), BUCKET_KEYS, buckets)
 
 
+def put_long_fact(spark: SparkSession, rows: DataFrame, root: str, first: bool, buckets: int | None = None) -> DataFrame:
+    """The long fact in folders by type and state, bucketed by item and measure: written anew, or only the rows' folders.
+
+    A catalog that does not know the table can't replace folders of it; then it must be ``first``.
+    """
+    name, layout = long_fact_table(root), [*FOLDER_BUCKET_KEYS, "desonerado", "period_start"]
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select(*[c for c in LONG_COLUMNS if c not in FOLDER_KEYS], *FOLDER_KEYS)
+    if first:
+        (
+            rows.repartition(n, *FOLDER_BUCKET_KEYS).write.mode("overwrite").option("path", f"{root}/fato_medicao")
+            .partitionBy(*FOLDER_KEYS).bucketBy(n, *FOLDER_BUCKET_KEYS).sortBy(*layout).saveAsTable(name)
+        )
+    else:
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, "dynamic")
+        try:
+            rows.repartition(n, *FOLDER_BUCKET_KEYS).write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.set(setting, before)
+    return spark.table(name)
+
+
 def write_mart(
     name: str, staged: dict[str, DataFrame], states: DataFrame, months: DataFrame, written: Mapping[str, DataFrame], root: str
 ) -> DataFrame:
@@ -115,28 +143,27 @@ def register_catalog(spark: SparkSession, root: str, names: list[str] | None = N
     types = {name: tipo for tipo, name in marts.FACT_NAME.items()}
     for name in names:
         if name == "fato_medicao" and spark.catalog.tableExists(long_fact_table(root)):
-            spark.table(long_fact_table(root)).createOrReplaceTempView(name)
-            continue
-        # facts may be partitioned; folder names carry no types
-        reader = spark.read.schema(marts.fact_schema(types[name])) if name in types else spark.read
-        reader.parquet(f"{root}/{name}").createOrReplaceTempView(name)
+            spark.table(long_fact_table(root)).select(LONG_COLUMNS).createOrReplaceTempView(name)
+        elif name in served.FOLDERS:
+            served.read(spark, name, f"{root}/{name}").createOrReplaceTempView(name)
+        else:
+            # facts may be partitioned; folder names carry no types
+            reader = spark.read.schema(marts.fact_schema(types[name])) if name in types else spark.read
+            reader.parquet(f"{root}/{name}").createOrReplaceTempView(name)
     return names
 
 
 def export_views(marts_by_name: dict[str, DataFrame], root: str) -> None:
-    """Write the nine views; the evolution clustered by the columns it is filtered on."""
+    """Write the nine views, eight of them in folders; the movers are taken from the written evolution."""
     spark = marts_by_name["dim_uf"].sparkSession
-    # the range partitioning reads its input twice, and the movers read it again: written once
-    aside = scratch_path(spark, "evolution")
-    evolution = export_table(view("vw_evolucao_preco", marts_by_name), aside)
     for name in VIEW_NAMES:
-        if name == "vw_evolucao_preco":
-            export_clustered(evolution, f"{root}/{name}", ["tipo", "medida", "state_slug"], ["period_start", "codigo"])
-        elif name == "vw_maiores_variacoes":
-            export_table(biggest_changes(evolution), f"{root}/{name}")
+        path = f"{root}/{name}"
+        if name == "vw_maiores_variacoes":
+            served.write(name, biggest_changes(served.table(spark, "vw_evolucao_preco", f"{root}/vw_evolucao_preco")), path)
+        elif name in served.FOLDERS:
+            served.write(name, view(name, marts_by_name), path)
         else:
-            export_table(view(name, marts_by_name), f"{root}/{name}")
-    drop_scratch(spark, aside)
+            export_table(view(name, marts_by_name), path)
 
 
 def export_gold(marts_by_name: dict[str, DataFrame], root: str) -> None:

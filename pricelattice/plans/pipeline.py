@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pricelattice import vocabulary as V
 from pricelattice.operators import graph, keyed, quality
-from pricelattice.plans import build, marts
+from pricelattice.plans import build, marts, refresh, served
 from pricelattice.plans.staging import STAGES
 from pricelattice.session import broadcast_if_small, cut_lineage, drop_scratch, path_exists, scratch_path
 from pricelattice.sources import files, links, sheets, silver, workbooks
@@ -133,57 +133,56 @@ def read_silver_by_type(spark: SparkSession, silver_root: str) -> dict[str, Data
     return {t: table.where(F.col("report_type") == t) for t in V.REPORT_TYPES}
 
 
-def _table_keys(tipo: str) -> list[str]:
-    return ["state_slug", "period_start"] + ([] if tipo == V.MATERIAL else ["desonerado"])
-
-
-def fact_table(spark: SparkSession, tipo: str, path: str) -> DataFrame:
-    """A written wide fact; the schema is given, since folder names carry no types."""
-    return spark.read.schema(marts.fact_schema(tipo)).parquet(path)
-
-
-def refresh_fact(spark: SparkSession, tipo: str, staged: DataFrame, months: DataFrame, path: str, key_only: bool = True) -> None:
-    """Bring a written wide fact up to date, rewriting only the partitions that changed.
-
-    ``key_only`` replaces rows by their key, so a row that vanished from a revised file
-    stays; without it a changed partition is replaced as a whole.
-    """
-    # written once: the batch serves to find the touched partitions and to fill them
-    aside = scratch_path(spark, "fact-batch")
-    marts.build_fact(tipo, staged, months, fact_table(spark, tipo, path)).write.parquet(aside)
-    batch = spark.read.schema(marts.fact_schema(tipo)).parquet(aside)
-    if key_only:
-        keyed.merge_into_table(spark, path, batch, marts.FACT_KEY[tipo], _table_keys(tipo))
-    else:
-        keyed.overwrite_partitions(batch, path, _table_keys(tipo))
-    drop_scratch(spark, aside)
-
-
 def run_gold(
     spark: SparkSession, silver_root: str, gold_root: str, states: DataFrame, months: DataFrame, full: bool = False
 ) -> list[tuple[str, int]]:
     """Build or refresh all sixteen gold relations under ``gold_root``; returns the warnings of the data checks.
 
-    Facts live in partitioned tables and are refreshed incrementally unless ``full``.
-    The marts are checked before the views are written, so an error leaves the views as they were.
+    Unless ``full``, only publications with something new are rebuilt, and of the long fact and the views only the folders that
+    they touch are rewritten.  What will change is written aside and checked first, so an error leaves every relation as it was.
+    A key holds its state and period, so checking the changed partitions proves it unique.  A catalog that has not written
+    the long fact lays it out anew from the wide facts.
     """
+    full = full or not path_exists(spark, f"{gold_root}/fato_medicao")
     staged = {t: STAGES[t](df) for t, df in read_silver_by_type(spark, silver_root).items()}
-    tables = {
-        name: build.export_table(build.define_mart(name, staged, states, months), f"{gold_root}/{name}")
-        for name in ["dim_uf", "dim_data_referencia", "dim_insumo"]
+    aside = scratch_path(spark, "gold-next")
+    dims = {
+        name: build.export_table(build.define_mart(name, staged, states, months), f"{aside}/{name}")
+        for name in ("dim_uf", "dim_data_referencia", "dim_insumo")
+    }
+    paths = {t: f"{gold_root}/{name}" for t, name in marts.FACT_NAME.items()}
+    changed = {
+        t: refresh.next_fact(spark, t, staged[t], months, path, f"{aside}/fact-{t}", full or not path_exists(spark, path))
+        for t, path in paths.items()
     }
-    for tipo, name in marts.FACT_NAME.items():
-        path = f"{gold_root}/{name}"
-        if full or not path_exists(spark, path):
-            keys = _table_keys(tipo)
-            fact = marts.build_fact(tipo, staged[tipo], months)
-            fact.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).parquet(path)
+    quality.require({
+        **dims, **{marts.FACT_NAME[t]: df for t, df in changed.items()}, "fato_medicao": marts.build_long_fact(changed)
+    })
+
+    known = spark.catalog.tableExists(build.long_fact_table(gold_root))
+    pairs = None
+    if not full:
+        pairs = refresh.touched_pairs(changed)
+        if not known or not _same_rows(spark.read.parquet(f"{gold_root}/dim_uf"), dims["dim_uf"]):
+            pairs = None
         else:
-            refresh_fact(spark, tipo, staged[tipo], months, path)
-        tables[name] = fact_table(spark, tipo, path)
-    facts = {t: tables[n] for t, n in marts.FACT_NAME.items()}
-    tables["fato_medicao"] = build.export_long_fact(marts.build_long_fact(facts), gold_root)
-    quality.require(tables)
-    build.export_views(tables, gold_root)
-    written = {name: spark.read.parquet(f"{gold_root}/{name}") for name in ("vw_cobertura", "vw_evolucao_preco")}
-    return quality.require(written)
+            pairs |= refresh.relabelled_pairs(spark, gold_root, dims["dim_insumo"])
+    for t, path in paths.items():
+        refresh.put_fact(t, changed[t], path, full or not path_exists(spark, path))
+    tables = {name: build.export_table(df, f"{gold_root}/{name}") for name, df in dims.items()}
+    facts = {t: refresh.fact_table(spark, t, path) for t, path in paths.items()}
+    tables |= {marts.FACT_NAME[t]: df for t, df in facts.items()}
+    if pairs is None or pairs:
+        tables["fato_medicao"] = build.put_long_fact(spark, refresh.long_rows(facts, pairs), gold_root, first=pairs is None)
+        refresh.refresh_views(spark, tables, gold_root, pairs)
+    drop_scratch(spark, aside)
+    return quality.require({
+        "vw_cobertura": spark.read.parquet(f"{gold_root}/vw_cobertura"),
+        "vw_evolucao_preco": served.table(spark, "vw_evolucao_preco", f"{gold_root}/vw_evolucao_preco"),
+    })
+
+
+def _same_rows(one: DataFrame, two: DataFrame) -> bool:
+    """Equal multisets of rows; for the small dimensions."""
+    two = two.select(one.columns)
+    return one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()

@@ -13,7 +13,7 @@ from pricelattice import vocabulary as V
 from pricelattice.functions import labels as L
 from pricelattice.functions.numeric import pct_change, stable_mean
 from pricelattice.operators.ranking import top_overall
-from pricelattice.plans.views import rows_at_latest, top_changes_at_latest
+from pricelattice.plans.views import latest_rows, top_changes_at_latest
 
 
 def matching(df: DataFrame, **wanted) -> DataFrame:
@@ -29,11 +29,13 @@ def matching(df: DataFrame, **wanted) -> DataFrame:
     return df
 
 
-def single_item(df: DataFrame) -> DataFrame:
+def single_item(df: DataFrame, codigo: str | None = None) -> DataFrame:
     """The rows if they are all of one code, else none.
 
-    Two extreme values tell one code from several without a distinct count.
+    Rows that were asked for by a code are of one.  Else two extreme values tell one code from several without a distinct count.
     """
+    if codigo is not None:
+        return df
     span = df.agg(F.min("codigo").alias("_first"), F.max("codigo").alias("_last"))
     only = span.where(F.col("_first") == F.col("_last")).select(F.col("_first").alias("codigo"))
     return df.join(F.broadcast(only), "codigo", "left_semi")  # at most one row
@@ -50,7 +52,7 @@ def current_prices(view: DataFrame, tipo: str, codigo=None, state_name=None, des
 def series_in_state(evolution: DataFrame, items: DataFrame, tipo: str, state_name: str, codigo=None, desonerado=None) -> DataFrame:
     found = matching(evolution, tipo=tipo, state_name=state_name, codigo=codigo, desonerado=desonerado)
     units = matching(items, tipo=tipo, codigo=codigo).select("tipo", "codigo", "unidade")
-    return single_item(found.join(units, ["tipo", "codigo"])).select(
+    return single_item(found.join(units, ["tipo", "codigo"]), codigo).select(
         "tipo", "codigo", "descricao", "medida", "state_name", "desonerado", "period_start", "valor",
         "variacao_percentual", "unidade",
     ).orderBy("medida", "desonerado", F.col("period_start").asc_nulls_last())
@@ -58,7 +60,7 @@ def series_in_state(evolution: DataFrame, items: DataFrame, tipo: str, state_nam
 
 def series_over_states(evolution: DataFrame, items: DataFrame, tipo: str, codigo=None, desonerado=None) -> DataFrame:
     """Mean over all states per period, with the change from period to period."""
-    found = single_item(matching(evolution, tipo=tipo, codigo=codigo, desonerado=desonerado))
+    found = single_item(matching(evolution, tipo=tipo, codigo=codigo, desonerado=desonerado), codigo)
     units = matching(items, tipo=tipo, codigo=codigo).select("tipo", "codigo", "unidade")
     keys = ["tipo", "codigo", "descricao", "medida", "desonerado", "period_start"]
     means = found.groupBy(*keys).agg(stable_mean(F.col("valor")).alias("valor")).join(units, ["tipo", "codigo"])
@@ -75,7 +77,7 @@ def unit_suffix(unit: Column) -> Column:
 
 def item_indicators(view: DataFrame, evolution: DataFrame, tipo: str, codigo: str, state_name=None, desonerado=None) -> DataFrame:
     """One row of headline figures for an item; with a state also its price and last change."""
-    rows = single_item(current_prices(view, tipo, codigo, None, desonerado))
+    rows = single_item(current_prices(view, tipo, codigo, None, desonerado), codigo)
     headline = F.col("medida") == V.HEADLINE_MEASURE[tipo]
     main = F.when(headline, F.col("valor"))
     here = F.lit(False) if state_name is None else headline & (F.col("state_name") == state_name)
@@ -115,7 +117,7 @@ def item_indicators(view: DataFrame, evolution: DataFrame, tipo: str, codigo: st
 
 def price_by_state(view: DataFrame, tipo: str, codigo=None, desonerado=None) -> DataFrame:
     """Headline price of one item in every state, labelled by regime."""
-    rows = single_item(current_prices(view, tipo, codigo, None, desonerado))
+    rows = single_item(current_prices(view, tipo, codigo, None, desonerado), codigo)
     return rows.where(F.col("medida") == V.HEADLINE_MEASURE[tipo]).select(
         "codigo", "state_name", "desonerado", L.regime_label(F.col("desonerado")).alias("regime"), "valor",
         L.format_money(F.col("valor")).alias("valor_rotulo"), "unidade",
@@ -126,7 +128,7 @@ def price_by_state(view: DataFrame, tipo: str, codigo=None, desonerado=None) ->
 
 
 def regime_rows(comparison: DataFrame, tipo: str, codigo=None, state_names=None) -> DataFrame:
-    found = single_item(matching(comparison, tipo=tipo, codigo=codigo, state_name=state_names))
+    found = single_item(matching(comparison, tipo=tipo, codigo=codigo, state_name=state_names), codigo)
     return found.select(
         "codigo", "medida", "state_name", "period_start", "valor_desonerado", "valor_nao_desonerado",
         "diferenca_percentual",
@@ -136,7 +138,7 @@ def regime_rows(comparison: DataFrame, tipo: str, codigo=None, state_names=None)
 def regime_means(comparison: DataFrame, tipo: str, codigo=None, state_names=None, measures=None) -> DataFrame:
     """Mean per measure and regime at the latest period, one row per regime."""
     rows = matching(regime_rows(comparison, tipo, codigo, state_names), medida=measures)
-    means = rows_at_latest(rows, []).groupBy("medida").agg(
+    means = latest_rows(rows).groupBy("medida").agg(
         stable_mean(F.col("valor_nao_desonerado")).alias("valor_nao_desonerado"),
         stable_mean(F.col("valor_desonerado")).alias("valor_desonerado"),
     )
@@ -152,7 +154,7 @@ def regime_means(comparison: DataFrame, tipo: str, codigo=None, state_names=None
 def regime_table(comparison: DataFrame, tipo: str, codigo=None, state_names=None, measures=None) -> DataFrame:
     """The latest period's rows of both regimes, formatted for display."""
     rows = matching(regime_rows(comparison, tipo, codigo, state_names), medida=measures)
-    return rows_at_latest(rows, []).select(
+    return latest_rows(rows).select(
         L.measure_label(F.col("medida")).alias("Medida"),
         F.col("state_name").alias("UF"),
         L.format_money(F.col("valor_nao_desonerado")).alias("Não Desonerado"),
@@ -169,7 +171,7 @@ def item_across_states(comparison: DataFrame, codigo: str, medida: str) -> DataF
     rows = matching(comparison, codigo=codigo, medida=medida).select(
         "medida", "desonerado", "state_name", "region", "period_start", "valor"
     )
-    return rows_at_latest(rows, []).withColumns({
+    return latest_rows(rows).withColumns({
         "region": L.region_label(F.col("region")),
         "desonerado_rotulo": L.yes_no(F.col("desonerado")),
         "rotulo": L.format_money(F.col("valor")),
@@ -178,10 +180,8 @@ def item_across_states(comparison: DataFrame, codigo: str, medida: str) -> DataF
 
 def index_series(index: DataFrame, states: DataFrame, tipo: str, state_names=None) -> DataFrame:
     wanted = index.where(F.col("tipo") == tipo).drop("tipo")
-    if state_names:
-        slugs = matching(states, state_name=state_names).select("state_slug")
-        wanted = wanted.join(slugs, "state_slug", "left_semi")
-    return wanted.join(states.select("state_slug", "state_name"), "state_slug", "left").withColumns({
+    named = matching(states, state_name=state_names).select("state_slug", "state_name")
+    return wanted.join(named, "state_slug", "inner" if state_names else "left").withColumns({
         "serie": F.concat("state_name", L.series_suffix(F.col("desonerado"))),
         "publicacao": L.format_period(F.col("period_start")),
         "indice_rotulo": L.format_decimal(F.col("indice")),

@@ -66,11 +66,15 @@ def regime_comparison(long_fact: DataFrame, items: DataFrame, states: DataFrame)
     """Both tax regimes of an item, state, period and measure side by side."""
     keys = ["insumo_id", "state_slug", "period_start", "medida"]
     # Material prices have one regime only; dropping their measures here keeps them
-    # out of the shuffle.
-    both = long_fact.where(~F.col("medida").isin(V.MATERIAL_MEASURES))
-    relieved = both.where(F.col("desonerado")).select(*keys, F.col("valor").alias("valor_desonerado"))
-    normal = both.where(~F.col("desonerado")).select(*keys, F.col("valor").alias("valor_nao_desonerado"))
-    paired = relieved.join(normal, keys).withColumns({
+    # out of the pass.
+    both = long_fact.where(~F.col("medida").isin(V.MATERIAL_MEASURES) & F.col("period_start").isNotNull())
+    # one pass: the values of either regime of a key, normally one each; a key met more often gives all pairs
+    sides = both.groupBy(*keys).agg(*[
+        F.collect_list(F.when(F.col("desonerado") == relief, F.col("valor"))).alias(name)
+        for relief, name in ((True, "valor_desonerado"), (False, "valor_nao_desonerado"))
+    ])
+    paired = sides.withColumn("valor_desonerado", F.explode("valor_desonerado"))
+    paired = paired.withColumn("valor_nao_desonerado", F.explode("valor_nao_desonerado")).withColumns({
         "diferenca_absoluta": F.col("valor_desonerado") - F.col("valor_nao_desonerado"),
         "diferenca_percentual": relative_change(F.col("valor_desonerado"), F.col("valor_nao_desonerado")),
     })
@@ -127,6 +131,15 @@ def rows_at_latest(df: DataFrame, keys: list[str], period: str = "period_start")
     return df.join(last, [*keys, period], "left_semi")
 
 
+def latest_rows(df: DataFrame, period: str = "period_start") -> DataFrame:
+    """Rows of the overall latest period, in one pass: each task hands on those of its own latest period only.
+
+    For rows whose latest period is few rows, such as one item's; else :func:`rows_at_latest` keeps them spread.
+    """
+    rank = F.rank().over(Window.orderBy(F.col(period).desc()))
+    return df.where(F.col(period).isNotNull()).withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+
+
 def top_changes_at_latest(evolution: DataFrame, keys: list[str], n: int) -> DataFrame:
     """Each group's n biggest relative changes among the rows of its latest period.
 
@@ -169,12 +182,29 @@ def labour_breakdown(fact: DataFrame, items: DataFrame, states: DataFrame) -> Da
 # ---- coverage ------------------------------------------------------------------------------
 
 
+def published_rows(facts: dict[str, DataFrame]) -> DataFrame:
+    """(type, state, period) of every fact row."""
+    lists = [df.select(F.lit(tipo).alias("tipo"), "state_slug", "period_start") for tipo, df in facts.items()]
+    return reduce(DataFrame.unionByName, lists)
+
+
 def published_periods(facts: dict[str, DataFrame]) -> DataFrame:
     """Distinct (type, state, period) with at least one fact row."""
-    lists = [
-        df.select(F.lit(tipo).alias("tipo"), "state_slug", "period_start").distinct() for tipo, df in facts.items()
-    ]
-    return reduce(DataFrame.unionByName, lists)
+    return published_rows(facts).distinct()
+
+
+def period_bitmaps(published: DataFrame) -> DataFrame:
+    """The periods of each type and state as bitmaps over day numbers: (tipo, state_slug, bucket, own, undated, last).
+
+    ``published`` may repeat a period any number of times.  A bitmap of 4 KB is built in the map tasks and combined, so neither
+    the rows nor the distinct periods are shuffled; bitmaps of several tables or runs combine by ``bitmap_or_agg``.
+    """
+    # counted from the year one, so that every date has a number above zero
+    day = F.unix_date("period_start") + F.lit(719_163)
+    return published.groupBy("tipo", "state_slug", F.bitmap_bucket_number(day).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(day)).alias("own"),
+        F.bool_or(F.col("period_start").isNull()).alias("undated"), F.max("period_start").alias("last"),
+    )
 
 
 def _calendar(periods: DataFrame):
@@ -201,18 +231,21 @@ def missing_periods(periods: DataFrame, states: DataFrame) -> DataFrame:
     )
 
 
-def coverage(periods: DataFrame, states: DataFrame) -> DataFrame:
+def coverage(published: DataFrame, states: DataFrame) -> DataFrame:
     """Latest period, number of periods and number of gaps per published type and state.
 
-    A state's gaps are the type's expected periods less the state's own, so counts are
-    enough and the grid of missing periods is not built.
+    A state's gaps are the type's expected periods less the state's own, so counts of bits are
+    enough and neither distinct periods nor the grid of missing ones are built.
     """
-    per_state = periods.groupBy("tipo", "state_slug").agg(
-        F.max("period_start").alias("ultimo_periodo_disponivel"),
-        F.count("period_start").alias("periodos_disponiveis"),
+    bitmaps = period_bitmaps(published)
+    per_state = bitmaps.groupBy("tipo", "state_slug").agg(
+        F.max("last").alias("ultimo_periodo_disponivel"),
+        F.sum(F.when(F.col("bucket").isNull(), 0).otherwise(F.bitmap_count("own"))).alias("periodos_disponiveis"),
     )
     # an undated period is expected of everyone and matched by nobody
-    expected = periods.select("tipo", "period_start").distinct().groupBy("tipo").agg(F.count(F.lit(1)).alias("_expected"))
+    expected = bitmaps.groupBy("tipo", "bucket").agg(F.bitmap_or_agg("own").alias("all"), F.bool_or("undated").alias("undated")).groupBy("tipo").agg(
+        F.sum(F.when(F.col("bucket").isNull(), F.col("undated").cast("long")).otherwise(F.bitmap_count("all"))).alias("_expected")
+    )
     return per_state.join(expected, "tipo").join(states, "state_slug").select(
         "tipo", "state_slug", "state_code", "state_name", "ultimo_periodo_disponivel", "periodos_disponiveis",
         (F.col("_expected") - F.col("periodos_disponiveis")).alias("periodos_faltantes_vs_pares"),
@@ -257,6 +290,6 @@ def view(name: str, marts: Mapping[str, DataFrame]) -> DataFrame:
         "vw_maiores_variacoes": lambda: biggest_changes(evolution()),
         "vw_breakdown_equipamento": lambda: equipment_breakdown(marts[FACT_NAME[V.EQUIPMENT]], items, states),
         "vw_breakdown_mao_de_obra": lambda: labour_breakdown(marts[FACT_NAME[V.LABOUR]], items, states),
-        "vw_cobertura": lambda: coverage(published_periods(facts()), states),
+        "vw_cobertura": lambda: coverage(published_rows(facts()), states),
     }
     return builders[name]()

@@ -14,21 +14,24 @@ from pricelattice.plans import build
 from pricelattice.sources import classify, files, links, sheets, silver
 from pricelattice.session import scratch_path
 from registry.lake import Lake
-from registry.queries import query
+from registry.queries import each_type, query
 
 # ---- scans and sinks -----------------------------------------------------------------------
 
 
 @query("scan_union_by_name")
 def _(k: Lake) -> DataFrame:
-    """Two layouts of one report in one folder, read as one table."""
+    """All report types, labour in both layouts, as tables of their own columns in one folder, read as one table."""
     path = scratch_path(k.spark, "layouts")
-    labour = k.silver[V.LABOUR]
     newer = F.col("year") >= "2000"
-    labour.where(~newer).write.parquet(f"{path}/old")
-    labour.where(newer).drop(*V.LABOUR_COMPONENTS).write.parquet(f"{path}/new")
+    for tipo, rows in k.silver.items():
+        own = rows.select("codigo", "blob_name", "year", "report_type", *V.MEASURES[tipo])
+        if tipo == V.LABOUR:
+            own.where(newer).drop(*V.LABOUR_COMPONENTS).write.parquet(f"{path}/{tipo}-new")
+            own = own.where(~newer)
+        own.write.parquet(f"{path}/{tipo}")
     merged = k.spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
-    return merged.select("codigo", "blob_name", "year", *V.LABOUR_MEASURES)
+    return merged.select("codigo", "blob_name", "year", "report_type", *sum(V.MEASURES.values(), []))
 
 
 @query("sink_silver_partitioned")
@@ -46,11 +49,12 @@ def _(k: Lake) -> DataFrame:
 
 @query("file_id_replace")
 def _(k: Lake) -> DataFrame:
-    """Revised files are parsed again with doubled prices and replace their rows."""
-    columns = ["blob_name", "codigo", "revisado", "preco_unitario"]
-    rows = k.silver[V.MATERIAL].select(columns)
-    again = rows.where("revisado").withColumn("preco_unitario", F.col("preco_unitario") * 2)
-    return silver.replace_files(rows, again)
+    """Revised files of every report type are parsed again with doubled prices and replace their rows."""
+    def replaced(tipo: str) -> DataFrame:
+        rows = k.silver[tipo].select("blob_name", "codigo", "revisado", F.col(V.HEADLINE_MEASURE[tipo]).alias("valor"))
+        return silver.replace_files(rows, rows.where("revisado").withColumn("valor", F.col("valor") * 2))
+
+    return each_type(replaced)
 
 
 @query("gold_export_roundtrip")
@@ -242,18 +246,39 @@ def _(k: Lake) -> DataFrame:
     )
 
 
+def _measured(parsed: DataFrame, columns: list[str]) -> DataFrame:
+    """Some columns and all measures of any report type; those of other types are null."""
+    return parsed.select(*columns, *[
+        F.col(m) if m in parsed.columns else F.lit(None).cast("double").alias(m) for m in sum(V.MEASURES.values(), [])
+    ])
+
+
 @query("reject_bad_files")
 def _(k: Lake) -> DataFrame:
-    return sheets.parse_sheets(_sheets(k), V.LABOUR)
+    return each_type(lambda t: _measured(sheets.parse_sheets(_sheets(k), t), ["file", "row_idx", "codigo", "descricao"]))
 
 
 @query("silver_from_sheets")
 def _(k: Lake) -> DataFrame:
-    """The whole silver step for one report type: paths classified, sheets parsed, facts attached."""
+    """The whole silver step for every report type: paths classified, sheets parsed, facts attached."""
     paths = k.panel.select(F.col("blob_name").alias("path")).distinct()
-    parsed = sheets.parse_sheets(_sheets(k), V.EQUIPMENT)
     stamp = F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")
-    return sheets.attach_file_metadata(parsed, classify.classify_files(paths), stamp)
+    facts = [
+        "codigo", "descricao", "blob_name", "region", "state_slug", "year", "month", "archive_stem", "report_type", "desonerado",
+        "revisado", "parsed_at",
+    ]
+
+    def parsed(tipo: str) -> DataFrame:
+        rows = sheets.parse_sheets(_sheets(k), tipo)
+        return _measured(sheets.attach_file_metadata(rows, classify.classify_files(paths), stamp), facts)
+
+    return each_type(parsed).drop("tipo")
+
+
+@query("pending_limited")
+def _(k: Lake) -> DataFrame:
+    """The first hundred waiting files by path, the work of a limited run."""
+    return keyed.first_pending(_parses(k).select("blob_name").distinct(), _first_parses(k), "blob_name", 100)
 
 
 query("file_row_counts")(lambda k: sheets.parsed_row_counts(_sheets(k)))

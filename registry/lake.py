@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelattice import standin
-from pricelattice.plans import build, seeds, views
+from pricelattice.plans import build, seeds, served, views
 from pricelattice.plans.marts import FACT_NAME, build_fact
 from pricelattice.plans.staging import STAGES
 from pricelattice.session import scratch_path, tune
@@ -108,6 +108,22 @@ class Lake:
         """A view, of one type, item or some states if they are given."""
         return views.view(name, views.narrowed(self.gold, **only) if only else self.gold)
 
+    @cached_property
+    def _served(self) -> dict[str, str]:
+        return {}
+
+    def served(self, name: str, tipo: str | None = None, codigo: str | None = None, state_names: list[str] | None = None) -> DataFrame:
+        """A view as it is kept for questions, of one type, item or some states if they are given."""
+        if name not in self._served:
+            path = f"{self.gold.root}/served/{name}"
+            served.write(name, self.view(name), path)
+            self._served[name] = path
+        slugs = None
+        if state_names:  # a fixed list
+            found = self.gold["dim_uf"].where(F.col("state_name").isin(state_names)).select("state_slug").collect()
+            slugs = [r.state_slug for r in found]
+        return served.read(self.spark, name, self._served[name], tipo, codigo, slugs)
+
     @cached_property
     def _old_facts(self) -> dict[str, DataFrame]:
         return {}

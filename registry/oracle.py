@@ -165,13 +165,15 @@ cte("v_evolution", """
          period_start_anterior, valor_anterior, valor - valor_anterior AS variacao_absoluta,
          if(valor_anterior <> 0, (valor - valor_anterior) / valor_anterior, NULL) AS variacao_percentual
   FROM v_changes JOIN d_item USING (insumo_id) JOIN s_states USING (state_slug)""")
+cte("v_sides", """
+  SELECT insumo_id, state_slug, period_start, medida, unnest(d) AS a, n
+  FROM (SELECT insumo_id, state_slug, period_start, medida, list(valor) FILTER (desonerado) AS d, list(valor) FILTER (NOT desonerado) AS n
+        FROM f_long WHERE period_start IS NOT NULL GROUP BY ALL)
+  WHERE d IS NOT NULL AND n IS NOT NULL""")
 cte("v_regime", """
   SELECT tipo, codigo, descricao, medida, state_slug, state_name, period_start, a AS valor_desonerado,
          b AS valor_nao_desonerado, a - b AS diferenca_absoluta, if(b <> 0, (a - b) / b, NULL) AS diferenca_percentual
-  FROM (SELECT insumo_id, state_slug, period_start, medida, valor AS a FROM f_long WHERE desonerado)
-       JOIN (SELECT insumo_id, state_slug, period_start, medida, valor AS b FROM f_long WHERE NOT desonerado)
-         USING (insumo_id, state_slug, period_start, medida)
-       JOIN d_item USING (insumo_id) JOIN s_states USING (state_slug)""")
+  FROM (SELECT * EXCLUDE (n), unnest(n) AS b FROM v_sides) JOIN d_item USING (insumo_id) JOIN s_states USING (state_slug)""")
 cte("v_states", """
   SELECT tipo, codigo, descricao, medida, desonerado, state_slug, state_code, state_name, region, period_start, valor
   FROM f_long JOIN d_item USING (insumo_id) JOIN s_states USING (state_slug)""")

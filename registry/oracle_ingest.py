@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from registry.oracle import LAB, cte, oracle
+from registry.oracle import EQU, LAB, MAT, cte, oracle
 
 _PARTS = "report_type, desonerado, year::INTEGER AS year, month, state_slug"
 
-oracle("scan_union_by_name", f"SELECT codigo, blob_name, year, {', '.join(LAB)} FROM s_panel WHERE report_type = 'mao_de_obra'")
+_ALL = MAT + EQU + LAB
+oracle("scan_union_by_name", f"SELECT codigo, blob_name, year, report_type, {', '.join(_ALL)} FROM s_panel")
 oracle("sink_silver_partitioned", f"SELECT codigo, blob_name, {_PARTS}, {', '.join(LAB)} FROM s_panel")
 oracle("scan_hive_partitions", f"SELECT {_PARTS}, count(*) AS n FROM s_panel GROUP BY ALL")
 oracle("file_id_replace", """
-SELECT blob_name, codigo, revisado, preco_unitario * CASE WHEN revisado THEN 2 ELSE 1 END AS preco_unitario
-FROM s_panel WHERE report_type = 'materiais'""")
+SELECT report_type AS tipo, blob_name, codigo, revisado, CASE WHEN revisado THEN 2 ELSE 1 END
+  * CASE report_type WHEN 'materiais' THEN preco_unitario WHEN 'equipamentos' THEN custo_produtivo ELSE custo END AS valor FROM s_panel""")
 oracle("gold_export_roundtrip", "SELECT * FROM v_states")
 oracle("gold_export_clustered", "SELECT * FROM v_evolution WHERE tipo = 'equipamentos' AND medida = 'custo_produtivo'")
 oracle("seed_month_lookup", """
@@ -142,10 +143,14 @@ FROM o_ledger l FULL JOIN (SELECT * FROM o_parses WHERE seq % 2 = 1
 oracle("pending_files", """
 SELECT DISTINCT blob_name FROM o_parses
 WHERE blob_name NOT IN (SELECT blob_name FROM o_ledger WHERE status = 'parsed')""")
+oracle("pending_limited", """
+SELECT DISTINCT blob_name FROM o_parses WHERE blob_name NOT IN (SELECT blob_name FROM o_ledger WHERE status = 'parsed')
+ORDER BY blob_name LIMIT 100""")
 oracle("failed_files", "SELECT blob_name, error FROM o_parses WHERE status = 'failed'")
 
 # ---- sheets -------------------------------------------------------------------------------------------
 
+# Header cells of the report layouts, as in vocabulary.py.
 _HEADERS = {
     "materiais": ["Código", "Descrição", "Unidade", "Preço Unitário (R$)"],
     "equipamentos": [
@@ -207,23 +212,15 @@ oracle("clean_numeric", """
 SELECT file, row_idx, TRY_CAST(fourth AS DOUBLE) AS value,
        coalesce(fourth <> '-' AND TRY_CAST(fourth AS DOUBLE) IS NULL, false) AS bad FROM h_all""")
 cte("h_bad", "SELECT DISTINCT blob_name AS file FROM h_rows WHERE broken")
-oracle("reject_bad_files", """
-SELECT blob_name AS file, item * 4 + 10 AS row_idx, lower(codigo) AS codigo, descricao, coalesce(unidade, '') AS unidade,
-       CASE WHEN year < '2000' THEN salario::DECIMAL(18,4)::DOUBLE END AS salario,
-       encargos_totais::DECIMAL(18,4)::DOUBLE AS encargos_totais, custo::DECIMAL(18,4)::DOUBLE AS custo,
-       periculosidade_insalubridade::DECIMAL(18,4)::DOUBLE AS periculosidade_insalubridade
-FROM h_rows WHERE report_type = 'mao_de_obra' AND NOT (state_slug = 'nation_20' AND year = '1996')
-  AND blob_name NOT IN (SELECT file FROM h_bad)""")
-oracle("silver_from_sheets", """
-SELECT lower(codigo) AS codigo, descricao, valor_aquisicao::DECIMAL(18,4)::DOUBLE AS valor_aquisicao,
-       depreciacao::DECIMAL(18,4)::DOUBLE AS depreciacao, oportunidade_capital::DECIMAL(18,4)::DOUBLE AS oportunidade_capital,
-       seguros_impostos::DECIMAL(18,4)::DOUBLE AS seguros_impostos, manutencao::DECIMAL(18,4)::DOUBLE AS manutencao,
-       operacao::DECIMAL(18,4)::DOUBLE AS operacao, mao_de_obra_operacao::DECIMAL(18,4)::DOUBLE AS mao_de_obra_operacao,
-       custo_produtivo::DECIMAL(18,4)::DOUBLE AS custo_produtivo, custo_improdutivo::DECIMAL(18,4)::DOUBLE AS custo_improdutivo,
-       blob_name, region, state_slug, year, month, archive_stem, report_type, desonerado, revisado,
-       '2002-01-01 00:00:00' AS parsed_at
-FROM h_rows WHERE report_type = 'equipamentos' AND NOT (state_slug = 'nation_20' AND year = '1996')
-  AND blob_name NOT IN (SELECT file FROM h_bad)""")
+_CELLS = ", ".join(f"CASE WHEN report_type = '{t}' THEN {m}::DECIMAL(18,4)::DOUBLE END AS {m}" for t, own in
+                   (("materiais", MAT), ("equipamentos", EQU), ("mao_de_obra", LAB)) for m in own)
+cte("h_good", """
+  SELECT * FROM h_rows WHERE NOT (state_slug = 'nation_20' AND year = '1996') AND blob_name NOT IN (SELECT file FROM h_bad)""")
+oracle("reject_bad_files", f"""
+SELECT report_type AS tipo, blob_name AS file, item * 4 + 10 AS row_idx, lower(codigo) AS codigo, descricao, {_CELLS} FROM h_good""")
+oracle("silver_from_sheets", f"""
+SELECT lower(codigo) AS codigo, descricao, {_CELLS}, blob_name, region, state_slug, year, month, archive_stem, report_type, desonerado,
+       revisado, '2002-01-01 00:00:00' AS parsed_at FROM h_good""")
 cte("h_outcome", """
   SELECT f.file, report_type,
          CASE WHEN NOT unknown AND b.file IS NULL THEN (SELECT count(*) FROM h_body r WHERE r.file = f.file) END AS row_count,

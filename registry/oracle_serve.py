@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pricelattice.plans.build import MART_NAMES, VIEW_NAMES
-from registry.oracle import EQU, LAB, MAT, ORACLE, P3, cte, fact_sql, oracle
+from registry.oracle import EQU, LAB, MAT, ORACLE, cte, oracle
 from registry.lake import CUTOFF
 from registry.serve import EQUIPMENT, LABOUR, MATERIAL, STATE_NAME, STATE_NAMES, STATE_SLUG
 
@@ -43,6 +43,7 @@ def mean(c: str) -> str:
     return f"sum({c}::DECIMAL(28,8))::DOUBLE / count({c})"
 
 
+# Region and regime labels, as in vocabulary.py.
 _SIM = "if({0}, 'Sim', 'Não')".format
 _REGIME = "CASE WHEN {0} THEN 'Desonerado' WHEN NOT {0} THEN 'Não Desonerado' END".format
 _REGION = "CASE {0} WHEN 'centro-oeste' THEN 'Centro-Oeste' WHEN 'nordeste' THEN 'Nordeste' WHEN 'norte' THEN 'Norte' WHEN 'sudeste' THEN 'Sudeste' WHEN 'sul' THEN 'Sul' ELSE {0} END".format
@@ -61,9 +62,10 @@ _TYPES = {
 
 
 def _each(part: str) -> str:
-    """The statement for every report type; {tipo}, {rows}, {keys} and {value} stand for its own."""
+    """The statement for every report type; {tipo}, {rows}, {keys}, {value} and {regime} stand for its own."""
     return "\nUNION ALL\n".join(
-        part.format(tipo=t, rows=rows, keys=keys, value=value) for t, (rows, keys, value) in _TYPES.items()
+        part.format(tipo=t, rows=rows, keys=keys, value=value, regime="desonerado" if "desonerado" in keys else "false")
+        for t, (rows, keys, value) in _TYPES.items()
     )
 
 
@@ -99,15 +101,14 @@ UNION ALL SELECT DISTINCT 'equipamentos', state_slug, year, month, desonerado FR
 UNION ALL SELECT DISTINCT 'mao_de_obra', state_slug, year, month, desonerado FROM t_lab WHERE parsed_at > TIMESTAMP '{CUTOFF}'""")
 oracle("incremental_batch", "SELECT * FROM n_batch")
 oracle("delete_insert", "SELECT * FROM n_batch UNION ALL SELECT * FROM n_old WHERE fato_id NOT IN (SELECT fato_id FROM n_batch)")
-cte("n_mat_old", fact_sql("materiais", "(FROM t_mat WHERE parsed_at <= TIMESTAMP '" + CUTOFF + "')", "preco_material_id", P3, MAT))
-cte("n_mat_touched", """
-  SELECT DISTINCT state_slug, period_start FROM f_mat
-  WHERE (state_slug, period_start) IN (
-    SELECT (state_slug, make_date(year, month_number, 1)) FROM t_mat JOIN s_months ON month = month_name
-    WHERE parsed_at > (SELECT max(parsed_at) FROM n_mat_old))""")
+# the whole partitions (state, month, for other types than materials also regime) of the batch replace the old ones
+cte("n_new", _each(_RESOLVED.replace("AS fato_id,", "AS fato_id, state_slug, {regime} AS regime,") + """({keys}) IN (
+    SELECT ({keys}) FROM {rows} WHERE parsed_at > (SELECT high_water_mark FROM n_mark WHERE tipo = '{tipo}'))""" + _RESOLVED_END))
+cte("n_was", _each(_RESOLVED.replace("AS fato_id,", "AS fato_id, state_slug, {regime} AS regime,") + f"parsed_at <= TIMESTAMP '{CUTOFF}'" + _RESOLVED_END))
 oracle("partition_overwrite", """
-SELECT * FROM f_mat SEMI JOIN n_mat_touched USING (state_slug, period_start)
-UNION ALL SELECT * FROM n_mat_old ANTI JOIN n_mat_touched USING (state_slug, period_start)""")
+SELECT tipo, fato_id, period_start, valor, revisado, parsed_at FROM n_new
+UNION ALL SELECT tipo, fato_id, period_start, valor, revisado, parsed_at
+FROM n_was ANTI JOIN n_new USING (tipo, state_slug, period_start, regime)""")
 
 oracle("catalog_relations", "\nUNION ALL\n".join(
     f"SELECT '{name}' AS relation, count(*) AS n FROM ({ORACLE[name]})" for name in MART_NAMES + VIEW_NAMES))

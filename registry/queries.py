@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricelattice import vocabulary as V
 from pricelattice.plans import views
@@ -23,6 +25,11 @@ def query(name: str):
     return register
 
 
+def each_type(of: Callable[[str], DataFrame]) -> DataFrame:
+    """A part for every report type, named and put together."""
+    return reduce(DataFrame.unionByName, [of(t).withColumn("tipo", F.lit(t)) for t in V.REPORT_TYPES])
+
+
 # ---- staging, marts, views ------------------------------------------------------------
 
 query("stg_materiais")(lambda k: k.staged[V.MATERIAL])

@@ -11,10 +11,10 @@ from pricelattice import vocabulary as V
 from pricelattice.functions import labels as L
 from pricelattice.functions.numeric import relative_change
 from pricelattice.operators import keyed, quality, revision
-from pricelattice.plans import build, marts, serving, views
+from pricelattice.plans import build, marts, refresh, serving, views
 from pricelattice.session import scratch_path
 from registry.lake import CUTOFF, Lake
-from registry.queries import query
+from registry.queries import each_type, query
 
 # parameters of the serving queries; present at every scale of the test tables
 MATERIAL, EQUIPMENT, LABOUR = "c3", "c4", "c5"
@@ -39,11 +39,6 @@ def _(k: Lake) -> DataFrame:
     return k.gold["fato_custo_equipamento"].select("custo_equipamento_id", ratio.alias("ratio"))
 
 
-def _each(of) -> DataFrame:
-    """A part for every report type, named and put together."""
-    return reduce(DataFrame.unionByName, [of(t).withColumn("tipo", F.lit(t)) for t in V.REPORT_TYPES])
-
-
 @query("join_month_left")
 def _(k: Lake) -> DataFrame:
     def dated(tipo: str) -> DataFrame:
@@ -52,17 +47,17 @@ def _(k: Lake) -> DataFrame:
         odd = F.when(F.length("codigo") % 3 == 0, F.concat(F.col("month"), F.lit("?"))).otherwise(F.col("month"))
         return marts.with_month_number(rows.withColumn("month", odd), k.months, "month")
 
-    return _each(dated).withColumn("period_start", F.make_date("year", "mes_numero", F.lit(1)))
+    return each_type(dated).withColumn("period_start", F.make_date("year", "mes_numero", F.lit(1)))
 
 
 @query("dedup_exact_rows")
 def _(k: Lake) -> DataFrame:
-    return _each(lambda t: k.staged[t].distinct().select("codigo", "blob_name", F.col(V.HEADLINE_MEASURE[t]).alias("valor"), "parsed_at"))
+    return each_type(lambda t: k.staged[t].distinct().select("codigo", "blob_name", F.col(V.HEADLINE_MEASURE[t]).alias("valor"), "parsed_at"))
 
 
 @query("revisado_resolve")
 def _(k: Lake) -> DataFrame:
-    return _each(lambda t: revision.resolve_revisions(k.staged[t], marts.PARTITION_KEYS[t]).select(
+    return each_type(lambda t: revision.resolve_revisions(k.staged[t], marts.PARTITION_KEYS[t]).select(
         "state_slug", "year", "month", "codigo", F.col(V.HEADLINE_MEASURE[t]).alias("valor"), "revisado", "blob_name"
     ))
 
@@ -85,29 +80,32 @@ def _facts(tipo: str, fact: DataFrame) -> DataFrame:
     return fact.select(F.col(marts.FACT_KEY[tipo]).alias("fato_id"), "period_start", value, "revisado", "parsed_at")
 
 
-query("high_water_mark")(lambda k: _each(lambda t: revision.high_water_mark(k.old_fact(t))))
+query("high_water_mark")(lambda k: each_type(lambda t: revision.high_water_mark(k.old_fact(t))))
 
 
 @query("changed_partitions")
 def _(k: Lake) -> DataFrame:
     mark = F.lit(CUTOFF).cast("timestamp_ntz")
     regime = lambda t: F.lit(None).cast("boolean") if t == V.MATERIAL else F.col("desonerado")
-    return _each(lambda t: revision.changed_partitions(k.staged[t], marts.PARTITION_KEYS[t], mark).select(
+    return each_type(lambda t: revision.changed_partitions(k.staged[t], marts.PARTITION_KEYS[t], mark).select(
         "state_slug", "year", "month", regime(t).alias("desonerado")
     ))
 
 
-query("incremental_batch")(lambda k: _each(lambda t: _facts(t, _batch(k, t))))
-query("delete_insert")(lambda k: _each(lambda t: _facts(t, keyed.replace_by_key(k.old_fact(t), _batch(k, t), marts.FACT_KEY[t]))))
+query("incremental_batch")(lambda k: each_type(lambda t: _facts(t, _batch(k, t))))
+query("delete_insert")(lambda k: each_type(lambda t: _facts(t, keyed.replace_by_key(k.old_fact(t), _batch(k, t), marts.FACT_KEY[t]))))
 
 
 @query("partition_overwrite")
 def _(k: Lake) -> DataFrame:
-    """Old material prices on disk, then the batch's partitions written over them."""
-    path = scratch_path(k.spark, "fact")
-    for rows in [k.old_fact(V.MATERIAL), _batch(k, V.MATERIAL)]:
-        keyed.overwrite_partitions(rows, path, ["state_slug", "period_start"])
-    return k.spark.read.parquet(path)
+    """Old facts of every type on disk, then the batches' partitions written over them."""
+    def overwritten(tipo: str) -> DataFrame:
+        path = scratch_path(k.spark, "fact")
+        for rows in [k.old_fact(tipo), _batch(k, tipo)]:
+            keyed.overwrite_partitions(rows, path, refresh.partition_keys(tipo))
+        return _facts(tipo, refresh.fact_table(k.spark, tipo, path))
+
+    return each_type(overwritten)
 
 
 # ---- quality ----------------------------------------------------------------------------------------
@@ -146,33 +144,33 @@ def _(k: Lake) -> DataFrame:
 
 # ---- serving --------------------------------------------------------------------------------------------
 
-query("serve_preco_atual")(lambda k: serving.current_prices(k.view("vw_preco_atual", tipo=V.EQUIPMENT, state_names=[STATE_NAME]), V.EQUIPMENT, state_name=STATE_NAME, desonerado=False))
+query("serve_preco_atual")(lambda k: serving.current_prices(k.served("vw_preco_atual", tipo=V.EQUIPMENT, state_names=[STATE_NAME]), V.EQUIPMENT, state_name=STATE_NAME, desonerado=False))
 query("serve_evolucao_uf")(lambda k: serving.series_in_state(
-    k.view("vw_evolucao_preco", tipo=V.LABOUR, codigo=LABOUR, state_names=[STATE_NAME]), k.gold["dim_insumo"], V.LABOUR, STATE_NAME, LABOUR
+    k.served("vw_evolucao_preco", tipo=V.LABOUR, codigo=LABOUR, state_names=[STATE_NAME]), k.gold["dim_insumo"], V.LABOUR, STATE_NAME, LABOUR
 ))
-query("serve_evolucao_media")(lambda k: serving.series_over_states(k.view("vw_evolucao_preco", **_EQUIPMENT), k.gold["dim_insumo"], V.EQUIPMENT, EQUIPMENT))
-query("serve_kpis")(lambda k: serving.item_indicators(k.view("vw_preco_atual", **_EQUIPMENT), k.view("vw_evolucao_preco", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT, STATE_NAME))
-query("serve_preco_por_estado")(lambda k: serving.price_by_state(k.view("vw_preco_atual", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT))
-query("serve_regime")(lambda k: serving.regime_rows(k.view("vw_comparacao_regime", **_EQUIPMENT, state_names=STATE_NAMES), V.EQUIPMENT, EQUIPMENT, STATE_NAMES))
-query("serve_regime_media")(lambda k: serving.regime_means(k.view("vw_comparacao_regime", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT))
-query("serve_regime_tabela")(lambda k: serving.regime_table(k.view("vw_comparacao_regime", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT))
-query("serve_comparacao_uf")(lambda k: serving.item_across_states(k.view("vw_comparacao_uf", **_EQUIPMENT), EQUIPMENT, "custo_produtivo"))
-query("serve_indice")(lambda k: serving.index_series(k.view("vw_indice_reajuste", tipo=V.EQUIPMENT, state_names=STATE_NAMES), k.gold["dim_uf"], V.EQUIPMENT, STATE_NAMES))
-query("serve_top20_regional")(lambda k: serving.top_movers(k.view("vw_evolucao_preco", tipo=V.EQUIPMENT), k.gold["dim_uf"], V.EQUIPMENT, region="africa", desonerado=False))
+query("serve_evolucao_media")(lambda k: serving.series_over_states(k.served("vw_evolucao_preco", **_EQUIPMENT), k.gold["dim_insumo"], V.EQUIPMENT, EQUIPMENT))
+query("serve_kpis")(lambda k: serving.item_indicators(k.served("vw_preco_atual", **_EQUIPMENT), k.served("vw_evolucao_preco", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT, STATE_NAME))
+query("serve_preco_por_estado")(lambda k: serving.price_by_state(k.served("vw_preco_atual", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT))
+query("serve_regime")(lambda k: serving.regime_rows(k.served("vw_comparacao_regime", **_EQUIPMENT, state_names=STATE_NAMES), V.EQUIPMENT, EQUIPMENT, STATE_NAMES))
+query("serve_regime_media")(lambda k: serving.regime_means(k.served("vw_comparacao_regime", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT))
+query("serve_regime_tabela")(lambda k: serving.regime_table(k.served("vw_comparacao_regime", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT))
+query("serve_comparacao_uf")(lambda k: serving.item_across_states(k.served("vw_comparacao_uf", **_EQUIPMENT), EQUIPMENT, "custo_produtivo"))
+query("serve_indice")(lambda k: serving.index_series(k.served("vw_indice_reajuste", tipo=V.EQUIPMENT, state_names=STATE_NAMES), k.gold["dim_uf"], V.EQUIPMENT, STATE_NAMES))
+query("serve_top20_regional")(lambda k: serving.top_movers(k.served("vw_evolucao_preco", tipo=V.EQUIPMENT), k.gold["dim_uf"], V.EQUIPMENT, region="africa", desonerado=False))
 query("serve_top20_tabela")(lambda k: serving.movers_table(
-    serving.top_movers(k.view("vw_evolucao_preco", tipo=V.MATERIAL), k.gold["dim_uf"], V.MATERIAL)
+    serving.top_movers(k.served("vw_evolucao_preco", tipo=V.MATERIAL), k.gold["dim_uf"], V.MATERIAL)
 ))
-query("serve_detalhe_equip")(lambda k: serving.equipment_components(k.view("vw_breakdown_equipamento"), EQUIPMENT, STATE_SLUG))
-query("serve_detalhe_equip_tabela")(lambda k: serving.equipment_table(k.view("vw_breakdown_equipamento"), EQUIPMENT, STATE_SLUG))
-query("serve_detalhe_mao")(lambda k: serving.labour_components(k.view("vw_breakdown_mao_de_obra"), LABOUR, STATE_SLUG))
-query("serve_detalhe_mao_tabela")(lambda k: serving.labour_table(k.view("vw_breakdown_mao_de_obra"), LABOUR, STATE_SLUG))
+query("serve_detalhe_equip")(lambda k: serving.equipment_components(k.served("vw_breakdown_equipamento", codigo=EQUIPMENT, state_names=[STATE_NAME]), EQUIPMENT, STATE_SLUG))
+query("serve_detalhe_equip_tabela")(lambda k: serving.equipment_table(k.served("vw_breakdown_equipamento", codigo=EQUIPMENT, state_names=[STATE_NAME]), EQUIPMENT, STATE_SLUG))
+query("serve_detalhe_mao")(lambda k: serving.labour_components(k.served("vw_breakdown_mao_de_obra", codigo=LABOUR, state_names=[STATE_NAME]), LABOUR, STATE_SLUG))
+query("serve_detalhe_mao_tabela")(lambda k: serving.labour_table(k.served("vw_breakdown_mao_de_obra", codigo=LABOUR, state_names=[STATE_NAME]), LABOUR, STATE_SLUG))
 query("serve_cobertura")(lambda k: serving.coverage_table(k.view("vw_cobertura")))
 query("serve_cobertura_resumo")(lambda k: serving.coverage_summary(k.view("vw_cobertura")))
 query("serve_periodo_span")(lambda k: serving.publication_span(k.gold["dim_data_referencia"]))
 query("list_ufs")(lambda k: serving.list_states(k.gold["dim_uf"]))
 query("list_insumos")(lambda k: serving.list_items(k.gold["dim_insumo"]))
-query("list_medidas")(lambda k: serving.list_measures(k.view("vw_evolucao_preco", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT))
-query("list_periodos")(lambda k: serving.list_periods(k.view("vw_breakdown_equipamento"), EQUIPMENT, STATE_SLUG))
+query("list_medidas")(lambda k: serving.list_measures(k.served("vw_evolucao_preco", **_EQUIPMENT), V.EQUIPMENT, EQUIPMENT))
+query("list_periodos")(lambda k: serving.list_periods(k.served("vw_breakdown_equipamento", codigo=EQUIPMENT, state_names=[STATE_NAME]), EQUIPMENT, STATE_SLUG))
 
 
 @query("serve_single_item_guard")
