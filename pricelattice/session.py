@@ -9,7 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A key list of this many narrow rows stays within some tens of MB per executor.
+# What a broadcast side may weigh, by the widths of its columns; a side with text or nested values goes by its rows.
+BROADCAST_BYTES = 16 << 20
+_WIDTHS = {"bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4, "float": 4, "date": 4, "smallint": 2, "tinyint": 1, "boolean": 1}
+# A list of this many rows of ids, texts or short lists stays within some tens of MB per executor.
 BROADCAST_ROWS = 200_000
 
 
@@ -79,15 +82,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, written: bool = False) -> DataFrame:
+def broadcast_rows(df: DataFrame) -> int:
+    """How many rows of these columns may be broadcast: sixteen MB of numbers, or ``BROADCAST_ROWS`` with anything else."""
+    widths = [_WIDTHS.get(kind) for _, kind in df.dtypes]
+    return BROADCAST_ROWS if None in widths else max(BROADCAST_ROWS, BROADCAST_BYTES // max(1, sum(widths)))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None, written: bool = False) -> DataFrame:
     """Hint a broadcast only after a bounded count has proven the side small.
 
-    The count stops at ``max_rows + 1`` rows.  A bigger side is returned without
+    The bound is ``max_rows``, by default what the columns' widths allow.  The count stops at ``max_rows + 1`` rows.  A bigger side is returned without
     a hint, so the join is planned as a shuffle join, where adaptive execution
     splits skewed partitions.  With ``written`` the side is checkpointed in the shared
     folder first, for sides that are costly to compute twice.
     """
     if written:
         df = cut_lineage(df)
+    max_rows = broadcast_rows(df) if max_rows is None else max_rows
     small = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if small else df
