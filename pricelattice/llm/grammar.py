@@ -36,7 +36,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def repair(ids: np.ndarray, last: np.ndarray, base: int, least: int = 4, saving: float = 0.02) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repair(ids: np.ndarray, last: np.ndarray, base: int, least: int = 4, saving: float = 0.06) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair in rounds: (symbols, rules, last), where rule r is the pair of symbols rules[r], itself symbol base + r.
 
     A round counts the pairs of neighbours and replaces those that occur ``least`` times; where two of them share a
@@ -66,7 +66,7 @@ def _replaced(symbols: np.ndarray, last: np.ndarray, least: int, turn: int) -> t
     Pairs are counted in a table by their hash.  A slot counts the one pair that it holds; another pair of that slot waits
     for the next round, whose hash is another one.
     """
-    bits = min(max(len(symbols).bit_length(), 8), 22)
+    bits = min(max(len(symbols).bit_length() - 1, 8), 22)
     left, right = symbols[:-1], symbols[1:]
     slot = left * _FACTORS[2 * turn % len(_FACTORS)]
     slot ^= right * _FACTORS[(2 * turn + 1) % len(_FACTORS)]
