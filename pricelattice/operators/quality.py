@@ -56,12 +56,13 @@ def suspicious_changes(evolution: DataFrame, limit: float = 0.3) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
-    """A rule of one table: rows for which ``broken`` holds, or any row of ``offending``."""
+    """A rule of one table: rows for which ``broken`` holds, values of ``unique`` met more than once, or any row of ``offending``."""
 
     name: str
     severity: str
     table: str
     broken: Column | None = None
+    unique: str | None = None
     offending: DataFrame | None = None
 
 
@@ -90,7 +91,7 @@ def standard_checks(tables: dict[str, DataFrame]) -> list[Check]:
         for column in ([key] if key else []) + required.get(table, []):
             checks.append(Check(f"not_null_{table}_{column}", ERROR, table, broken=_is_null(column)))
         if key:
-            checks.append(Check(f"unique_{table}_{key}", ERROR, table, offending=repeated_values(df, key)))
+            checks.append(Check(f"unique_{table}_{key}", ERROR, table, unique=key))
         if table in accepted:
             column, values = accepted[table]
             checks.append(Check(f"accepted_values_{table}_{column}", ERROR, table, broken=_is_unaccepted(column, values)))
@@ -104,9 +105,9 @@ def standard_checks(tables: dict[str, DataFrame]) -> list[Check]:
 
 
 def report(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """One row per check: name, severity, number of offending rows.
+    """One row per check: name, severity, number of offending rows or values.
 
-    All row rules of a table are counted in one scan of it.
+    All rules of a table are counted in one scan of it; where a column must be unique, the others are counted along its groups.
     """
     parts = [
         c.offending.agg(F.count(F.lit(1)).alias("violations")).select(
@@ -116,11 +117,20 @@ def report(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     ]
     for table, df in tables.items():
         rules = [c for c in checks if c.table == table and c.broken is not None]
-        if rules:
-            counts = df.agg(*[F.count_if(c.broken).alias(c.name) for c in rules])
-            severity = F.coalesce(*[F.when(F.col("check_name") == c.name, c.severity) for c in rules])
-            long = counts.unpivot([], [c.name for c in rules], "check_name", "violations")
-            parts.append(long.select("check_name", severity.alias("severity"), "violations"))
+        unique = [c for c in checks if c.table == table and c.unique is not None]
+        counted = [F.count_if(c.broken).alias(c.name) for c in rules]
+        if unique:  # one a table
+            per_value = df.groupBy(F.col(unique[0].unique).alias("_value")).agg(F.count(F.lit(1)).alias("_n"), *counted)
+            repeated = F.count_if(F.col("_value").isNotNull() & (F.col("_n") > 1)).alias(unique[0].name)
+            counts = per_value.agg(repeated, *[F.coalesce(F.sum(c.name), F.lit(0)).alias(c.name) for c in rules])
+        elif rules:
+            counts = df.agg(*counted)
+        else:
+            continue
+        own = unique + rules
+        severity = F.coalesce(*[F.when(F.col("check_name") == c.name, c.severity) for c in own])
+        long = counts.unpivot([], [c.name for c in own], "check_name", "violations")
+        parts.append(long.select("check_name", severity.alias("severity"), "violations"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -6,8 +6,6 @@ is pending and writes the ledger's next version.
 
 from __future__ import annotations
 
-from itertools import islice
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,17 +70,20 @@ def run_silver(
 ) -> DataFrame:
     """Parse pending workbooks into silver, the first ``limit`` by path; returns the new parse ledger.
 
-    A bad file fails alone: its outcome is recorded and none of its rows are kept.  Work goes
-    in rounds of paths, as the reader takes a list; the waiting list is sorted once, and the
-    ledger takes in the outcomes of all rounds once at the end.
+    A bad file fails alone: its outcome is recorded and none of its rows are kept.  Files are read by folders of one publication,
+    region, state, year and month, and those that wait are picked by a join with the written waiting list; the driver
+    holds the folders with their numbers of files, which the calendar bounds, and no file.  A round takes folders of about ``files_per_round``
+    files; the ledger takes in the outcomes of all rounds once at the end.
     """
-    waiting = pending_reports(spark, raw_root, ledger).orderBy("blob_name")
-    waiting = cut_lineage(waiting if limit is None else waiting.limit(limit))
+    waiting = pending_reports(spark, raw_root, ledger)
+    if limit is not None:  # each task hands on no more than that many
+        waiting = waiting.orderBy("blob_name").limit(limit)
+    waiting = cut_lineage(waiting.withColumn("_folder", _publication_folder()))
     aside = scratch_path(spark, "outcomes")
-    queue = waiting.orderBy("blob_name").toLocalIterator()  # a partition at a time
-    while chunk := list(islice(queue, files_per_round)):
-        batch = spark.createDataFrame(chunk, waiting.schema)
-        _parse_round(spark, [r.path for r in chunk], batch, silver_root, parsed_at, ledger.columns, aside)
+    folders = waiting.groupBy("_folder").agg(F.count("*").alias("files")).orderBy("_folder").collect()
+    for names in _rounds(folders, files_per_round):
+        batch = waiting.where(F.col("_folder").isin(names)).drop("_folder")
+        _parse_round(spark, names, batch, silver_root, parsed_at, ledger.columns, aside)
     if not path_exists(spark, aside):
         return ledger
     outcomes = spark.read.schema(PARSES_SCHEMA).parquet(aside)
@@ -91,11 +92,30 @@ def run_silver(
     return merged
 
 
+def _publication_folder():
+    """The folder of the file's publication: its path up to the month, the fourth folder below the root."""
+    parts, below = F.split("path", "/"), F.size(F.split("blob_name", "/"))
+    return F.array_join(F.slice(parts, F.lit(1), F.size(parts) - below + 4), "/")
+
+
+def _rounds(folders: list, files: int) -> list[list[str]]:
+    """Consecutive folders with about so many files together."""
+    rounds, held = [], files
+    for row in folders:
+        if held >= files:
+            rounds.append([])
+            held = 0
+        rounds[-1].append(row["_folder"])
+        held += row["files"]
+    return rounds
+
+
 def _parse_round(
-    spark: SparkSession, paths: list[str], batch: DataFrame, silver_root: str, parsed_at: str, columns: list[str], outcomes_path: str
+    spark: SparkSession, folders: list[str], batch: DataFrame, silver_root: str, parsed_at: str, columns: list[str], outcomes_path: str
 ) -> None:
-    """Parse the listed workbooks into silver and append their outcomes."""
-    content = spark.read.format("binaryFile").load(paths)
+    """Parse the batch's workbooks, which lie below the folders, into silver and append their outcomes."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[xX][lL][sS][xX]")
+    content = reader.load(folders).join(broadcast_if_small(batch.select("path")), "path", "left_semi")
     aside = scratch_path(spark, "sheet-rows")
     workbooks.read_cells(content).write.parquet(aside)
     cells = spark.read.parquet(aside).join(batch.select("path", "blob_name", "report_type"), "path")

@@ -116,8 +116,13 @@ class Lake:
         """A view as it is kept for questions, of one type, item or some states if they are given."""
         if name not in self._served:
             path = f"{self.gold.root}/served/{name}"
-            served.write(name, self.view(name), path)
+            if name in served.FOLDERS:
+                served.write(name, self.view(name), path)
+            else:
+                build.export_table(self.view(name), path)
             self._served[name] = path
+        if name not in served.FOLDERS:
+            return self.spark.read.parquet(self._served[name])
         slugs = None
         if state_names:  # a fixed list
             found = self.gold["dim_uf"].where(F.col("state_name").isin(state_names)).select("state_slug").collect()

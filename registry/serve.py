@@ -126,7 +126,7 @@ query("warn_variacao")(lambda k: quality.suspicious_changes(k.view("vw_evolucao_
 def _(k: Lake) -> DataFrame:
     staged = {"stg_materiais": V.MATERIAL, "stg_equipamentos": V.EQUIPMENT, "stg_mao_de_obra": V.LABOUR}
     tables = {name: k.staged[t] for name, t in staged.items()}
-    tables |= {**k.gold.all(), **{n: k.view(n) for n in ["vw_cobertura", "vw_evolucao_preco"]}}
+    tables |= {**k.gold.all(), **{n: k.served(n) for n in ["vw_cobertura", "vw_evolucao_preco"]}}
     return quality.report(tables, quality.standard_checks(tables))
 
 
