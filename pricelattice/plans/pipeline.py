@@ -146,10 +146,7 @@ def _parse_round(
 
 def read_silver_by_type(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
     """Silver per report type, with every column of the type present and typed."""
-    table = silver.retype_partition_columns(silver.read_silver(spark, silver_root))
-    for column in [*V.TEXT_COLUMNS, *sum(V.MEASURES.values(), [])]:
-        if column not in table.columns:
-            table = table.withColumn(column, F.lit(None).cast("string" if column in V.TEXT_COLUMNS else "double"))
+    table = silver.read_known_silver(spark, silver_root)
     return {t: table.where(F.col("report_type") == t) for t in V.REPORT_TYPES}
 
 
@@ -161,7 +158,8 @@ def run_gold(
     Unless ``full``, only publications with something new are rebuilt, and of the long fact and the views only the folders that
     they touch are rewritten.  What will change is written aside and checked first, so an error leaves every relation as it was.
     A key holds its state and period, so checking the changed partitions proves it unique.  A catalog that has not written
-    the long fact lays it out anew from the wide facts.
+    the long fact lays it out anew from the wide facts.  What a run is about to rewrite is noted first, so a run that is broken off
+    is made good by the next.
     """
     full = full or not path_exists(spark, f"{gold_root}/fato_medicao")
     staged = {t: STAGES[t](df) for t, df in read_silver_by_type(spark, silver_root).items()}
@@ -179,14 +177,14 @@ def run_gold(
         **dims, **{marts.FACT_NAME[t]: df for t, df in changed.items()}, "fato_medicao": marts.build_long_fact(changed)
     })
 
-    known = spark.catalog.tableExists(build.long_fact_table(gold_root))
-    pairs = None
-    if not full:
-        pairs = refresh.touched_pairs(changed)
-        if not known or not _same_rows(spark.read.parquet(f"{gold_root}/dim_uf"), dims["dim_uf"]):
-            pairs = None
+    pairs = None if full else refresh.unfinished(spark, gold_root)
+    if pairs is not None:
+        known = spark.catalog.tableExists(build.long_fact_table(gold_root))
+        if known and _same_rows(spark.read.parquet(f"{gold_root}/dim_uf"), dims["dim_uf"]):
+            pairs |= refresh.touched_pairs(changed) | refresh.relabelled_pairs(spark, gold_root, dims["dim_insumo"])
         else:
-            pairs |= refresh.relabelled_pairs(spark, gold_root, dims["dim_insumo"])
+            pairs = None
+    refresh.mark_unfinished(spark, gold_root, pairs)
     for t, path in paths.items():
         refresh.put_fact(t, changed[t], path, full or not path_exists(spark, path))
     tables = {name: build.export_table(df, f"{gold_root}/{name}") for name, df in dims.items()}
@@ -195,6 +193,7 @@ def run_gold(
     if pairs is None or pairs:
         tables["fato_medicao"] = build.put_long_fact(spark, refresh.long_rows(facts, pairs), gold_root, first=pairs is None)
         refresh.refresh_views(spark, tables, gold_root, pairs)
+    refresh.finish(spark, gold_root)
     drop_scratch(spark, aside)
     return quality.require({
         "vw_cobertura": spark.read.parquet(f"{gold_root}/vw_cobertura"),

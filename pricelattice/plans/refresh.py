@@ -18,9 +18,10 @@ from pricelattice import vocabulary as V
 from pricelattice.operators import keyed
 from pricelattice.plans import build, marts, served
 from pricelattice.plans.views import biggest_changes, view
-from pricelattice.session import broadcast_if_small
+from pricelattice.session import broadcast_if_small, drop_scratch, path_exists
 
 Pairs = set[tuple[str, str]]  # report type and state
+_UNFINISHED, _ALL = "_unfinished", "*"
 
 
 def partition_keys(tipo: str) -> list[str]:
@@ -78,6 +79,23 @@ def relabelled_pairs(spark: SparkSession, root: str, items: DataFrame) -> Pairs:
     return {(r.tipo, r.state_slug) for r in rows.select("tipo", "state_slug").distinct().collect()}
 
 
+def mark_unfinished(spark: SparkSession, root: str, pairs: Pairs | None) -> None:
+    """Note the pairs (None: all) that a run is about to rewrite; they are due until the run has ended."""
+    rows = sorted(pairs) if pairs is not None else [(_ALL, _ALL)]
+    spark.createDataFrame(rows, "tipo string, state_slug string").coalesce(1).write.mode("overwrite").parquet(f"{root}/{_UNFINISHED}")
+
+
+def unfinished(spark: SparkSession, root: str) -> Pairs | None:
+    """Pairs that a run before this one has left unfinished; None for all."""
+    path = f"{root}/{_UNFINISHED}"
+    rows = {tuple(r) for r in spark.read.parquet(path).collect()} if path_exists(spark, path) else set()
+    return None if (_ALL, _ALL) in rows else rows
+
+
+def finish(spark: SparkSession, root: str) -> None:
+    drop_scratch(spark, f"{root}/{_UNFINISHED}")
+
+
 def within(pairs: Pairs) -> Column:
     """Rows of the pairs, told by the folder columns."""
     by_type = {t: sorted(s for k, s in pairs if k == t) for t in {k for k, _ in pairs}}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricelattice import vocabulary as V
 from pricelattice.functions.text import file_id
 from pricelattice.operators.keyed import in_partitions, overwrite_partitions
 from pricelattice.session import drop_scratch, path_exists, scratch_path
@@ -45,6 +46,24 @@ def read_silver(spark: SparkSession, root: str, report_type: str | None = None)
     return reader.parquet(root if report_type is None else f"{root}/report_type={report_type}")
 
 
+def silver_schema() -> str:
+    """Every column that a silver file of any layout can have, and the folder columns."""
+    texts = ["codigo", "descricao", "unidade", "blob_name", "region", "archive_stem", "parsed_at"]
+    measures = [m for own in V.MEASURES.values() for m in own]
+    return ", ".join([
+        *[f"{c} string" for c in texts], *[f"{m} double" for m in measures],
+        "revisado boolean, report_type string, desonerado boolean, year int, month string, state_slug string",
+    ])
+
+
+def read_known_silver(spark: SparkSession, root: str) -> DataFrame:
+    """Files of differing layouts with the columns they can have; those a file lacks are null.
+
+    The columns are given, so no file is opened to find them, and a question about some folders opens theirs only.
+    """
+    return spark.read.schema(silver_schema()).parquet(root)
+
+
 def retype_partition_columns(df: DataFrame) -> DataFrame:
     """Folder names come back as text or number; restore the panel's types."""
     return df.withColumns({

@@ -121,6 +121,28 @@ def test_a_failed_check_leaves_every_file(spark, tmp_path):
     assert files(gold) == before
 
 
+def test_a_run_that_was_broken_off_is_made_good(spark, tmp_path, monkeypatch):
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold-broken")
+    states, months = seeds.states(spark).where(F.col("state_slug").isin(STATES)), seeds.months(spark)
+    rows = publication(random.Random(4), V.MATERIAL, "acre", 2022, "janeiro", False, False, "2024-01-01 00:00:00")
+    merge_silver(spark, silver, silver_rows(spark, rows))
+    pipeline.run_gold(spark, silver, gold, states, months)
+    more = [dict(r, month="abril", blob_name="r/acre/b.xlsx", parsed_at="2024-02-01 00:00:00") for r in rows]
+    merge_silver(spark, silver, silver_rows(spark, more))
+
+    def stop(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh, "refresh_views", stop)
+        with pytest.raises(RuntimeError):
+            pipeline.run_gold(spark, silver, gold, states, months)
+    assert served.table(spark, "vw_evolucao_preco", f"{gold}/vw_evolucao_preco").count() == 8
+    pipeline.run_gold(spark, silver, gold, states, months)  # nothing new in silver
+    assert served.table(spark, "vw_evolucao_preco", f"{gold}/vw_evolucao_preco").count() == 16
+    assert not os.path.exists(f"{gold}/_unfinished")
+
+
 def test_one_item_reads_few_row_groups(spark, tmp_path, capsys):
     """Of all row groups of the evolution at sf0.1, those in whose range of items one item lies."""
     k = lake(spark, SF)
@@ -181,3 +203,16 @@ def test_defining_the_index_question_runs_no_job(spark):
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("index")
     spark.sparkContext.setJobGroup("tests", "tests")
     assert len(jobs) <= 2  # the few state names
+
+
+def test_known_columns_are_those_of_a_merged_read(spark, tmp_path):
+    """Three types and both labour layouts, each file with its own columns only."""
+    from pricelattice.sources import silver
+
+    root, rng = str(tmp_path / "silver"), random.Random(6)
+    for n, tipo in enumerate([*V.REPORT_TYPES, V.LABOUR]):
+        rows = silver_rows(spark, publication(rng, tipo, STATES[n], 2022 + n, "abril", n == 3, False, "2024-01-01 00:00:00"))
+        lacking = [m for t, own in V.MEASURES.items() for m in own if t != tipo or (n == 3 and m in V.LABOUR_COMPONENTS)]
+        silver.write_silver(rows.drop(*lacking, *(["unidade"] if tipo == V.EQUIPMENT else [])), root)
+    merged = silver.retype_partition_columns(silver.read_silver(spark, root))
+    assert rows_of(silver.read_known_silver(spark, root)) == rows_of(merged)
