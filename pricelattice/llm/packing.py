@@ -32,7 +32,7 @@ def encode(texts: list[str | None], path: str) -> list[bytes]:
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int, with_ids: bool, keep_cache: bool):
     squeeze = zstandard.ZstdCompressor(level=1).compress
-    for batch in (part for whole in batches for part in slices(whole, 6 << 20)):
+    for batch in (part for whole in batches for part in slices(whole, 3 << 20)):
         ids, first = encoder(path).encode(batch["text"].to_pylist(), end_id)
         total = np.diff(first)
         count = -(-total // size)

@@ -29,8 +29,8 @@ _SCANNED = (
     "kind string, conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, "
     "ends_sha256 string, skeleton int, parent int, above array<int>, chars long, shard int, nth int, chunk string, node binary"
 )
-#: Characters of member ids that travel in one row.
-_CHUNK = 1 << 20
+#: Characters of member ids that travel in one row, and rows of finished nodes that a task holds before it hands them on.
+_CHUNK, _HELD = 1 << 20, 20_000
 
 
 def turn_code(role: Column, text: Column) -> Column:
@@ -78,7 +78,7 @@ def rebuilt(turns: DataFrame, block: int = 100, most: int = 5) -> DataFrame:
     return own.union(begun)
 
 
-def prefix_trie(turns: DataFrame, shard_rows: int = 20_000, max_depth: int = 64) -> DataFrame:
+def prefix_trie(turns: DataFrame, shard_rows: int = 20_000, max_depth: int = 64, most_shards: int = 10_000) -> DataFrame:
     """Every node of the trie of turn sequences: one row each.
 
     ``turns`` has rows (conv, depth from 1 without gaps, code, chars) and a row of depth 0 for each conversation.  A node is a
@@ -87,8 +87,9 @@ def prefix_trie(turns: DataFrame, shard_rows: int = 20_000, max_depth: int = 64)
     subtree, itself included), saved_tokens (over the subtree: members less one, times the characters of the node's last turn),
     ends_sha256 (of the ids of members that end here, ascending, joined by commas).  Without conversations there is no node.
 
-    A shard holds about ``shard_rows`` conversations.  Equal paths are ordered by conversation, so that copies are split over
-    shards, too.  A path holds ``max_depth`` turns; longer conversations are few or few are long, and the nodes below
+    A shard holds about ``shard_rows`` conversations, more if there would be over ``most_shards``, so splitters and skeleton are bounded: at most
+    ``most_shards`` paths of ``max_depth`` codes.  A task hands on a skeleton node's finished subtrees as it goes.  Equal paths are ordered by
+    conversation, so that copies are split over shards, too.  A path holds ``max_depth`` turns; longer conversations are few or few are long, and the nodes below
     that are grouped by hashes of their prefixes (:func:`_deep_nodes`), so that no task holds a whole conversation.
     """
     first = F.col("depth").between(1, max_depth)
@@ -109,7 +110,7 @@ def prefix_trie(turns: DataFrame, shard_rows: int = 20_000, max_depth: int = 64)
         "conv", "key", "chars", (F.col("total") <= max_depth).alias("ends"),
         *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("more_children", "more_leaves", "more_saved")],
     )
-    splitters = _splitters(paths, shard_rows)
+    splitters = _splitters(paths, shard_rows, most_shards)
     trie = _skeleton([key for key, _ in splitters])
     spark = turns.sparkSession
     shared = spark.sparkContext.broadcast((splitters, trie))
@@ -130,10 +131,10 @@ def prefix_trie(turns: DataFrame, shard_rows: int = 20_000, max_depth: int = 64)
     return found.select(*_RESULT).union(lower.select(*_RESULT))
 
 
-def _splitters(paths: DataFrame, shard_rows: int, per_shard: int = 24) -> list[tuple[bytes, int]]:
+def _splitters(paths: DataFrame, shard_rows: int, most_shards: int, per_shard: int = 24) -> list[tuple[bytes, int]]:
     """Paths that part the sorted ones into shards, from a sample by the conversation's hash of about ``per_shard`` rows a shard."""
     rows = paths.count()
-    shards = -(-rows // shard_rows)
+    shards = min(-(-rows // shard_rows), most_shards)
     if shards < 2:
         return []
     share = min(1.0, shards * per_shard / rows)
@@ -174,12 +175,14 @@ class _Shard:
 
     def __init__(self, shard: int, trie: dict[tuple[int, bytes], int] | None, max_depth: int):
         self.shard, self.trie, self.max_depth = shard, trie, max_depth
-        self.key, self.rows = b"", []
-        self.stack = [_Node(self.reserve(None), -1 if trie is None else 0, 0)]
+        self.key, self.rows, self.done = b"", [], []
+        self.stack = [self.opened(-1 if trie is None else 0, 0)]
 
-    def reserve(self, row) -> int:
-        self.rows.append(row)
-        return len(self.rows) - 1
+    def opened(self, skeleton: int, chars: int) -> _Node:
+        """A new node; one that will be finished here gets its place among the rows before its children do."""
+        if skeleton < 0:
+            self.rows.append(None)
+        return _Node(len(self.rows) - 1, skeleton, chars)
 
     def add(self, key: bytes, conv: int, chars: list[int], ends: bool, children: int, leaves: int, saved: int) -> None:
         if key != self.key:
@@ -188,10 +191,12 @@ class _Shard:
                 same += WIDTH
             while len(self.stack) > same // WIDTH + 1:
                 self.close()
+            if len(self.rows) >= _HELD and self.stack[-1].skeleton >= 0:  # whatever is held is finished
+                self.hand_on()
             for at in range(same, len(key), WIDTH):
                 above = self.stack[-1].skeleton
                 skeleton = self.trie.get((above, key[at : at + WIDTH]), -1) if above >= 0 else -1
-                self.stack.append(_Node(self.reserve(None), skeleton, chars[at // WIDTH]))
+                self.stack.append(self.opened(skeleton, chars[at // WIDTH]))
             self.key = key
         node = self.stack[-1]
         node.n += 1
@@ -215,10 +220,10 @@ class _Shard:
             top = sha256(self.key[: depth * WIDTH]).digest()
         if node.skeleton >= 0:
             line = [n.skeleton for n in self.stack]
-            self.rows[node.place] = ("part", node.least, depth, None, node.n, node.children, node.leaves, node.saved, None,
-                                     node.skeleton, above.skeleton if above else None, line, node.chars, self.shard, 0, None, top)
+            self.rows.append(("part", node.least, depth, None, node.n, node.children, node.leaves, node.saved, None,
+                              node.skeleton, above.skeleton if above else None, line, node.chars, self.shard, 0, None, top))
             for nth, chunk in enumerate(_cut(node.chunks)):
-                self.reserve(("ends", None, None, None, 0, 0, 0, 0, None, node.skeleton, None, None, 0, self.shard, nth, chunk, None))
+                self.rows.append(("ends", None, None, None, 0, 0, 0, 0, None, node.skeleton, None, None, 0, self.shard, nth, chunk, None))
         else:
             digest = sha256()
             for nth, chunk in enumerate(node.chunks):
@@ -237,13 +242,19 @@ class _Shard:
             above.n += node.n
             above.least = node.least if above.least is None or node.least < above.least else above.least
 
-    def finish(self) -> Iterator[pa.RecordBatch]:
-        while self.stack:
-            self.close()
+    def hand_on(self) -> None:
+        """The rows held, all of closed nodes, as a batch; parents' places become their least members."""
         columns = [list(c) for c in zip(*self.rows)]
         least = columns[1]
         columns[3] = [p if p is None else least[-1 - p] for p in columns[3]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _KINDS)], _NAMES)
+        self.done.append(pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _KINDS)], _NAMES))
+        self.rows = []
+
+    def finish(self) -> list[pa.RecordBatch]:
+        while self.stack:
+            self.close()
+        self.hand_on()
+        return self.done
 
 
 _NAMES = [part.split()[0] for part in _SCANNED.split(", ")]
@@ -275,6 +286,9 @@ def _scan(batches: Iterator[pa.RecordBatch], trie: dict[tuple[int, bytes], int]
                     yield from shard.finish()
                 shard = _Shard(number, trie, max_depth)
             shard.add(*row)
+            if shard.done:
+                yield from shard.done
+                shard.done = []
     if shard is not None:
         yield from shard.finish()
 

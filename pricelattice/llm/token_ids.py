@@ -8,6 +8,8 @@ with another normaliser or cutting rule, or a text beyond the rules below, goes
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import json
 import os
 import re
@@ -62,7 +64,11 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        """Forget the words met so far."""
+        """Forget the words met so far, and give freed memory back, as the worker may go on with other work."""
+        self.words = self.flat = self.first = None
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps what is free
+            ctypes.CDLL(None).malloc_trim(0)
         self.words = pa.array([], pa.binary())
         self.flat = np.zeros(1 << 16, np.uint32)
         self.first = np.zeros(1 << 16, np.int64)  # word w has the ids flat[first[w]:first[w + 1]]

@@ -139,8 +139,9 @@ def conversations(seed, n):
     return [*rows, (None, 1, "user", "hi"), (None, None, None, None)]
 
 
-@pytest.mark.parametrize("shard_rows, max_depth", [(20_000, 64), (10, 64), (3, 64), (7, 2), (20_000, 1), (5, 5)])
-def test_prefix_trie(spark, shard_rows, max_depth):
+@pytest.mark.parametrize("shard_rows, max_depth, held", [(20_000, 64, 9), (10, 64, 9), (3, 64, 20_000), (7, 2, 1), (20_000, 1, 1), (5, 5, 1)])
+def test_prefix_trie(spark, monkeypatch, shard_rows, max_depth, held):
+    monkeypatch.setattr(T, "_HELD", held)
     rows = conversations(shard_rows, 120)
     extra = ["conv", "pos", "key", "node", "depth", "kind", "h", "total", "head"]
     table = spark.createDataFrame([(*r, *["mine"] * len(extra)) for r in rows], "conv_id long, turn long, role string, text string, " + ", ".join(f"{c} string" for c in extra))
@@ -270,3 +271,38 @@ def test_whole_result_of_passages(spark, monkeypatch, together):
     assert len(surely) > 10 and set(surely) <= set(got) <= set(perhaps)
     for doc, gone in got.items():
         assert surely.get(doc, set()) <= gone <= perhaps[doc], doc
+
+
+# ---- 10 language: the code lengths, recomputed ---------------------------------------------
+
+
+def test_language_is_that_of_the_shortest_code(spark):
+    import zstandard
+
+    from pricelattice.llm import language
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    dictionaries = language.learn_dictionaries(docs, texts_per_language=60, bytes_per_language=40_000)
+    names = sorted(dictionaries)
+    raw = [zstandard.ZstdCompressionDict(dictionaries[n], dict_type=zstandard.DICT_TYPE_RAWCONTENT) for n in names]
+    seen = 0
+    for r in language.identify(docs.where("doc_id < 150"), dictionaries).collect():
+        code = language.plain(r.text or "").encode()
+        if not any(map(str.isalpha, r.text or "")):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        pieces = [code[at : at + language.PIECE] for at in range(0, len(code), language.PIECE)]
+        sizes = [sum(len(zstandard.ZstdCompressor(level=language.LEVEL, dict_data=d).compress(p)) for p in pieces) for d in raw]
+        best = sorted(sizes)
+        if best[1] - best[0] > 3:  # frame headers aside, the same code
+            assert r.lang_pred == names[sizes.index(best[0])]
+            seen += 1
+    assert seen > 100
+
+
+def test_two_languages_alike_are_a_tie(spark):
+    from pricelattice.llm import language
+
+    docs = spark.createDataFrame([(1, "one two three four five six seven"), (2, "")], "doc_id long, text string")
+    (row, empty) = language.identify(docs, {"b": b"one two three four", "a": b"one two three four"}).orderBy("doc_id").collect()
+    assert (row.lang_pred, row.margin, row.rejected) == ("a", 0.0, True) and empty.lang_pred == "und"

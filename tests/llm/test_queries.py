@@ -27,6 +27,8 @@ COLUMNS = {
     "op3_sharding": "doc_id size text_crc32 law shard slot grown_shard", "op4_passage_dedup": "doc_id gone kept_in",
     "op7_near_dedup": "doc_id n_shingles component_id kept", "op8_url_filter": "page_id host path rule verdict",
     "op9_quality": "doc_id held_out score predicted", "op10_language": "doc_id held_out lang_pred score",
+    "op11_fill_in_middle": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
     "op13_grammar_ids": "doc_id start n_tokens ids_crc32",
 }
 
@@ -125,9 +127,11 @@ def test_stages_on_odd_tables(spark):
     rows = [(1, text, "en", None, None), (1, text, "en", None, None), (None, text, None, "s", 1), (2, None, None, None, None), (3, "", "de", "s", 0),
             (4, "le la les de des " * 30, "fr", "s", 1), (None, None, None, None, None), (5, "x " * 40_000, "en", "s", 1)]
     for docs in (spark.createDataFrame(rows, DOCS), spark.createDataFrame([], DOCS)):
-        for name, stage in corpus_pipeline.STAGES:
-            if name != "language":  # every stage on the whole odd table
-                out = stage(spark, docs, SF)
-                assert out.count() <= max(len(rows), 40) and (name == "packing" or out.columns == docs.columns)
-            else:
-                assert stage(spark, docs, SF).columns == docs.columns
+        for name, stage in corpus_pipeline.STAGES:  # every stage on the whole odd table
+            out = stage(spark, docs, SF)
+            assert out.count() <= max(len(rows), 40) and (name == "packing" or out.columns == docs.columns)
+
+
+def test_without_language_labels_no_document_goes(spark):
+    docs = spark.createDataFrame([(1, "some text", None, None, None), (2, None, None, "s", 1)], DOCS)
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_known_languages(spark, docs, SF).collect()) == [1, 2]
