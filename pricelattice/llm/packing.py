@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pricelattice.llm.steps import numbered, written
-from pricelattice.llm.token_ids import encoder
+from pricelattice.llm.token_ids import encoder, forget
 from pricelattice.llm.words import slices
 
 def default_tokenizer() -> str:
@@ -32,7 +32,7 @@ def encode(texts: list[str | None], path: str) -> list[bytes]:
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int, with_ids: bool, keep_cache: bool):
     squeeze = zstandard.ZstdCompressor(level=1).compress
-    for batch in (part for whole in batches for part in slices(whole, 3 << 20)):
+    for batch in (part for whole in batches for part in slices(whole, 2 << 20)):
         ids, first = encoder(path).encode(batch["text"].to_pylist(), end_id)
         total = np.diff(first)
         count = -(-total // size)
@@ -51,8 +51,9 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int
             columns.append(pa.array(np.full(len(parts), int(kind[-1]), np.int32)))
             names += ["ids", "bytes"]
         yield pa.RecordBatch.from_arrays(columns, names)
-    if not keep_cache:  # the worker may go on with other work
-        encoder(path).clear()
+    if not keep_cache:
+        batch = ids = raw = parts = columns = carried = None
+        forget(path)
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

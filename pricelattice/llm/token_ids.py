@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import json
 import os
 import re
@@ -46,6 +47,19 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
+def forget(path: str) -> None:
+    """Drop the worker's encoder of a file, and give freed memory back, as the worker may go on with other work."""
+    _loaded.pop(path, None)
+    gc.collect()
+    _give_back()
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps what is free
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are parallel; threads on top only spin
@@ -64,11 +78,7 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        """Forget the words met so far, and give freed memory back, as the worker may go on with other work."""
-        self.words = self.flat = self.first = None
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps what is free
-            ctypes.CDLL(None).malloc_trim(0)
+        """Forget the words met so far."""
         self.words = pa.array([], pa.binary())
         self.flat = np.zeros(1 << 16, np.uint32)
         self.first = np.zeros(1 << 16, np.int64)  # word w has the ids flat[first[w]:first[w + 1]]
