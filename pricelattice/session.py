@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # What a broadcast side may weigh, by the widths of its columns; a side with text or nested values goes by its rows.
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 8 << 20
 _WIDTHS = {"bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4, "float": 4, "date": 4, "smallint": 2, "tinyint": 1, "boolean": 1}
 # A list of this many rows of ids, texts or short lists stays within some tens of MB per executor.
 BROADCAST_ROWS = 200_000
@@ -83,7 +83,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def broadcast_rows(df: DataFrame) -> int:
-    """How many rows of these columns may be broadcast: sixteen MB of numbers, or ``BROADCAST_ROWS`` with anything else."""
+    """How many rows of these columns may be broadcast: eight MB of numbers, or ``BROADCAST_ROWS`` with anything else."""
     widths = [_WIDTHS.get(kind) for _, kind in df.dtypes]
     return BROADCAST_ROWS if None in widths else max(BROADCAST_ROWS, BROADCAST_BYTES // max(1, sum(widths)))
 
