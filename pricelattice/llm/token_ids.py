@@ -8,8 +8,6 @@ with another normaliser or cutting rule, or a text beyond the rules below, goes
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import gc
 import json
 import os
@@ -19,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from pricelattice.llm.words import give_back
+
 #: Words, and bytes of words, kept before a worker starts its cache afresh.
 CACHE_WORDS, CACHE_BYTES = 1_500_000, 48 << 20
 #: Words that go to the library in one text.
@@ -51,13 +51,7 @@ def forget(path: str) -> None:
     """Drop the worker's encoder of a file, and give freed memory back, as the worker may go on with other work."""
     _loaded.pop(path, None)
     gc.collect()
-    _give_back()
-
-
-def _give_back() -> None:
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps what is free
-        ctypes.CDLL(None).malloc_trim(0)
+    give_back()
 
 
 class Encoder:
