@@ -41,8 +41,10 @@ def matching_layout(report_type: Column, cells: Column) -> Column:
 def _header_position() -> Column:
     """Row number and layout of a header row as one long; null for other rows."""
     openings = sorted({header[0] for layouts in V.SHEET_LAYOUTS.values() for header, _ in layouts})
-    # one cell tells most rows from headers, so the others are not normalised
-    may_be = collapse_whitespace(F.get("cells", F.lit(0))).isin(openings)
+    # one cell tells most rows from headers, so the others are not normalised; a word of it stands there as it is
+    first = F.get("cells", F.lit(0))
+    holds = reduce(Column.__or__, [first.contains(word) for word in sorted({o.split()[0] for o in openings})])
+    may_be = holds & collapse_whitespace(first).isin(openings)
     layout = matching_layout(F.col("report_type"), normalized_cells(F.col("cells")))
     return F.when(may_be, F.col("row_idx") * _LAYOUTS_PER_TYPE + layout).cast("long")
 

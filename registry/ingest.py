@@ -11,8 +11,8 @@ from pricelattice.functions.numeric import clean_number, is_bad_number
 from pricelattice.functions.text import clean_text
 from pricelattice.operators import graph, keyed
 from pricelattice.plans import build
-from pricelattice.sources import classify, files, links, sheets, silver
-from pricelattice.session import scratch_path
+from pricelattice.sources import classify, links, sheets, silver
+from pricelattice.session import cut_lineage, scratch_path
 from registry.lake import Lake
 from registry.queries import each_type, query
 
@@ -261,7 +261,8 @@ def _(k: Lake) -> DataFrame:
 @query("silver_from_sheets")
 def _(k: Lake) -> DataFrame:
     """The whole silver step for every report type: paths classified, sheets parsed, facts attached."""
-    paths = k.panel.select(F.col("blob_name").alias("path")).distinct()
+    # the list of files is made once for all types
+    files = cut_lineage(classify.classify_files(k.panel.select(F.col("blob_name").alias("path")).distinct()))
     stamp = F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")
     facts = [
         "codigo", "descricao", "blob_name", "region", "state_slug", "year", "month", "archive_stem", "report_type", "desonerado",
@@ -270,7 +271,7 @@ def _(k: Lake) -> DataFrame:
 
     def parsed(tipo: str) -> DataFrame:
         rows = sheets.parse_sheets(_sheets(k), tipo)
-        return _measured(sheets.attach_file_metadata(rows, classify.classify_files(paths), stamp), facts)
+        return _measured(sheets.attach_file_metadata(rows, files, stamp), facts)
 
     return each_type(parsed).drop("tipo")
 
