@@ -16,6 +16,8 @@ from pricelattice.llm.steps import written
 
 #: Symbols in one index; a shard of more is indexed in pieces that overlap by a window.
 INDEX_SYMBOLS = 1 << 20
+#: Bytes of text in a shard, which bounds a task's memory: hashes, suffixes and ranks take some sixty bytes a word.
+SHARD = 2 << 20
 _FOUND = "n_words long, hits array<int>, spans array<struct<start:int,stop:int>>, items array<string>"
 
 
@@ -90,7 +92,7 @@ def occurrences(words: W.Words, phrases: Phrases) -> tuple[np.ndarray, np.ndarra
 
 
 def _searched(batches: Iterator[pa.RecordBatch], phrases: Phrases) -> Iterator[pa.RecordBatch]:
-    for batch in (part for whole in batches for part in W.slices(whole, 5 << 20)):
+    for batch in (part for whole in batches for part in W.slices(whole, SHARD)):
         words = W.words_of(batch["text"].to_pylist(), W.ALPHANUMERIC)
         starts, which = occurrences(words, phrases)
         first, rows = words.first, batch.num_rows

@@ -156,6 +156,28 @@ def test_pack(spark, odd, none):
     assert pack(none).count() == 0
 
 
+def test_a_task_of_the_search_holds_little_text(spark, monkeypatch):
+    """An executor holds batches and shards of all its tasks at once, beside what earlier stages left in it."""
+    import pyarrow as pa
+    from pricelattice.llm import decontaminate
+    from pricelattice.session import tune
+
+    tune(spark)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("m")) <= 4
+    sizes = []
+    whole = decontaminate.occurrences
+    monkeypatch.setattr(decontaminate, "occurrences", lambda words, phrases: (sizes.append(len(words.data)), whole(words, phrases))[1])
+    text = "a few words of a training text " * 4000
+    n = 60
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([text] * n), pa.array([[]] * n, pa.list_(pa.int32())), pa.array([[]] * n, pa.list_(pa.string()))], ["text", "hits", "items"]
+    )
+    phrases = decontaminate._block([], 13)
+    found = list(decontaminate._searched(iter([batch]), phrases))
+    assert sum(f.num_rows for f in found) == n and sum(sizes) >= n * len(text)
+    assert max(sizes) <= (2 << 20) + 2 * len(text)
+
+
 # ---- 13 grammar files -------------------------------------------------------------------
 
 
