@@ -12,6 +12,7 @@ import gc
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,9 @@ _WORD_RULE = {"type": "Sequence", "pretokenizers": [
 _UNKNOWN, _OTHER_SPACE, _SPACE, _LETTER, _NUMBER, _MARK, _END = range(7)
 #: Stands between texts; a text that holds it goes to the library whole.
 _SEPARATOR = "\U0010FFFF"
+#: Bytes that byte-level files name by another character than their own: {byte as a character: its name}.
+_OWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_NAMES = {chr(b): chr(0x100 + n) for n, b in enumerate(sorted({*range(0x100)} - {*_OWN}))}
 _loaded: dict[str, Encoder] = {}
 
 
@@ -60,6 +64,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
         self.special = [t["content"] for t in rules["added_tokens"]]
@@ -74,6 +79,7 @@ class Encoder:
     def clear(self) -> None:
         """Forget the words met so far."""
         self.words = pa.array([], pa.binary())
+        self.keys, self.slot_of = np.zeros(0, np.int64), np.zeros(0, np.int32)  # hashes of the words in ascending order, and their numbers
         self.flat = np.zeros(1 << 16, np.uint32)
         self.first = np.zeros(1 << 16, np.int64)  # word w has the ids flat[first[w]:first[w + 1]]
 
@@ -176,47 +182,85 @@ class Encoder:
         """Numbers of the distinct words in the cache, which holds them all afterwards."""
         if len(self.words) > CACHE_WORDS or self.words.nbytes > CACHE_BYTES:
             self.clear()
-        slots = pc.index_in(words, value_set=self.words)
-        fresh = words.filter(slots.is_null())
+        raw = words.to_numpy(zero_copy_only=False).tolist()  # a tenth of the time of to_pylist
+        keys = np.fromiter(map(hash, raw), np.int64, len(raw))
+        order = np.argsort(keys)  # a search in ascending order stays near where it was
+        place = np.empty(len(raw), np.int64)
+        place[order] = np.searchsorted(self.keys, keys[order])
+        slots = np.zeros(len(raw), np.int32)
+        if len(self.keys):
+            near = np.minimum(place, len(self.keys) - 1)
+            slots = self.slot_of[near]
+            known = self.keys[near] == keys
+            at = np.flatnonzero(known)
+            # a hash tells where a word may be, its bytes whether it is there
+            known[at] = pc.equal(self.words.take(pa.array(slots[at])), words.take(pa.array(at))).to_numpy(zero_copy_only=False)
+        else:
+            known = np.zeros(len(raw), bool)
+        fresh = np.flatnonzero(~known)
         if len(fresh):
-            ids, sizes = self._encoded([w.decode() for w in fresh.to_pylist()])
+            ids, sizes = self._encoded([raw[i].decode() for i in fresh.tolist()])
             n = len(self.words)
             total = self.first[n] + np.cumsum(sizes)
             self.first, self.flat = _room(self.first, n + len(fresh) + 1), _room(self.flat, int(total[-1]))
             self.flat[self.first[n] : total[-1]] = ids
             self.first[n + 1 : n + 1 + len(fresh)] = total
-            self.words = pa.concat_arrays([self.words, fresh])
-            new = pa.array(np.arange(n, n + len(fresh), dtype=np.int32))
-            slots = pc.replace_with_mask(slots, slots.is_null(), new)
-        return slots.to_numpy(zero_copy_only=False)
+            self.words = pa.concat_arrays([self.words, words.take(pa.array(fresh))])
+            slots[fresh] = np.arange(n, n + len(fresh), dtype=np.int32)
+            fresh = fresh[np.argsort(keys[fresh])]
+            self.keys = np.insert(self.keys, place[fresh], keys[fresh])
+            self.slot_of = np.insert(self.slot_of, place[fresh], slots[fresh])
+        return slots
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of single words end to end, and their number in each word.
 
-        Visible words go to the library as lines of one text, where line ends part them; the rest one by one.
+        Visible words go to the library's model, if nothing else is done with them, or as lines of one text, where line ends part
+        them; the rest one by one.
         """
         lone = [i for i, w in enumerate(words) if w == _SEPARATOR or w.isspace()]
         odd = set(lone)
         lines = [i for i in range(len(words)) if i not in odd] if odd else range(len(words))
-        sizes = np.zeros(len(words), np.int64)
         ids, at = [], []
+        if self.joins:
+            own, count = self._of_model([words[i] for i in lines])
+            ids.append(own), at.append(np.repeat(np.asarray(lines, np.int64), count))
+            lines = []
         for a in range(0, len(lines), 20_000):
             some = lines[a : a + 20_000]
             texts = ["\n".join([words[i] for i in some[b : b + LINES]]) for b in range(0, len(some), LINES)]
             found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
             for b, one in enumerate(found):
                 own, line = np.array(one.ids, np.uint32), np.array(one.word_ids, np.int64)
-                if self.joins:  # a line end is a word, too
-                    own, line = own[line % 2 == 0], line[line % 2 == 0] // 2
                 ids.append(own), at.append(np.asarray(some[b * LINES : (b + 1) * LINES])[line])
         for i, found in zip(lone, self.tokenizer.encode_batch_fast(
             ["" if words[i] == _SEPARATOR else words[i] for i in lone], add_special_tokens=False
         )):
             ids.append(np.array(found.ids, np.uint32)), at.append(np.full(len(found.ids), i))
         ids, at = np.concatenate(ids), np.concatenate(at)
-        np.add.at(sizes, at, 1)
+        sizes = np.bincount(at, minlength=len(words))
         return ids[np.argsort(at, kind="stable")], sizes
 
+    def _of_model(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of visible words end to end, and their number in each, by the model of a byte-level file.
+
+        Such a file neither normalises nor cuts a word any further; it only names its bytes by characters.
+        """
+        if not words:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        named = "\n".join(words).encode()
+        present = np.flatnonzero(np.bincount(np.frombuffer(named, np.uint8), minlength=256)).tolist()
+        named = named.decode("latin-1")
+        for ch in map(chr, present):
+            if ch in _NAMES and ch != "\n":
+                named = named.replace(ch, _NAMES[ch])
+        ids, count, tokenize = array("I"), array("q"), self.model.tokenize
+        for word in named.split("\n"):
+            own = tokenize(word)
+            count.append(len(own))
+            ids.extend([token.id for token in own])
+        return np.frombuffer(ids, np.uint32), np.frombuffer(count, np.int64)
+
 
 def _room(array: np.ndarray, size: int) -> np.ndarray:
     return array if len(array) >= size else np.concatenate([array, np.zeros(max(size - len(array), len(array)), array.dtype)])

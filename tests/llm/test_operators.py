@@ -131,6 +131,29 @@ def test_encoder_is_the_tokenizer_on_random_texts(tmp_path, name, monkeypatch):
     assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == want
 
 
+def test_byte_level_words_go_to_the_model_once(monkeypatch):
+    """No search through all words kept for each slice, and no second cutting of words; words of one hash stay apart."""
+    import types
+
+    import public_tokenizers
+    from pricelattice.llm import token_ids
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [*random_texts(7, 400), *random_texts(8, 400), *random_texts(7, 400), None]
+    for hashed in (hash, lambda word: len(word) % 3):
+        monkeypatch.setattr(token_ids, "hash", hashed, raising=False)
+        encoder = token_ids.Encoder(path)
+        own, asked = encoder.tokenizer, []
+        encoder.tokenizer = types.SimpleNamespace(  # without encode_batch
+            encode=own.encode, encode_batch_fast=own.encode_batch_fast, normalizer=own.normalizer, pre_tokenizer=own.pre_tokenizer)
+        encoder.model = types.SimpleNamespace(tokenize=lambda word, model=own.model: (asked.append(word), model.tokenize(word))[1])
+        for at in range(0, len(texts), 100):
+            ids, first = encoder.encode(texts[at : at + 100], 7)
+            want = [own.encode(t or "", add_special_tokens=False).ids + [7] for t in texts[at : at + 100]]
+            assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == want
+        assert asked and (hashed is not hash or len(asked) == len(set(asked)))
+
+
 def test_cutting_stock_holds_every_piece_in_few_sequences():
     demand = np.random.default_rng(0).integers(0, 40, 64) * (np.arange(64) < 30)
     packed = cutting_stock(demand.astype(float), 64)
