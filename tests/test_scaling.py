@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from pricelattice import standin
 from pricelattice import vocabulary as V
 from pricelattice.plans import build, marts
 from pricelattice.session import scratch_path, shuffle_partitions, size_tasks, unsorted_folders
@@ -82,3 +83,28 @@ def test_header_cells_with_untidy_blanks_are_found(spark, rows):
     data = [(str(i), V.MATERIAL, 7, c) for i, c in enumerate(cells)]
     found = sheets.find_headers(spark.createDataFrame(data, "file string, report_type string, row_idx long, cells array<string>"))
     assert rows(found) == [("0", 7, 0)]
+
+
+def test_panel_moves_the_lines_once(spark, tmp_path):
+    """Suppliers and item sizes are sent to the tasks by their count, whatever Spark makes of the sizes of their files."""
+    d = str(tmp_path)
+    spark.sql("select 0 as r_regionkey, 'ASIA' as r_name").write.parquet(f"{d}/region.parquet")
+    spark.sql("select 1 as n_nationkey, 'NATION_1' as n_name, 0 as n_regionkey").write.parquet(f"{d}/nation.parquet")
+    spark.sql("select id as s_suppkey, 1 as s_nationkey from range(20)").write.parquet(f"{d}/supplier.parquet")
+    spark.sql("select id as p_partkey, cast(id % 50 as int) as p_size from range(40)").write.parquet(f"{d}/part.parquet")
+    spark.sql(
+        "select id % 40 as l_partkey, id % 25 as l_suppkey, timestamp '1995-01-01' + make_dt_interval(cast(id as int)) as l_shipdate, 'R' as l_returnflag,"
+        " 1.0D * id as l_extendedprice, 2.0D as l_quantity, 0.1D as l_discount, 0.2D as l_tax from range(500)"
+    ).write.parquet(f"{d}/lineitem.parquet")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        panel = standin.silver_panel(spark, d)
+        plan = panel._jdf.queryExecution().sparkPlan().toString()
+        rows = panel.collect()
+    finally:
+        spark.conf.set(name, before)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 4
+    # lines of unknown suppliers are in no row
+    assert {int(r.codigo[1:]) for r in rows} == {0, 1, 2, 3} and min(r.preco_unitario for r in rows if r.preco_unitario is not None) == 0.0
